@@ -338,9 +338,10 @@ UNION ALL SELECT "offset", 'even_server' FROM fb WHERE unwrap_ok AND is_obj AND
 def multi_filter(spark, sf):
     df = filter_once(_fb_inner(spark, sf), F.col("ok"))
     even = F.coalesce(J.int_of(F.col("var"), "server_no") % 2 == 0, F.lit(False))
-    return route(df, [Branch("currency", P.is_currency(F.col("var")), [Emit("currency")]),
-                      Branch("buy", P.is_buy(F.col("var")), [Emit("buy")]),
-                      Branch("even_server", even, [Emit("even_server")])],
+    none = F.lit(None).cast("string")
+    return route(df, [Branch("currency", P.is_currency(F.col("var")), [Emit("currency", none)]),
+                      Branch("buy", P.is_buy(F.col("var")), [Emit("buy", none)]),
+                      Branch("even_server", even, [Emit("even_server", none)])],
                  exclusive=False, keep=["offset"], with_branch=True).select("offset", "branch")
 
 
@@ -511,7 +512,7 @@ def pseudonymise_split(spark, sf):
 @register("flat_map_words", """
 SELECT conv_id, turn, pos, word FROM (
   SELECT conv_id, turn, unnest(range(len(ws))) AS pos, unnest(ws) AS word
-  FROM (SELECT conv_id, turn, list_filter(string_split_regex(text, '[ \\t\\n\\x0B\\f\\r]+'), w -> w <> '') AS ws
+  FROM (SELECT conv_id, turn, list_filter(string_split_regex(text, '[ \\t\\n\\x0B\\f\\r]+'), lambda w: w <> '') AS ws
         FROM conversations))""")
 def flat_map_words(spark, sf):
     c = D.table(spark, sf, "conversations")
@@ -521,7 +522,8 @@ def flat_map_words(spark, sf):
 
 @register("latest_by_key", O.with_(O.FILEBEAT) + """
 SELECT key, "offset", value FROM (
-  SELECT key, arg_max("offset", "offset") AS "offset", arg_max(value, "offset") AS value FROM fb GROUP BY key)
-WHERE value IS NOT NULL""")
+  SELECT key, "offset", value, row_number() OVER (PARTITION BY key ORDER BY "offset" DESC) AS rn
+  FROM fb WHERE key IS NOT NULL)
+WHERE rn = 1 AND value IS NOT NULL""")
 def latest_by_key_q(spark, sf):
     return latest_by_key(D.filebeat_records(spark, sf))

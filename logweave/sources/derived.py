@@ -235,7 +235,7 @@ def monthly_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decimal_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records carrying 29-digit decimals (precision must survive parsing)."""
     o = table(spark, sf_dir, "orders")
-    amount = F.concat(F.col("o_orderkey").cast("string"), F.lit("12345678901234567."),
+    amount = F.concat(F.lit("1"), F.lpad(F.col("o_orderkey").cast("string"), 19, "0"), F.lit("."),
                       F.lpad(F.col("o_custkey").cast("string"), 9, "0"))
     value = F.concat(F.lit('{"orderkey":'), F.col("o_orderkey").cast("string"),
                      F.lit(',"amount":'), amount, F.lit("}"))
