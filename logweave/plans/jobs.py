@@ -128,9 +128,7 @@ def filebeat_dlq(records: DataFrame, pattern: str = "test-.*", sink: str = "s3-a
                  zone: str = T.DEFAULT_ZONE) -> DataFrame:
     """Unwrap shipper envelopes; the payload goes on, anything unreadable
     goes to the dead-letter topic as an error record."""
-    df = select_topics(records, pattern=pattern)
-    ok, inner = J.unwrap("value", field)
-    staged = df.select("key", "value", "timestamp", ok.alias("_ok"), inner.alias("_inner"))
+    staged = J.with_unwrapped(select_topics(records, pattern=pattern), field)
     return route(staged, [Branch("s3", F.col("_ok"), [Emit(sink, F.col("_inner"))])],
                  default=Branch("error", None, [Emit(error_topic, J.error_record(
                      "value", reason, stamp(detected_at, zone)))]))
@@ -166,12 +164,9 @@ def db_feed(records: DataFrame, pattern: str = "test-.*", topic_prefix: str = "t
             detected_at: str = "processing", zone: str = T.DEFAULT_ZONE) -> DataFrame:
     """Valid envelopes -> business logs (currency or buy) -> Connect
     envelope on ``tb_log_<log_type>``."""
-    df = select_topics(records, pattern=pattern)
-    ok, inner = J.unwrap("value", field)
-    df = df.select("key", "timestamp", ok.alias("_ok"), inner.alias("_inner"))
-    df = df.withColumn(VAR, J.parse("_inner"))
-    keep = F.col("_ok") & P.is_business(F.col(VAR))
-    r = R.db_envelope(F.col(VAR), F.col("_inner"), topic_prefix)
+    df = J.with_unwrapped(select_topics(records, pattern=pattern), field)
+    keep = F.col("_ok") & P.is_business(F.col("_ivar"))
+    r = R.db_envelope(F.col("_ivar"), F.col("_inner"), topic_prefix)
     df = df.select("key", F.col("_inner").alias("value"), "timestamp", keep.alias("_keep"),
                    r.ok.alias("_rok"), r.key.alias("_rk"), r.value.alias("_rv"), r.topic.alias("_rt"))
     r2 = R.Reshaped(F.col("_rok"), F.col("_rk"), F.col("_rv"), F.col("_rt"))
