@@ -160,7 +160,7 @@ def unwrap(value, field: str = "message") -> tuple[Column, Column]:
 
 
 def with_unwrapped(df, field: str = "message", value: str = "value"):
-    """Add ``_inner`` (payload text), ``_ivar`` (parsed payload) and ``_ok``.
+    """Add ``_inner`` (payload text), ``_ivar`` (parsed payload) and ``_inner_ok``.
 
     Staged as separate projections so the envelope and the payload are each
     parsed exactly once, however many fields are read afterwards.
@@ -168,7 +168,7 @@ def with_unwrapped(df, field: str = "message", value: str = "value"):
     df = df.withColumn("_wvar", parse(value))
     df = df.withColumn("_inner", trimmed(text_of("_wvar", field))).drop("_wvar")
     df = df.withColumn("_ivar", parse("_inner"))
-    return df.withColumn("_ok", is_container("_inner", "_ivar"))
+    return df.withColumn("_inner_ok", is_container("_inner", "_ivar"))
 
 
 def error_record(data, reason: str | Column, detected_at: Column) -> Column:

@@ -58,8 +58,8 @@ def date_suffix(text, prefix: str = "_") -> Column:
     """``yyyy-MM-dd HH:mm:ss`` -> ``_yyyyMMdd``; NULL when not a real date-time."""
     t = to_col(text)
     ok = t.rlike(_LOCAL_RE) & F.try_to_timestamp(t, F.lit("yyyy-MM-dd HH:mm:ss")).isNotNull()
-    return F.when(ok, F.concat(F.lit(prefix), F.regexp_extract(t, _LOCAL_RE, 1),
-                               F.regexp_extract(t, _LOCAL_RE, 2), F.regexp_extract(t, _LOCAL_RE, 3)))
+    # shape checked by the regex: the parts sit at fixed positions
+    return F.when(ok, F.concat(F.lit(prefix), F.substring(t, 1, 4), F.substring(t, 6, 2), F.substring(t, 9, 2)))
 
 
 def _calendar_ok(date: Column, hms: Column) -> Column:
@@ -72,16 +72,21 @@ def mysql_datetime6(text) -> Column:
     The offset is dropped (not applied), the fraction is truncated or
     zero-padded to six digits. ``+09:00`` and ``Z`` are accepted, the
     compact ``+0900`` is not. NULL on any failure.
+
+    One regex checks the shape; after that date and clock sit at fixed
+    positions and the fraction runs up to the offset sign, so the pieces
+    are cut with plain substrings, and one parse checks the calendar.
     """
     t = to_col(text)
-    m = t.rlike(_ISO_OFFSET_RE)
-    date = F.regexp_extract(t, _ISO_OFFSET_RE, 1)
-    hm = F.regexp_extract(t, _ISO_OFFSET_RE, 2)
-    ss = F.regexp_extract(t, _ISO_OFFSET_RE, 3)
-    frac = F.regexp_extract(t, _ISO_OFFSET_RE, 4)
-    hms = F.concat(hm, F.lit(":"), F.when(ss == "", F.lit("00")).otherwise(ss))
-    out = F.concat(date, F.lit(" "), hms, F.lit("."), F.rpad(F.substring(frac, 1, 6), 6, "0"))
-    return F.when(m & _calendar_ok(date, hms), out)
+    has_ss = F.substring(t, 17, 1) == ":"
+    ss = F.when(has_ss, F.substring(t, 18, 2)).otherwise(F.lit("00"))
+    tail = F.substring(t, 21, 64)
+    cut = F.least(*[F.when(F.instr(tail, c) > 0, F.instr(tail, c)) for c in ("Z", "z", "+", "-")])
+    frac = F.when(has_ss & (F.substring(t, 20, 1) == "."), F.substring(tail, F.lit(1), cut - 1)).otherwise(F.lit(""))
+    out = F.concat(F.substring(t, 1, 10), F.lit(" "), F.substring(t, 12, 5), F.lit(":"), ss, F.lit("."),
+                   F.rpad(F.substring(frac, 1, 6), 6, "0"))
+    ok = t.rlike(_ISO_OFFSET_RE) & F.try_to_timestamp(out, F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS")).isNotNull()
+    return F.when(ok, out)
 
 
 def mysql_datetime6_compact(text) -> Column:

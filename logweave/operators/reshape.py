@@ -10,7 +10,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logweave.functions import jsoncols as J
@@ -95,42 +95,95 @@ def flatten_chat_struct_key(var, value) -> Reshaped:
     return Reshaped(ok, F.when(ok, key), F.when(ok, flat).otherwise(J.trimmed(value)))
 
 
-def daily_envelope(var, value, topic_prefix: str = "my_log_") -> Reshaped:
-    """Game log -> Connect envelope, key ``lower(name)_logUUID``, topic
-    ``<prefix><name>_yyyyMMdd`` from ``dtEventTime``."""
-    var = to_col(var)
-    name = J.text_of(var, "name")
-    svrid = J.int_of(var, "SvrId")
-    dt = J.text_of(var, "dtEventTime")
-    uuid_long = J.long_of(var, "logUUID")
-    uuid_text = J.text_of(var, "logUUID")
+def _stage(df: DataFrame, cols: dict) -> DataFrame:
+    """One projection adding ``cols``; later stages read them as columns, so
+    an expression used several times downstream is evaluated once."""
+    return df.select("*", *[c.alias(n) for n, c in cols.items()])
+
+
+def _drop_temps(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.startswith("_f_")])
+
+
+def daily_envelope_parts(name, svrid, dt, uuid_long, uuid_text, content,
+                         topic_prefix: str = "my_log_") -> Reshaped:
+    """Envelope, key and topic of a game log from its field columns."""
     ok = name.isNotNull() & svrid.isNotNull() & dt.isNotNull() & uuid_long.isNotNull()
     payload = F.struct(svrid.alias("svrid"), dt.alias("dteventtime"), uuid_long.alias("loguuid"),
-                       J.trimmed(value).alias("content"))
+                       to_col(content).alias("content"))
     key = X.composite_key(name, uuid_text, "_")
-    suffix = T.date_suffix(dt)
-    topic = F.concat(F.lit(topic_prefix), X.key_head(key, "_"), suffix)
-    return Reshaped(ok, F.when(ok, key), F.when(ok, envelope(DAILY_SCHEMA, payload)),
-                    F.when(ok, topic))
+    topic = F.concat(F.lit(topic_prefix), X.key_head(key, "_"), T.date_suffix(dt))
+    return Reshaped(ok, F.when(ok, key), F.when(ok, envelope(DAILY_SCHEMA, payload)), F.when(ok, topic))
 
 
-def db_envelope(var, value, topic_prefix: str = "tb_log_") -> Reshaped:
-    """Business log -> Connect envelope with a ``datetime(6)`` field, key
-    ``lower(log_type)#uuid``, topic ``<prefix><log_type>``."""
+def _daily_fields(var) -> dict:
     var = to_col(var)
-    server_no = J.int_of(var, "server_no")
-    dt_text = J.text_of(var, "date_time")
-    dt6 = T.mysql_datetime6(dt_text)
-    uuid = J.text_of(var, "uuid")
-    log_type = J.text_of(var, "log_type")
+    return {"_f_name": J.text_of(var, "name"), "_f_svrid": J.int_of(var, "SvrId"),
+            "_f_dt": J.text_of(var, "dtEventTime"), "_f_uuid_long": J.long_of(var, "logUUID"),
+            "_f_uuid_text": J.text_of(var, "logUUID")}
+
+
+def daily_envelope(var, value, topic_prefix: str = "my_log_") -> Reshaped:
+    """Game log -> Connect envelope, key ``lower(name)_logUUID``, topic
+    ``<prefix><name>_yyyyMMdd`` from ``dtEventTime`` (single projection)."""
+    f = _daily_fields(var)
+    return daily_envelope_parts(f["_f_name"], f["_f_svrid"], f["_f_dt"], f["_f_uuid_long"],
+                                f["_f_uuid_text"], J.trimmed(value), topic_prefix)
+
+
+def _gate(cols: dict, keep: str | None) -> dict:
+    """Compute ``cols`` only for rows where ``keep`` holds (NULL elsewhere),
+    so records a filter will drop skip the expensive parts."""
+    if keep is None:
+        return cols
+    return {n: F.when(F.col(keep), c) for n, c in cols.items()}
+
+
+def with_daily_envelope(df: DataFrame, var: str, value: str = "value",
+                        topic_prefix: str = "my_log_", keep: str | None = None) -> DataFrame:
+    """Staged :func:`daily_envelope`: adds ``_ok, _k, _v, _t`` (only where
+    the boolean column ``keep`` holds, when given)."""
+    df = _stage(df, _gate(_daily_fields(F.col(var)), keep))
+    r = daily_envelope_parts(*[F.col(c) for c in ("_f_name", "_f_svrid", "_f_dt", "_f_uuid_long", "_f_uuid_text")],
+                             J.trimmed(value), topic_prefix)
+    return _drop_temps(_stage(df, _gate({"_ok": r.ok, "_k": r.key, "_v": r.value, "_t": r.topic}, keep)))
+
+
+def db_envelope_parts(server_no, dt6, uuid, log_type, content, topic_prefix: str = "tb_log_") -> Reshaped:
+    """Envelope, key and topic of a business log from its field columns."""
     ok = server_no.isNotNull() & dt6.isNotNull() & uuid.isNotNull() & log_type.isNotNull()
     payload = F.struct(server_no.alias("server_no"), dt6.alias("date_time"), uuid.alias("uuid"),
-                       J.trimmed(value).alias("content"))
+                       to_col(content).alias("content"))
     key = X.composite_key(log_type, uuid, "#")
     topic = F.concat(F.lit(topic_prefix), X.key_head(key, "#"))
     return Reshaped(ok, F.when(ok, key), F.when(ok, envelope(DB_SCHEMA, payload)), F.when(ok, topic))
 
 
+def _db_fields(var) -> dict:
+    var = to_col(var)
+    return {"_f_server": J.int_of(var, "server_no"), "_f_dt": J.text_of(var, "date_time"),
+            "_f_uuid": J.text_of(var, "uuid"), "_f_type": J.text_of(var, "log_type")}
+
+
+def db_envelope(var, value, topic_prefix: str = "tb_log_") -> Reshaped:
+    """Business log -> Connect envelope with a ``datetime(6)`` field, key
+    ``lower(log_type)#uuid``, topic ``<prefix><log_type>`` (single projection)."""
+    f = _db_fields(var)
+    return db_envelope_parts(f["_f_server"], T.mysql_datetime6(f["_f_dt"]), f["_f_uuid"], f["_f_type"],
+                             J.trimmed(value), topic_prefix)
+
+
+def with_db_envelope(df: DataFrame, var: str, value: str = "value",
+                     topic_prefix: str = "tb_log_", keep: str | None = None) -> DataFrame:
+    """Staged :func:`db_envelope`: adds ``_ok, _k, _v, _t`` (only where the
+    boolean column ``keep`` holds, when given)."""
+    df = _stage(df, _gate(_db_fields(F.col(var)), keep))
+    df = _stage(df, _gate({"_f_dt6": T.mysql_datetime6("_f_dt")}, keep))
+    r = db_envelope_parts(F.col("_f_server"), F.col("_f_dt6"), F.col("_f_uuid"), F.col("_f_type"),
+                          J.trimmed(value), topic_prefix)
+    return _drop_temps(_stage(df, _gate({"_ok": r.ok, "_k": r.key, "_v": r.value, "_t": r.topic}, keep)))
+
+
 def pipe_rekey(var, value, index: int = 8, delimiter: str = "|") -> Reshaped:
     """Pipe log: key = field ``index`` of ``message``, value = the message;
     when the field is missing, key NULL and the original value."""

@@ -36,6 +36,11 @@ VAR = "_var"
 DEAD_LETTER = "dead-letter"
 
 
+def _staged() -> R.Reshaped:
+    """The ``_ok, _k, _v, _t`` columns added by the staged envelope builders."""
+    return R.Reshaped(F.col("_ok"), F.col("_k"), F.col("_v"), F.col("_t"))
+
+
 def stamp(detected_at: str = "processing", zone: str = T.DEFAULT_ZONE) -> Column:
     if detected_at == "processing":
         return T.now_iso(zone)
@@ -116,9 +121,9 @@ def daily_feed(records: DataFrame, topic: str = "game-log", names: list[str] = P
                zone: str = T.DEFAULT_ZONE) -> DataFrame:
     """Target game logs -> Connect envelope on a per-name, per-day topic."""
     df = parsed(select_topics(records, topic=topic))
-    keep = P.field_in_ci(F.col(VAR), "name", names)
-    r = R.daily_envelope(F.col(VAR), F.col("value"), topic_prefix)
-    return _dynamic(df, r, on_error, error_topic, detected_at, zone, keep)
+    df = df.withColumn("_keep", P.field_in_ci(F.col(VAR), "name", names))
+    df = R.with_daily_envelope(df, VAR, "value", topic_prefix, keep="_keep")
+    return _dynamic(df, _staged(), on_error, error_topic, detected_at, zone, F.col("_keep"))
 
 
 # J4 -------------------------------------------------------------------------
@@ -129,7 +134,7 @@ def filebeat_dlq(records: DataFrame, pattern: str = "test-.*", sink: str = "s3-a
     """Unwrap shipper envelopes; the payload goes on, anything unreadable
     goes to the dead-letter topic as an error record."""
     staged = J.with_unwrapped(select_topics(records, pattern=pattern), field)
-    return route(staged, [Branch("s3", F.col("_ok"), [Emit(sink, F.col("_inner"))])],
+    return route(staged, [Branch("s3", F.col("_inner_ok"), [Emit(sink, F.col("_inner"))])],
                  default=Branch("error", None, [Emit(error_topic, J.error_record(
                      "value", reason, stamp(detected_at, zone)))]))
 
@@ -165,12 +170,10 @@ def db_feed(records: DataFrame, pattern: str = "test-.*", topic_prefix: str = "t
     """Valid envelopes -> business logs (currency or buy) -> Connect
     envelope on ``tb_log_<log_type>``."""
     df = J.with_unwrapped(select_topics(records, pattern=pattern), field)
-    keep = F.col("_ok") & P.is_business(F.col("_ivar"))
-    r = R.db_envelope(F.col("_ivar"), F.col("_inner"), topic_prefix)
-    df = df.select("key", F.col("_inner").alias("value"), "timestamp", keep.alias("_keep"),
-                   r.ok.alias("_rok"), r.key.alias("_rk"), r.value.alias("_rv"), r.topic.alias("_rt"))
-    r2 = R.Reshaped(F.col("_rok"), F.col("_rk"), F.col("_rv"), F.col("_rt"))
-    return _dynamic(df, r2, on_error, error_topic, detected_at, zone, F.col("_keep"))
+    df = df.withColumn("_keep", F.col("_inner_ok") & P.is_business(F.col("_ivar")))
+    df = R.with_db_envelope(df, "_ivar", "_inner", topic_prefix, keep="_keep")
+    df = df.withColumn("value", F.col("_inner"))
+    return _dynamic(df, _staged(), on_error, error_topic, detected_at, zone, F.col("_keep"))
 
 
 # J7 -------------------------------------------------------------------------
