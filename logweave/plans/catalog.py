@@ -527,3 +527,15 @@ SELECT key, "offset", value FROM (
 WHERE rn = 1 AND value IS NOT NULL""")
 def latest_by_key_q(spark, sf):
     return latest_by_key(D.filebeat_records(spark, sf))
+
+
+@register("mask_pii", O.with_(O.TICKETS) + f"SELECT \"offset\", {O.mask_sql('text')} AS message FROM tk")
+def mask_pii(spark, sf):
+    df = _parsed(D.ticket_records(spark, sf))
+    return df.select("offset", X.mask_pii(J.text_of(F.col("var"), "message")).alias("message"))
+
+
+@register("mask_pii_documents", f"SELECT doc_id, {O.mask_sql('text')} AS text FROM documents")
+def mask_pii_documents(spark, sf):
+    d = D.table(spark, sf, "documents")
+    return d.select("doc_id", X.mask_pii("text").alias("text"))

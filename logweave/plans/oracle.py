@@ -211,3 +211,35 @@ DAILY_TOPIC = "'my_log_' || lower(name) || strftime(o_orderdate, '_%Y%m%d')"
 FLAT_VALUE = "CAST(to_json({'datetime': time_text, 'message': body, 'user': uid}) AS VARCHAR)"
 FLAT_SK_KEY = "CAST(to_json({'uid': uid}) AS VARCHAR)"
 FLAT_SK_VALUE = "CAST(to_json({'uid': uid, 'datetime': time_text, 'message': body}) AS VARCHAR)"
+
+
+TICKETS = """
+tk0 AS (
+  SELECT c_custkey AS k, c_name, c_mktsegment,
+         '0' || lpad(CAST(c_custkey % 90 + 10 AS VARCHAR), 2, '0') || '-' || lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0')
+           || '-' || lpad(CAST(c_custkey * 7 % 10000 AS VARCHAR), 4, '0') AS phone,
+         '02-' || lpad(CAST(c_custkey * 3 % 1000 AS VARCHAR), 3, '0') || '-' || lpad(CAST(c_custkey * 9 % 10000 AS VARCHAR), 4, '0') AS phone2,
+         concat_ws('-', lpad(CAST(c_custkey % 10000 AS VARCHAR), 4, '0'), lpad(CAST(c_custkey * 3 % 10000 AS VARCHAR), 4, '0'),
+                   lpad(CAST(c_custkey * 5 % 10000 AS VARCHAR), 4, '0'), lpad(CAST(c_custkey * 11 % 10000 AS VARCHAR), 4, '0')) AS card,
+         lpad(CAST(c_custkey % 1000000 AS VARCHAR), 6, '0') || '-' || lpad(CAST(c_custkey * 13 % 10000000 AS VARCHAR), 7, '0') AS rrn
+  FROM customer),
+tk AS (
+  SELECT k AS "offset", CASE k % 4
+           WHEN 0 THEN c_name || ' called from ' || phone || ', card ' || card || ', rrn ' || rrn || '.'
+           WHEN 1 THEN phone || '/' || phone2 || ' both busy'
+           WHEN 2 THEN 'order 9' || card || ' for ' || c_name
+           ELSE c_name || ' in segment ' || c_mktsegment END AS text
+  FROM tk0)"""
+
+
+def mask_sql(x: str) -> str:
+    """PII masking without look-around: each digit-bounded pattern is
+    replaced with its neighbours captured and put back, twice, so matches
+    separated by a single character are all found."""
+    from logweave.functions.textcols import PII_RULES
+    for pattern, token in PII_RULES:
+        core = pattern.replace("(?<!\\d)", "").replace("(?!\\d)", "")
+        rx = "(^|[^0-9])" + core + "([^0-9]|$)"
+        for _ in range(2):
+            x = f"regexp_replace({x}, {q(rx)}, {q(chr(92) + '1' + token + chr(92) + '2')}, 'g')"
+    return x

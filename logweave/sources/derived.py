@@ -243,3 +243,31 @@ def decimal_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("ledger").alias("topic"), F.col("o_orderkey").cast("string").alias("key"), value.alias("value"),
         (F.col("o_custkey") % 8).cast("int").alias("partition"), F.col("o_orderkey").alias("offset"),
         utc_instant(F.col("o_orderdate")).alias("timestamp")))
+
+
+def ticket_records(spark: SparkSession, sf_dir: str, topic: str = "support-tickets") -> DataFrame:
+    """Support-ticket texts (from ``customer``) carrying phone, card and
+    resident numbers in the formats the PII masker targets.
+
+    ``c_custkey % 4``: 0 all three kinds in one sentence, 1 two phones one
+    character apart, 2 a card glued to a preceding digit (must stay), 3 none.
+    """
+    c = table(spark, sf_dir, "customer")
+    k = F.col("c_custkey")
+
+    def pad(x, n):
+        return F.lpad(x.cast("string"), n, "0")
+    phone = F.concat(F.lit("0"), pad(k % 90 + 10, 2), F.lit("-"), pad(k % 10000, 4), F.lit("-"), pad(k * 7 % 10000, 4))
+    phone2 = F.concat(F.lit("02-"), pad(k * 3 % 1000, 3), F.lit("-"), pad(k * 9 % 10000, 4))
+    card = F.concat_ws("-", pad(k % 10000, 4), pad(k * 3 % 10000, 4), pad(k * 5 % 10000, 4), pad(k * 11 % 10000, 4))
+    rrn = F.concat(pad(k % 1000000, 6), F.lit("-"), pad(k * 13 % 10000000, 7))
+    cls = k % 4
+    text = (F.when(cls == 0, F.concat(F.col("c_name"), F.lit(" called from "), phone, F.lit(", card "), card,
+                                      F.lit(", rrn "), rrn, F.lit(".")))
+            .when(cls == 1, F.concat(phone, F.lit("/"), phone2, F.lit(" both busy")))
+            .when(cls == 2, F.concat(F.lit("order 9"), card, F.lit(" for "), F.col("c_name")))
+            .otherwise(F.concat(F.col("c_name"), F.lit(" in segment "), F.col("c_mktsegment"))))
+    return as_records(c.select(
+        F.lit(topic).alias("topic"), k.cast("string").alias("key"), _json(text.alias("message")).alias("value"),
+        (k % 8).cast("int").alias("partition"), k.alias("offset"),
+        F.timestamp_seconds(F.lit(1704067200) + k).alias("timestamp")))
