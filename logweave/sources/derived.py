@@ -38,8 +38,6 @@ monthly (from ``orders``)
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,7 +50,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _epoch() -> Column:
-    return F.lit(_dt.datetime(1970, 1, 1)).cast("timestamp_ntz")
+    # a string literal: a Python datetime literal would go through the
+    # session time zone before the cast
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def epoch_seconds(ntz) -> Column:

@@ -64,9 +64,7 @@ def select_topics(df: DataFrame, topic: str | list[str] | None = None,
 def read_topics(spark: SparkSession, root: str, topic=None, pattern=None,
                 fmt: str = "parquet") -> DataFrame:
     """Batch read of a ``topic=<name>`` directory table."""
-    df = (spark.read.format(fmt).schema(FILE_DATA_SCHEMA)
-          .option("basePath", root).load(root)) if fmt != "parquet" else \
-        spark.read.schema(FILE_SCHEMA).parquet(root)
+    df = spark.read.format(fmt).schema(FILE_SCHEMA).load(root)
     return select_topics(df.select(*RECORD_SCHEMA.fieldNames()), topic, pattern)
 
 
