@@ -18,7 +18,7 @@ below the parse and evaluated twice (which is what happens with a plain
 from __future__ import annotations
 
 from dataclasses import dataclass, field
-from typing import Callable, Sequence
+from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -142,5 +142,3 @@ def check_on_error(on_error: str) -> None:
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
 
-
-Transform = Callable[[DataFrame], DataFrame]

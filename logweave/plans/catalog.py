@@ -64,8 +64,9 @@ def _parsed(df):
     return df.withColumn("var", J.parse("value"))
 
 
-MSG_TEXT_SQL = "CASE WHEN tomb OR cls IN (0, 1) THEN NULL ELSE msg END"
 PARSE_OK_SQL = "(NOT tomb AND cls NOT IN (0, 1, 4))"
+
+
 def fb_obj(cols: str) -> str:
     return O.with_(O.FILEBEAT) + f"SELECT \"offset\", {cols} FROM fb WHERE is_obj"
 

@@ -6,6 +6,8 @@ library touches:
 * ``spark.sql.variant.allowDuplicateKeys=true`` — a JSON object with a
   repeated key parses and the last value wins (the usual JSON reader
   behaviour) instead of the whole record failing to parse.
+* ``spark.sql.legacy.timeParserPolicy=CORRECTED`` — date-time validity
+  checks use the strict parser.
 * ``spark.sql.session.timeZone=UTC`` — only for sessions built here; the
   time functions never depend on the session zone, they take explicit
   zone arguments.
@@ -19,6 +21,8 @@ from pyspark.sql import SparkSession
 
 REQUIRED_SQL_CONF = {
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # strict calendar checks (a lenient legacy parser would accept 30 February)
+    "spark.sql.legacy.timeParserPolicy": "CORRECTED",
 }
 
 DEFAULT_CONF = {

@@ -44,3 +44,16 @@ def test_checkpoint_defaults_to_shared_dir(spark, scratch):
     from logweave.session import shared_dir
     path = shared_dir(spark, "checkpoints/x", default_root=scratch)
     assert path.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_stream_metrics_are_observed(spark, sf_dir, scratch):
+    from logweave.operators.grouped import observe_routes
+    src, sink, ckpt = (os.path.join(scratch, d) for d in ("src", "sink", "ckpt"))
+    filebeat_records(spark, sf_dir).write.partitionBy("topic").parquet(src)
+    q = run_file_stream(spark, lambda df: observe_routes(_job(df), "routes"), src, sink,
+                        checkpoint=ckpt, name="t_metrics")
+    q.awaitTermination(120)
+    progress = [p for p in q.recentProgress if p.get("observedMetrics")]
+    assert progress
+    m = progress[-1]["observedMetrics"]["routes"]
+    assert m["rows"] > 0 and 0 < m["dead_letters"] < m["rows"]
