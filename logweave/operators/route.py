@@ -6,13 +6,15 @@ output records ``(topic, key, value)`` that branch emits. Here:
 * the decision is one ``CASE`` column (first matching predicate wins for
   exclusive branches; every matching predicate for independent filters);
 * every output of every branch is a ``struct(topic, key, value)`` guarded by
-  its condition, and the job emits them with one
-  ``inline(filter(array(...), o -> o IS NOT NULL))`` generator.
-
-So one scan and one JSON parse feed all sinks, there is no shuffle, and a
-later filter on ``topic`` stays above the generator instead of being pushed
-below the parse and evaluated twice (which is what happens with a plain
-``DataFrame.filter`` on a parsed column).
+  its condition, and the job emits them with one ``explode(array(...))``
+  generator followed by ``o IS NOT NULL``.
+
+So one scan and one JSON parse feed all sinks, there is no shuffle, and the
+NULL check (like any later filter on ``topic``) stays above the generator
+instead of being pushed below the parse and evaluated twice, which is what
+happens with a plain ``DataFrame.filter`` on a parsed column. ``explode``
+of an array of structs compiles into the same whole-stage code as the
+projections below it (a lambda-based ``filter`` would not).
 """
 
 from __future__ import annotations
@@ -99,12 +101,16 @@ def route(df: DataFrame, branches: Sequence[Branch], default: Branch | None = No
                 outs.append(F.when(~anyp, e.struct(default.name)))
     if not outs:
         raise ValueError("no branch emits anything")
-    arr = F.filter(F.array(*outs), lambda o: o.isNotNull())
-    routed = staged.select(*keep, F.inline(arr))
+    routed = _emit(staged.select(*keep, F.explode(F.array(*outs)).alias("_o")), keep)
     cols = list(keep) + (["branch"] if with_branch else []) + ["topic", "key", "value"]
     return routed.select(*cols)
 
 
+def _emit(exploded: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Keep the non-NULL generated structs and flatten them."""
+    return exploded.where(F.col("_o").isNotNull()).select(*keep, "_o.*")
+
+
 def filter_once(df: DataFrame, condition: Column) -> DataFrame:
     """``df.where(condition)`` that evaluates the condition's inputs once.
 
@@ -113,9 +119,8 @@ def filter_once(df: DataFrame, condition: Column) -> DataFrame:
     evaluation. Same rows, same columns.
     """
     cols = df.columns
-    arr = F.filter(F.array(F.when(F.coalesce(condition, F.lit(False)), F.struct(*cols))),
-                   lambda o: o.isNotNull())
-    return df.select(F.inline(arr))
+    arr = F.array(F.when(F.coalesce(condition, F.lit(False)), F.struct(*cols)))
+    return _emit(df.select(F.explode(arr).alias("_o")))
 
 
 def dead_letter_topic_or_fail(ok: Column, topic: Column, message: str, on_error: str,
