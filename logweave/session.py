@@ -30,9 +30,6 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
-    # Routing jobs are map-only; these matter only for the few grouped
-    # helpers (latest_by_key, route_counts) and are tuned per cluster.
-    "spark.sql.shuffle.partitions": "8",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # JSON routing expressions generate large methods; HotSpot leaves
     # methods over 8000 bytecodes interpreted unless told otherwise, which
@@ -57,9 +54,17 @@ def build_session(master: str | None = None, app_name: str = "logweave",
     runs on a cluster and in ``local[N]`` tests.
     """
     b = SparkSession.builder.appName(app_name)
+    local = {}
     if master:
         b = b.master(master)
-    for k, v in {**DEFAULT_CONF, **REQUIRED_SQL_CONF, **(conf or {})}.items():
+        if master.startswith("local"):
+            # Routing jobs are map-only; shuffle width only matters for the
+            # grouped helpers and the optional file-spreading shuffle. On a
+            # cluster it comes from the cluster's own setting (and AQE
+            # coalesces small stages); locally it is the core count.
+            n = master[len("local["):-1] if master.startswith("local[") else "1"
+            local["spark.sql.shuffle.partitions"] = str(os.cpu_count() or 8) if n == "*" else n
+    for k, v in {**DEFAULT_CONF, **local, **REQUIRED_SQL_CONF, **(conf or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     return configure(spark)
