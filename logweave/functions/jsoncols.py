@@ -115,14 +115,38 @@ def text_of(var, field: str) -> Column:
             .otherwise(s))
 
 
+_INT_BOUNDS = {"int": (-2147483648, 2147483647), "bigint": (-9223372036854775808, 9223372036854775807)}
+
+
+def _text_to_num(text: Column, sql_type: str) -> Column:
+    """Loose number read of a JSON string: integer text converts (0 when it
+    overflows); any other text is read as a double and truncated toward
+    zero, saturating at the type bounds; unreadable text gives 0."""
+    lo, hi = _INT_BOUNDS[sql_type]
+    t = F.trim(text)
+    d = t.try_cast("double")
+    as_double = (F.when(d.isNull() | F.isnan(d), F.lit(0))
+                 .when(d >= F.lit(float(hi)), F.lit(hi))
+                 .when(d <= F.lit(float(lo)), F.lit(lo))
+                 .otherwise(d.cast(sql_type)))
+    return (F.when(t.rlike(r"^[+-]?[0-9]+$"), F.coalesce(t.try_cast(sql_type), F.lit(0)))
+            .otherwise(as_double).cast(sql_type))
+
+
 def _num_of(var, field: str, sql_type: str) -> Column:
     v = node(var, field)
-    return F.when(v.isNotNull(), F.coalesce(F.try_variant_get(v, "$", sql_type), F.lit(0).cast(sql_type)))
+    direct = F.try_variant_get(v, "$", sql_type)
+    text = F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))
+    return (F.when(v.isNull(), F.lit(None).cast(sql_type))
+            .when(direct.isNotNull(), direct)
+            .when(text.isNotNull(), _text_to_num(text, sql_type))
+            .otherwise(F.lit(0).cast(sql_type)))
 
 
 def int_of(var, field: str) -> Column:
-    """Loose int read: numbers truncate, numeric text converts, booleans
-    give 1/0, anything else 0. NULL only when the field is missing."""
+    """Loose int read: numbers truncate, numeric text converts (``"7.5"`` ->
+    7, ``"1e3"`` -> 1000), booleans give 1/0, anything else 0. NULL only
+    when the field is missing."""
     return _num_of(var, field, "int")
 
 

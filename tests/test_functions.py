@@ -57,6 +57,16 @@ def test_int_of_coercion(spark):
     assert (r.i, r.s, r.t, r.f, r.x, r.z, r.o, r.missing) == (7, 7, 1, 1, 0, 0, 0, None)
 
 
+def test_int_of_numeric_text(spark):
+    vals = ['"7.5"', '" -12.7 "', '"1e3"', '"+7"', '"99999999999"', '"abc"', '""', '"1e20"', '"NaN"']
+    want = [7, -12, 1000, 7, 0, 0, 0, 2147483647, 0]
+    df = spark.createDataFrame([('{"v":' + v + '}',) for v in vals], "j string")
+    got = [r.i for r in df.select(J.int_of(J.parse("j"), "v").alias("i")).collect()]
+    assert got == want
+    got_long = [r.i for r in df.select(J.long_of(J.parse("j"), "v").alias("i")).collect()]
+    assert got_long[4] == 99999999999 and got_long[7] == 9223372036854775807
+
+
 def test_decimal_kept_exact(spark):
     df = spark.createDataFrame([('{"d":12345678901234567890.123456789}',)], "v string")
     r = df.select(J.decimal_of(J.parse("v"), "d", 38, 9).cast("string").alias("d")).first()
