@@ -58,8 +58,17 @@ def spread_by_topic(routed: DataFrame, partitions: int, files_per_topic: int) ->
 
 
 def write_routed(routed: DataFrame, root: str, mode: str = "append", fmt: str = "parquet",
-                 compression: str | None = "zstd") -> None:
-    """Batch write into ``<root>/topic=<name>/``."""
+                 compression: str | None = "zstd",
+                 spread: tuple[int, int] | None = None) -> None:
+    """Batch write into ``<root>/topic=<name>/``.
+
+    ``spread=(partitions, files_per_topic)`` runs :func:`spread_by_topic`
+    first: worth its shuffle when computed topics are many (per day and
+    type over a long backfill), where every task would otherwise write one
+    small file per topic it saw.
+    """
+    if spread is not None:
+        routed = spread_by_topic(routed, *spread)
     w = routed.select(*ROUTED_COLUMNS).write.mode(mode).format(fmt).partitionBy("topic")
     if compression and fmt in ("parquet", "orc", "json", "csv", "text"):
         w = w.option("compression", compression)

@@ -55,6 +55,19 @@ def test_spread_by_topic_salts_hot_topics(spark):
     assert spread.count() == df.count()            # nothing dropped
 
 
+def test_write_routed_with_spread(spark, scratch):
+    from logweave.sources.records import read_topics
+    from logweave.streaming.sinks import write_routed
+    rows = [("hot", str(i), f'{{"i":{i}}}') for i in range(300)] + [("cold", "x", "{}")]
+    df = records(spark, rows).select("topic", "key", "value")
+    out = os.path.join(scratch, "out")
+    write_routed(df, out, spread=(8, 3))
+    got = read_topics(spark, out)
+    assert collect(got, "topic", "key", "value") == collect(df, "topic", "key", "value")
+    hot_files = [f for f in os.listdir(os.path.join(out, "topic=hot")) if f.endswith(".parquet")]
+    assert 1 < len(hot_files) <= 3
+
+
 def test_observed_route_metrics(spark):
     recs = filebeat_records(spark, SF)
     obs = Observation("routes")
