@@ -1,6 +1,6 @@
 """Run one routing job as a process, batch or streaming.
 
-    spark-submit -m logweave.cli filebeat_dlq \\
+    spark-submit --py-files logweave.zip logweave/cli.py filebeat_dlq \\
         --source s3://bucket/topics --sink s3://bucket/routed \\
         --pattern 'test-.*' --param sink=s3-archive --param error_topic=dead-letter --stream
 
