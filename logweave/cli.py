@@ -13,6 +13,11 @@ from __future__ import annotations
 
 import argparse
 import inspect
+import os
+import sys
+
+if __package__ in (None, ""):  # run as a script: make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from logweave.plans import jobs
 from logweave.session import build_session
