@@ -61,22 +61,42 @@ def select_topics(df: DataFrame, topic: str | list[str] | None = None,
     return df
 
 
+def _file_schema(binary: bool) -> T.StructType:
+    if not binary:
+        return FILE_SCHEMA
+    return T.StructType([T.StructField(f.name, T.BinaryType()) if f.name in ("key", "value") else f
+                         for f in FILE_SCHEMA.fields])
+
+
+def _decoded(df: DataFrame, binary: bool) -> DataFrame:
+    """Record columns; raw Kafka bytes are decoded as UTF-8 (invalid -> NULL)."""
+    if binary:
+        df = (df.withColumn("key", F.try_validate_utf8(F.col("key").cast("string")))
+                .withColumn("value", F.try_validate_utf8(F.col("value").cast("string"))))
+    return df.select(*RECORD_SCHEMA.fieldNames())
+
+
 def read_topics(spark: SparkSession, root: str, topic=None, pattern=None,
-                fmt: str = "parquet") -> DataFrame:
-    """Batch read of a ``topic=<name>`` directory table."""
-    df = spark.read.format(fmt).schema(FILE_SCHEMA).load(root)
-    return select_topics(df.select(*RECORD_SCHEMA.fieldNames()), topic, pattern)
+                fmt: str = "parquet", binary: bool = False) -> DataFrame:
+    """Batch read of a ``topic=<name>`` directory table.
+
+    ``binary=True`` reads tables that keep Kafka's raw ``key``/``value``
+    bytes; a value that is not valid UTF-8 becomes NULL (and is then
+    dead-lettered like a tombstone by the strict jobs).
+    """
+    df = spark.read.format(fmt).schema(_file_schema(binary)).load(root)
+    return select_topics(_decoded(df, binary), topic, pattern)
 
 
 def read_topics_stream(spark: SparkSession, root: str, topic=None, pattern=None,
                        max_files_per_trigger: int | None = None,
-                       fmt: str = "parquet") -> DataFrame:
+                       fmt: str = "parquet", binary: bool = False) -> DataFrame:
     """Streaming read of the same directory table (new files = new records)."""
-    r = spark.readStream.format(fmt).schema(FILE_SCHEMA)
+    r = spark.readStream.format(fmt).schema(_file_schema(binary))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = r.load(root)
-    return select_topics(df.select(*RECORD_SCHEMA.fieldNames()), topic, pattern)
+    return select_topics(_decoded(df, binary), topic, pattern)
 
 
 def kafka_source_options(bootstrap: str, topic=None, pattern: str | None = None,

@@ -19,3 +19,23 @@ def test_kafka_options():
     s = kafka_sink_options("b:9092", compression="zstd", max_request_size=10485760, acks="all")
     assert s["kafka.compression.type"] == "zstd" and s["kafka.max.request.size"] == "10485760"
     assert s["kafka.acks"] == "all"
+
+
+def test_binary_topic_table(spark, scratch):
+    import datetime as dt
+    import json
+    from pyspark.sql import types as T
+    from logweave.plans import jobs
+    from logweave.sources.records import read_topics
+    schema = T.StructType([T.StructField("topic", T.StringType()), T.StructField("key", T.BinaryType()),
+                           T.StructField("value", T.BinaryType()), T.StructField("partition", T.IntegerType()),
+                           T.StructField("offset", T.LongType()), T.StructField("timestamp", T.TimestampType())])
+    t0 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    good = json.dumps({"message": json.dumps({"a": "é"})}).encode()
+    rows = [("test-a", b"k1", bytearray(good), 0, 1, t0), ("test-a", b"k2", bytearray(b"\xff\xfe{"), 0, 2, t0)]
+    spark.createDataFrame(rows, schema).write.partitionBy("topic").parquet(scratch + "/raw")
+    recs = read_topics(spark, scratch + "/raw", binary=True)
+    assert collect(recs, "key", "value") == [("k1", good.decode()), ("k2", None)]
+    out = {r.key: (r.topic, r.value) for r in jobs.filebeat_dlq(recs, detected_at="record").collect()}
+    assert out["k1"] == ("s3-archive", json.dumps({"a": "é"}))
+    assert out["k2"][0] == "dead-letter" and json.loads(out["k2"][1])["data"] is None
