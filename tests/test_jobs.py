@@ -187,3 +187,32 @@ def test_conservation_on_derived_records(spark, sf_dir, job):
     else:
         ok, _ = J.unwrap("value")
         assert n_out <= recs.where(ok).count()
+
+
+def test_r7_record_with_its_own_error_field_is_not_an_error(spark):
+    payload = '{"deserial_error":"mine","log_type":"exchange_buy","server_no":1,"date_time":"2024-01-01T00:00:00Z","uuid":"u"}'
+    rows = [("a", json.dumps({"message": payload})), ("b", '{"deserial_error": null}')]
+    out4 = {r.key: r.topic for r in jobs.filebeat_dlq(records(spark, rows)).collect()}
+    assert out4 == {"a": "s3-archive", "b": "dead-letter"}      # b: no message
+    assert [r.topic for r in jobs.db_feed(records(spark, rows[:1])).collect()] == ["tb_log_exchange_buy"]
+    assert collect(jobs.validate_pass(records(spark, rows[1:])), "key") == [("b",)]
+
+
+def test_r9_trailing_text_after_the_value(spark):
+    rows = [("a", '{"x":1} trailing'), ("b", '{"message":"{\\"y\\":2} tail"}')]
+    assert collect(jobs.validate_pass(records(spark, rows[:1])), "value") == [('{"x":1} trailing',)]
+    out = jobs.filebeat_dlq(records(spark, rows[1:])).first()
+    assert (out.topic, out.value) == ("s3-archive", '{"y":2} tail')
+
+
+def test_r14_object_read_as_text_is_empty(spark):
+    data = json.dumps({"uid": "u", "arguments": {"message": {"Body": "b"}}})
+    rows = [("1", json.dumps({"action": {"nested": True}, "time": "t", "data": data}))]
+    out = collect(jobs.log_split(records(spark, rows, topic="chat-actions")), "topic", "key")
+    assert out == [("s3-archive", "1")]                       # "" does not start with "chat."
+
+
+def test_r17_struct_key_failure_gives_null_key(spark):
+    rows = [("x", json.dumps({"table": "chat_message", "time": "t", "data": "not json"}))]
+    r = jobs.chat_extract(records(spark, rows, topic="chat-tables")).first()
+    assert r.key is None and json.loads(r.value)["data"] == "not json"
