@@ -37,16 +37,29 @@ def field_in_ci(var, field: str, values: list[str]) -> Column:
     return _safe(F.lower(J.text_of(to_col(var), field)).isin([v.lower() for v in values]))
 
 
+def currency_rule(currency_type: Column, log_type: Column, wanted: int = 1,
+                  log_types: list[str] = CURRENCY_LOG_TYPES) -> Column:
+    """Currency log: loose-int ``currency_type`` equals ``wanted`` and the
+    lower-cased ``log_type`` is a currency type (from already-read fields)."""
+    return _safe((currency_type == wanted) & F.lower(log_type).isin(log_types))
+
+
+def buy_rule(log_type: Column, log_types: list[str] = BUY_LOG_TYPES) -> Column:
+    return _safe(F.lower(log_type).isin(log_types))
+
+
+def business_rule(currency_type: Column, log_type: Column) -> Column:
+    return currency_rule(currency_type, log_type) | buy_rule(log_type)
+
+
 def is_currency(var, currency_type: int = 1, log_types: list[str] = CURRENCY_LOG_TYPES) -> Column:
-    """``currency_type`` (loose int) equals ``currency_type`` and the
-    lower-cased ``log_type`` is a currency type; either field missing -> false."""
+    """Currency rule read from a parsed record; either field missing -> false."""
     var = to_col(var)
-    return _safe((J.int_of(var, "currency_type") == currency_type)
-                 & F.lower(J.text_of(var, "log_type")).isin(log_types))
+    return currency_rule(J.int_of(var, "currency_type"), J.text_of(var, "log_type"), currency_type, log_types)
 
 
 def is_buy(var, log_types: list[str] = BUY_LOG_TYPES) -> Column:
-    return field_in_ci(var, "log_type", log_types)
+    return buy_rule(J.text_of(to_col(var), "log_type"), log_types)
 
 
 def is_business(var) -> Column:

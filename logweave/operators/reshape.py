@@ -162,7 +162,14 @@ def db_envelope_parts(server_no, dt6, uuid, log_type, content, topic_prefix: str
 def _db_fields(var) -> dict:
     var = to_col(var)
     return {"_f_server": J.int_of(var, "server_no"), "_f_dt": J.text_of(var, "date_time"),
-            "_f_uuid": J.text_of(var, "uuid"), "_f_type": J.text_of(var, "log_type")}
+            "_f_uuid": J.text_of(var, "uuid"), "_f_type": J.text_of(var, "log_type"),
+            "_f_cur": J.int_of(var, "currency_type")}
+
+
+def with_db_fields(df: DataFrame, var: str) -> DataFrame:
+    """Read the business-log fields once (``_f_server, _f_dt, _f_uuid,
+    _f_type, _f_cur``), for a filter and the envelope to share."""
+    return _stage(df, _db_fields(F.col(var)))
 
 
 def db_envelope(var, value, topic_prefix: str = "tb_log_") -> Reshaped:
@@ -176,8 +183,10 @@ def db_envelope(var, value, topic_prefix: str = "tb_log_") -> Reshaped:
 def with_db_envelope(df: DataFrame, var: str, value: str = "value",
                      topic_prefix: str = "tb_log_", keep: str | None = None) -> DataFrame:
     """Staged :func:`db_envelope`: adds ``_ok, _k, _v, _t`` (only where the
-    boolean column ``keep`` holds, when given)."""
-    df = _stage(df, _gate(_db_fields(F.col(var)), keep))
+    boolean column ``keep`` holds, when given). Reuses the fields of
+    :func:`with_db_fields` when they are already there."""
+    if "_f_type" not in df.columns:
+        df = _stage(df, _gate(_db_fields(F.col(var)), keep))
     df = _stage(df, _gate({"_f_dt6": T.mysql_datetime6("_f_dt")}, keep))
     r = db_envelope_parts(F.col("_f_server"), F.col("_f_dt6"), F.col("_f_uuid"), F.col("_f_type"),
                           J.trimmed(value), topic_prefix)

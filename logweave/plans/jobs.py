@@ -170,7 +170,8 @@ def db_feed(records: DataFrame, pattern: str = "test-.*", topic_prefix: str = "t
     """Valid envelopes -> business logs (currency or buy) -> Connect
     envelope on ``tb_log_<log_type>``."""
     df = J.with_unwrapped(select_topics(records, pattern=pattern), field)
-    df = df.withColumn("_keep", F.col("_inner_ok") & P.is_business(F.col("_ivar")))
+    df = R.with_db_fields(df, "_ivar")          # read once, shared by filter and envelope
+    df = df.withColumn("_keep", F.col("_inner_ok") & P.business_rule(F.col("_f_cur"), F.col("_f_type")))
     df = R.with_db_envelope(df, "_ivar", "_inner", topic_prefix, keep="_keep")
     df = df.withColumn("value", F.col("_inner"))
     return _dynamic(df, _staged(), on_error, error_topic, detected_at, zone, F.col("_keep"))
