@@ -32,9 +32,14 @@ def field_not_startswith(var, field: str, prefix: str) -> Column:
     return _safe(~J.text_of(to_col(var), field).startswith(prefix))
 
 
+def in_ci(text: Column, values: list[str]) -> Column:
+    """Case-insensitive membership of an already-read text."""
+    return _safe(F.lower(text).isin([v.lower() for v in values]))
+
+
 def field_in_ci(var, field: str, values: list[str]) -> Column:
     """Case-insensitive membership of a text field."""
-    return _safe(F.lower(J.text_of(to_col(var), field)).isin([v.lower() for v in values]))
+    return in_ci(J.text_of(to_col(var), field), values)
 
 
 def currency_rule(currency_type: Column, log_type: Column, wanted: int = 1,

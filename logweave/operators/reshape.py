@@ -123,6 +123,12 @@ def _daily_fields(var) -> dict:
             "_f_uuid_text": J.text_of(var, "logUUID")}
 
 
+def with_daily_fields(df: DataFrame, var: str) -> DataFrame:
+    """Read the game-log fields once (``_f_name, _f_svrid, _f_dt, _f_uuid_long,
+    _f_uuid_text``), for a filter and the envelope to share."""
+    return _stage(df, _daily_fields(F.col(var)))
+
+
 def daily_envelope(var, value, topic_prefix: str = "my_log_") -> Reshaped:
     """Game log -> Connect envelope, key ``lower(name)_logUUID``, topic
     ``<prefix><name>_yyyyMMdd`` from ``dtEventTime`` (single projection)."""
@@ -142,8 +148,10 @@ def _gate(cols: dict, keep: str | None) -> dict:
 def with_daily_envelope(df: DataFrame, var: str, value: str = "value",
                         topic_prefix: str = "my_log_", keep: str | None = None) -> DataFrame:
     """Staged :func:`daily_envelope`: adds ``_ok, _k, _v, _t`` (only where
-    the boolean column ``keep`` holds, when given)."""
-    df = _stage(df, _gate(_daily_fields(F.col(var)), keep))
+    the boolean column ``keep`` holds, when given). Reuses the fields of
+    :func:`with_daily_fields` when they are already there."""
+    if "_f_name" not in df.columns:
+        df = _stage(df, _gate(_daily_fields(F.col(var)), keep))
     r = daily_envelope_parts(*[F.col(c) for c in ("_f_name", "_f_svrid", "_f_dt", "_f_uuid_long", "_f_uuid_text")],
                              J.trimmed(value), topic_prefix)
     return _drop_temps(_stage(df, _gate({"_ok": r.ok, "_k": r.key, "_v": r.value, "_t": r.topic}, keep)))

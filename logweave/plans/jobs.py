@@ -121,7 +121,8 @@ def daily_feed(records: DataFrame, topic: str = "game-log", names: list[str] = P
                zone: str = T.DEFAULT_ZONE) -> DataFrame:
     """Target game logs -> Connect envelope on a per-name, per-day topic."""
     df = parsed(select_topics(records, topic=topic))
-    df = df.withColumn("_keep", P.field_in_ci(F.col(VAR), "name", names))
+    df = R.with_daily_fields(df, VAR)            # read once, shared by filter and envelope
+    df = df.withColumn("_keep", P.in_ci(F.col("_f_name"), names))
     df = R.with_daily_envelope(df, VAR, "value", topic_prefix, keep="_keep")
     return _dynamic(df, _staged(), on_error, error_topic, detected_at, zone, F.col("_keep"))
 
