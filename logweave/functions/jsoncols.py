@@ -134,11 +134,14 @@ def _text_to_num(text: Column, sql_type: str) -> Column:
 
 
 def _num_of(var, field: str, sql_type: str) -> Column:
+    var = to_col(var)
+    # Common case first: a number (or boolean, or integer text) converts
+    # directly; the field is only looked at as a VARIANT when that fails.
+    direct = F.try_variant_get(var, path_of(field), sql_type)
     v = node(var, field)
-    direct = F.try_variant_get(v, "$", sql_type)
     text = F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))
-    return (F.when(v.isNull(), F.lit(None).cast(sql_type))
-            .when(direct.isNotNull(), direct)
+    return (F.when(direct.isNotNull(), direct)
+            .when(v.isNull(), F.lit(None).cast(sql_type))
             .when(text.isNotNull(), _text_to_num(text, sql_type))
             .otherwise(F.lit(0).cast(sql_type)))
 
