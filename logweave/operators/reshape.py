@@ -201,6 +201,28 @@ def with_db_envelope(df: DataFrame, var: str, value: str = "value",
     return _drop_temps(_stage(df, _gate({"_ok": r.ok, "_k": r.key, "_v": r.value, "_t": r.topic}, keep)))
 
 
+def with_flat_chat(df: DataFrame, var: str, value: str = "value", keep: str | None = None,
+                   struct_key: bool = False) -> DataFrame:
+    """Staged :func:`flatten_chat` (or :func:`flatten_chat_struct_key` when
+    ``struct_key``): adds ``_fk, _fv``. The nested ``data`` text is parsed
+    once, and only for rows where the boolean column ``keep`` holds."""
+    v = F.col(var)
+    df = _stage(df, _gate({"_f_time": J.text_of(v, "time"), "_f_data": J.parse(J.text_of(v, "data"))}, keep))
+    d = F.col("_f_data")
+    df = _stage(df, _gate({"_f_uid": J.text_of(d, "uid"),
+                           "_f_body": J.text_of(d, "$.arguments.message.Body")}, keep))
+    time, uid, body = F.col("_f_time"), F.col("_f_uid"), F.col("_f_body")
+    ok = time.isNotNull() & uid.isNotNull() & body.isNotNull()
+    if struct_key:
+        key = F.to_json(F.struct(uid.alias("uid")))
+        flat = F.to_json(F.struct(uid.alias("uid"), time.alias("datetime"), body.alias("message")))
+    else:
+        key = uid
+        flat = F.to_json(F.struct(time.alias("datetime"), body.alias("message"), uid.alias("user")))
+    out = {"_fk": F.when(ok, key), "_fv": F.when(ok, flat).otherwise(J.trimmed(value))}
+    return _drop_temps(_stage(df, _gate(out, keep)))
+
+
 def pipe_rekey(var, value, index: int = 8, delimiter: str = "|") -> Reshaped:
     """Pipe log: key = field ``index`` of ``message``, value = the message;
     when the field is missing, key NULL and the original value."""

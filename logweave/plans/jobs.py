@@ -92,11 +92,12 @@ def log_split(records: DataFrame, topic: str = "chat-actions", s3_topic: str = "
     """Exclusive split: non-chat actions to the archive; chat messages both
     flattened and as-is; other chat actions dropped."""
     df = parsed(select_topics(records, topic=topic))
-    flat = R.flatten_chat(F.col(VAR), F.col("value"))
-    staged = df.select("key", J.trimmed("value").alias("value"),
-                       P.field_not_startswith(F.col(VAR), "action", "chat.").alias("_s3"),
-                       P.field_equals(F.col(VAR), "action", "chat.sendmessage").alias("_chat"),
-                       flat.key.alias("_fk"), flat.value.alias("_fv"))
+    action = J.text_of(F.col(VAR), "action")
+    df = df.select("key", J.trimmed("value").alias("value"), VAR, action.alias("_action"))
+    df = df.select("key", "value", VAR,
+                   F.coalesce(~F.col("_action").startswith("chat."), F.lit(False)).alias("_s3"),
+                   F.coalesce(F.col("_action") == "chat.sendmessage", F.lit(False)).alias("_chat"))
+    staged = R.with_flat_chat(df, VAR, "value", keep="_chat")   # nested data parsed for chat rows only
     return route(staged, [
         Branch("s3", F.col("_s3"), [Emit(s3_topic)]),
         Branch("chat", F.col("_chat"), [Emit(flat_topic, F.col("_fv"), F.col("_fk")), Emit(copy_topic)]),
@@ -108,10 +109,9 @@ def chat_extract(records: DataFrame, topic: str = "chat-tables", sink: str = "ch
                  table_name: str = "chat_message") -> DataFrame:
     """Keep one table's rows and flatten them with a JSON struct key."""
     df = parsed(select_topics(records, topic=topic))
-    r = R.flatten_chat_struct_key(F.col(VAR), F.col("value"))
-    staged = df.select(P.field_equals(F.col(VAR), "table", table_name).alias("_keep"),
-                       r.key.alias("_k"), r.value.alias("_v"))
-    return route(staged, [Branch("chat", F.col("_keep"), [Emit(sink, F.col("_v"), F.col("_k"))])])
+    df = df.withColumn("_keep", P.field_equals(F.col(VAR), "table", table_name))
+    staged = R.with_flat_chat(df, VAR, "value", keep="_keep", struct_key=True)
+    return route(staged, [Branch("chat", F.col("_keep"), [Emit(sink, F.col("_fv"), F.col("_fk"))])])
 
 
 # J3 -------------------------------------------------------------------------
