@@ -61,7 +61,11 @@ def plan_stats(df: DataFrame) -> dict:
     for name, text in sections:
         body = "\n".join(l for l in text.splitlines() if not l.startswith("Input"))
         parses += len(_calls(body, "VariantExpressionEvalUtils.parseJson"))
+    outside = ("Scan", "ColumnarToRow", "Exchange", "AdaptiveSparkPlan", "AQEShuffleRead")
     return {
+        # operators running outside whole-stage codegen (interpreted row by row)
+        "codegen_gaps": sum(1 for n, t in sections
+                            if not any(n.startswith(o) for o in outside) and "[codegen id" not in n),
         "exchanges": sum(1 for n, _ in sections if "Exchange" in n),
         "python_nodes": sum(1 for n, _ in sections if "Python" in n or "ArrowEval" in n),
         "parses": parses,

@@ -33,6 +33,7 @@ def test_job_plan(spark, topic_tables, job, table, parses):
     s = plan_stats(df)
     assert s["exchanges"] == 0
     assert s["python_nodes"] == 0
+    assert s["codegen_gaps"] == 0          # generator and projections all compiled
     assert s["parses"] == parses
     assert s["partition_filters"] and "topic" in s["partition_filters"][0]
     assert all("partition" not in rs and "offset" not in rs for rs in s["read_schema"])
