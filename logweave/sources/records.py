@@ -99,16 +99,30 @@ def read_topics_stream(spark: SparkSession, root: str, topic=None, pattern=None,
     return select_topics(_decoded(df, binary), topic, pattern)
 
 
+# Options of Spark's Kafka source itself; any other extra option is a Kafka
+# consumer property and gets the ``kafka.`` prefix.
+KAFKA_SOURCE_OPTIONS = {
+    "startingOffsets", "endingOffsets", "startingTimestamp", "endingTimestamp",
+    "startingOffsetsByTimestamp", "endingOffsetsByTimestamp", "startingOffsetsByTimestampStrategy",
+    "failOnDataLoss", "kafkaConsumer.pollTimeoutMs", "fetchOffset.numRetries",
+    "fetchOffset.retryIntervalMs", "maxOffsetsPerTrigger", "minOffsetsPerTrigger", "maxTriggerDelay",
+    "minPartitions", "maxRecordsPerPartition", "groupIdPrefix", "includeHeaders",
+}
+
+
 def kafka_source_options(bootstrap: str, topic=None, pattern: str | None = None,
-                         starting_offsets: str = "earliest",
+                         starting_offsets: str = "earliest", stream: bool = True,
                          extra: dict[str, str] | None = None) -> dict[str, str]:
-    """Options for ``readStream.format("kafka")``.
+    """Options for ``format("kafka")``.
 
     ``starting_offsets`` applies only when the query has no checkpoint yet,
-    the same rule as a consumer group without committed offsets.
+    the same rule as a consumer group without committed offsets. A batch
+    read starts at ``earliest`` and ends at the latest offsets.
     """
     if starting_offsets not in ("earliest", "latest"):
         raise ValueError("starting_offsets must be 'earliest' or 'latest'")
+    if not stream and starting_offsets == "latest":
+        raise ValueError("a batch read cannot start at 'latest'")
     opts = {"kafka.bootstrap.servers": bootstrap, "startingOffsets": starting_offsets}
     if pattern is not None:
         opts["subscribePattern"] = pattern
@@ -119,7 +133,7 @@ def kafka_source_options(bootstrap: str, topic=None, pattern: str | None = None,
     else:
         raise ValueError("give topic or pattern")
     for k, v in (extra or {}).items():
-        opts[k if k.startswith("kafka.") or k in ("failOnDataLoss", "maxOffsetsPerTrigger") else "kafka." + k] = v
+        opts[k if k.startswith("kafka.") or k in KAFKA_SOURCE_OPTIONS else "kafka." + k] = str(v)
     return opts
 
 
@@ -127,7 +141,7 @@ def read_kafka(spark: SparkSession, bootstrap: str, topic=None, pattern=None,
                starting_offsets: str = "earliest", stream: bool = True,
                extra: dict[str, str] | None = None) -> DataFrame:
     """Kafka topics as records (key/value decoded as UTF-8 text)."""
-    opts = kafka_source_options(bootstrap, topic, pattern, starting_offsets, extra)
+    opts = kafka_source_options(bootstrap, topic, pattern, starting_offsets, stream, extra)
     r = spark.readStream if stream else spark.read
     df = r.format("kafka").options(**opts).load()
     return df.select("topic", F.col("key").cast("string").alias("key"),

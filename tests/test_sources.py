@@ -16,6 +16,12 @@ def test_kafka_options():
     assert o == {"kafka.bootstrap.servers": "b:9092", "startingOffsets": "latest", "subscribePattern": "test-.*"}
     with pytest.raises(ValueError):
         kafka_source_options("b", topic="t", starting_offsets="middle")
+    o = kafka_source_options("b:9092", topic=["a", "b"], extra={"minPartitions": 64, "maxOffsetsPerTrigger": 10,
+                                                                 "max.poll.records": 500})
+    assert o["subscribe"] == "a,b" and o["minPartitions"] == "64" and o["maxOffsetsPerTrigger"] == "10"
+    assert o["kafka.max.poll.records"] == "500"
+    with pytest.raises(ValueError):
+        kafka_source_options("b", topic="t", starting_offsets="latest", stream=False)
     s = kafka_sink_options("b:9092", compression="zstd", max_request_size=10485760, acks="all")
     assert s["kafka.compression.type"] == "zstd" and s["kafka.max.request.size"] == "10485760"
     assert s["kafka.acks"] == "all"
