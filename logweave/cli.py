@@ -6,7 +6,9 @@
 
 Job parameters (topic names, prefixes, zone, error policy) are passed as
 ``--param name=value``; ``--source kafka://host:port`` reads Kafka instead
-of a topic directory table (needs the Kafka connector).
+of a topic directory table, and ``--sink kafka://host:port`` writes each
+record to the Kafka topic named in its ``topic`` column (both need the
+Kafka connector); ``--sink-option name=value`` sets producer options.
 """
 
 from __future__ import annotations
@@ -22,8 +24,8 @@ if __package__ in (None, ""):  # run as a script: make the package importable
 from logweave.plans import jobs
 from logweave.session import build_session
 from logweave.sources.records import read_kafka, read_topics
-from logweave.streaming.runner import run_file_stream
-from logweave.streaming.sinks import start_routed_stream, write_routed
+from logweave.streaming.sinks import (kafka_sink_options, start_routed_kafka_stream, start_routed_stream,
+                                      write_routed, write_routed_kafka)
 
 JOBS = {
     "chat_rekey": jobs.chat_rekey, "log_split": jobs.log_split, "chat_extract": jobs.chat_extract,
@@ -55,6 +57,7 @@ def main(argv=None) -> None:
     ap.add_argument("--pattern", help="topic regex subscription (overrides the job default)")
     ap.add_argument("--topic", help="single topic subscription (overrides the job default)")
     ap.add_argument("--param", action="append", default=[], help="job parameter name=value")
+    ap.add_argument("--sink-option", action="append", default=[], help="Kafka producer option name=value")
     ap.add_argument("--stream", action="store_true", help="run as a streaming query")
     ap.add_argument("--trigger", help="processing-time trigger, e.g. '30 seconds' (default: available now)")
     ap.add_argument("--checkpoint", help="checkpoint folder (default: under spark.checkpoint.dir)")
@@ -71,19 +74,30 @@ def main(argv=None) -> None:
     spark = build_session(app_name=f"logweave-{a.job}")
 
     if a.source.startswith("kafka://"):
-        sub = {"pattern": params.get("pattern"), "topic": params.get("topic")}
-        records = read_kafka(spark, a.source[len("kafka://"):], sub["topic"], sub["pattern"],
+        # subscribe to what the job selects (its default topic/pattern unless overridden)
+        defaults = {k: p.default for k, p in inspect.signature(JOBS[a.job]).parameters.items()}
+        topic = params.get("topic", defaults.get("topic"))
+        pattern = params.get("pattern", defaults.get("pattern"))
+        records = read_kafka(spark, a.source[len("kafka://"):], None if pattern else topic, pattern,
                              a.starting_offsets, stream=a.stream)
-        routed = job(records)
+    elif a.stream:
+        from logweave.sources.records import read_topics_stream
+        records = read_topics_stream(spark, a.source)
+    else:
+        records = read_topics(spark, a.source)
+    routed = job(records)
+
+    if a.sink.startswith("kafka://"):
+        extra = dict(o.split("=", 1) for o in a.sink_option)
+        opts = kafka_sink_options(a.sink[len("kafka://"):], extra=extra)
         if a.stream:
-            start_routed_stream(routed, a.sink, a.checkpoint, a.job, processing_time=a.trigger).awaitTermination()
+            start_routed_kafka_stream(routed, opts, a.checkpoint, a.job, a.trigger).awaitTermination()
         else:
-            write_routed(routed, a.sink)
+            write_routed_kafka(routed, opts)
     elif a.stream:
-        run_file_stream(spark, job, a.source, a.sink, a.checkpoint, a.job,
-                        processing_time=a.trigger).awaitTermination()
+        start_routed_stream(routed, a.sink, a.checkpoint, a.job, processing_time=a.trigger).awaitTermination()
     else:
-        write_routed(job(read_topics(spark, a.source)), a.sink)
+        write_routed(routed, a.sink)
 
 
 if __name__ == "__main__":

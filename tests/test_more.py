@@ -106,3 +106,13 @@ def test_cli_batch_run(spark, scratch):
     assert got.count() == jobs.validate_pass(read_topics(spark, src), sink="ok").count() > 0
     with pytest.raises(SystemExit):
         main(["validate_pass", "--source", src, "--sink", sink, "--param", "nope=1"])
+
+
+def test_cli_stream_run(spark, scratch):
+    from logweave.cli import main
+    from logweave.sources.records import read_topics
+    src, sink, ckpt = (os.path.join(scratch, d) for d in ("src", "sink", "ckpt"))
+    filebeat_records(spark, SF).write.partitionBy("topic").parquet(src)
+    main(["filebeat_dlq", "--source", src, "--sink", sink, "--stream", "--checkpoint", ckpt])
+    want = jobs.filebeat_dlq(read_topics(spark, src))
+    assert read_topics(spark, sink).count() == want.count() > 0
