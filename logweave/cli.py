@@ -27,6 +27,17 @@ from logweave.sources.records import read_kafka, read_topics
 from logweave.streaming.sinks import (kafka_sink_options, start_routed_kafka_stream, start_routed_stream,
                                       write_routed, write_routed_kafka)
 
+# The deployment environment variables the reference's apps
+# read, and the job parameter each one sets (used with --from-env).
+ENV_PARAMS = {
+    "INPUT_TOPIC": "topic",
+    "INPUT_TOPIC_REGEX": "pattern",
+    "OUTPUT_TOPIC_S3": "sink",
+    "ERROR_TOPIC": "error_topic",
+    "TOPIC_PREFIX": "topic_prefix",
+    "TZ": "zone",
+}
+
 JOBS = {
     "chat_rekey": jobs.chat_rekey, "log_split": jobs.log_split, "chat_extract": jobs.chat_extract,
     "daily_feed": jobs.daily_feed, "filebeat_dlq": jobs.filebeat_dlq, "two_level_dlq": jobs.two_level_dlq,
@@ -40,6 +51,15 @@ def _value(text: str):
     return text
 
 
+def env_params(name: str, environ=None) -> dict:
+    """Job parameters from the deployment environment, for the parameters
+    the job accepts."""
+    environ = os.environ if environ is None else environ
+    accepted = inspect.signature(JOBS[name]).parameters
+    return {param: environ[var] for var, param in ENV_PARAMS.items()
+            if var in environ and param in accepted}
+
+
 def job_callable(name: str, params: dict):
     fn = JOBS[name]
     accepted = inspect.signature(fn).parameters
@@ -62,10 +82,13 @@ def main(argv=None) -> None:
     ap.add_argument("--trigger", help="processing-time trigger, e.g. '30 seconds' (default: available now)")
     ap.add_argument("--checkpoint", help="checkpoint folder (default: under spark.checkpoint.dir)")
     ap.add_argument("--starting-offsets", default="earliest", choices=["earliest", "latest"])
+    ap.add_argument("--from-env", action="store_true",
+                    help="take topic/pattern/sink/error topic/prefix/zone from the deployment "
+                         "environment (" + ", ".join(ENV_PARAMS) + ")")
     a = ap.parse_args(argv)
 
-    params = dict(p.split("=", 1) for p in a.param)
-    params = {k: _value(v) for k, v in params.items()}
+    params = env_params(a.job) if a.from_env else {}
+    params.update({k: _value(v) for k, v in (p.split("=", 1) for p in a.param)})
     if a.pattern:
         params["pattern"] = a.pattern
     if a.topic:

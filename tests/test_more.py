@@ -116,3 +116,13 @@ def test_cli_stream_run(spark, scratch):
     main(["filebeat_dlq", "--source", src, "--sink", sink, "--stream", "--checkpoint", ckpt])
     want = jobs.filebeat_dlq(read_topics(spark, src))
     assert read_topics(spark, sink).count() == want.count() > 0
+
+
+def test_cli_env_params():
+    from logweave.cli import env_params
+    env = {"INPUT_TOPIC_REGEX": "test-.*", "OUTPUT_TOPIC_S3": "s3.topic", "ERROR_TOPIC": "err",
+           "TOPIC_PREFIX": "filtered_", "TZ": "UTC"}
+    assert env_params("filebeat_dlq", env) == {"pattern": "test-.*", "sink": "s3.topic", "error_topic": "err",
+                                               "zone": "UTC"}
+    assert env_params("monthly_split", env) == {"pattern": "test-.*", "error_topic": "err",
+                                                "topic_prefix": "filtered_", "zone": "UTC"}
