@@ -69,6 +69,50 @@ def job_callable(name: str, params: dict):
     return lambda records: fn(records, **params)
 
 
+_CLEANUP: list = []
+
+
+def _with_metrics(spark, routed, stream: bool, error_topic: str):
+    """Counts, not per-record logs: one line per micro-batch (stream) or run."""
+    from pyspark.sql import Observation
+    from pyspark.sql.streaming import StreamingQueryListener
+
+    from logweave.operators.grouped import observe_routes
+
+    if stream:
+        class Printer(StreamingQueryListener):
+            def onQueryStarted(self, event):
+                pass
+
+            def onQueryProgress(self, event):
+                m = event.progress.observedMetrics.get("routes")
+                if m is not None:
+                    print(f"batch {event.progress.batchId}: rows={m['rows']} dead_letters={m['dead_letters']}",
+                          flush=True)
+
+            def onQueryIdle(self, event):
+                pass
+
+            def onQueryTerminated(self, event):
+                pass
+
+        printer = Printer()
+        spark.streams.addListener(printer)
+        _CLEANUP.append(lambda: spark.streams.removeListener(printer))
+        return observe_routes(routed, "routes", error_topic)
+    obs = Observation("routes")
+    routed = routed.observe(obs, *_route_metric_columns(error_topic))
+    import atexit
+    atexit.register(lambda: print(f"routes: {obs.get}", flush=True))
+    return routed
+
+
+def _route_metric_columns(error_topic: str):
+    from pyspark.sql import functions as F
+    return [F.count(F.lit(1)).alias("rows"),
+            F.sum(F.when(F.col("topic") == error_topic, 1).otherwise(0)).alias("dead_letters")]
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("job", choices=sorted(JOBS))
@@ -82,6 +126,8 @@ def main(argv=None) -> None:
     ap.add_argument("--trigger", help="processing-time trigger, e.g. '30 seconds' (default: available now)")
     ap.add_argument("--checkpoint", help="checkpoint folder (default: under spark.checkpoint.dir)")
     ap.add_argument("--starting-offsets", default="earliest", choices=["earliest", "latest"])
+    ap.add_argument("--metrics", action="store_true",
+                    help="observe rows and dead letters per run or micro-batch and print them")
     ap.add_argument("--from-env", action="store_true",
                     help="take topic/pattern/sink/error topic/prefix/zone from the deployment "
                          "environment (" + ", ".join(ENV_PARAMS) + ")")
@@ -109,6 +155,8 @@ def main(argv=None) -> None:
     else:
         records = read_topics(spark, a.source)
     routed = job(records)
+    if a.metrics:
+        routed = _with_metrics(spark, routed, a.stream, params.get("error_topic", "dead-letter"))
 
     if a.sink.startswith("kafka://"):
         extra = dict(o.split("=", 1) for o in a.sink_option)
@@ -121,6 +169,11 @@ def main(argv=None) -> None:
         start_routed_stream(routed, a.sink, a.checkpoint, a.job, processing_time=a.trigger).awaitTermination()
     else:
         write_routed(routed, a.sink)
+    if _CLEANUP:
+        import time
+        time.sleep(1)                      # let the last progress event reach the listener
+        while _CLEANUP:
+            _CLEANUP.pop()()
 
 
 if __name__ == "__main__":

@@ -126,3 +126,12 @@ def test_cli_env_params():
                                                "zone": "UTC"}
     assert env_params("monthly_split", env) == {"pattern": "test-.*", "error_topic": "err",
                                                 "topic_prefix": "filtered_", "zone": "UTC"}
+
+
+def test_cli_stream_metrics(spark, scratch, capsys):
+    from logweave.cli import main
+    src, sink, ckpt = (os.path.join(scratch, d) for d in ("src", "sink", "ckpt"))
+    filebeat_records(spark, SF).write.partitionBy("topic").parquet(src)
+    main(["filebeat_dlq", "--source", src, "--sink", sink, "--stream", "--checkpoint", ckpt, "--metrics"])
+    out = capsys.readouterr().out
+    assert "dead_letters=" in out
