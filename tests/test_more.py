@@ -135,3 +135,30 @@ def test_cli_stream_metrics(spark, scratch, capsys):
     main(["filebeat_dlq", "--source", src, "--sink", sink, "--stream", "--checkpoint", ckpt, "--metrics"])
     out = capsys.readouterr().out
     assert "dead_letters=" in out
+
+
+def test_latest_by_key_with_a_hot_key(spark):
+    """A key holding a third of all records: exact result, reduced per task
+    before the shuffle (partial aggregation), nothing dropped."""
+    from logweave.operators.grouped import latest_by_key
+    from logweave.sources.records import RECORD_SCHEMA
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    rows = [("t", "hot" if i % 3 == 0 else f"k{i % 50}", f'{{"i":{i}}}', 0, i, t0) for i in range(3000)]
+    df = spark.createDataFrame(rows, RECORD_SCHEMA).repartition(8)
+    got = {r.key: (r.offset, r.value) for r in latest_by_key(df).collect()}
+    assert got["hot"] == (2997, '{"i":2997}')
+    assert len(got) == 1 + len({f"k{i % 50}" for i in range(3000) if i % 3})
+    assert "partial_max_by" in formatted_plan(latest_by_key(df))
+
+
+def test_fanout_conservation(spark):
+    """Log split: outputs = archive records + 2 x chat messages."""
+    from logweave.sources.derived import action_records
+    recs = action_records(spark, SF)
+    out = jobs.log_split(recs)
+    act = recs.select(J.text_of(J.parse("value"), "action").alias("a"))
+    n_s3 = act.where(~F.col("a").startswith("chat.")).count()
+    n_chat = act.where(F.col("a") == "chat.sendmessage").count()
+    assert out.count() == n_s3 + 2 * n_chat
+    assert out.where(F.col("topic") == "chat-flat").count() == out.where(F.col("topic") == "chat-copy").count() == n_chat
