@@ -78,8 +78,13 @@ def shared_dir(spark: SparkSession, name: str, default_root: str | None = None)
     the session so later calls agree.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+    sc = None
+    try:  # a Spark Connect session has no SparkContext; the conf is enough there
+        sc = spark.sparkContext
+    except Exception:
+        pass
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         if default_root is None:
             raise RuntimeError(
@@ -87,5 +92,6 @@ def shared_dir(spark: SparkSession, name: str, default_root: str | None = None)
                 "(or pass default_root in local tests)")
         root = default_root
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
+        if sc is not None:
+            sc.setCheckpointDir(root)
     return os.path.join(root, name) if "://" not in root else root.rstrip("/") + "/" + name
