@@ -45,3 +45,17 @@ def test_latest_by_key_partial_aggregation(spark, topic_tables):
     plan = formatted_plan(df)
     assert plan.count("HashAggregate") + plan.count("ObjectHashAggregate") + plan.count("SortAggregate") >= 2
     assert "partial_max_by" in plan
+
+
+def test_catalog_is_map_only_except_grouped(spark, sf_dir):
+    """Every registered query runs without Python and without a shuffle,
+    except the two that group (per-topic counts, latest value per key)."""
+    import __spark_entry__ as E
+    grouped = {"error_counts", "latest_by_key"}
+    for name, fn in E.queries().items():
+        s = plan_stats(fn(spark, sf_dir))
+        assert s["python_nodes"] == 0, name
+        if name in grouped:
+            assert s["exchanges"] >= 1, name
+        else:
+            assert s["exchanges"] == 0, name
