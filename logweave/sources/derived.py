@@ -34,6 +34,12 @@ monthly (from ``orders``)
     ``{"time","orderkey","status","priority"}`` on ``jdbc.*log_<status>``
     topics; ``o_orderkey % 40``: 3 cut short, 11 no ``time``, 17 ``time``
     not numeric; ``o_custkey % 97 = 0`` is on a topic without ``log_``.
+decimals (from ``orders``)
+    ``{"orderkey","amount"}`` with a 29-digit decimal ``amount``.
+tickets (from ``customer``)
+    ``{"message"}`` texts with phone, card and resident numbers;
+    ``c_custkey % 4``: 0 all three, 1 two phones one character apart,
+    2 a card glued to a preceding digit, 3 none.
 """
 
 from __future__ import annotations
