@@ -54,8 +54,9 @@ def line_bitmaps(docs: DataFrame, min_docs: int = 5, min_chars: int = 40) -> Dat
         .groupBy("h1", "h2", "doc_id", "text_key")  # clustered by the range already: no second shuffle
         .agg(F.sort_array(F.collect_set("pos")).alias("at")),
         "line-holders")
-    common = (held.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("last"))
-              .where(F.col("n") >= min_docs).select("h1", "h2", "last"))
+    # a written table: both sides of the join below are then plain shuffles, whose hot keys Spark can split
+    common = written(held.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.max("doc_id").alias("last"))
+                     .where(F.col("n") >= min_docs).select("h1", "h2", "last"), "common-lines")
     drops = (held.join(common, ["h1", "h2"])
              .where(F.coalesce(F.col("doc_id") != F.col("last"), F.col("last").isNotNull()))
              .groupBy("doc_id", "text_key")
