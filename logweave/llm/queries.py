@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from logweave.llm import decontaminate, line_dedup, packing
+from logweave.llm import decontaminate, jaccard_join, line_dedup, packing, quality
 
 QUERIES = {
     "op2_line_dedup": line_dedup.query,
+    "op3_ngram_jaccard_join": jaccard_join.query,
     "op4_best_fit_packing": packing.query,
+    "op7_quality": quality.query,
     "op9_benchmark_decontamination": decontaminate.query,
 }
 
