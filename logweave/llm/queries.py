@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from logweave.llm import decontaminate, jaccard_join, line_dedup, packing, quality
+from logweave.llm import chat, decontaminate, jaccard_join, line_dedup, packing, quality, token_counts
 
 QUERIES = {
     "op2_line_dedup": line_dedup.query,
     "op3_ngram_jaccard_join": jaccard_join.query,
     "op4_best_fit_packing": packing.query,
     "op7_quality": quality.query,
+    "op8_token_counts": token_counts.query,
     "op9_benchmark_decontamination": decontaminate.query,
+    "op10_chat_formatting": chat.query,
 }
 
 ORACLE = {
