@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from logweave.llm import chat, decontaminate, jaccard_join, line_dedup, packing, quality, substring_dedup, token_counts
+from logweave.llm import chat, decontaminate, jaccard_join, line_dedup, packing, quality, substring_dedup, token_counts, toxicity
 
 QUERIES = {
+    "op1_toxicity": toxicity.query,
     "op2_line_dedup": line_dedup.query,
     "op3_ngram_jaccard_join": jaccard_join.query,
     "op4_best_fit_packing": packing.query,
