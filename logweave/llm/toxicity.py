@@ -35,7 +35,9 @@ WINDOWS = (4, 24)
 LEVELS = (1.5, 2.5, 3.5, 4.5, 6)
 #: The most labelled documents that the logistic curve is fitted on.
 MAX_FIT = 20_000
-CHUNK_TOKENS = 1_000_000
+CHUNK_TOKENS = 200_000
+#: Rows of a batch that are taken together.
+SLICE_ROWS = 100
 
 WORD_BYTES = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
@@ -46,7 +48,7 @@ def token_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.n
     """``(batches, word buckets, words of each row)``; bucket 0 is the beginning of a text."""
     hashes = WordHashes()
     held, parts, sizes, n = [], [], [], 0
-    for b in batches:
+    for b in (x.slice(k, SLICE_ROWS) for x in batches for k in range(0, x.num_rows, SLICE_ROWS)):
         held.append(b)
         for text in b.column("text").to_pylist():
             words = text.translate(WORD_BYTES).split() if text else []
