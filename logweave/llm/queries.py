@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from logweave.llm import chat, decontaminate, jaccard_join, line_dedup, packing, quality, substring_dedup, token_counts, toxicity
+from logweave.llm import chat, decontaminate, embedding_dedup, jaccard_join, line_dedup, packing, quality, substring_dedup, token_counts, toxicity
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
     "op2_line_dedup": line_dedup.query,
     "op3_ngram_jaccard_join": jaccard_join.query,
     "op4_best_fit_packing": packing.query,
+    "op5_embedding_near_dedup": embedding_dedup.query,
     "op6_substring_dedup": substring_dedup.query,
     "op7_quality": quality.query,
     "op8_token_counts": token_counts.query,
