@@ -12,12 +12,13 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -30,38 +31,96 @@ GROUP_ITEMS = 20_000
 SLACK = 0.005
 #: Groups that come together in the next round.
 FAN_IN = 8
-#: Words whose ids a task remembers.
-MEMO_WORDS = 500_000
+#: Texts that are encoded together.
+LOT = 5000
+#: Words, and bare words, whose ids a Python worker remembers.
+MEMO_WORDS = 700_000
 
-#: A tokenizer's words end at these characters whatever its own rules are.
-_BLANK = str.maketrans("\t\n\r", "   ")
+#: Letters that stay single and composed under NFC and have a plain lower case, then
+#: ASCII marks without an apostrophe: such a word is the letters' ids and the marks' ids.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-&(-/:-@\[-`{-~]*)")
 
 
-def word_encoder(tokenizer_path: str):
-    """Text -> token ids, each distinct blank-separated word encoded once.
+class WordEncoder:
+    """Texts -> token ids, each distinct word encoded once (and kept as little-endian 32-bit ids).
 
-    Exact for tokenizers that drop white space and never join characters
-    across it (a test compares it with whole texts).
+    Exact for tokenizers that lower-case, drop white space, split letters
+    from marks and never join characters across these borders (a test
+    compares it with whole texts). ``worker_encoder`` keeps one per worker.
     """
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-    from tokenizers import Tokenizer
-
-    tok = Tokenizer.from_file(tokenizer_path)
-    tok.no_truncation()
-    tok.no_padding()
-    memo: dict[str, list[int]] = {"": []}
-
-    def encode(text: str) -> list[int]:
-        words = text.translate(_BLANK).split(" ")
-        new = [w for w in set(words) if w not in memo]
-        if new:
-            if len(memo) > MEMO_WORDS:
-                memo.clear()
-                memo[""] = []
-                new = list(set(words))
-            memo.update(zip(new, (e.ids for e in tok.encode_batch(new, add_special_tokens=False))))
-        return list(chain.from_iterable(map(memo.__getitem__, words)))
-    return encode
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+        from tokenizers import Tokenizer
+
+        self.tok = Tokenizer.from_file(path)
+        self.tok.no_truncation()
+        self.tok.no_padding()
+        vocab = self.tok.get_vocab(with_added_tokens=False)
+        self.is_end = np.zeros(self.tok.get_vocab_size(with_added_tokens=True), bool)
+        self.is_end[[i for t, i in vocab.items() if t.endswith("</w>")]] = True
+        self.words: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {"": b""}
+
+    def _encode(self, words: list[str]) -> Iterator[bytes]:
+        return (np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch(words, add_special_tokens=False))
+
+    def _learn_letters(self, words: list[str]) -> None:
+        """One call for many bare words: every word ends with an end-of-word token and holds no other."""
+        ids = np.array(self.tok.encode(" ".join(words), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(self.is_end[ids]) + 1
+        if len(ends) == len(words):
+            starts = np.append(0, ends[:-1])
+            raw = ids.tobytes()
+            self.parts.update((w, raw[4 * s:4 * e]) for w, s, e in zip(words, starts.tolist(), ends.tolist()))
+        else:
+            self.parts.update(zip(words, self._encode(words)))
+
+    def _learn(self, words: list[str]) -> None:
+        if len(self.parts) > MEMO_WORDS:
+            self.parts = {"": b""}
+        plain, other = {}, []
+        for w in words:
+            if m := _PLAIN.fullmatch(w):
+                plain[w] = m[1].lower(), m[2]
+            else:
+                other.append(w)
+        letters = list({a for a, _ in plain.values()} - self.parts.keys())
+        for k in range(0, len(letters), 5000):
+            self._learn_letters(letters[k:k + 5000])
+        marks = list({b for _, b in plain.values()} - self.parts.keys())
+        self.parts.update(zip(marks, self._encode(marks)))
+        self.words.update((w, self.parts[a] + self.parts[b]) for w, (a, b) in plain.items())
+        self.words.update(zip(other, self._encode(other)))
+
+    def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all texts, one after another, and how many each has. A null has none."""
+        for blank in "\n\t\r":
+            texts = pc.replace_substring(texts, blank, " ")
+        split = pc.split_pattern(pc.fill_null(texts, ""), " ")
+        coded = pc.dictionary_encode(split.flatten())
+        words = coded.dictionary.to_pylist()
+        if len(self.words) > MEMO_WORDS:
+            self.words = {"": b""}
+        if new := [w for w in words if w not in self.words]:
+            self._learn(new)
+        known = [self.words[w] for w in words]
+        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        at = coded.indices.to_numpy()
+        n, start = size[at], (np.cumsum(size) - size)[at]
+        ends = np.cumsum(n)
+        ids = np.frombuffer(b"".join(known), "<u4")[np.repeat(start - ends + n, n) + np.arange(n.sum())]
+        borders = np.append(0, ends)[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        return ids, np.diff(borders)
+
+
+_encoders: dict[str, WordEncoder] = {}
+
+
+def worker_encoder(path: str) -> WordEncoder:
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -72,14 +131,18 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int
     kinds = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = word_encoder(tokenizer_path)
+        encoder, end = worker_encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
         for b in batches:
-            rows = []
-            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist()):
-                ids = np.array([*encode(text or ""), end_id], "<u4")
-                for k, s in enumerate(range(0, len(ids), capacity)):
-                    part = ids[s:s + capacity]
-                    rows.append((doc, k, s, len(part), zlib.crc32(part.tobytes())))
+            rows, docs = [], b.column("doc_id").to_pylist()
+            for k in range(0, len(docs), LOT):
+                ids, sizes = encoder.encode(b.column("text")[k:k + LOT])
+                raw, at = memoryview(ids.tobytes()), 0
+                for doc, n in zip(docs[k:k + LOT], sizes.tolist()):
+                    own = bytes(raw[4 * at:4 * (at + n)]) + end
+                    at += n
+                    for piece, s in enumerate(range(0, n + 1, capacity)):
+                        part = own[4 * s:4 * (s + capacity)]
+                        rows.append((doc, piece, s, len(part) // 4, zlib.crc32(part)))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds.values())], list(kinds))
     return texts_of(docs).mapInArrow(run, PIECES)
