@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logweave.llm.common import texts_of
-from logweave.llm.wordhash import WordHashes, mix
+from logweave.llm.wordhash import WordHashes, coded_words, mix
 
 #: Buckets of words and of bigrams (at most 12 MB and 16 MB of counts are broadcast).
 WORD_BITS, BIGRAM_BITS = 19, 21
@@ -33,38 +33,41 @@ DISCOUNT = 0.75
 WINDOWS = (4, 24)
 #: Levels of evidence (natural logarithm) that words are counted by.
 LEVELS = (1.5, 2.5, 3.5, 4.5, 6)
+N_FEATURES = 2 * (1 + len(WINDOWS) + 2 * len(LEVELS))
 #: The most labelled documents that the logistic curve is fitted on.
 MAX_FIT = 20_000
 CHUNK_TOKENS = 200_000
 #: Rows of a batch that are taken together.
-SLICE_ROWS = 100
+SLICE_ROWS = 500
 
 WORD_BYTES = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
     for b in range(256))
 
 
+#: Kept from task to task by a Python worker.
+_hashes = WordHashes()
+
+
 def token_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     """``(batches, word buckets, words of each row)``; bucket 0 is the beginning of a text."""
-    hashes = WordHashes()
-    held, parts, sizes, n = [], [], [], 0
+    held, parts, sizes = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+
+    def answer():
+        h = np.concatenate(parts) % np.uint64((1 << WORD_BITS) - 1)
+        return held, h.astype(np.int64) + 1, np.concatenate(sizes)
+
     for b in (x.slice(k, SLICE_ROWS) for x in batches for k in range(0, x.num_rows, SLICE_ROWS)):
+        texts = pa.array([(t or b"").translate(WORD_BYTES) for t in b.column("text").to_pylist()], pa.binary())
+        codes, lengths = coded_words(texts.cast(pa.string()), _hashes, np.uint64)
         held.append(b)
-        for text in b.column("text").to_pylist():
-            words = text.translate(WORD_BYTES).split() if text else []
-            parts.append(hashes.of(words))
-            sizes.append(len(words))
-            n += len(words)
-        if n >= CHUNK_TOKENS:
-            yield held, _buckets(parts), np.array(sizes)
-            held, parts, sizes, n = [], [], [], 0
+        parts.append(codes)
+        sizes.append(lengths)
+        if sum(map(len, parts)) >= CHUNK_TOKENS:
+            yield answer()
+            held, parts, sizes = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     if held:
-        yield held, _buckets(parts), np.array(sizes, np.int64)
-
-
-def _buckets(parts: list[np.ndarray]) -> np.ndarray:
-    h = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
-    return (h % np.uint64((1 << WORD_BITS) - 1)).astype(np.int64) + 1
+        yield answer()
 
 
 def pairs(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -133,8 +136,8 @@ class Model:
 
     def features(self, words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Of bigram and of unigram evidence: the mean, the highest mean of a window, and how many words exceed each level."""
-        width = 1 + len(WINDOWS) + 2 * len(LEVELS)
-        out = np.zeros((len(sizes), 2 * width))
+        width = N_FEATURES // 2
+        out = np.zeros((len(sizes), N_FEATURES))
         full = np.flatnonzero(sizes > 0)
         if not len(full):
             return out
@@ -225,7 +228,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_fit: int =
     ids = labels.select(F.col("doc_id").cast("long").alias("doc_id"), label).where(fold(F.col("doc_id")) == 1)
     ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id", label).limit(max_fit)
     got = labelled(docs, ids, label).mapInArrow(run, "doc_id long, y int, x binary").toPandas()
-    x = np.frombuffer(b"".join(got["x"]), np.float64).reshape(len(got), -1)
+    x = np.frombuffer(b"".join(got["x"]), np.float64).reshape(len(got), N_FEATURES)
     y = got["y"].to_numpy(np.int64)
     order = np.lexsort((y, got["doc_id"].to_numpy(np.int64)))
     return model, Curve(x[order], y[order])

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 #: Words remembered per task.
@@ -41,3 +43,20 @@ def window_hashes(words: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
     for k in range(width):
         out = mix(out ^ words[k:k + n]) + np.uint64(0x9E3779B97F4A7C15)
     return mix(out)
+
+
+def coded_words(texts: pa.Array, code_of: dict, dtype=np.int64) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of the words between ASCII blanks of all texts, one after another, and how many each text has.
+
+    Each distinct word (``bytes``) is looked up once. A null has no words.
+    """
+    split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    coded = pc.dictionary_encode(split.flatten())
+    words = coded.dictionary.cast(pa.binary()).to_pylist()
+    at = coded.indices.to_numpy()
+    borders = split.offsets.to_numpy() - split.offsets[0].as_py()
+    codes = np.fromiter(map(code_of.__getitem__, words), dtype, len(words))[at] if words else np.zeros(0, dtype)
+    if b"" in words:  # blanks at an end
+        real = at != words.index(b"")
+        codes, borders = codes[real], np.append(0, np.cumsum(real))[borders]
+    return codes, np.diff(borders)
