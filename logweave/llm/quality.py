@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logweave.llm.common import texts_of
+from logweave.llm.wordhash import coded_words
 
 #: Buckets of words, of word shapes, and dimensions of a vector.
 WORDS, SHAPES, DIMS = 1 << 14, 1 << 10, 32
@@ -32,26 +33,44 @@ NONZERO, REACH = 2, 2
 MAX_TRAIN = 20_000
 HIDDEN, EPOCHS, SEED = 32, 60, 7
 #: Tokens that a task holds at once.
-CHUNK_TOKENS = 1_000_000
+CHUNK_TOKENS, GATHER_TOKENS = 200_000, 1_000_000
+#: Words that a Python worker remembers.
+MEMO_WORDS = 1_200_000
+#: Rows of a batch that are taken together.
+SLICE_ROWS = 500
 
 _STRIP = bytes(range(0x21, 0x30)) + bytes(range(0x3A, 0x41)) + bytes(range(0x5B, 0x61)) + bytes(range(0x7B, 0x7F))
 _RUNS = re.compile(r"(.)\1+")
 
 
+class _ShapeLetters(dict):
+    """Code point -> A, a, 0 or itself."""
+
+    def __missing__(self, point: int) -> str:
+        c = chr(point)
+        self[point] = shape = "A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
+        return shape
+
+
 class WordBuckets(dict):
     """Blank-separated word -> (bucket of the bare lower-cased word) * SHAPES + (bucket of its shape)."""
 
+    letters = _ShapeLetters()
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 1_000_000:
+        if len(self) >= MEMO_WORDS:
             self.clear()
         text = word.decode()
-        shape = _RUNS.sub(r"\1", "".join("A" if c.isupper() else "a" if c.isalpha() else "0" if c.isdigit() else c
-                                         for c in text[:64]))
+        shape = _RUNS.sub(r"\1", text.translate(self.letters))
         bare = text.lower().encode().strip(_STRIP)
         code = self[word] = (xxhash.xxh3_64_intdigest(bare) % WORDS) * SHAPES + xxhash.xxh3_64_intdigest(shape) % SHAPES
         return code
 
 
+#: Kept from task to task by a Python worker.
+_buckets = WordBuckets()
+
+
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     """Places and signs of each bucket's index vector (words, then shapes, then a bucket of zeros)."""
     rng = np.random.default_rng(SEED)
@@ -62,22 +81,19 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     return places, signs
 
 
-def token_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
-    """``(batches, codes of all their words, words of each row)``, about ``CHUNK_TOKENS`` at a time."""
-    codes = WordBuckets()
-    held, parts, sizes, n = [], [], [], 0
-    for b in batches:
+def token_chunks(batches: Iterator[pa.RecordBatch], most: int = CHUNK_TOKENS) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+    """``(batches, codes of all their words, words of each row)``, about ``most`` words at a time."""
+    held, parts, sizes = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for b in (x.slice(k, SLICE_ROWS) for x in batches for k in range(0, x.num_rows, SLICE_ROWS)):
+        codes, lengths = coded_words(b.column("text"), _buckets)
         held.append(b)
-        for text in b.column("text").to_pylist():
-            words = text.split() if text else []
-            parts.append(np.fromiter(map(codes.__getitem__, words), np.int64, len(words)))
-            sizes.append(len(words))
-            n += len(words)
-        if n >= CHUNK_TOKENS:
-            yield held, np.concatenate(parts), np.array(sizes)
-            held, parts, sizes, n = [], [], [], 0
+        parts.append(codes)
+        sizes.append(lengths)
+        if sum(map(len, parts)) >= most:
+            yield held, np.concatenate(parts), np.concatenate(sizes)
+            held, parts, sizes = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     if held:
-        yield held, np.concatenate(parts) if parts else np.zeros(0, np.int64), np.array(sizes, np.int64)
+        yield held, np.concatenate(parts), np.concatenate(sizes)
 
 
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,14 +101,12 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     places, signs = index_vectors()
     none = WORDS + SHAPES
     total = np.zeros((none + 1) * DIMS)
-    for _, codes, sizes in token_chunks(batches):
-        ends = np.cumsum(sizes)
+    for _, codes, sizes in token_chunks(batches, GATHER_TOKENS):
         # word and shape of each word in turn; documents apart by zero buckets
         gap = np.repeat(np.arange(len(sizes)), sizes) * REACH
         seq = np.full(2 * len(codes) + REACH * (len(sizes) + 1), none)
         at = 2 * np.arange(len(codes)) + gap
         seq[at], seq[at + 1] = codes // SHAPES, WORDS + codes % SHAPES
-        del ends
         for step in range(1, REACH + 1):
             for here, there in ((seq[:-step], seq[step:]), (seq[step:], seq[:-step])):
                 for k in range(NONZERO):
@@ -107,7 +121,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """Unit vectors of all buckets from all documents: a matrix of fixed size (2 MB)."""
     kind = "bucket int, " + ", ".join(f"d{d} double" for d in range(DIMS))
-    text = docs.select(F.col("text").cast("string").cast("binary").alias("text"))
+    text = docs.select(F.col("text").cast("string").alias("text"))
     got = text.mapInArrow(_gather, kind).groupBy("bucket").agg(*(F.sum(f"d{d}").alias(f"d{d}") for d in range(DIMS))).toPandas()
     out = np.zeros((WORDS + SHAPES + 1, DIMS), np.float32)
     rows = got[[f"d{d}" for d in range(DIMS)]].to_numpy(np.float64)
@@ -119,17 +133,15 @@ def pooled(codes: np.ndarray, sizes: np.ndarray, vectors: np.ndarray) -> np.ndar
     """Features of each document: means of words, shapes, neighbour products and squares, and log length."""
     out = np.zeros((len(sizes), 4 * DIMS + 1), np.float32)
     out[:, -1] = np.log1p(sizes)
-    full = np.flatnonzero(sizes > 0)
-    if not len(full):
-        return out
-    starts = (np.cumsum(sizes) - sizes)[full]
-    n = sizes[full, None].astype(np.float32)
-    words = vectors[codes // SHAPES]
-    near = words.copy()
-    near[:-1] *= words[1:]
-    near[starts + sizes[full] - 1] = 0  # a document's last word has no next one
-    for k, x in enumerate((words, vectors[WORDS + codes % SHAPES], near, words * words)):
-        out[full, k * DIMS:(k + 1) * DIMS] = np.add.reduceat(x, starts, axis=0) / n
+    word, shape = codes // SHAPES, WORDS + codes % SHAPES
+    ends = np.cumsum(sizes).tolist()
+    for k, (n, e) in enumerate(zip(sizes.tolist(), ends)):
+        if n:
+            x, ones = vectors[word[e - n:e]], np.full(n, 1 / n, np.float32)
+            out[k, :DIMS] = ones @ x
+            out[k, DIMS:2 * DIMS] = ones @ vectors[shape[e - n:e]]
+            out[k, 2 * DIMS:3 * DIMS] = np.einsum("ij,ij->j", x[:-1], x[1:]) / n
+            out[k, 3 * DIMS:4 * DIMS] = np.einsum("ij,ij->j", x, x) / n
     return out
 
 
@@ -192,7 +204,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep, most:
            .where(F.col("id").isNotNull() & F.col("y").isin(0, 1)).where(keep(F.col("id")))
            .orderBy(F.xxhash64("id"), "id", "y").limit(most))
     return (texts_of(docs).join(F.broadcast(ids), F.col("doc_id") == F.col("id"))
-            .select("doc_id", F.col("text").cast("binary").alias("text"), "y"))
+            .select("doc_id", "text", "y"))
 
 
 def fit(docs: DataFrame, labels: DataFrame, keep, label: str = "quality", max_train: int = MAX_TRAIN):
@@ -208,14 +220,14 @@ def fit(docs: DataFrame, labels: DataFrame, keep, label: str = "quality", max_tr
             yield pa.RecordBatch.from_arrays([ids, y, pa.array(map(bytes, x), pa.binary())], ["doc_id", "y", "x"])
 
     rows = labelled_sample(docs, labels, label, keep, max_train).mapInArrow(pool, "doc_id long, y int, x binary").toPandas()
-    x = np.frombuffer(b"".join(rows["x"]), np.float32).reshape(len(rows), -1)
+    x = np.frombuffer(b"".join(rows["x"]), np.float32).reshape(len(rows), 4 * DIMS + 1)
     y = rows["y"].to_numpy(np.int64)
     order = np.lexsort((y, rows["doc_id"].to_numpy(np.int64)))
     return sent, Network(x[order], y[order])
 
 
 def score_documents(docs: DataFrame, model, carry_text: bool = False) -> DataFrame:
-    """Struct ``row`` (all columns of ``docs`` but ``text``) and ``score``; with ``carry_text`` binary ``text`` too.
+    """Struct ``row`` (all columns of ``docs`` but ``text``) and ``score``; with ``carry_text`` ``text`` too.
 
     Every input row gives one row; a null or empty text has pooled values of
     zero and the score that the network gives them. Without labelled rows the
@@ -223,7 +235,7 @@ def score_documents(docs: DataFrame, model, carry_text: bool = False) -> DataFra
     """
     vectors, network = model
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
-    todo = docs.select(rest.alias("row"), F.col("text").cast("string").cast("binary").alias("text"))
+    todo = docs.select(rest.alias("row"), F.col("text").cast("string").alias("text"))
     kind = T.StructType([*todo.schema[:2 if carry_text else 1], T.StructField("score", T.DoubleType())])
 
     def run(batches):
@@ -239,7 +251,7 @@ def score_documents(docs: DataFrame, model, carry_text: bool = False) -> DataFra
 def filter_quality(docs: DataFrame, labels: DataFrame, keep, threshold: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose score reaches ``threshold``, all columns unchanged."""
     scored = score_documents(docs, fit(docs, labels, keep), carry_text=True).where(F.col("score") >= threshold)
-    return scored.select(*[F.col("text").cast("string").alias("text") if c == "text" else F.col(f"row.`{c}`")
+    return scored.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`")
                            for c in docs.columns])
 
 
