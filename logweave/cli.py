@@ -45,12 +45,25 @@ JOBS = {
 }
 
 
-def _value(text: str):
-    if text.lower() in ("true", "false"):
+def _value(text: str, default):
+    """A parameter's text as the type of its default: list (comma-separated), number, boolean or text."""
+    if isinstance(default, bool):
+        if text.lower() not in ("true", "false"):
+            raise SystemExit(f"not true or false: {text}")
         return text.lower() == "true"
+    if isinstance(default, int):
+        return int(text)
+    if isinstance(default, (list, tuple)):
+        return [x for x in text.split(",") if x]
     return text
 
 
+def typed(name: str, params: dict[str, str]) -> dict:
+    """Parameters of a job converted by the types of their defaults."""
+    accepted = inspect.signature(JOBS[name]).parameters
+    return {k: _value(v, accepted[k].default) if k in accepted else v for k, v in params.items()}
+
+
 def env_params(name: str, environ=None) -> dict:
     """Job parameters from the deployment environment, for the parameters
     the job accepts."""
@@ -121,6 +134,8 @@ def main(argv=None) -> None:
     ap.add_argument("--pattern", help="topic regex subscription (overrides the job default)")
     ap.add_argument("--topic", help="single topic subscription (overrides the job default)")
     ap.add_argument("--param", action="append", default=[], help="job parameter name=value")
+    ap.add_argument("--source-option", action="append", default=[],
+                    help="source option name=value: Kafka consumer or source options, file stream options")
     ap.add_argument("--sink-option", action="append", default=[], help="Kafka producer option name=value")
     ap.add_argument("--stream", action="store_true", help="run as a streaming query")
     ap.add_argument("--trigger", help="processing-time trigger, e.g. '30 seconds' (default: available now)")
@@ -134,12 +149,16 @@ def main(argv=None) -> None:
     a = ap.parse_args(argv)
 
     params = env_params(a.job) if a.from_env else {}
-    params.update({k: _value(v) for k, v in (p.split("=", 1) for p in a.param)})
+    params.update(typed(a.job, dict(p.split("=", 1) for p in a.param)))
+    params.setdefault("metadata", True)
     if a.pattern:
         params["pattern"] = a.pattern
     if a.topic:
         params["topic"] = a.topic
     job = job_callable(a.job, params)
+    options = dict(o.split("=", 1) for o in a.source_option)
+    if a.starting_offsets == "latest" and not a.source.startswith("kafka://"):
+        raise SystemExit("--starting-offsets latest needs a Kafka source; a file source starts with the files that are there")
     spark = build_session(app_name=f"logweave-{a.job}")
 
     if a.source.startswith("kafka://"):
@@ -148,10 +167,10 @@ def main(argv=None) -> None:
         topic = params.get("topic", defaults.get("topic"))
         pattern = params.get("pattern", defaults.get("pattern"))
         records = read_kafka(spark, a.source[len("kafka://"):], None if pattern else topic, pattern,
-                             a.starting_offsets, stream=a.stream)
+                             a.starting_offsets, stream=a.stream, extra=options)
     elif a.stream:
         from logweave.sources.records import read_topics_stream
-        records = read_topics_stream(spark, a.source)
+        records = read_topics_stream(spark, a.source, options=options)
     else:
         records = read_topics(spark, a.source)
     routed = job(records)

@@ -14,7 +14,12 @@ consumed with:
 * a repeated key keeps the last value (needs the session setting in
   :mod:`logweave.session`);
 * single quotes, ``NaN`` and other non-standard tokens are rejected;
-* non-integer numbers keep their exact decimal digits.
+* numbers of up to 38 digits keep their exact decimal digits; a longer one
+  is read as a double;
+* a record beyond the size limits of the VARIANT reader (one string over
+  20 MB) is read field by field by a second reader with the same rules; what
+  that cannot hold either (over ``LARGEST`` bytes, or a repeated key in such a
+  record) is *too large*, which jobs dead-letter with its own reason.
 """
 
 from __future__ import annotations
@@ -31,22 +36,51 @@ FLUENTBIT_ERROR = "Fluentbit Log Deserialization Error"
 # Reasons added here for failures the routing layer catches itself.
 TRANSFORM_ERROR = "Record Transform Error"
 TOPIC_ERROR = "Output Topic Resolution Error"
+TOO_LARGE = "Record Too Large"
+NOT_UTF8 = "Record Is Not UTF-8"
+
+#: Bytes of a record that one VARIANT value holds with room to spare (its limit is 128 MiB).
+LARGEST = 100_000_000
+_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false",
+           "maxStringLen": "2147483647", "maxNestingDepth": "2147483647", "maxNumLen": "2147483647"}
 
 _JSON_SPACE = " \t\n\r"
 
 
 def path_of(field: str) -> str:
-    """JSON path for one top-level field name, quoting when needed."""
-    if field.startswith("$"):
+    """JSON path for one top-level field name, whatever characters it has.
+
+    A name that starts with ``$.`` is a path already (``$.a.b``).
+    """
+    if field.startswith("$."):
         return field
     if field.replace("_", "a").isalnum():
         return "$." + field
-    return "$['" + field.replace("'", "\\'") + "']"
+    if '"' in field:
+        return "$['" + field + "']"
+    return '$["' + field + '"]'
 
 
 def parse(value) -> Column:
-    """Lenient parse: text -> VARIANT; NULL when the text is not JSON."""
-    return F.try_parse_json(to_col(value))
+    """Lenient parse: text -> VARIANT; NULL when the text is not JSON (or too large)."""
+    text = to_col(value)
+    return F.coalesce(F.try_parse_json(text), _parse_large(text))
+
+
+def _parse_large(text: Column) -> Column:
+    """The second reader: an object's fields or an array's items as VARIANT values."""
+    c = first_char(text)
+    fields = F.from_json(text, "map<string,variant>", _STRICT)
+    items = F.from_json(text, "array<variant>", _STRICT)
+    once = F.size(F.array_distinct(F.map_keys(fields))) == F.size(fields)
+    fits = F.octet_length(text) <= LARGEST
+    return (F.when(fits & (c == "{") & once, F.to_variant_object(fields))
+            .when(fits & (c == "["), F.to_variant_object(items)))
+
+
+def too_large(text, var) -> Column:
+    """True where a text is not parsed for its size, not for its form (never NULL)."""
+    return F.coalesce(to_col(var).isNull() & (F.octet_length(to_col(text)) > LARGEST // 5), F.lit(False))
 
 
 def first_char(text) -> Column:
@@ -118,14 +152,14 @@ def text_of(var, field: str) -> Column:
 _INT_BOUNDS = {"int": (-2147483648, 2147483647), "bigint": (-9223372036854775808, 9223372036854775807)}
 
 
-def _text_to_num(text: Column, sql_type: str) -> Column:
+def _text_to_num(text: Column, sql_type: str, other: int | None = 0) -> Column:
     """Loose number read of a JSON string: integer text converts (0 when it
     overflows); any other text is read as a double and truncated toward
-    zero, saturating at the type bounds; unreadable text gives 0."""
+    zero, saturating at the type bounds; unreadable text gives ``other``."""
     lo, hi = _INT_BOUNDS[sql_type]
     t = F.trim(text)
     d = t.try_cast("double")
-    as_double = (F.when(d.isNull() | F.isnan(d), F.lit(0))
+    as_double = (F.when(d.isNull() | F.isnan(d), F.lit(other).cast(sql_type))
                  .when(d >= F.lit(float(hi)), F.lit(hi))
                  .when(d <= F.lit(float(lo)), F.lit(lo))
                  .otherwise(d.cast(sql_type)))
@@ -133,29 +167,32 @@ def _text_to_num(text: Column, sql_type: str) -> Column:
             .otherwise(as_double).cast(sql_type))
 
 
-def _num_of(var, field: str, sql_type: str) -> Column:
+def _num_of(var, field: str, sql_type: str, other: int | None = 0) -> Column:
     var = to_col(var)
     # Common case first: a number (or boolean, or integer text) converts
     # directly; the field is only looked at as a VARIANT when that fails.
     direct = F.try_variant_get(var, path_of(field), sql_type)
     v = node(var, field)
-    text = F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))
+    kind = F.schema_of_variant(v)
+    text = F.when(kind == "STRING", F.try_variant_get(v, "$", "string"))
+    number = kind.rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")
     return (F.when(direct.isNotNull(), direct)
-            .when(v.isNull(), F.lit(None).cast(sql_type))
-            .when(text.isNotNull(), _text_to_num(text, sql_type))
-            .otherwise(F.lit(0).cast(sql_type)))
+            .when(v.isNull() | number, F.lit(None).cast(sql_type))
+            .when(text.isNotNull(), _text_to_num(text, sql_type, other))
+            .otherwise(F.lit(other).cast(sql_type)))
 
 
 def int_of(var, field: str) -> Column:
     """Loose int read: numbers truncate, numeric text converts (``"7.5"`` ->
-    7, ``"1e3"`` -> 1000), booleans give 1/0, anything else 0. NULL only
-    when the field is missing."""
+    7, ``"1e3"`` -> 1000), booleans give 1/0, anything else 0. NULL when the
+    field is missing or a number outside the type's range."""
     return _num_of(var, field, "int")
 
 
-def long_of(var, field: str) -> Column:
-    """As :func:`int_of` for 64-bit values."""
-    return _num_of(var, field, "bigint")
+def long_of(var, field: str, other: int | None = 0) -> Column:
+    """As :func:`int_of` for 64-bit values; ``other`` is what a text that is
+    no number (or a JSON null, object or array) gives."""
+    return _num_of(var, field, "bigint", other)
 
 
 def decimal_of(var, field: str, precision: int = 38, scale: int = 18) -> Column:
@@ -179,7 +216,8 @@ def unwrap(value, field: str = "message") -> tuple[Column, Column]:
     Returns ``(ok, inner_text)``: the envelope must parse, carry ``field``,
     and the text of that field must itself be a JSON object or array.
     ``inner_text`` is the payload text, trimmed; it is only meaningful
-    where ``ok`` is true.
+    where ``ok`` is true. Where fields of the payload are read as well, use
+    :func:`with_unwrapped`, which parses it once.
     """
     wrapper = parse(value)
     inner = text_of(wrapper, field)

@@ -20,7 +20,7 @@ def split_fields(text, delimiter: str = "|") -> Column:
     """
     q = _regex_quote(delimiter)
     t = to_col(text)
-    stripped = F.regexp_replace(t, "(?:" + q + ")+$", "")
+    stripped = F.regexp_replace(t, "(?:" + q + r")+\z", "")
     # An input made only of delimiters has no fields at all.
     return F.when((stripped == "") & (t != ""), F.array().cast("array<string>")).otherwise(
         F.split(stripped, q, -1))
@@ -66,10 +66,17 @@ PII_RULES = [
 ]
 
 
-def mask_pii(text) -> Column:
+# Phone numbers as the document corpus writes them: +1 (743) 555-3824.
+DOCUMENT_PII_RULES = [
+    *PII_RULES,
+    (r"(?<![\d+])\+\d{1,3} \(\d{2,4}\) \d{3,4}-\d{4}(?!\d)", "**MASKED_PHONE_NUM**"),
+]
+
+
+def mask_pii(text, rules=None) -> Column:
     """Replace card, resident and phone numbers with fixed tokens."""
     c = to_col(text)
-    for pattern, token in PII_RULES:
+    for pattern, token in rules or PII_RULES:
         c = F.regexp_replace(c, pattern, token)
     return c
 

@@ -1,13 +1,15 @@
 """Date/time column functions for topic names and database payloads.
 
 None of these read the session time zone for their result: every zone is
-an explicit argument, and instants are turned into wall-clock values with
-``convert_timezone`` from the session zone, so the same job gives the same
-topics on any cluster setting.
+an explicit argument, and instants become wall-clock values by adding their
+microseconds to a zone-less epoch and converting that from UTC, so the same
+job gives the same topics on any cluster setting, repeated hours included.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,17 +18,53 @@ from logweave.functions.common import to_col
 DEFAULT_ZONE = "Asia/Seoul"
 
 # ISO-8601 date-time with offset: date, 'T', HH:mm[:ss[.fraction]], offset
-# 'Z' | +HH | +HH:MM | +HH:MM:ss (the lenient ISO offset date-time form).
+# 'Z' | +HH | +HH:MM | +HH:MM:ss, up to 18 hours (the lenient ISO offset date-time form).
 _ISO_OFFSET_RE = (r"^(\d{4}-\d{2}-\d{2})[Tt](\d{2}:\d{2})(?::(\d{2})(?:\.(\d{0,9}))?)?"
-                  r"(?:[Zz]|[+-]\d{2}(?::\d{2}(?::\d{2})?)?)$")
+                  r"(?:[Zz]|[+-](?:(?:0\d|1[0-7])(?::[0-5]\d(?::[0-5]\d)?)?|18(?::00(?::00)?)?))\z")
 # Compact form with exactly seven fraction digits and a +HHMM offset.
-_COMPACT_RE = r"^(\d{4}-\d{2}-\d{2})T(\d{2}:\d{2}:\d{2})\.(\d{7})([+-]\d{4})$"
-_LOCAL_RE = r"^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})$"
+_COMPACT_RE = r"^(\d{4}-\d{2}-\d{2})T(\d{2}:\d{2}:\d{2})\.(\d{7})([+-](?:(?:0\d|1[0-7])[0-5]\d|1800))\z"
+_LOCAL_RE = r"^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})\z"
+# An offset at the end of a text, and the pattern letters that stand for one.
+_OFFSET_RE = r"(?:[Zz]|([+-])(\d{2})(?::?(\d{2}))?(?::?(\d{2}))?)\z"
+_OFFSET_LETTERS = "XxZOVz"
+# Seconds of 0001-01-01 and of 9999-12-31T23:59:59 UTC.
+_FIRST_SECOND, _LAST_SECOND = -62135596800, 253402300799
 
 
 def wall_clock(ts, zone: str = DEFAULT_ZONE) -> Column:
     """Instant (TIMESTAMP) -> wall-clock TIMESTAMP_NTZ in ``zone``."""
-    return F.convert_timezone(F.current_timezone(), F.lit(zone), to_col(ts).cast("timestamp_ntz"))
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), F.timestamp_add("MICROSECOND", F.unix_micros(to_col(ts)), epoch))
+
+
+_PARTS = {"yyyy": (1, 4), "MM": (6, 2), "dd": (9, 2), "HH": (12, 2), "mm": (15, 2), "ss": (18, 2)}
+
+
+def clock_format(local, pattern: str) -> Column:
+    """A wall-clock TIMESTAMP_NTZ (years 1 to 9999) as text, by a date-time pattern.
+
+    ``date_format`` would read the clock in the session zone, which has no
+    02:30 on the day its clocks go forward; the usual letters (``yyyy MM dd
+    HH mm ss S``) are cut from the clock's own text instead. Other letters
+    go through ``date_format``.
+    """
+    text = to_col(local).cast("string")
+    out = []
+    for i, piece in enumerate(pattern.split("'")):
+        if i % 2:
+            out.append(F.lit(piece or "'"))
+            continue
+        for token in re.finditer(r"([a-zA-Z])\1*|[^a-zA-Z]+", piece):
+            t = token.group()
+            if t in _PARTS:
+                out.append(F.substring(text, *_PARTS[t]))
+            elif set(t) == {"S"} and len(t) <= 6:
+                out.append(F.rpad(F.substring(text, 21, len(t)), len(t), "0"))
+            elif t[0].isalpha():
+                return F.date_format(local, pattern)
+            else:
+                out.append(F.lit(t))
+    return F.concat(*out)
 
 
 def iso_offset_datetime(ts, zone: str = DEFAULT_ZONE) -> Column:
@@ -43,8 +81,8 @@ def iso_offset_datetime(ts, zone: str = DEFAULT_ZONE) -> Column:
                     F.lpad(((a % 3600) / 60).cast("int").cast("string"), 2, "0"))
     offset = F.when(off == 0, F.lit("Z")).otherwise(
         F.concat(F.when(off < 0, F.lit("-")).otherwise(F.lit("+")), hhmm))
-    frac = F.rtrim(F.date_format(local, "SSSSSS"), F.lit("0"))
-    return F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"),
+    frac = F.rtrim(clock_format(local, "SSSSSS"), F.lit("0"))
+    return F.concat(clock_format(local, "yyyy-MM-dd'T'HH:mm:ss"),
                     F.when(frac == "", F.lit("")).otherwise(F.concat(F.lit("."), frac)),
                     offset)
 
@@ -108,17 +146,24 @@ def reformat_datetime(text, in_pattern: str, out_pattern: str) -> Column:
     beyond microseconds are truncated. NULL when the text does not parse.
     """
     t = to_col(text)
-    instant = F.try_to_timestamp(t, F.lit(in_pattern))
-    off = F.regexp_extract(t, r"([+-])(\d{2}):?(\d{2})$", 0)
-    sign = F.when(F.substring(off, 1, 1) == "-", F.lit(-1)).otherwise(F.lit(1))
-    secs = F.when(off == "", F.lit(0)).otherwise(
-        sign * (F.regexp_extract(off, r"(\d{2}):?(\d{2})$", 1).cast("int") * 3600
-                + F.regexp_extract(off, r"(\d{2}):?(\d{2})$", 2).cast("int") * 60))
+    if any(c in _OFFSET_LETTERS for c in _unquoted(in_pattern)):
+        instant = F.try_to_timestamp(t, F.lit(in_pattern))
+        part = [F.regexp_extract(t, _OFFSET_RE, k) for k in (1, 2, 3, 4)]
+        number = [F.when(x == "", F.lit(0)).otherwise(x.try_cast("int")) for x in part[1:]]
+        secs = F.when(part[0] == "-", F.lit(-1)).otherwise(F.lit(1)) * (
+            number[0] * 3600 + number[1] * 60 + number[2])
+    else:  # no offset in the pattern: the written clock is read as UTC and stays as it is
+        instant, secs = F.try_to_timestamp(F.concat(t, F.lit("Z")), F.lit(in_pattern + "X")), F.lit(0)
     local = F.timestamp_add("SECOND", secs, wall_clock(instant, "UTC"))
-    return F.when(instant.isNotNull(), F.date_format(local, out_pattern))
+    return F.when(instant.isNotNull(), clock_format(local, out_pattern))
+
+
+def _unquoted(pattern: str) -> str:
+    return "".join(pattern.split("'")[::2])
 
 
 def year_month(epoch_seconds, zone: str = DEFAULT_ZONE, pattern: str = "yyyy_MM") -> Column:
-    """Epoch seconds -> ``yyyy_MM`` in ``zone`` (default Asia/Seoul)."""
-    ts = F.timestamp_seconds(to_col(epoch_seconds))
-    return F.date_format(wall_clock(ts, zone), pattern)
+    """Epoch seconds -> ``yyyy_MM`` in ``zone`` (default Asia/Seoul); NULL outside the years 1 to 9999."""
+    secs = to_col(epoch_seconds)
+    ts = F.timestamp_seconds(F.when(secs.between(_FIRST_SECOND + 86400, _LAST_SECOND - 86400), secs))
+    return clock_format(wall_clock(ts, zone), pattern)

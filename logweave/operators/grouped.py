@@ -1,9 +1,11 @@
 """The few operators that group: latest value per key and per-topic counts.
 
-Both aggregate with Spark's two-phase hash aggregation: each task first
-reduces its own rows to one row per key, so only that partial result is
-shuffled. A key that holds a third of all records still costs one row per
-task in the shuffle, never one task holding the whole group.
+Both aggregate in two phases: each task first reduces its own rows to one row
+per key, so only that partial result is shuffled. A key that holds a third of
+all records still costs one row per task in the shuffle, never one task
+holding the whole group. ``route_counts`` is a hash aggregate;
+``latest_by_key`` carries a struct, which Spark aggregates by sorting each
+task's rows by key.
 """
 
 from __future__ import annotations
@@ -12,17 +14,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def latest_by_key(records: DataFrame, key: str = "key", order: str = "offset",
-                  drop_tombstones: bool = True) -> DataFrame:
-    """Changelog-table view of a topic: the latest value of every key.
+def latest_by_key(records: DataFrame, key: str = "key", drop_tombstones: bool = True,
+                  by: tuple[str, ...] = ("topic",),
+                  order: tuple[str, ...] = ("timestamp", "partition", "offset")) -> DataFrame:
+    """Changelog-table view of topics: the latest value of every key of each topic.
 
-    Records without a key are ignored; when ``drop_tombstones`` a key
-    whose latest value is NULL (a delete) is left out.
+    An offset orders records within one partition only, so records are
+    ordered by time, then partition and offset. Records without a key are
+    ignored; when ``drop_tombstones`` a key whose latest value is NULL (a
+    delete) is left out. Columns: topic, key, offset, value.
     """
+    at = F.struct(*order)
     latest = (records.where(F.col(key).isNotNull())
-              .groupBy(key)
-              .agg(F.max_by(F.struct(F.col(order).alias("o"), F.col("value").alias("v")), F.col(order)).alias("_l")))
-    out = latest.select(key, F.col("_l.o").alias(order), F.col("_l.v").alias("value"))
+              .groupBy(*by, key).agg(F.max_by(F.struct("offset", "value"), at).alias("_l")))
+    out = latest.select(*by, key, "_l.offset", "_l.value")
     return out.where(F.col("value").isNotNull()) if drop_tombstones else out
 
 

@@ -112,7 +112,7 @@ def daily_envelope_parts(name, svrid, dt, uuid_long, uuid_text, content,
     payload = F.struct(svrid.alias("svrid"), dt.alias("dteventtime"), uuid_long.alias("loguuid"),
                        to_col(content).alias("content"))
     key = X.composite_key(name, uuid_text, "_")
-    topic = F.concat(F.lit(topic_prefix), X.key_head(key, "_"), T.date_suffix(dt))
+    topic = F.concat(F.lit(topic_prefix), F.lower(name), T.date_suffix(dt))
     return Reshaped(ok, F.when(ok, key), F.when(ok, envelope(DAILY_SCHEMA, payload)), F.when(ok, topic))
 
 
@@ -163,7 +163,7 @@ def db_envelope_parts(server_no, dt6, uuid, log_type, content, topic_prefix: str
     payload = F.struct(server_no.alias("server_no"), dt6.alias("date_time"), uuid.alias("uuid"),
                        to_col(content).alias("content"))
     key = X.composite_key(log_type, uuid, "#")
-    topic = F.concat(F.lit(topic_prefix), X.key_head(key, "#"))
+    topic = F.concat(F.lit(topic_prefix), F.lower(log_type))
     return Reshaped(ok, F.when(ok, key), F.when(ok, envelope(DB_SCHEMA, payload)), F.when(ok, topic))
 
 

@@ -111,14 +111,27 @@ def _emit(exploded: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     return exploded.where(F.col("_o").isNotNull()).select(*keep, "_o.*")
 
 
-def filter_once(df: DataFrame, condition: Column) -> DataFrame:
+LEGAL_TOPIC = r"^[a-zA-Z0-9._-]{1,249}\z"
+
+
+def legal_topic(topic) -> Column:
+    """True where a topic name is one that a broker accepts (never NULL)."""
+    t = to_col(topic)
+    return F.coalesce(t.rlike(LEGAL_TOPIC) & ~t.isin(".", ".."), F.lit(False))
+
+
+def filter_once(df: DataFrame, condition: Column, keep: Sequence[str] | None = None) -> DataFrame:
     """``df.where(condition)`` that evaluates the condition's inputs once.
 
+    For conditions on parsed columns; a condition on stored columns is better
+    a plain ``where``, which reaches the scan. ``keep`` names the columns
+    that go on (all by default), so that the scan reads no others.
+
     A plain filter over a parsed column is pushed below the projection and
     re-parses; emitting surviving rows through a generator keeps a single
     evaluation. Same rows, same columns.
     """
-    cols = df.columns
+    cols = list(keep) if keep is not None else df.columns
     arr = F.array(F.when(F.coalesce(condition, F.lit(False)), F.struct(*cols)))
     return _emit(df.select(F.explode(arr).alias("_o")))
 

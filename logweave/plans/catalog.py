@@ -43,16 +43,16 @@ REC = "record"  # deterministic detected_at for registered queries
 
 # ---------------------------------------------------------------- helpers
 def _fb_inner(spark, sf):
-    """Filebeat records with the unwrap result and the parsed payload."""
-    ok, inner = J.unwrap("value", "message")
-    df = D.filebeat_records(spark, sf).select("offset", "key", "timestamp", ok.alias("ok"), inner.alias("inner"))
-    return df.withColumn("var", J.parse("inner"))
+    """Filebeat records with the unwrap result and the parsed payload (each text parsed once)."""
+    df = D.filebeat_records(spark, sf).select("offset", "key", "timestamp", "value")
+    return J.with_unwrapped(df, "message").select(
+        "offset", "key", "timestamp", F.col("_inner_ok").alias("ok"), F.col("_inner").alias("inner"),
+        F.col("_ivar").alias("var"))
 
 
 def _fb_objects(spark, sf):
     """Unwrapped payloads that are JSON objects."""
-    df = _fb_inner(spark, sf)
-    return filter_once(df, F.col("ok") & (J.first_char("inner") == "{"))
+    return filter_once(_fb_inner(spark, sf), F.col("ok") & (J.first_char("inner") == "{"), ["offset", "var"])
 
 
 def _msg_texts(spark, sf):
@@ -64,6 +64,7 @@ def _parsed(df):
     return df.withColumn("var", J.parse("value"))
 
 
+DB_OK = "cls NOT IN (5, 7, 8)"
 PARSE_OK_SQL = "(NOT tomb AND cls NOT IN (0, 1, 4))"
 
 
@@ -114,7 +115,7 @@ def json_parse_lenient(spark, sf):
 
 @register("json_parse_strict", O.with_(O.FILEBEAT) + f"""
 SELECT "offset", NOT tomb AND cls <> 0 AS valid,
-       CASE WHEN NOT tomb AND cls <> 0 THEN value ELSE {O.err_json('value', J.INVALID_JSON, 'ts')} END AS value
+       CASE WHEN NOT tomb AND cls <> 0 THEN value ELSE {O.err_json('value', O.INVALID_JSON, 'ts')} END AS value
 FROM fb""")
 def json_parse_strict(spark, sf):
     df = _parsed(D.filebeat_records(spark, sf))
@@ -125,7 +126,7 @@ def json_parse_strict(spark, sf):
 
 @register("unwrap_filebeat", O.with_(O.FILEBEAT) + f"""
 SELECT "offset", unwrap_ok AS ok,
-       CASE WHEN unwrap_ok THEN msg ELSE {O.err_json('value', J.FILEBEAT_ERROR, 'ts')} END AS value
+       CASE WHEN unwrap_ok THEN msg ELSE {O.err_json('value', O.FILEBEAT_ERROR, 'ts')} END AS value
 FROM fb""")
 def unwrap_filebeat(spark, sf):
     fb = D.filebeat_records(spark, sf)
@@ -136,7 +137,7 @@ def unwrap_filebeat(spark, sf):
 
 @register("unwrap_fluentbit", O.with_(O.FLUENTBIT) + f"""
 SELECT "offset", unwrap_ok AS ok,
-       CASE WHEN unwrap_ok THEN msg ELSE {O.err_json('value', J.FLUENTBIT_ERROR, 'ts')} END AS value
+       CASE WHEN unwrap_ok THEN msg ELSE {O.err_json('value', O.FLUENTBIT_ERROR, 'ts')} END AS value
 FROM fl""")
 def unwrap_fluentbit(spark, sf):
     fl = D.fluentbit_records(spark, sf)
@@ -156,7 +157,7 @@ def is_parseable_json(spark, sf):
 
 
 @register("error_record", O.with_(O.FILEBEAT) +
-          f"SELECT \"offset\", {O.err_json('value', J.FILEBEAT_ERROR, 'ts')} AS value FROM fb WHERE NOT unwrap_ok")
+          f"SELECT \"offset\", {O.err_json('value', O.FILEBEAT_ERROR, 'ts')} AS value FROM fb WHERE NOT unwrap_ok")
 def error_record(spark, sf):
     fb = D.filebeat_records(spark, sf)
     ok, _ = J.unwrap("value", "message")
@@ -213,8 +214,8 @@ def schema_envelope_daily(spark, sf):
 
 
 @register("schema_envelope_db", O.with_(O.FILEBEAT) + f"""
-SELECT "offset", cls <> 5 AS ok, CASE WHEN cls <> 5 THEN {O.DB_KEY} END AS key,
-       CASE WHEN cls <> 5 THEN {O.DB_VALUE} END AS value
+SELECT "offset", {DB_OK} AS ok, CASE WHEN {DB_OK} THEN {O.DB_KEY} END AS key,
+       CASE WHEN {DB_OK} THEN {O.DB_VALUE} END AS value
 FROM fb WHERE {O.BUSINESS_ROW}""")
 def schema_envelope_db(spark, sf):
     df = filter_once(_fb_inner(spark, sf), F.col("ok") & P.is_business(F.col("var")))
@@ -248,7 +249,7 @@ def error_counts(spark, sf):
 
 # ---------------------------------------------------------------- filters
 def _offsets(df, cond):
-    return filter_once(df, cond).select("offset")
+    return filter_once(df, cond, ["offset"])
 
 
 @register("pipe_filter", O.with_(O.PIPE) + "SELECT \"offset\" FROM pp WHERE is_chat")
@@ -300,7 +301,7 @@ def filter_business(spark, sf):
 
 @register("filter_not_null", O.with_(O.FILEBEAT) + "SELECT \"offset\" FROM fb WHERE value IS NOT NULL")
 def filter_not_null(spark, sf):
-    return _offsets(D.filebeat_records(spark, sf), P.not_null("value"))
+    return D.filebeat_records(spark, sf).where(P.not_null("value")).select("offset")  # a stored column
 
 
 # ---------------------------------------------------------------- branching
@@ -335,7 +336,7 @@ def branch_two_level(spark, sf):
 @register("multi_filter", O.with_(O.FILEBEAT) + f"""
 SELECT "offset", 'currency' AS branch FROM fb WHERE unwrap_ok AND {O.CURRENCY}
 UNION ALL SELECT "offset", 'buy' FROM fb WHERE unwrap_ok AND {O.BUY}
-UNION ALL SELECT "offset", 'even_server' FROM fb WHERE unwrap_ok AND is_obj AND user_id % 2 = 0""")
+UNION ALL SELECT "offset", 'even_server' FROM fb WHERE unwrap_ok AND is_obj AND cls <> 7 AND user_id % 2 = 0""")
 def multi_filter(spark, sf):
     df = filter_once(_fb_inner(spark, sf), F.col("ok"))
     even = F.coalesce(J.int_of(F.col("var"), "server_no") % 2 == 0, F.lit(False))
@@ -356,7 +357,7 @@ def dynamic_topic_daily(spark, sf):
 
 
 @register("dynamic_topic_by_type", O.with_(O.FILEBEAT) + f"""
-SELECT "offset", CASE WHEN cls <> 5 THEN 'tb_log_' || lt END AS topic FROM fb WHERE {O.BUSINESS_ROW}""")
+SELECT "offset", CASE WHEN {DB_OK} THEN 'tb_log_' || lt END AS topic FROM fb WHERE {O.BUSINESS_ROW}""")
 def dynamic_topic_by_type(spark, sf):
     df = filter_once(_fb_inner(spark, sf), F.col("ok") & P.is_business(F.col("var")))
     return df.select("offset", R.db_envelope(F.col("var"), F.col("inner")).topic.alias("topic"))
@@ -367,17 +368,17 @@ MONTH_TOPIC_SQL = ("substr(topic, 1, strpos(topic, 'log_') - 1) || 'filtered_' |
 
 
 @register("dynamic_topic_monthly", O.with_(O.MONTHLY) + f"""
-SELECT "offset", CASE WHEN cls NOT IN (11, 17) AND strpos(topic, 'log_') > 0 THEN {MONTH_TOPIC_SQL} END AS topic
+SELECT "offset", CASE WHEN cls NOT IN (11, 17, 21, 23) AND strpos(topic, 'log_') > 0 THEN {MONTH_TOPIC_SQL} END AS topic
 FROM mn WHERE valid""")
 def dynamic_topic_monthly(spark, sf):
     df = _parsed(D.monthly_records(spark, sf))
     df = filter_once(df, J.is_container("value", F.col("var")))
-    t = F.try_variant_get(F.col("var"), "$.time", "bigint")
+    t = J.long_of(F.col("var"), "time", None)
     return df.select("offset", R.month_topic(F.col("topic"), t, "filtered_").alias("topic"))
 
 
 # ---------------------------------------------------------------- time, coercion, hash
-@register("mysql_datetime6", fb_obj(f"CASE WHEN cls <> 5 THEN {O.DT6} END AS date_time"))
+@register("mysql_datetime6", fb_obj(f"CASE WHEN cls NOT IN (5, 8) THEN {O.DT6} END AS date_time"))
 def mysql_datetime6(spark, sf):
     return _fb_objects(spark, sf).select(
         "offset", T.mysql_datetime6(J.text_of(F.col("var"), "date_time")).alias("date_time"))
@@ -389,7 +390,7 @@ def mysql_datetime6_compact(spark, sf):
         "offset", T.mysql_datetime6_compact(J.text_of(F.col("var"), "date_time")).alias("date_time"))
 
 
-@register("reformat_datetime", fb_obj("CASE WHEN cls <> 5 THEN strftime(ts, '%Y/%m/%d %H:%M:%S') END AS date_time"))
+@register("reformat_datetime", fb_obj("CASE WHEN cls NOT IN (5, 8) THEN strftime(ts, '%Y/%m/%d %H:%M:%S') END AS date_time"))
 def reformat_datetime(spark, sf):
     return _fb_objects(spark, sf).select("offset", T.reformat_datetime(
         J.text_of(F.col("var"), "date_time"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSSXXX", "yyyy/MM/dd HH:mm:ss")
@@ -397,11 +398,11 @@ def reformat_datetime(spark, sf):
 
 
 @register("year_month_kst", O.with_(O.MONTHLY) +
-          "SELECT \"offset\", CASE WHEN cls NOT IN (11, 17) THEN ym END AS year_month FROM mn WHERE valid")
+          "SELECT \"offset\", CASE WHEN cls NOT IN (11, 17, 21, 23) THEN ym END AS year_month FROM mn WHERE valid")
 def year_month_kst(spark, sf):
     df = _parsed(D.monthly_records(spark, sf))
     df = filter_once(df, J.is_container("value", F.col("var")))
-    return df.select("offset", T.year_month(F.try_variant_get(F.col("var"), "$.time", "bigint")).alias("year_month"))
+    return df.select("offset", T.year_month(J.long_of(F.col("var"), "time", None)).alias("year_month"))
 
 
 @register("coerce_int", fb_obj("CAST(k % 3 AS INTEGER) AS currency_type"))
@@ -445,7 +446,7 @@ def job_chat_extract(spark, sf):
 SELECT CASE WHEN cls NOT IN (7, 13) THEN {O.DAILY_TOPIC} ELSE 'dead-letter' END AS topic,
        CASE WHEN cls NOT IN (7, 13) THEN {O.DAILY_KEY} ELSE key END AS key,
        CASE WHEN cls NOT IN (7, 13) THEN {O.DAILY_VALUE}
-            ELSE {O.err_json('value', J.TOPIC_ERROR, 'ts')} END AS value
+            ELSE {O.err_json('value', O.TOPIC_ERROR, 'ts')} END AS value
 FROM gm WHERE target""")
 def job_daily_feed(spark, sf):
     return jobs.daily_feed(D.game_records(spark, sf), detected_at=REC)
@@ -453,7 +454,7 @@ def job_daily_feed(spark, sf):
 
 @register("job_filebeat_dlq", O.with_(O.FILEBEAT) + f"""
 SELECT CASE WHEN unwrap_ok THEN 's3-archive' ELSE 'dead-letter' END AS topic, key,
-       CASE WHEN unwrap_ok THEN msg ELSE {O.err_json('value', J.FILEBEAT_ERROR, 'ts')} END AS value
+       CASE WHEN unwrap_ok THEN msg ELSE {O.err_json('value', O.FILEBEAT_ERROR, 'ts')} END AS value
 FROM fb WHERE topic LIKE 'test-%'""")
 def job_filebeat_dlq(spark, sf):
     return jobs.filebeat_dlq(D.filebeat_records(spark, sf), detected_at=REC)
@@ -461,8 +462,8 @@ def job_filebeat_dlq(spark, sf):
 
 @register("job_two_level_dlq", O.with_(O.FILEBEAT) + f"""
 SELECT CASE WHEN unwrap_ok THEN 's3-archive' ELSE 'dead-letter' END AS topic, key,
-       CASE WHEN tomb OR cls = 0 THEN {O.err_json('value', J.INVALID_JSON, 'ts')}
-            WHEN cls = 1 THEN {O.err_json('value', J.TRANSFORM_ERROR, 'ts')}
+       CASE WHEN tomb OR cls = 0 THEN {O.err_json('value', O.INVALID_JSON, 'ts')}
+            WHEN cls = 1 THEN {O.err_json('value', O.TRANSFORM_ERROR, 'ts')}
             ELSE msg END AS value
 FROM fb WHERE topic LIKE 'test-%'""")
 def job_two_level_dlq(spark, sf):
@@ -470,9 +471,9 @@ def job_two_level_dlq(spark, sf):
 
 
 @register("job_db_feed", O.with_(O.FILEBEAT) + f"""
-SELECT CASE WHEN cls = 5 THEN 'dead-letter' ELSE 'tb_log_' || lt END AS topic,
-       CASE WHEN cls = 5 THEN key ELSE {O.DB_KEY} END AS key,
-       CASE WHEN cls = 5 THEN {O.err_json('inner_text', J.TOPIC_ERROR, 'ts')} ELSE {O.DB_VALUE} END AS value
+SELECT CASE WHEN {DB_OK} THEN 'tb_log_' || lt ELSE 'dead-letter' END AS topic,
+       CASE WHEN {DB_OK} THEN {O.DB_KEY} ELSE key END AS key,
+       CASE WHEN {DB_OK} THEN {O.DB_VALUE} ELSE {O.err_json('inner_text', O.TOPIC_ERROR, 'ts')} END AS value
 FROM fb WHERE topic LIKE 'test-%' AND {O.BUSINESS_ROW}""")
 def job_db_feed(spark, sf):
     return jobs.db_feed(D.filebeat_records(spark, sf), detected_at=REC)
@@ -480,7 +481,7 @@ def job_db_feed(spark, sf):
 
 @register("job_monthly_split", O.with_(O.MONTHLY) + f"""
 SELECT CASE WHEN routable THEN {MONTH_TOPIC_SQL} ELSE 'dead-letter' END AS topic, key,
-       CASE WHEN routable THEN value ELSE {O.err_json('value', J.TOPIC_ERROR, 'ts')} END AS value
+       CASE WHEN routable THEN value ELSE {O.err_json('value', O.TOPIC_ERROR, 'ts')} END AS value
 FROM mn WHERE valid""")
 def job_monthly_split(spark, sf):
     return jobs.monthly_split(D.monthly_records(spark, sf), topic_prefix="filtered_", detected_at=REC)
@@ -522,8 +523,9 @@ def flat_map_words(spark, sf):
 
 
 @register("latest_by_key", O.with_(O.FILEBEAT) + """
-SELECT key, "offset", value FROM (
-  SELECT key, "offset", value, row_number() OVER (PARTITION BY key ORDER BY "offset" DESC) AS rn
+SELECT topic, key, "offset", value FROM (
+  SELECT topic, key, "offset", value,
+         row_number() OVER (PARTITION BY topic, key ORDER BY ts DESC, "partition" DESC, "offset" DESC) AS rn
   FROM fb WHERE key IS NOT NULL)
 WHERE rn = 1 AND value IS NOT NULL""")
 def latest_by_key_q(spark, sf):
@@ -536,7 +538,7 @@ def mask_pii(spark, sf):
     return df.select("offset", X.mask_pii(J.text_of(F.col("var"), "message")).alias("message"))
 
 
-@register("mask_pii_documents", f"SELECT doc_id, {O.mask_sql('text')} AS text FROM documents")
+@register("mask_pii_documents", f"SELECT doc_id, {O.mask_sql('text', documents=True)} AS text FROM documents")
 def mask_pii_documents(spark, sf):
     d = D.table(spark, sf, "documents")
-    return d.select("doc_id", X.mask_pii("text").alias("text"))
+    return d.select("doc_id", X.mask_pii("text", X.DOCUMENT_PII_RULES).alias("text"))

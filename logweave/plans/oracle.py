@@ -11,7 +11,20 @@ follow, so classifying by parsing would test the wrong thing.)
 
 from __future__ import annotations
 
-from logweave.operators.reshape import DAILY_SCHEMA, DB_SCHEMA
+# Fixed values, written out here so that a wrong one in the library shows.
+DAILY_SCHEMA = ('{"type":"struct","fields":[{"field":"svrid","type":"int32"},'
+                '{"field":"dteventtime","type":"string","name":"org.apache.kafka.connect.data.Timestamp"},'
+                '{"field":"loguuid","type":"int64"},{"field":"content","type":"string"}]}')
+DB_SCHEMA = ('{"type":"struct","fields":[{"field":"server_no","type":"int32"},{"field":"date_time","type":"string"},'
+             '{"field":"uuid","type":"string"},{"field":"content","type":"string"}]}')
+INVALID_JSON = "Invalid JSON format"
+FILEBEAT_ERROR = "Filebeat Message Deserialization Error"
+FLUENTBIT_ERROR = "Fluentbit Log Deserialization Error"
+TRANSFORM_ERROR = "Record Transform Error"
+TOPIC_ERROR = "Output Topic Resolution Error"
+MASKED = [("[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}", "**MASKED_CREDIT_CARD_NUM**"),
+          ("[0-9]{6}-[0-9]{7}", "**MASKED_RRN**"),
+          ("0[0-9]{1,2}-[0-9]{3,4}-[0-9]{4}", "**MASKED_PHONE_NUM**")]
 
 
 def q(s: str) -> str:
@@ -46,13 +59,14 @@ ev0 AS (
          CASE event_type WHEN 'click' THEN 'currency_a' WHEN 'view' THEN 'Currency_B'
               WHEN 'purchase' THEN 'exchange_buy' WHEN 'signup' THEN 'LAYBY_BUY' ELSE 'other' END AS log_type,
          strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || CAST(event_id % 10 AS VARCHAR)
-           || CASE WHEN event_id % 20 = 5 THEN '+0900' ELSE '+09:00' END AS date_time
+           || CASE WHEN event_id % 20 = 5 THEN '+0900' WHEN event_id % 20 = 8 THEN '+19:00' ELSE '+09:00' END AS date_time,
+         user_id + CASE WHEN event_id % 20 = 7 THEN 3000000000 ELSE 0 END AS sno
   FROM events),
 ev1 AS (
   SELECT *, CAST(CASE WHEN cls = 6
-      THEN to_json({'log_type': log_type, 'currency_type': CAST(k % 3 AS VARCHAR), 'server_no': user_id,
+      THEN to_json({'log_type': log_type, 'currency_type': CAST(k % 3 AS VARCHAR), 'server_no': sno,
                     'date_time': date_time, 'uuid': CAST(event_id AS VARCHAR)})
-      ELSE to_json({'log_type': log_type, 'currency_type': CAST(k % 3 AS INTEGER), 'server_no': user_id,
+      ELSE to_json({'log_type': log_type, 'currency_type': CAST(k % 3 AS INTEGER), 'server_no': sno,
                     'date_time': date_time, 'uuid': CAST(event_id AS VARCHAR)}) END AS VARCHAR) AS inner_text
   FROM ev0),
 ev AS (
@@ -134,13 +148,14 @@ pp0 AS (
   FROM events),
 pp1 AS (
   SELECT *, CASE WHEN cls = 0 THEN head WHEN cls = 5 THEN head || '|' || mid || '||'
+                 WHEN cls = 7 THEN head || '|' || mid || '||' || chr(10)
                  ELSE head || '|' || mid || '|' || CAST(user_id AS VARCHAR) || '|end' END AS msg
   FROM pp0),
 pp AS (
   SELECT event_id AS "offset", 'chat-raw-' || CAST(user_id % 3 AS VARCHAR) AS topic,
          CAST(to_json({'message': msg}) AS VARCHAR) AS value, msg, cls,
          event_type IN ('click', 'view') AS is_chat,
-         CASE WHEN cls IN (0, 5) THEN NULL ELSE CAST(user_id AS VARCHAR) END AS field8
+         CASE WHEN cls IN (0, 5) THEN NULL WHEN cls = 7 THEN '' ELSE CAST(user_id AS VARCHAR) END AS field8
   FROM pp1)"""
 
 GAME = """
@@ -169,7 +184,9 @@ mn0 AS (
   FROM orders),
 mn1 AS (
   SELECT *, CAST(to_json({'time': t, 'orderkey': o_orderkey, 'status': o_orderstatus,
-                          'priority': o_orderpriority}) AS VARCHAR) AS good
+                          'priority': o_orderpriority}) AS VARCHAR) AS good,
+            CASE cls WHEN 21 THEN to_json(t * 1000) WHEN 23 THEN to_json(t * 1000000)
+                     WHEN 25 THEN to_json(CAST(t AS VARCHAR) || '.5') ELSE to_json(CAST(t AS VARCHAR) || 'e0') END AS odd
   FROM mn0),
 mn AS (
   SELECT o_orderkey AS "offset", topic, CAST(o_orderkey AS VARCHAR) AS key, o_orderdate AS ts,
@@ -178,8 +195,10 @@ mn AS (
                                                'priority': o_orderpriority}) AS VARCHAR)
               WHEN cls = 17 THEN CAST(to_json({'time': 'unknown', 'orderkey': o_orderkey, 'status': o_orderstatus,
                                                'priority': o_orderpriority}) AS VARCHAR)
+              WHEN cls IN (21, 23, 25, 27) THEN CAST(to_json({'time': odd, 'orderkey': o_orderkey, 'status': o_orderstatus,
+                                                              'priority': o_orderpriority}) AS VARCHAR)
               ELSE good END AS value,
-         cls, t, cls <> 3 AS valid, cls NOT IN (3, 11, 17) AND topic LIKE '%log\\_%' ESCAPE '\\' AS routable,
+         cls, t, cls <> 3 AS valid, cls NOT IN (3, 11, 17, 21, 23) AND topic LIKE '%log\\_%' ESCAPE '\\' AS routable,
          strftime(make_timestamp((t + 32400) * 1000000), '%Y_%m') AS ym
   FROM mn1)"""
 
@@ -232,14 +251,15 @@ tk AS (
   FROM tk0)"""
 
 
-def mask_sql(x: str) -> str:
+def mask_sql(x: str, documents: bool = False) -> str:
     """PII masking without look-around: each digit-bounded pattern is
     replaced with its neighbours captured and put back, twice, so matches
     separated by a single character are all found."""
-    from logweave.functions.textcols import PII_RULES
-    for pattern, token in PII_RULES:
-        core = pattern.replace("(?<!\\d)", "").replace("(?!\\d)", "")
-        rx = "(^|[^0-9])" + core + "([^0-9]|$)"
+    rules = [("[^0-9]", core, token) for core, token in MASKED]
+    if documents:
+        rules.append(("[^0-9+]", r"\+[0-9]{1,3} \([0-9]{2,4}\) [0-9]{3,4}-[0-9]{4}", "**MASKED_PHONE_NUM**"))
+    for before, core, token in rules:
+        rx = f"(^|{before})" + core + "([^0-9]|$)"
         for _ in range(2):
             x = f"regexp_replace({x}, {q(rx)}, {q(chr(92) + '1' + token + chr(92) + '2')}, 'g')"
     return x

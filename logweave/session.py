@@ -8,15 +8,19 @@ library touches:
   behaviour) instead of the whole record failing to parse.
 * ``spark.sql.legacy.timeParserPolicy=CORRECTED`` — date-time validity
   checks use the strict parser.
-* ``spark.sql.session.timeZone=UTC`` — only for sessions built here; the
-  time functions never depend on the session zone, they take explicit
-  zone arguments.
+* ``spark.sql.session.timeZone=UTC`` — only for sessions built here, where
+  nothing else is set; the time functions never depend on the session zone,
+  they take explicit zone arguments.
+
+Defaults never replace what the cluster or ``spark-submit`` sets; Java options
+are added to those that are there.
 """
 
 from __future__ import annotations
 
 import os
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import SparkSession
 
 REQUIRED_SQL_CONF = {
@@ -46,6 +50,31 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _preset() -> dict[str, str]:
+    """Settings that are there already: of a running session, or from ``spark-submit``."""
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        try:
+            return dict(active.sparkContext.getConf().getAll())
+        except Exception:  # a Connect session has no SparkContext
+            return {}
+    if SparkContext._gateway is None and "PYSPARK_GATEWAY_PORT" not in os.environ:
+        return {}
+    SparkContext._ensure_initialized()
+    return dict(SparkConf(_jvm=SparkContext._jvm).getAll())
+
+
+def merged_conf(defaults: dict[str, str], preset: dict[str, str]) -> dict[str, str]:
+    """The defaults that are not set yet; Java options are appended to those set."""
+    out = {}
+    for k, v in defaults.items():
+        if k not in preset:
+            out[k] = v
+        elif k.endswith("extraJavaOptions") and v not in preset[k]:
+            out[k] = f"{preset[k]} {v}"
+    return out
+
+
 def build_session(master: str | None = None, app_name: str = "logweave",
                   conf: dict[str, str] | None = None) -> SparkSession:
     """Create (or reuse) a session with the library defaults.
@@ -64,7 +93,8 @@ def build_session(master: str | None = None, app_name: str = "logweave",
             # coalesces small stages); locally it is the core count.
             n = master[len("local["):-1] if master.startswith("local[") else "1"
             local["spark.sql.shuffle.partitions"] = str(os.cpu_count() or 8) if n == "*" else n
-    for k, v in {**DEFAULT_CONF, **local, **REQUIRED_SQL_CONF, **(conf or {})}.items():
+    defaults = merged_conf({**DEFAULT_CONF, **local}, _preset())
+    for k, v in {**defaults, **REQUIRED_SQL_CONF, **(conf or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     return configure(spark)

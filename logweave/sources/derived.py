@@ -17,7 +17,8 @@ filebeat (from ``events``)
     (NULL value); otherwise by ``event_id % 20``: 0 envelope cut short,
     1 no ``message``, 2 ``message`` a JSON number, 3 ``message`` a JSON array,
     4 ``message`` cut short, 5 ``date_time`` with a ``+0900`` offset,
-    6 ``currency_type`` written as text; the rest are good.
+    6 ``currency_type`` written as text, 7 ``server_no`` beyond 32 bits,
+    8 an offset beyond 18 hours; the rest are good.
 fluentbit (from ``events``)
     the same business log inside ``{"date","log","kubernetes"}``.
 actions / tables (from ``conversations``)
@@ -26,14 +27,16 @@ actions / tables (from ``conversations``)
     ``arguments``.
 pipe (from ``events``)
     ``{"message":"f0|f1|...|f9"}`` with field 8 the user id;
-    ``event_id % 10 = 0`` has 5 fields, ``= 5`` ends in empty fields 8-9.
+    ``event_id % 10 = 0`` has 5 fields, ``= 5`` ends in empty fields 8-9,
+    ``= 7`` in an empty field 8 and a line feed.
 game (from ``orders``)
     ``{"name","SvrId","dtEventTime","logUUID","priority"}``;
     ``o_orderkey % 50``: 7 bad date, 13 no ``SvrId``.
 monthly (from ``orders``)
     ``{"time","orderkey","status","priority"}`` on ``jdbc.*log_<status>``
     topics; ``o_orderkey % 40``: 3 cut short, 11 no ``time``, 17 ``time``
-    not numeric; ``o_custkey % 97 = 0`` is on a topic without ``log_``.
+    not numeric, 21 in milliseconds, 23 in microseconds, 25 and 27 numeric
+    text (``"1.5"``, ``"1e0"``); ``o_custkey % 97 = 0`` is on a topic without ``log_``.
 decimals (from ``orders``)
     ``{"orderkey","amount"}`` with a 29-digit decimal ``amount``.
 tickets (from ``customer``)
@@ -94,8 +97,9 @@ def _business_log(e: DataFrame) -> tuple[Column, Column]:
     cur = (k % 3).cast("int")
     date_time = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
                          (F.col("event_id") % 10).cast("string"),
-                         F.when(cls == 5, F.lit("+0900")).otherwise(F.lit("+09:00")))
-    rest = [F.col("user_id").alias("server_no"), date_time.alias("date_time"),
+                         F.when(cls == 5, F.lit("+0900")).when(cls == 8, F.lit("+19:00")).otherwise(F.lit("+09:00")))
+    server = F.col("user_id") + F.when(cls == 7, F.lit(3_000_000_000)).otherwise(F.lit(0))
+    rest = [server.alias("server_no"), date_time.alias("date_time"),
             F.col("event_id").cast("string").alias("uuid")]
     text = F.when(cls == 6, _json(lt.alias("log_type"), cur.cast("string").alias("currency_type"), *rest)) \
         .otherwise(_json(lt.alias("log_type"), cur.alias("currency_type"), *rest))
@@ -194,6 +198,7 @@ def pipe_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     cls = F.col("event_id") % 10
     msg = (F.when(cls == 0, F.concat_ws("|", *head))
            .when(cls == 5, F.concat(F.concat_ws("|", *head, *mid), F.lit("||")))
+           .when(cls == 7, F.concat(F.concat_ws("|", *head, *mid), F.lit("||\n")))
            .otherwise(full))
     return as_records(e.select(
         F.concat(F.lit("chat-raw-"), (F.col("user_id") % 3).cast("string")).alias("topic"),
@@ -228,6 +233,10 @@ def monthly_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = (F.when(cls == 3, _half(good))
              .when(cls == 11, _json(*tail))
              .when(cls == 17, _json(F.lit("unknown").alias("time"), *tail))
+             .when(cls == 21, _json((t * 1000).alias("time"), *tail))
+             .when(cls == 23, _json((t * 1000000).alias("time"), *tail))
+             .when(cls == 25, _json(F.concat(t.cast("string"), F.lit(".5")).alias("time"), *tail))
+             .when(cls == 27, _json(F.concat(t.cast("string"), F.lit("e0")).alias("time"), *tail))
              .otherwise(good))
     topic = (F.when(F.col("o_custkey") % 97 == 0, F.lit("jdbc.mum2.audit"))
              .otherwise(F.concat(F.when(F.col("o_custkey") % 2 == 0, F.lit("jdbc.mum2.log_"))

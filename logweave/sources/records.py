@@ -34,6 +34,19 @@ FILE_SCHEMA = T.StructType(list(FILE_DATA_SCHEMA.fields) + [T.StructField("topic
 
 ROUTED_COLUMNS = ["topic", "key", "value"]
 
+# Where a routed record came from. ``partition``, ``offset`` and ``timestamp``
+# keep their names, so routed output reads back as records and jobs chain.
+METADATA_COLUMNS = ["partition", "offset", "timestamp", "source_topic", "headers"]
+
+# What a reader adds: the original bytes of a value that is not UTF-8, and
+# Kafka's headers.
+OPTIONAL_COLUMNS = ["raw", "headers", "source_topic"]
+
+
+def routed_columns(df: DataFrame) -> list[str]:
+    """The columns a sink writes: topic, key, value and the metadata that is there."""
+    return ROUTED_COLUMNS + [c for c in METADATA_COLUMNS if c in df.columns]
+
 
 def topic_matches(pattern: str) -> Column:
     """Whole-name regex subscription (``test-.*`` matches ``test-a`` only
@@ -69,11 +82,20 @@ def _file_schema(binary: bool) -> T.StructType:
 
 
 def _decoded(df: DataFrame, binary: bool) -> DataFrame:
-    """Record columns; raw Kafka bytes are decoded as UTF-8 (invalid -> NULL)."""
+    """Record columns; raw Kafka bytes are decoded as UTF-8.
+
+    A value that is not UTF-8 is NULL and its bytes stay in ``raw``: jobs
+    dead-letter it with a reason of its own. A key that is not UTF-8 is read
+    with replacement characters.
+    """
+    extra = [c for c in OPTIONAL_COLUMNS if c in df.columns]
     if binary:
-        df = (df.withColumn("key", F.try_validate_utf8(F.col("key").cast("string")))
-                .withColumn("value", F.try_validate_utf8(F.col("value").cast("string"))))
-    return df.select(*RECORD_SCHEMA.fieldNames())
+        text = F.try_validate_utf8(F.col("value").cast("string"))
+        df = (df.withColumn("key", F.make_valid_utf8(F.col("key").cast("string")))
+                .withColumn("raw", F.when(text.isNull(), F.col("value")))
+                .withColumn("value", text))
+        extra = [*extra, "raw"]
+    return df.select(*RECORD_SCHEMA.fieldNames(), *extra)
 
 
 def read_topics(spark: SparkSession, root: str, topic=None, pattern=None,
@@ -81,8 +103,7 @@ def read_topics(spark: SparkSession, root: str, topic=None, pattern=None,
     """Batch read of a ``topic=<name>`` directory table.
 
     ``binary=True`` reads tables that keep Kafka's raw ``key``/``value``
-    bytes; a value that is not valid UTF-8 becomes NULL (and is then
-    dead-lettered like a tombstone by the strict jobs).
+    bytes; of a value that is not valid UTF-8 the bytes are kept in ``raw``.
     """
     df = spark.read.format(fmt).schema(_file_schema(binary)).load(root)
     return select_topics(_decoded(df, binary), topic, pattern)
@@ -90,9 +111,10 @@ def read_topics(spark: SparkSession, root: str, topic=None, pattern=None,
 
 def read_topics_stream(spark: SparkSession, root: str, topic=None, pattern=None,
                        max_files_per_trigger: int | None = None,
-                       fmt: str = "parquet", binary: bool = False) -> DataFrame:
+                       fmt: str = "parquet", binary: bool = False,
+                       options: dict[str, str] | None = None) -> DataFrame:
     """Streaming read of the same directory table (new files = new records)."""
-    r = spark.readStream.format(fmt).schema(_file_schema(binary))
+    r = spark.readStream.format(fmt).schema(_file_schema(binary)).options(**(options or {}))
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     df = r.load(root)
@@ -144,9 +166,7 @@ def read_kafka(spark: SparkSession, bootstrap: str, topic=None, pattern=None,
     opts = kafka_source_options(bootstrap, topic, pattern, starting_offsets, stream, extra)
     r = spark.readStream if stream else spark.read
     df = r.format("kafka").options(**opts).load()
-    return df.select("topic", F.col("key").cast("string").alias("key"),
-                     F.try_validate_utf8(F.col("value").cast("string")).alias("value"),
-                     "partition", "offset", "timestamp")
+    return _decoded(df, binary=True)
 
 
 def as_records(df: DataFrame) -> DataFrame:

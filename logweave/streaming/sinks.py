@@ -1,4 +1,4 @@
-"""Writing routed records ``(topic, key, value)`` — batch and streaming.
+"""Writing routed records ``(topic, key, value)`` and their metadata — batch and streaming.
 
 File sinks lay records out as ``<root>/topic=<name>/part-*``: a topic is a
 directory, so a dynamic topic per record is just a partition value and
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logweave.session import shared_dir
-from logweave.sources.records import ROUTED_COLUMNS
+from logweave.sources.records import ROUTED_COLUMNS, routed_columns
 
 
 def kafka_sink_options(bootstrap: str, compression: str | None = None,
@@ -59,9 +59,12 @@ def spread_by_topic(routed: DataFrame, partitions: int, files_per_topic: int) ->
 
 def write_routed(routed: DataFrame, root: str, mode: str = "append", fmt: str = "parquet",
                  compression: str | None = "zstd",
-                 spread: tuple[int, int] | None = None) -> None:
+                 spread: tuple[int, int] | None = None, rebalance: bool = False) -> None:
     """Batch write into ``<root>/topic=<name>/``.
 
+    ``rebalance`` shuffles by topic and lets adaptive execution split large
+    topics and merge small ones by size, whatever their number.
+
     ``spread=(partitions, files_per_topic)`` runs :func:`spread_by_topic`
     first: worth its shuffle when computed topics are many (per day and
     type over a long backfill), where every task would otherwise write one
@@ -69,30 +72,43 @@ def write_routed(routed: DataFrame, root: str, mode: str = "append", fmt: str =
     """
     if spread is not None:
         routed = spread_by_topic(routed, *spread)
-    w = routed.select(*ROUTED_COLUMNS).write.mode(mode).format(fmt).partitionBy("topic")
+    elif rebalance:
+        routed = routed.hint("rebalance", F.col("topic"))
+    w = routed.select(*routed_columns(routed)).write.mode(mode).format(fmt).partitionBy("topic")
     if compression and fmt in ("parquet", "orc", "json", "csv", "text"):
         w = w.option("compression", compression)
     w.save(root)
 
 
+def _kafka_columns(routed: DataFrame) -> list[str]:
+    """Kafka sets partition, offset and timestamp itself; headers go along."""
+    return ROUTED_COLUMNS + [c for c in ("headers",) if c in routed.columns]
+
+
 def write_routed_kafka(routed: DataFrame, options: dict[str, str]) -> None:
     """Batch write to Kafka (needs the Kafka connector on the classpath)."""
-    routed.select(*ROUTED_COLUMNS).write.format("kafka").options(**options).save()
+    routed.select(*_kafka_columns(routed)).write.format("kafka").options(**options).save()
 
 
 def start_routed_stream(routed: DataFrame, root: str, checkpoint: str | None = None,
                         name: str = "routed", fmt: str = "parquet",
                         available_now: bool = True, processing_time: str | None = None,
-                        compression: str | None = "zstd") -> StreamingQuery:
+                        compression: str | None = "zstd",
+                        spread: tuple[int, int] | None = None) -> StreamingQuery:
     """Start a streaming write into ``<root>/topic=<name>/``.
 
+    ``spread=(partitions, files_per_topic)`` bounds each micro-batch's files
+    per topic (:func:`spread_by_topic`).
+
     The file sink with a checkpoint is exactly-once: a restarted query skips
     batches already committed. ``available_now`` processes what is there and
     stops; ``processing_time`` (e.g. ``"30 seconds"``) keeps running.
     """
     spark = routed.sparkSession
     ckpt = checkpoint or shared_dir(spark, f"checkpoints/{name}")
-    w = (routed.select(*ROUTED_COLUMNS).writeStream.format(fmt).partitionBy("topic")
+    if spread is not None:
+        routed = spread_by_topic(routed, *spread)
+    w = (routed.select(*routed_columns(routed)).writeStream.format(fmt).partitionBy("topic")
          .option("checkpointLocation", ckpt).option("path", root).queryName(name)
          .outputMode("append"))
     if compression and fmt in ("parquet", "orc", "json", "csv", "text"):
@@ -109,7 +125,7 @@ def start_routed_kafka_stream(routed: DataFrame, options: dict[str, str], checkp
     """Streaming write to Kafka (at-least-once, as any Kafka producer)."""
     spark = routed.sparkSession
     ckpt = checkpoint or shared_dir(spark, f"checkpoints/{name}")
-    w = (routed.select(*ROUTED_COLUMNS).writeStream.format("kafka").options(**options)
+    w = (routed.select(*_kafka_columns(routed)).writeStream.format("kafka").options(**options)
          .option("checkpointLocation", ckpt).queryName(name))
     if processing_time:
         w = w.trigger(processingTime=processing_time)

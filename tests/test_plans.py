@@ -33,7 +33,8 @@ def test_job_plan(spark, topic_tables, job, table, parses):
     s = plan_stats(df)
     assert s["exchanges"] == 0
     assert s["python_nodes"] == 0
-    assert s["codegen_gaps"] == 0          # generator and projections all compiled
+    # the second reader for very large records is called from its projection, once per parse; all else is compiled
+    assert s["codegen_gaps"] <= parses
     assert s["parses"] == parses
     assert s["partition_filters"] and "topic" in s["partition_filters"][0]
     assert all("partition" not in rs and "offset" not in rs for rs in s["read_schema"])
@@ -43,18 +44,19 @@ def test_latest_by_key_partial_aggregation(spark, topic_tables):
     df = latest_by_key(read_topics(spark, f"{topic_tables}/fb"))
     from logweave.plans.inspect import formatted_plan
     plan = formatted_plan(df)
-    assert plan.count("HashAggregate") + plan.count("ObjectHashAggregate") + plan.count("SortAggregate") >= 2
+    assert plan.count("SortAggregate") >= 2    # a struct buffer: combined in sorted order, before and after the exchange
     assert "partial_max_by" in plan
 
 
 def test_catalog_is_map_only_except_grouped(spark, sf_dir):
     """Every registered query runs without Python and without a shuffle,
     except the two that group (per-topic counts, latest value per key)."""
-    import __spark_entry__ as E
+    from logweave.plans.catalog import QUERIES
     grouped = {"error_counts", "latest_by_key"}
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         s = plan_stats(fn(spark, sf_dir))
         assert s["python_nodes"] == 0, name
+        assert s["parses"] <= 3, name      # envelope, payload, and the test table's own JSON column
         if name in grouped:
             assert s["exchanges"] >= 1, name
         else:
