@@ -124,9 +124,9 @@ def _daily_fields(var) -> dict:
 
 
 def with_daily_fields(df: DataFrame, var: str) -> DataFrame:
-    """Read the game-log fields once (``_f_name, _f_svrid, _f_dt, _f_uuid_long,
-    _f_uuid_text``), for a filter and the envelope to share."""
-    return _stage(df, _daily_fields(F.col(var)))
+    """Read the field a game-log filter needs (``_f_name``), for the filter
+    and the envelope to share."""
+    return _stage(df, {"_f_name": _daily_fields(F.col(var))["_f_name"]})
 
 
 def daily_envelope(var, value, topic_prefix: str = "my_log_") -> Reshaped:
@@ -150,8 +150,7 @@ def with_daily_envelope(df: DataFrame, var: str, value: str = "value",
     """Staged :func:`daily_envelope`: adds ``_ok, _k, _v, _t`` (only where
     the boolean column ``keep`` holds, when given). Reuses the fields of
     :func:`with_daily_fields` when they are already there."""
-    if "_f_name" not in df.columns:
-        df = _stage(df, _gate(_daily_fields(F.col(var)), keep))
+    df = _stage(df, _gate({k: c for k, c in _daily_fields(F.col(var)).items() if k not in df.columns}, keep))
     r = daily_envelope_parts(*[F.col(c) for c in ("_f_name", "_f_svrid", "_f_dt", "_f_uuid_long", "_f_uuid_text")],
                              J.trimmed(value), topic_prefix)
     return _drop_temps(_stage(df, _gate({"_ok": r.ok, "_k": r.key, "_v": r.value, "_t": r.topic}, keep)))
@@ -175,9 +174,9 @@ def _db_fields(var) -> dict:
 
 
 def with_db_fields(df: DataFrame, var: str) -> DataFrame:
-    """Read the business-log fields once (``_f_server, _f_dt, _f_uuid,
-    _f_type, _f_cur``), for a filter and the envelope to share."""
-    return _stage(df, _db_fields(F.col(var)))
+    """Read the fields a business-log filter needs (``_f_type, _f_cur``), for
+    the filter and the envelope to share."""
+    return _stage(df, {k: c for k, c in _db_fields(F.col(var)).items() if k in ("_f_type", "_f_cur")})
 
 
 def db_envelope(var, value, topic_prefix: str = "tb_log_") -> Reshaped:
@@ -193,8 +192,7 @@ def with_db_envelope(df: DataFrame, var: str, value: str = "value",
     """Staged :func:`db_envelope`: adds ``_ok, _k, _v, _t`` (only where the
     boolean column ``keep`` holds, when given). Reuses the fields of
     :func:`with_db_fields` when they are already there."""
-    if "_f_type" not in df.columns:
-        df = _stage(df, _gate(_db_fields(F.col(var)), keep))
+    df = _stage(df, _gate({k: c for k, c in _db_fields(F.col(var)).items() if k not in df.columns}, keep))
     df = _stage(df, _gate({"_f_dt6": T.mysql_datetime6("_f_dt")}, keep))
     r = db_envelope_parts(F.col("_f_server"), F.col("_f_dt6"), F.col("_f_uuid"), F.col("_f_type"),
                           J.trimmed(value), topic_prefix)
