@@ -54,17 +54,19 @@ def text_key(text="text"):
 
 
 def bloom_bits(keys: DataFrame, hash_col: str) -> np.ndarray:
-    """Bit array (numpy uint64, ``BLOOM_BITS`` bits) of the 64-bit hashes in ``hash_col``.
+    """Bit array (numpy uint64) of the 64-bit hashes in ``hash_col`` of a written table.
 
-    Bits are combined with ``bit_or`` per 64-bit word before the shuffle and
-    after it, so at most ``BLOOM_BITS / 64`` rows reach the driver.
+    16 bits a key, a power of two, at most ``BLOOM_BITS``. Bits are combined
+    with ``bit_or`` per 64-bit word before the shuffle and after it, so at
+    most ``BLOOM_BITS / 64`` rows reach the driver.
     """
-    at = [F.pmod(F.col(hash_col), F.lit(BLOOM_BITS)),
-          F.pmod(F.shiftrightunsigned(F.col(hash_col), 32), F.lit(BLOOM_BITS))]
+    n = keys.count()
+    size = min(BLOOM_BITS, max(1 << 12, 1 << (16 * n).bit_length()))
+    at = [F.col(hash_col).bitwiseAND(F.lit(size - 1)), F.shiftright(hash_col, 32).bitwiseAND(F.lit(size - 1))]
     bits = keys.select(F.explode(F.array(*at)).alias("at"))
     words = (bits.groupBy(F.shiftright("at", 6).alias("word"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")))
-    out = np.zeros(BLOOM_BITS // 64, np.uint64)
+    out = np.zeros(size // 64, np.uint64)
     got = words.toPandas()
     out[got["word"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64).view(np.uint64)
     return out
@@ -72,8 +74,8 @@ def bloom_bits(keys: DataFrame, hash_col: str) -> np.ndarray:
 
 def in_bloom(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """For each 64-bit hash, whether it may be among those given to :func:`bloom_bits`."""
-    h = hashes.astype(np.int64, copy=False)
+    h, low = hashes.astype(np.int64, copy=False), 64 * len(bits) - 1
     ok = np.ones(len(h), bool)
-    for at in (h & (BLOOM_BITS - 1), (h.view(np.uint64) >> np.uint64(32)).astype(np.int64) & (BLOOM_BITS - 1)):
+    for at in (h & low, h >> 32 & low):
         ok &= (bits[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
     return ok

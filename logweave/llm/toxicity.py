@@ -10,7 +10,8 @@ of evidence (a toxic passage in a long text would drown in the mean). A logistic
 documents that were not counted, gives the score.
 
 Distinct bigrams are counted exactly, by a shuffle that grows with the
-input. The models that are broadcast are hashed tables of fixed size.
+input. The models that are broadcast are hashed tables of fixed size, which
+tasks add up and pass on in blocks.
 """
 
 from __future__ import annotations
@@ -23,11 +24,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logweave.llm.common import texts_of
+from logweave.llm.batches import runs
+from logweave.llm.common import bloom_bits, in_bloom, texts_of, written
 from logweave.llm.wordhash import WordHashes, coded_words, mix
 
-#: Buckets of words and of bigrams (at most 12 MB and 16 MB of counts are broadcast).
-WORD_BITS, BIGRAM_BITS = 19, 21
+#: Buckets of words and of bigrams (32 MB of bigram counts and 28 MB of word counts are broadcast, whatever
+#: the input), and entries of a block of them.
+WORD_BITS, BIGRAM_BITS, BLOCK_BITS = 20, 23, 14
 DISCOUNT = 0.75
 #: Words of the windows whose evidence counts beside the whole text's.
 WINDOWS = (4, 24)
@@ -36,7 +39,7 @@ LEVELS = (1.5, 2.5, 3.5, 4.5, 6)
 N_FEATURES = 2 * (1 + len(WINDOWS) + 2 * len(LEVELS))
 #: The most labelled documents that the logistic curve is fitted on.
 MAX_FIT = 20_000
-CHUNK_TOKENS = 200_000
+CHUNK_TOKENS, COUNT_TOKENS = 200_000, 1_500_000
 #: Rows of a batch that are taken together.
 SLICE_ROWS = 500
 
@@ -49,7 +52,7 @@ WORD_BYTES = bytes(
 _hashes = WordHashes()
 
 
-def token_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
+def token_chunks(batches: Iterator[pa.RecordBatch], most: int = CHUNK_TOKENS) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     """``(batches, word buckets, words of each row)``; bucket 0 is the beginning of a text."""
     held, parts, sizes = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
 
@@ -63,7 +66,7 @@ def token_chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, np.n
         held.append(b)
         parts.append(codes)
         sizes.append(lengths)
-        if sum(map(len, parts)) >= CHUNK_TOKENS:
+        if sum(map(len, parts)) >= most:
             yield answer()
             held, parts, sizes = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
     if held:
@@ -84,53 +87,101 @@ def bigram_bucket(key: np.ndarray) -> np.ndarray:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bigrams of a chunk with their counts in either class."""
-    for held, words, sizes in token_chunks(batches):
+    for held, words, sizes in token_chunks(batches, COUNT_TOKENS):
         toxic = np.repeat(np.concatenate([b.column("y").to_numpy() for b in held]), sizes)
-        key, at = np.unique(pairs(words, sizes) << WORD_BITS + 1 | words, return_inverse=True)
-        n_toxic = np.bincount(at, toxic, len(key)).astype(np.int64)
-        n_all = np.bincount(at, minlength=len(key))
+        key, at = np.unique(pairs(words, sizes) << WORD_BITS | words, return_inverse=True)
+        n_toxic = np.bincount(at, toxic, len(key)).astype(np.int32)
+        n_all = np.bincount(at, minlength=len(key)).astype(np.int32)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(bigram_bucket(key), pa.int64()), pa.array(key, pa.int64()), pa.array(n_toxic, pa.int64()),
-             pa.array(n_all - n_toxic, pa.int64())], ["bucket", "key", "toxic", "ordinary"])
+            [pa.array((bigram_bucket(key) >> BLOCK_BITS).astype(np.int32)), pa.array(key, pa.int64()), pa.array(n_toxic),
+             pa.array(n_all - n_toxic)], ["block", "key", "toxic", "ordinary"])
+
+
+def _block_row(kind: int, block: int, table: np.ndarray) -> pa.RecordBatch:
+    data = pa.compress(table.astype(np.float32).tobytes(), "zstd", asbytes=True)
+    return pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([block], pa.int32()), pa.array([data], pa.binary())],
+                                      ["kind", "block", "data"])
+
+
+def _table(data: bytes, kind: int) -> np.ndarray:
+    shape = (COLUMNS[kind], 1 << BLOCK_BITS)
+    return np.frombuffer(pa.decompress(data, 4 * shape[0] * shape[1], "zstd", asbytes=True), np.float32).reshape(shape)
+
+
+#: Columns of a block's table, by kind: bigram counts (ordinary, toxic); counts, kinds of bigrams in either
+#: class and in any, by the first word; the same by the second word.
+COLUMNS = (2, 5, 5)
+
+
+def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted bigram rows, a block's together -> the block's bigram table, and this task's word tables."""
+    total = np.zeros((2, 5, 1 << WORD_BITS), np.float32)
+    for b in runs(batches, ["block"]):
+        key = b.column("key").to_numpy()
+        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        counts = [np.add.reduceat(b.column(c).to_numpy().astype(np.int64), first) for c in ("ordinary", "toxic")]
+        key = key[first]
+        at = bigram_bucket(key) & (1 << BLOCK_BITS) - 1
+        yield _block_row(0, b.column("block")[0].as_py(), np.stack([np.bincount(at, c, 1 << BLOCK_BITS) for c in counts]))
+        values = [*counts, *(c > 0 for c in counts), np.ones(len(key))]
+        for side, words in enumerate((key >> WORD_BITS, key & (1 << WORD_BITS) - 1)):
+            for col, v in enumerate(values):
+                np.add.at(total[side, col], words, v.astype(np.float32))
+    for side in range(2):
+        for block, s in enumerate(range(0, 1 << WORD_BITS, 1 << BLOCK_BITS)):
+            part = total[side, :, s:s + (1 << BLOCK_BITS)]
+            if part.any():
+                yield _block_row(1 + side, block, part)
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted table rows -> the sum of each block's tables, added up one by one."""
+    now, key = None, None
+    for b in batches:
+        for kind, block, data in zip(*(b.column(c).to_pylist() for c in ("kind", "block", "data"))):
+            if (kind, block) != key:
+                if key is not None:
+                    yield _block_row(*key, now)
+                key, now = (kind, block), np.zeros((COLUMNS[kind], 1 << BLOCK_BITS), np.float64)
+            now += _table(data, kind)
+    if key is not None:
+        yield _block_row(*key, now)
 
 
 class Model:
     """Hashed counts: rows 0 and 1 are ordinary and toxic."""
 
-    def __init__(self, got):
-        bigrams, words = 1 << BIGRAM_BITS, (1 << WORD_BITS) + 1
-        self.bigram = np.zeros((2, bigrams), np.float32)
+    def __init__(self, rows):
+        words = 1 << WORD_BITS
+        self.bigram = np.zeros((2, 1 << BIGRAM_BITS), np.float16)
         self.context, self.types = np.zeros((2, words), np.float32), np.zeros((2, words), np.float32)
-        self.word, self.varied = np.zeros((2, words), np.float32), np.zeros(words, np.float32)
-        for kind in range(3):
-            rows = got[got["kind"] == kind]
-            at = rows["at"].to_numpy(np.int64)
-            counts = rows[["ordinary", "toxic"]].to_numpy(np.float32).T
-            if kind == 0:
-                self.bigram[:, at] = counts
-            elif kind == 1:
-                self.context[:, at] = counts
-                self.types[:, at] = rows[["ordinary_types", "toxic_types"]].to_numpy(np.float32).T
+        word, varied = np.zeros((2, words), np.float32), np.zeros(words, np.float32)
+        for r in rows:
+            table, s = _table(r.data, r.kind), slice(r.block << BLOCK_BITS, (r.block + 1) << BLOCK_BITS)
+            if r.kind == 0:
+                self.bigram[:, s] = np.minimum(table, 60_000)  # what a half float holds
+            elif r.kind == 1:
+                self.context[:, s], self.types[:, s] = table[:2], table[2:4]
             else:
-                self.word[:, at] = counts
-                self.varied[at] = rows["types"].to_numpy(np.float32)
-        self.shared = (self.varied + 1) / (self.varied.sum() + words)
-        total = np.maximum(self.word.sum(1), 1)
-        kinds = (self.word > 0).sum(1)
-        self.unigram = [np.maximum(self.word[k] - DISCOUNT, 0) / total[k]
-                        + np.where(self.word[k].any(), DISCOUNT * kinds[k] / total[k], 1) * self.shared for k in (0, 1)]
+                word[:, s], varied[s] = table[:2], table[4]
+        shared = (varied + 1) / (varied.sum() + words)
+        total = np.maximum(word.sum(1), 1)
+        kinds = (word > 0).sum(1)
+        self.unigram = [np.maximum(word[k] - DISCOUNT, 0) / total[k]
+                        + np.where(word[k].any(), DISCOUNT * kinds[k] / total[k], 1) * shared for k in (0, 1)]
+        self.unigram = np.array(self.unigram, np.float32)
         self.ratio = np.clip(np.log(self.unigram[1]) - np.log(self.unigram[0]), -12, 12)
 
     def evidence(self, words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """log P(word | word before, toxic) - log P(word | word before, ordinary), per word."""
         before = pairs(words, sizes)
-        at = bigram_bucket(before << WORD_BITS + 1 | words)
+        at = bigram_bucket(before << WORD_BITS | words)
         logs = []
         for k in (0, 1):
             n = self.context[k][before]
             seen = np.maximum(n, 1)
             back = np.where(n > 0, DISCOUNT * self.types[k][before] / seen, 1)
-            p = np.maximum(self.bigram[k][at] - DISCOUNT, 0) / seen + back * self.unigram[k][words]
+            p = np.maximum(self.bigram[k][at].astype(np.float32) - DISCOUNT, 0) / seen + back * self.unigram[k][words]
             logs.append(np.log(np.maximum(p, 1e-12)))
         return np.clip(logs[1] - logs[0], -12, 12)
 
@@ -162,28 +213,38 @@ def fold(id_col):
     return F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(5))
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str) -> DataFrame:
-    """``(doc_id, text, y)``, a row for each label 0 or 1 of each document row with that id."""
+def labelled(docs: DataFrame, labels: DataFrame, label: str, keep, most: int | None = None) -> DataFrame:
+    """``(doc_id, text, y)``, a row for each label 0 or 1 of each document row with that id, where ``keep`` admits it.
+
+    With ``most``, labels are a bounded sample chosen by a hash of the id, and
+    are broadcast. Otherwise only documents that a Bloom filter of fixed size
+    admits are shuffled to their labels.
+    """
     y = labels.select(F.col("doc_id").cast("long").alias("id"), F.col(label).cast("int").alias("y")).where(
-        F.col("id").isNotNull() & F.col("y").isin(0, 1))
-    return (texts_of(docs).join(y, F.col("doc_id") == F.col("id"))
-            .select("doc_id", F.col("text").cast("binary").alias("text"), "y"))
+        F.col("id").isNotNull() & F.col("y").isin(0, 1)).where(keep(F.col("id")))
+    rows = texts_of(docs)
+    if most is not None:
+        y = F.broadcast(y.orderBy(F.xxhash64("id"), "id", "y").limit(most))
+    else:
+        y = written(y, "labels")
+        bits = docs.sparkSession.sparkContext.broadcast(bloom_bits(y.select(F.xxhash64("id").alias("h")), "h"))
+
+        def likely(batches):
+            for b in batches:
+                yield b.filter(pa.array(in_bloom(bits.value, b.column("h").to_numpy())))
+
+        rows = rows.withColumn("h", F.xxhash64("doc_id")).mapInArrow(likely, "doc_id long, text string, h long")
+        y = y.hint("merge")
+    return rows.join(y, F.col("doc_id") == F.col("id")).select("doc_id", F.col("text").cast("binary").alias("text"), "y")
 
 
 def count_model(rows: DataFrame) -> Model:
-    """The models of the rows ``(text, y)``: exact distinct bigrams, then tables of fixed size."""
-    bigrams = rows.select("text", "y").mapInArrow(_count, "bucket long, key long, toxic long, ordinary long")
-    # one shuffle by bucket serves both sums; tasks have combined their own rows already
-    exact = bigrams.repartition("bucket").groupBy("bucket", "key").agg(F.sum("toxic").alias("t"), F.sum("ordinary").alias("o"))
-    word = (1 << WORD_BITS + 1) - 1
-    kinds = F.explode(F.array(*[
-        F.struct(F.lit(kind).alias("kind"), at.alias("at")) for kind, at in
-        ((0, F.col("bucket")), (1, F.shiftright("key", WORD_BITS + 1)), (2, F.col("key").bitwiseAND(F.lit(word))))])).alias("x")
-    got = (exact.select("t", "o", kinds).groupBy("x.kind", "x.at")
-           .agg(F.sum("t").alias("toxic"), F.sum("o").alias("ordinary"), F.count(F.lit(1)).alias("types"),
-                F.sum((F.col("t") > 0).cast("int")).alias("toxic_types"),
-                F.sum((F.col("o") > 0).cast("int")).alias("ordinary_types")))
-    return Model(got.toPandas())
+    """The models of the rows ``(text, y)``: exact distinct bigrams, then tables of fixed size, in blocks."""
+    bigrams = rows.select("text", "y").mapInArrow(_count, "block int, key long, toxic int, ordinary int")
+    tables = (bigrams.repartition("block").sortWithinPartitions("block", "key")
+              .mapInArrow(_tables, "kind int, block int, data binary"))
+    return Model(tables.repartition("kind", "block").sortWithinPartitions("kind", "block")
+                 .mapInArrow(_added, "kind int, block int, data binary").collect())
 
 
 class Curve:
@@ -215,8 +276,7 @@ class Curve:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_fit: int = MAX_FIT):
     """``(model, curve)`` from labels of folds 1 to 4: folds 2 to 4 are counted, fold 1 fits the curve."""
     sc = docs.sparkSession.sparkContext
-    rows = labelled(docs, labels, label)
-    model = sc.broadcast(count_model(rows.where(fold(F.col("doc_id")) >= 2)))
+    model = sc.broadcast(count_model(labelled(docs, labels, label, lambda i: fold(i) >= 2)))
 
     def run(batches):
         for held, words, sizes in token_chunks(batches):
@@ -225,9 +285,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_fit: int =
                 [pa.concat_arrays([b.column(c) for b in held]) for c in ("doc_id", "y")]
                 + [pa.array(map(bytes, np.ascontiguousarray(x)), pa.binary())], ["doc_id", "y", "x"])
 
-    ids = labels.select(F.col("doc_id").cast("long").alias("doc_id"), label).where(fold(F.col("doc_id")) == 1)
-    ids = ids.orderBy(F.xxhash64("doc_id"), "doc_id", label).limit(max_fit)
-    got = labelled(docs, ids, label).mapInArrow(run, "doc_id long, y int, x binary").toPandas()
+    sample = labelled(docs, labels, label, lambda i: fold(i) == 1, max_fit)
+    got = sample.mapInArrow(run, "doc_id long, y int, x binary").toPandas()
     x = np.frombuffer(b"".join(got["x"]), np.float64).reshape(len(got), N_FEATURES)
     y = got["y"].to_numpy(np.int64)
     order = np.lexsort((y, got["doc_id"].to_numpy(np.int64)))
