@@ -1,8 +1,11 @@
-"""Registered queries of the operators, and SQL for those that SQL can express."""
+"""Registered queries of the operators; ``ORACLE`` has SQL for those that SQL can express."""
 
 from __future__ import annotations
 
 from logweave.llm import chat, decontaminate, embedding_dedup, jaccard_join, line_dedup, packing, quality, substring_dedup, token_counts, toxicity
+from logweave.llm.oracle import ORACLE
+
+__all__ = ["ORACLE", "QUERIES"]
 
 QUERIES = {
     "op1_toxicity": toxicity.query,
@@ -16,7 +19,3 @@ QUERIES = {
     "op9_benchmark_decontamination": decontaminate.query,
     "op10_chat_formatting": chat.query,
 }
-
-ORACLE = {
-    "op2_line_dedup": line_dedup.ORACLE,
-}

@@ -136,6 +136,12 @@ def test_substring_matches_of_exactly_one_window_at_every_alignment(docs_table,
     assert [r[2] for r in rows_of(substring_dedup.repeated_words(docs_table(rows, 2)))] == [0, 13, 0]
 
 
+def test_substring_of_repeated_words(docs_table, rows_of):
+    rows = [(1, "x y " * 40), (2, "a b " + "x y " * 30 + "c"), (3, "x y " * 13 + "tail"), (4, "y " * 50), (5, "q y " + "y " * 30), (5, "other " + "y " * 14)]
+    got = rows_of(substring_dedup.repeated_words(docs_table(rows, 4)))
+    assert got == sorted(substring_dedup.brute_force(rows)) and sum(g[2] for g in got) > 100
+
+
 def test_difference_cover():
     assert all(any((a + d) % 7 in substring_dedup.COVER for a in substring_dedup.COVER) for d in range(7))
 

@@ -291,3 +291,17 @@ def test_pipeline_stages_keep_the_columns_of_documents(spark, sf_dir):
     assert sizes[0] > sizes[1] == sizes[2] > sizes[3] == sizes[4]
     packed = cp.STAGES[-1][1](spark, docs, sf_dir)
     assert packed.select("doc_id").distinct().count() == sizes[-1]
+
+
+@pytest.mark.parametrize("name", ["op6_substring_dedup", "op9_benchmark_decontamination", "op10_chat_formatting"])
+def test_queries_equal_their_sql(spark, sf_dir, name):
+    import duckdb
+    from logweave.llm.queries import ORACLE, QUERIES
+
+    con = duckdb.connect()
+    for t in ("documents", "benchmark", "conversations"):
+        con.sql(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
+    got = QUERIES[name](spark, sf_dir)
+    want = con.sql(ORACLE[name]).df()
+    assert sorted(got.columns) == sorted(want.columns)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want[got.columns].values.tolist()))
