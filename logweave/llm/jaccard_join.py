@@ -13,9 +13,9 @@ hashed count table of fixed size; any order gives the same links.
    Bloom filter of fixed size.
 3. The most central class of each short list is the query, the others are
    its candidates. Queries and candidates meet as rows (query, candidate);
-   `divide_skip` heap-merges the query's short lists over a bounded block of
-   candidates and probes the long ones by binary search in each candidate's
-   sorted shingles, up to the required overlap.
+   their texts travel compressed. `divide_skip` heap-merges the query's short
+   lists over a bounded block of candidates and probes the long ones by binary
+   search in each candidate's sorted shingles, up to the required overlap.
 4. Components of these links. Only pairs in one short list whose components
    still differ are candidates of a second search; with its links the
    components are final. Within a group of near copies this leaves a star
@@ -30,91 +30,146 @@ from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logweave.llm.common import bloom_bits, in_bloom, text_key, texts_of, written
 from logweave.llm.graph import components
-from logweave.llm.wordhash import WordHashes, window_hashes
+from logweave.llm.wordhash import WordHashes, coded_words, mix, window_hashes
 
-#: Buckets of the count table (its size never depends on the data).
-BUCKETS = 1 << 18
-#: Candidates of one query that are merged at once.
+#: Buckets of the count table, whose size never depends on the data, and of one block of it.
+BUCKET_BITS, BLOCK_BITS = 21, 15
+#: Candidates of one query that are merged at once, and texts that are hashed together.
 BLOCK = 256
+SLICE_ROWS = 1000
 
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
 
+#: Kept from task to task by a Python worker.
+_hashes = WordHashes()
 
-class Shingles:
-    """Sorted distinct shingle hashes of texts, and their order from rare to frequent."""
 
-    def __init__(self, width: int, percent: int, ranks: np.ndarray | None = None):
-        self.width, self.percent, self.ranks, self.hashes = width, percent, ranks, WordHashes()
+class Shingles:
+    """Distinct shingles of texts: 56 hash bits, with the frequency rank above them once ranks are known.
 
-    def of(self, text: bytes | None) -> np.ndarray:
-        words = self.hashes.of(text.translate(LOWER).split() if text else [])
-        if 0 < len(words) < self.width:
-            return window_hashes(words, len(words), len(words))
-        return np.unique(window_hashes(words, self.width))
+    Sorted, they then run from rare to frequent.
+    """
 
-    def ordered(self, found: np.ndarray) -> np.ndarray:
-        return found[np.lexsort((found, self.ranks[(found >> np.uint64(46)).astype(np.int64)]))]
+    def __init__(self, width: int, percent: int, ranks: np.ndarray | None = None):
+        self.width, self.percent, self.ranks = width, percent, ranks
+
+    def of(self, texts: pa.Array) -> list[np.ndarray]:
+        """Sorted shingles of each text; words are hashed once for all texts."""
+        word, sizes = coded_words(pc.ascii_lower(texts), _hashes, np.uint64)
+        borders = np.append(0, np.cumsum(sizes))
+        all_windows = self._id(window_hashes(word, self.width))
+        out = []
+        for s, e in zip(borders[:-1].tolist(), borders[1:].tolist()):
+            if 0 < e - s < self.width:
+                found = self._id(window_hashes(word[s:e], e - s, e - s))
+            else:
+                found = np.sort(all_windows[s:max(s, e - self.width + 1)])
+                if len(found):
+                    found = found[np.append(True, found[1:] != found[:-1])]
+            out.append(found)
+        return out
+
+    def _id(self, h: np.ndarray) -> np.ndarray:
+        h = h >> np.uint64(8)
+        return h if self.ranks is None else h | self.ranks[bucket(h)].astype(np.uint64) << np.uint64(56)
 
     def n_short(self, n: int) -> int:
         return n - (self.percent * n + 99) // 100 + 1
 
 
+def bucket(h: np.ndarray) -> np.ndarray:
+    """A shingle's place in the count table; the rank does not matter."""
+    return (h >> np.uint64(56 - BUCKET_BITS)).astype(np.int64) & (1 << BUCKET_BITS) - 1
+
+
 def class_of(found: np.ndarray) -> int:
-    """Id of an equal-set class: 64 bits over all hashes, as a signed long."""
-    return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(found.tobytes())).view(np.int64)))
+    """Id of an equal-set class, whatever the order: a signed 64-bit sum over scrambled hashes and the size."""
+    h = mix((found & np.uint64((1 << 56) - 1)) + np.uint64(0x632BE59BD9B4E019))
+    return int((h.sum(dtype=np.uint64) + np.uint64(len(found))).view(np.int64))
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return (b.slice(k, SLICE_ROWS) for b in batches for k in range(0, b.num_rows, SLICE_ROWS))
 
 
 def _classes(width: int, percent: int):
+    """``(doc_id, text_key, n, cls)`` per document, then the task's count table as ``(block, counts)``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, counts = Shingles(width, percent), np.zeros(BUCKETS, np.int64)
-        names = ["doc_id", "text_key", "n", "cls", "bucket", "count"]
-        for b in batches:
-            sizes, ids = [], []
-            for text in b.column("text").to_pylist():
-                found = shingles.of(text)
-                sizes.append(len(found))
-                ids.append(class_of(found))
-                counts += np.bincount((found >> np.uint64(46)).astype(np.int64), minlength=BUCKETS) if len(found) > 5000 else 0
-                if len(found) <= 5000:
-                    np.add.at(counts, (found >> np.uint64(46)).astype(np.int64), 1)
-            none = pa.nulls(len(ids), pa.int64())
+        shingles, counts = Shingles(width, percent), np.zeros(1 << BUCKET_BITS, np.int64)
+        names = ["doc_id", "text_key", "n", "cls", "block", "counts"]
+        for b in _slices(batches):
+            sets = shingles.of(b.column("text"))
+            np.add.at(counts, bucket(np.concatenate(sets)), 1)
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("text_key"), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), none, none],
-                names)
-        used = np.flatnonzero(counts)
-        none = pa.nulls(len(used), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(used, pa.int64()), pa.array(counts[used], pa.int64())], names)
+                [b.column("doc_id"), b.column("text_key"), pa.array(map(len, sets), pa.int64()),
+                 pa.array(map(class_of, sets), pa.int64()), pa.nulls(len(sets), pa.int32()), pa.nulls(len(sets), pa.binary())], names)
+        for block, part in enumerate(counts.reshape(-1, 1 << BLOCK_BITS)):
+            if part.any():
+                none = pa.nulls(1, pa.int64())
+                yield pa.RecordBatch.from_arrays([none, none, none, none, *_block(block, part)], names)
     return run
 
 
+def _block(block: int, counts: np.ndarray) -> list[pa.Array]:
+    return [pa.array([block], pa.int32()), pa.array([pa.compress(counts.tobytes(), "zstd", asbytes=True)], pa.binary())]
+
+
+def _counts(data: bytes) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, 8 << BLOCK_BITS, "zstd", asbytes=True), np.int64)
+
+
+def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted count blocks -> the sum of each, added up one by one."""
+    block, total = None, None
+    for b in batches:
+        for at, data in zip(b.column("block").to_pylist(), b.column("counts").to_pylist()):
+            if at != block:
+                if block is not None:
+                    yield pa.RecordBatch.from_arrays(_block(block, total), ["block", "counts"])
+                block, total = at, np.zeros(1 << BLOCK_BITS, np.int64)
+            total += _counts(data)
+    if block is not None:
+        yield pa.RecordBatch.from_arrays(_block(block, total), ["block", "counts"])
+
+
+def _ranks(first: DataFrame) -> np.ndarray:
+    """Frequency rank (a byte) of each bucket: 6 log2(count), from the tasks' tables."""
+    kind = "block int, counts binary"
+    blocks = first.where("block is not null").select("block", "counts").repartition("block").sortWithinPartitions("block")
+    table = np.zeros(1 << BUCKET_BITS, np.uint8)
+    for r in blocks.mapInArrow(_added, kind).collect():
+        table[r.block << BLOCK_BITS:(r.block + 1) << BLOCK_BITS] = (6 * np.log2(_counts(r.counts) + 1.0)).clip(0, 255)
+    return table
+
+
 def _postings(width: int, percent: int, ranks, bits=None):
     """``(h, cls)`` of the short lists; with Bloom bits also ``n``, ``at`` and ``central``, only where they admit ``h``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles, seen = Shingles(width, percent, ranks.value), set()
-        for b in batches:
+        for b in _slices(batches):
             out = []
-            for text in b.column("text").to_pylist():
-                found = shingles.of(text)
+            for found in shingles.of(b.column("text")):
                 if not len(found) or (cls := class_of(found)) in seen:
                     continue
                 seen.add(cls)  # one task gives a class once
                 n = len(found)
-                short = shingles.ordered(found)[:shingles.n_short(n)].view(np.int64)
+                short = found[:shingles.n_short(n)].view(np.int64)
                 at = np.arange(len(short))
                 if bits is not None:
                     at = at[in_bloom(bits.value, short)]
                 if len(at):
-                    central = int(ranks.value[(found >> np.uint64(46)).astype(np.int64)].sum(dtype=np.int64) * 100 // n)
+                    central = int((found >> np.uint64(56)).sum(dtype=np.uint64)) * 100 // n
                     out.append((short[at], at, len(at), cls, n, central))
             if out:
                 reps = [x[2] for x in out]
@@ -127,20 +182,18 @@ def _postings(width: int, percent: int, ranks, bits=None):
     return run
 
 
-def _sets(width: int, percent: int, bits):
-    """``(cls, found)`` of the classes that the Bloom bits admit: sorted hashes as bytes."""
+def _packed(bits):
+    """``(text_key, size, packed)`` of the texts whose key the Bloom bits admit, compressed, once per task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles, seen = Shingles(width, percent), set()
+        seen, codec = set(), pa.Codec("zstd")
         for b in batches:
-            ids, sets = [], []
-            for text in b.column("text").to_pylist():
-                found = shingles.of(text)
-                if len(found) and (cls := class_of(found)) not in seen and in_bloom(bits.value, np.array([cls]))[0]:
-                    seen.add(cls)
-                    ids.append(cls)
-                    sets.append(found.tobytes())
-            if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(sets, pa.binary())], ["cls", "found"])
+            keys = b.column("text_key").to_numpy()
+            at = [i for i in np.flatnonzero(in_bloom(bits.value, keys)).tolist() if keys[i] not in seen]
+            seen.update(keys[at].tolist())
+            texts = b.column("text").take(pa.array(at, pa.int64())).cast(pa.binary()).to_pylist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[at], pa.int64()), pa.array(map(len, texts), pa.int64()),
+                 pa.array([codec.compress(t, asbytes=True) for t in texts], pa.binary())], ["text_key", "size", "packed"])
     return run
 
 
@@ -150,7 +203,7 @@ def required(n_a: int, n_b: int, percent: int) -> int:
 
 
 def divide_skip(query: np.ndarray, n_short: int, candidates: list[np.ndarray], percent: int) -> list[bool]:
-    """Whether each candidate (sorted hashes) reaches the required overlap with ``query`` (rare to frequent).
+    """Whether each candidate reaches the required overlap with ``query`` (both sorted from rare to frequent).
 
     The first ``n_short`` lists of the query are heap-merged; candidates met
     there are looked up in the long lists by binary search, which stops
@@ -169,7 +222,7 @@ def divide_skip(query: np.ndarray, n_short: int, candidates: list[np.ndarray], p
     for c, overlap in zip(candidates, met):
         need, at = required(len(query), len(c), percent), n_short
         while overlap and overlap < need and overlap + len(query) - at >= need:
-            probe = query[at:at + 64]
+            probe = query[at:at + 256]
             place = np.searchsorted(c, probe)
             overlap += int((c[np.minimum(place, len(c) - 1)] == probe).sum())
             at += len(probe)
@@ -178,35 +231,36 @@ def divide_skip(query: np.ndarray, n_short: int, candidates: list[np.ndarray], p
 
 
 def _search(width: int, percent: int, ranks):
-    """Rows ``(a, found_a, b, found_b)``, those of a query together -> links ``(a, b)``."""
+    """Rows ``(a, size_a, text_a, b, size_b, text_b)``, those of a query together -> links ``(a, b)``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingles = Shingles(width, percent, ranks.value)
-        held: list[tuple[int, np.ndarray]] = []
+        shingles, codec = Shingles(width, percent, ranks.value), pa.Codec("zstd")
         query = query_id = None
-
-        def flush():
-            ok = divide_skip(query, shingles.n_short(len(query)), [c for _, c in held], percent)
-            ends = [b for (b, _), good in zip(held, ok) if good]
-            return pa.RecordBatch.from_arrays([pa.array([query_id] * len(ends), pa.int64()), pa.array(ends, pa.int64())], ["a", "b"])
-
-        for batch in batches:
-            for a, found_a, b, found_b in zip(*(batch.column(c).to_pylist() for c in ("a", "found_a", "b", "found_b"))):
-                if held and (a != query_id or len(held) >= BLOCK):
-                    yield flush()
-                    held = []
+        for batch in (b.slice(k, BLOCK) for b in batches for k in range(0, b.num_rows, BLOCK)):
+            ids, col = batch.column("a").to_pylist(), {c: batch.column(c).to_pylist() for c in ("size_a", "text_a", "size_b", "text_b")}
+            texts = [codec.decompress(t, n, asbytes=True) for t, n in zip(col["text_b"], col["size_b"])]
+            sets = shingles.of(pa.array(texts, pa.binary()).cast(pa.string()))
+            good = []
+            for a, rows in groupby(range(len(ids)), ids.__getitem__):
+                rows = list(rows)
                 if a != query_id:
-                    query_id, query = a, shingles.ordered(np.frombuffer(found_a, np.uint64))
-                held.append((b, np.frombuffer(found_b, np.uint64)))
-        if held:
-            yield flush()
+                    text = codec.decompress(col["text_a"][rows[0]], col["size_a"][rows[0]], asbytes=True)
+                    query_id, query = a, shingles.of(pa.array([text], pa.binary()).cast(pa.string()))[0]
+                good += divide_skip(query, shingles.n_short(len(query)), [sets[k] for k in rows], percent)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(good, pa.bool_())) for c in ("a", "b")], ["a", "b"])
     return run
 
 
-def linked(pairs: DataFrame, sets: DataFrame, search) -> DataFrame:
-    """The pairs ``(a, b)`` of classes that link; ``a`` is the query."""
-    a = sets.select(F.col("cls").alias("a"), F.col("found").alias("found_a"))
-    b = sets.select(F.col("cls").alias("b"), F.col("found").alias("found_b"))
-    rows = pairs.join(b, "b").join(a, "a").select("a", "found_a", "b", "found_b").sortWithinPartitions("a", "b")
+def linked(pairs: DataFrame, reps: DataFrame, own: DataFrame, search) -> DataFrame:
+    """The pairs ``(a, b)`` of classes that link; ``a`` is the query. Only texts of these classes are moved, compressed."""
+    pairs = written(pairs, "pairs")
+    ends = pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "cls")
+    keys = written(reps.join(ends, "cls"), "pair-texts")
+    bits = own.sparkSession.sparkContext.broadcast(bloom_bits(keys, "text_key"))
+    texts = (own.select("text_key", "text").mapInArrow(_packed(bits), "text_key long, size long, packed binary")
+             .groupBy("text_key").agg(F.first("size").alias("size"), F.first("packed").alias("packed")))
+    texts = written(texts.join(keys, "text_key").select("cls", "size", "packed"), "packed-texts")
+    a, b = (texts.select(F.col("cls").alias(x), F.col("size").alias(f"size_{x}"), F.col("packed").alias(f"text_{x}")) for x in "ab")
+    rows = pairs.join(b, "b").join(a, "a").select("a", "size_a", "text_a", "b", "size_b", "text_b").sortWithinPartitions("a", "b")
     return written(rows.mapInArrow(search, "a long, b long"), "shingle-links")
 
 
@@ -222,14 +276,12 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     columns are ignored, an empty table gives no rows.
     """
     sc = docs.sparkSession.sparkContext
-    own = texts_of(docs).select("doc_id", text_key().alias("text_key"), F.col("text").cast("binary").alias("text"))
+    own = texts_of(docs).select("doc_id", text_key().alias("text_key"), F.coalesce("text", F.lit("")).alias("text"))
     first = written(own.mapInArrow(_classes(width, percent),
-                                   "doc_id long, text_key long, n long, cls long, bucket long, count long"), "shingle-classes")
-    counts = first.where("bucket is not null").groupBy("bucket").agg(F.sum("count").alias("c")).toPandas()
-    table = np.zeros(BUCKETS, np.uint8)
-    table[counts["bucket"].to_numpy(np.int64)] = (4 * np.log2(counts["c"].to_numpy(np.float64) + 1)).clip(0, 255)
-    ranks = sc.broadcast(table)
-    classes = first.where("bucket is null").select("doc_id", "text_key", "n", "cls")
+                                   "doc_id long, text_key long, n long, cls long, block int, counts binary"), "shingle-classes")
+    ranks = sc.broadcast(_ranks(first))
+    classes = first.where("block is null").select("doc_id", "text_key", "n", "cls")
+    reps = classes.where("n > 0").groupBy("cls").agg(F.min("text_key").alias("text_key"))
 
     texts = own.select("text")
     lists = texts.mapInArrow(_postings(width, percent, ranks), "h long, cls long")
@@ -245,11 +297,8 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     stars = (shared.alias("p").join(heads, F.col("p.h") == F.col("q.h"))
              .where((F.col("p.cls") != F.col("q.cls")) & fits)
              .select(F.col("q.cls").alias("a"), F.col("p.cls").alias("b")).distinct())
-    members = sc.broadcast(bloom_bits(shared.select("cls").distinct(), "cls"))
-    sets = texts.mapInArrow(_sets(width, percent, members), "cls long, found binary").dropDuplicates(["cls"])
-    sets = written(sets, "shingle-sets")
     search = _search(width, percent, ranks)
-    links = linked(written(stars, "star-pairs"), sets, search)
+    links = linked(stars, reps, own, search)
     comps = components(links)
 
     placed = written(shared.join(comps, shared["cls"] == comps["node"], "left")
@@ -257,13 +306,13 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     sizes = placed.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("c"))
     mixed = (sizes.groupBy("h").agg(F.count(F.lit(1)).alias("k"), F.max(F.struct("c", "comp")).alias("m"))
              .where("k > 1").select("h", F.col("m.comp").alias("main")))
-    rest = placed.join(mixed, "h")
+    rest = written(placed.join(mixed, "h"), "mixed-lists")
     others, every = rest.where("comp != main").alias("p"), rest.alias("q")
     across = (others.join(every, F.col("p.h") == F.col("q.h"))
               .where((F.col("p.comp") != F.col("q.comp")) & fits
                      & ((F.col("q.comp") == F.col("q.main")) | (F.col("p.cls") < F.col("q.cls"))))
               .select(F.col("p.cls").alias("a"), F.col("q.cls").alias("b")).distinct())
-    more = linked(written(across, "cross-pairs"), sets, search)
+    more = linked(across, reps, own, search)
     final = components(links.union(more))
 
     named = classes.join(final, (classes["cls"] == final["node"]) & (classes["n"] > 0), "left").select(
