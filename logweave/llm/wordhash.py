@@ -8,7 +8,7 @@ import pyarrow.compute as pc
 import xxhash
 
 #: Words remembered per task.
-MEMO_WORDS = 1_000_000
+MEMO_WORDS = 600_000
 MASK = (1 << 64) - 1
 
 
