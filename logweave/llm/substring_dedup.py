@@ -31,22 +31,29 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweave.llm.common import text_key, texts_of, written
-from logweave.llm.wordhash import WordHashes, window_hashes
+from logweave.llm.wordhash import WordHashes, coded_words, mix, window_hashes
 
 WINDOW = 13
 #: A difference cover: every difference modulo PERIOD is one of two of its members.
 PERIOD, COVER = 7, (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
 #: Words that a task combines at once.
-CHUNK_WORDS = 3_000_000
+CHUNK_WORDS = 2_000_000
 #: Stands for a null id, which is smaller than every other.
 NO_ID = -(1 << 63)
 #: Bits of a text's tag, which tells documents apart that share an id.
 TAG_BITS = 12
 POSTING = "h long, id long, at long, sure boolean"
 NAMES = ["h", "id", "at", "sure"]
-#: Marks a whole text as covered.
-ALL = (1 << 32) - 1
+#: Bit of a place whose hash the document holds again.
+REPEATED = 40
+#: Rows of a batch that are taken together.
+SLICE_ROWS = 2000
+#: Kept from task to task by a Python worker.
+_hashes = WordHashes()
+#: Stands for all places of a text, and the bit of a start whose window the text holds again.
+ALL = (1 << 31) - 1
+MARK = 31
 
 
 def _rows(h, ids, at, sure) -> pa.RecordBatch:
@@ -66,41 +73,50 @@ def _groups(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new), np.cumsum(new) - 1
 
 
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of the batches with the hashes of all their words and how many each row has."""
+    for b in batches:
+        for k in range(0, b.num_rows, SLICE_ROWS):
+            part = b.slice(k, SLICE_ROWS)
+            yield part, *coded_words(part.column("text"), _hashes, np.uint64)
+
+
 def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes, parts, n = WordHashes(), [], 0
+    parts, n = [], 0
 
     def combined():
         h, ids, at = (np.concatenate([p[k] for p in parts]) for k in range(3))
         order, starts, run = _groups(h)
-        same = ids[order]
-        shared = np.zeros(len(starts), bool)
-        np.logical_or.at(shared, run, same != same[starts][run])
-        many = shared[run]
-        back = np.empty(len(h), bool)
-        back[order] = many
+        # a document's further places of a hash are found again by the first, which is marked
+        by_doc = np.append(True, (run[1:] != run[:-1]) | (ids[order][1:] != ids[order][:-1]))
+        firsts = order[by_doc]
+        again = np.diff(np.append(np.flatnonzero(by_doc), len(order))) > 1
+        run, doc = run[by_doc], ids[firsts]
+        holders = np.bincount(run)
+        shared = holders[run] > 1
+        place = at[firsts] | again.astype(np.int64) << REPEATED
+        back = np.argsort(firsts, kind="stable")  # in the order of documents again: it compresses
+        firsts, doc, place, shared = firsts[back], doc[back], place[back], shared[back]
+        alone = ~shared
+        yield _rows(h[firsts][alone], doc[alone], place[alone], np.zeros(alone.sum(), bool))
         # what the chunk shares within itself: places that need no partner, and one notice per hash
-        first = np.zeros(len(h), bool)
-        first[order[starts[shared]]] = True
-        alone = ~back
-        spread = _scattered(ids, at)
-        yield _rows(h[alone], ids[alone], at[alone], np.zeros(alone.sum(), bool))
-        yield _rows(spread[back], ids[back], at[back], np.ones(back.sum(), bool))
-        yield _rows(h[first], ids[first], at[first], np.ones(first.sum(), bool))
-
-    for b in batches:
-        for ident, text in zip(b.column("id").to_pylist(), b.column("text").to_pylist()):
-            words = hashes.of(text.split() if text else [])
-            if len(words) < WINDOW:
-                continue
-            at = np.arange(len(words) - ANCHOR + 1)
-            at = at[np.isin(at % PERIOD, COVER)]
-            h = window_hashes(words, ANCHOR)[at] & np.uint64((1 << 48) - 1)  # a filter only; zero bytes compress
-            parts.append((h.astype(np.int64), np.full(len(at), ident, np.int64), at))
-            n += len(words)
+        yield _rows(_scattered(doc, place)[shared], doc[shared], place[shared], np.ones(shared.sum(), bool))
+        notice = order[starts[holders > 1]]
+        yield _rows(h[notice], ids[notice], at[notice], np.ones(len(notice), bool))
+
+    for b, words, sizes in _hashed(batches):
+        ends = np.cumsum(sizes)
+        at = np.arange(len(words)) - np.repeat(ends - sizes, sizes)
+        size = np.repeat(sizes, sizes)
+        good = np.flatnonzero((size >= WINDOW) & (at <= size - ANCHOR) & np.isin(at % PERIOD, COVER))
+        h = window_hashes(words, ANCHOR)[good] & np.uint64((1 << 48) - 1) if len(good) else np.zeros(0, np.uint64)
+        ids = np.repeat(b.column("id").to_numpy(), sizes)[good]
+        parts.append((h.astype(np.int64), ids, at[good]))  # 48 bits: a filter only, and zero bytes compress
+        n += len(words)
         if n >= CHUNK_WORDS:
             yield from combined()
             parts, n = [], 0
-    if parts:
+    if n:
         yield from combined()
 
 
@@ -131,9 +147,18 @@ def _shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([pa.array(ids[keep], pa.int64()), pa.array(at[keep], pa.int64())], ["id", "at"])
 
 
+def _checks(words: np.ndarray) -> np.ndarray:
+    """A second hash (19 bits) of each window, independent of the first."""
+    n = max(0, len(words) - WINDOW + 1)
+    total = np.zeros(n, np.uint64)
+    for k in range(WINDOW):
+        total += words[k:k + n] * np.uint64(0x9E3779B97F4A7C15 + 2 * k * 0x2545F4914F6CDD1D & (1 << 64) - 1)
+    return (mix(total) >> np.uint64(45)).astype(np.int64)
+
+
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Full hashes of the windows that hold a shared anchor; copies are covered whole."""
-    hashes, parts, whole, n = WordHashes(), [], [], 0
+    parts, whole, n = [], [], 0
 
     def combined():
         if whole:
@@ -147,31 +172,48 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         new = np.append(True, (h[1:] != h[:-1]) | (at[1:] >> 44 != at[:-1] >> 44))
         least = ids[np.flatnonzero(new)][np.cumsum(new) - 1]
         later = ids > least
+        # a text's further places of a window are found again by the first, which is marked
+        tag = at >> 32 & (1 << TAG_BITS) - 1
+        first = new | np.append(True, (ids[1:] != ids[:-1]) | (tag[1:] != tag[:-1]))
+        again = np.diff(np.append(np.flatnonzero(first), len(h))) > 1
+        order, h, ids, at, later = order[first], h[first], ids[first], at[first], later[first]
+        at = at | again.astype(np.int64) << MARK
         back = np.argsort(order, kind="stable")  # in the order of documents again: it compresses
         h, ids, at, later = h[back], ids[back], at[back], later[back]
         yield _rows(h[~later], ids[~later], at[~later], np.zeros((~later).sum(), bool))
         yield _rows(_scattered(ids[later], at[later]), ids[later], at[later], np.ones(later.sum(), bool))
 
-    for b in batches:
-        for ident, tag, text, places in zip(*(b.column(c).to_pylist() for c in ("id", "tag", "text", "places"))):
-            places = np.array(places, np.int64)
-            words = hashes.of(text.split() if text else [])
-            if len(words) < WINDOW:
+    for b, hashed, sizes in _hashed(batches):
+        ends = np.cumsum(sizes)
+        found = []
+        for ident, tag, places, s, e in zip(*(b.column(c).to_pylist() for c in ("id", "tag", "places")), ends - sizes, ends):
+            size, places = e - s, np.array(places, np.int64)
+            if size < WINDOW:
                 continue
             if (places == -1 - tag).any():
                 whole.append((ident, tag << 32 | ALL))
                 continue
-            n_windows = len(words) - WINDOW + 1
+            places = places[places >= 0]
+            marked, places = places >> REPEATED > 0, places & (1 << REPEATED) - 1
+            inside = places <= size - ANCHOR
+            marked, places = marked[inside], places[inside]
+            if marked.any():
+                anchors = window_hashes(hashed[s:e], ANCHOR)
+                places = np.append(places, np.flatnonzero(np.isin(anchors, anchors[places[marked]])))
+            n_windows = size - WINDOW + 1
             flags = np.zeros(n_windows + WINDOW, np.int32)
-            places = places[(places >= 0) & (places <= len(words) - ANCHOR)]
             np.add.at(flags, np.maximum(places - (WINDOW - ANCHOR), 0), 1)
             np.add.at(flags, np.minimum(places + 1, n_windows), -1)
             starts = np.flatnonzero(np.cumsum(flags)[:n_windows] > 0)
             if len(starts):
-                more = window_hashes(words, WINDOW, 1)[starts] >> np.uint64(45)  # 19 bits: the sum stays positive
-                parts.append((window_hashes(words, WINDOW)[starts].view(np.int64), np.full(len(starts), ident, np.int64),
-                              more.astype(np.int64) << 44 | tag << 32 | starts))
-            n += len(words)
+                found.append((ident, tag, s, starts))
+        if found:
+            at = np.concatenate([s + starts for _, _, s, starts in found])
+            reps = [len(starts) for *_, starts in found]
+            label = np.repeat(np.array([tag for _, tag, _, _ in found], np.int64) << 32, reps) | np.concatenate([x[3] for x in found])
+            parts.append((window_hashes(hashed, WINDOW)[at].view(np.int64),
+                          np.repeat(np.array([x[0] for x in found], np.int64), reps), _checks(hashed)[at] << 44 | label))
+        n += len(hashed)
         if n >= CHUNK_WORDS:
             yield from combined()
             parts, whole, n = [], [], 0
@@ -204,8 +246,8 @@ def repeated_words(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     own = texts_of(docs).select(
         F.coalesce("doc_id", F.lit(NO_ID)).alias("id"),
         F.pmod(text_key(), F.lit(1 << TAG_BITS)).alias("tag"),
-        F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    copies = (own.where(F.length("text") > 2 * WINDOW - 2)
+        F.coalesce("text", F.lit("")).alias("text"))
+    copies = (own.where(F.octet_length("text") > 2 * WINDOW - 2)
               .select("id", "tag", F.xxhash64("text").alias("a"), F.unhex(F.md5("text")).alias("b")))
     first = copies.groupBy("a", "b").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
     copies = written(copies.join(written(first, "copied-texts"), ["a", "b"]).where("id > least")
@@ -223,14 +265,21 @@ def repeated_words(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for ident, tag, text, starts in zip(*(b.column(c).to_pylist() for c in ("id", "tag", "text", "starts"))):
+            for ident, tag, text, starts in zip(
+                    b.column("id").to_pylist(), b.column("tag").to_pylist(),
+                    b.column("text").cast(pa.binary()).to_pylist(), b.column("starts").to_pylist()):
                 words, removed = text.split(), 0
                 starts = np.array(starts or [], np.int64)
-                starts = starts[starts >> 32 == tag] & ALL
+                starts = starts[starts >> 32 == tag]
+                again, starts = starts >> MARK & 1 > 0, starts & ALL
                 if len(starts) and starts.max() == ALL:
                     words, removed = [], len(words)
                 elif len(starts):
+                    if again.any():
+                        windows = window_hashes(_hashes.of(words), WINDOW)
+                        starts = np.append(starts, np.flatnonzero(np.isin(windows, windows[starts[again]])))
                     flags = np.zeros(len(words) + 1, np.int32)
+                    starts = np.unique(starts)
                     np.add.at(flags, starts, 1)
                     np.add.at(flags, starts + WINDOW, -1)
                     hit = np.cumsum(flags)[:-1] > 0
