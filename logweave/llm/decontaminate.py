@@ -114,7 +114,8 @@ FOUND = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("spa
                       T.StructField("items", T.ArrayType(T.StringType()))])
 
 
-def _step(sent, carry_text: bool):
+def _step(sent, carry_text: bool, cut: bool = False):
+    """One block's search; the last one may cut the spans out of the text at once, in the same Python worker."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block: Block = sent.value
         get, held, shard, n = block.symbols.get, [], [], 0
@@ -128,6 +129,10 @@ def _step(sent, carry_text: bool):
                 items[d].update(block.items[w])
             k = 0
             for b in held:
+                if cut:
+                    yield _cut(b, [merged(spans[i]) for i in range(k, k + b.num_rows)])
+                    k += b.num_rows
+                    continue
                 rows = [{"n_words": len(shard[i]), "spans": [{"start": s, "end": e} for s, e in merged(spans[i])],
                          "items": sorted(items[i])} for i in range(k, k + b.num_rows)]
                 k += b.num_rows
@@ -160,11 +165,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, c
     empty tables give no rows or no spans, other columns are kept inside
     ``row`` under any names. ``carry_text`` adds the text as binary ``text``.
     """
-    sc = docs.sparkSession.sparkContext
-    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
-    out = docs.select(rest.alias("row"), F.col("text").cast("string").cast("binary").alias("text"),
-                      F.lit(None).cast(FOUND).alias("found"))
-    todo = [sc.broadcast(x) for x in blocks(benchmark, width) if len(x.lengths)] or [sc.broadcast(Block([], width))]
+    out, todo = _prepared(docs, benchmark, width)
     for k, sent in enumerate(todo):
         carry = carry_text or k < len(todo) - 1
         kind = T.StructType([f for f in out.schema if carry or f.name != "text"])
@@ -172,6 +173,15 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, c
     return out
 
 
+def _prepared(docs: DataFrame, benchmark: DataFrame, width: int):
+    """The rows as the search takes them, and the broadcast blocks (at least one, which may be empty)."""
+    sc = docs.sparkSession.sparkContext
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+    out = docs.select(rest.alias("row"), F.col("text").cast("string").cast("binary").alias("text"),
+                      F.lit(None).cast(FOUND).alias("found"))
+    return out, [sc.broadcast(x) for x in blocks(benchmark, width) if len(x.lengths)] or [sc.broadcast(Block([], width))]
+
+
 def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     """``text`` without what lies between the first and the last word of each span of words."""
     ends, at = [], 0
@@ -187,13 +197,9 @@ def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
     return b"".join([*out, text[at:]])
 
 
-def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        spans = b.column("found").field("spans").to_pylist()
-        texts = [cut_spans(t, [(x["start"], x["end"]) for x in s]) if s else t
-                 for t, s in zip(b.column("text").to_pylist(), spans)]
-        yield pa.RecordBatch.from_arrays(
-            [b.column("row"), pa.array(texts, pa.binary()).cast(pa.string())], ["row", "text"])
+def _cut(b: pa.RecordBatch, spans: list[list[tuple[int, int]]]) -> pa.RecordBatch:
+    texts = [cut_spans(t, x) if x else t for t, x in zip(b.column("text").to_pylist(), spans)]
+    return pa.RecordBatch.from_arrays([b.column("row"), pa.array(texts, pa.binary()).cast(pa.string())], ["row", "text"])
 
 
 def remove_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:
@@ -202,8 +208,10 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10)
     Texts without a hit stay as they are, null stays null. ``n_chars``,
     where present, follows the new text.
     """
-    found = find_contamination(docs, benchmark, width, carry_text=True)
-    out = found.mapInArrow(_cut, T.StructType([found.schema["row"], T.StructField("text", T.StringType())]))
+    out, todo = _prepared(docs, benchmark, width)
+    for sent in todo[:-1]:
+        out = out.mapInArrow(_step(sent, True), out.schema)
+    out = out.mapInArrow(_step(todo[-1], False, True), T.StructType([out.schema["row"], T.StructField("text", T.StringType())]))
     return out.select(*[
         F.col("text") if c == "text" else
         F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars") if c == "n_chars" else

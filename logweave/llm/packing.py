@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logweave.llm.common import texts_of, written
+from logweave.llm.wordhash import worker_memo
 
 #: Pieces that one group of the first round holds on average, and the most
 #: underfull bins that a later group may hold on average.
@@ -46,7 +47,7 @@ class WordEncoder:
 
     Exact for tokenizers that lower-case, drop white space, split letters
     from marks and never join characters across these borders (a test
-    compares it with whole texts). ``worker_encoder`` keeps one per worker.
+    compares it with whole texts).
     """
 
     def __init__(self, path: str):
@@ -114,15 +115,6 @@ class WordEncoder:
         return ids, np.diff(borders)
 
 
-_encoders: dict[str, WordEncoder] = {}
-
-
-def worker_encoder(path: str) -> WordEncoder:
-    if path not in _encoders:
-        _encoders[path] = WordEncoder(path)
-    return _encoders[path]
-
-
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -131,7 +123,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int
     kinds = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = worker_encoder(tokenizer_path), np.array([end_id], "<u4").tobytes()
+        encoder, end = worker_memo(tokenizer_path, lambda: WordEncoder(tokenizer_path)), np.array([end_id], "<u4").tobytes()
         for b in batches:
             rows, docs = [], b.column("doc_id").to_pylist()
             for k in range(0, len(docs), LOT):

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logweave.llm.common import texts_of
-from logweave.llm.wordhash import coded_words
+from logweave.llm.wordhash import coded_words, worker_memo
 
 #: Buckets of words, of word shapes, and dimensions of a vector.
 WORDS, SHAPES, DIMS = 1 << 14, 1 << 10, 32
@@ -67,10 +67,6 @@ class WordBuckets(dict):
         return code
 
 
-#: Kept from task to task by a Python worker.
-_buckets = WordBuckets()
-
-
 def index_vectors() -> tuple[np.ndarray, np.ndarray]:
     """Places and signs of each bucket's index vector (words, then shapes, then a bucket of zeros)."""
     rng = np.random.default_rng(SEED)
@@ -83,9 +79,10 @@ def index_vectors() -> tuple[np.ndarray, np.ndarray]:
 
 def token_chunks(batches: Iterator[pa.RecordBatch], most: int = CHUNK_TOKENS) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     """``(batches, codes of all their words, words of each row)``, about ``most`` words at a time."""
+    buckets = worker_memo("quality", WordBuckets)
     held, parts, sizes = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for b in (x.slice(k, SLICE_ROWS) for x in batches for k in range(0, x.num_rows, SLICE_ROWS)):
-        codes, lengths = coded_words(b.column("text"), _buckets)
+        codes, lengths = coded_words(b.column("text"), buckets)
         held.append(b)
         parts.append(codes)
         sizes.append(lengths)

@@ -12,6 +12,21 @@ MEMO_WORDS = 600_000
 MASK = (1 << 64) - 1
 
 
+_memos: dict = {}
+
+
+def worker_memo(name: str, make):
+    """What a Python worker remembers from task to task under ``name``; it keeps one thing only.
+
+    Workers serve one stage after another, so what another stage remembered
+    is let go.
+    """
+    if name not in _memos:
+        _memos.clear()
+        _memos[name] = make()
+    return _memos[name]
+
+
 class WordHashes(dict):
     """``hashes[word]`` is the 64-bit xxh3 of a word (``bytes``), remembered."""
 
