@@ -9,28 +9,30 @@ that of its most telling windows, and how many of its words exceed some levels
 of evidence (a toxic passage in a long text would drown in the mean). A logistic curve over these, fitted on labelled
 documents that were not counted, gives the score.
 
-Distinct bigrams are counted exactly, by a shuffle that grows with the
-input. The models that are broadcast are hashed tables of fixed size, which
-tasks add up and pass on in blocks.
+Words and distinct bigrams are counted exactly, under 64-bit keys, in written
+tables that grow with the input. Up to ``MODEL_KEYS`` keys the tables are
+broadcast as sorted arrays. Beyond that the distinct keys of each chunk of
+documents are joined to them, and a chunk is scored with its own part of the
+tables: the same numbers by another way.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logweave.llm.batches import runs
 from logweave.llm.common import bloom_bits, in_bloom, texts_of, written
-from logweave.llm.wordhash import WordHashes, coded_words, mix
+from logweave.llm.wordhash import MASK, WordHashes, coded_words, mix
 
-#: Buckets of words and of bigrams (32 MB of bigram counts and 28 MB of word counts are broadcast, whatever
-#: the input), and entries of a block of them.
-WORD_BITS, BIGRAM_BITS, BLOCK_BITS = 20, 23, 14
+#: The most words and bigrams whose counts are broadcast (16 bytes a bigram, 32 a word); more are joined.
+MODEL_KEYS = 8_000_000
 DISCOUNT = 0.75
 #: Words of the windows whose evidence counts beside the whole text's.
 WINDOWS = (4, 24)
@@ -53,12 +55,11 @@ _hashes = WordHashes()
 
 
 def token_chunks(batches: Iterator[pa.RecordBatch], most: int = CHUNK_TOKENS) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
-    """``(batches, word buckets, words of each row)``; bucket 0 is the beginning of a text."""
+    """``(batches, word hashes, words of each row)``."""
     held, parts, sizes = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
 
     def answer():
-        h = np.concatenate(parts) % np.uint64((1 << WORD_BITS) - 1)
-        return held, h.astype(np.int64) + 1, np.concatenate(sizes)
+        return held, np.concatenate(parts), np.concatenate(sizes)
 
     for b in (x.slice(k, SLICE_ROWS) for x in batches for k in range(0, x.num_rows, SLICE_ROWS)):
         texts = pa.array([(t or b"").translate(WORD_BYTES) for t in b.column("text").to_pylist()], pa.binary())
@@ -75,115 +76,89 @@ def token_chunks(batches: Iterator[pa.RecordBatch], most: int = CHUNK_TOKENS) ->
 
 def pairs(words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The word before each word; 0 at the beginning of a document."""
-    before = np.zeros(len(words), np.int64)
+    before = np.zeros(len(words), np.uint64)
     before[1:] = words[:-1]
     before[(np.cumsum(sizes) - sizes)[sizes > 0]] = 0
     return before
 
 
-def bigram_bucket(key: np.ndarray) -> np.ndarray:
-    return (mix(key.astype(np.uint64)) >> np.uint64(64 - BIGRAM_BITS)).astype(np.int64)
+def bigram_key(before: np.ndarray, words: np.ndarray) -> np.ndarray:
+    return mix(mix(before + np.uint64(0x9E3779B97F4A7C15)) ^ words)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bigrams of a chunk with their counts in either class."""
     for held, words, sizes in token_chunks(batches, COUNT_TOKENS):
         toxic = np.repeat(np.concatenate([b.column("y").to_numpy() for b in held]), sizes)
-        key, at = np.unique(pairs(words, sizes) << WORD_BITS | words, return_inverse=True)
+        before = pairs(words, sizes)
+        key, some, at = np.unique(bigram_key(before, words), return_index=True, return_inverse=True)
         n_toxic = np.bincount(at, toxic, len(key)).astype(np.int32)
         n_all = np.bincount(at, minlength=len(key)).astype(np.int32)
+        order = np.argsort(before[some])  # equal first words together compress better
         yield pa.RecordBatch.from_arrays(
-            [pa.array((bigram_bucket(key) >> BLOCK_BITS).astype(np.int32)), pa.array(key, pa.int64()), pa.array(n_toxic),
-             pa.array(n_all - n_toxic)], ["block", "key", "toxic", "ordinary"])
-
-
-def _block_row(kind: int, block: int, table: np.ndarray) -> pa.RecordBatch:
-    data = pa.compress(table.astype(np.float32).tobytes(), "zstd", asbytes=True)
-    return pa.RecordBatch.from_arrays([pa.array([kind], pa.int32()), pa.array([block], pa.int32()), pa.array([data], pa.binary())],
-                                      ["kind", "block", "data"])
-
-
-def _table(data: bytes, kind: int) -> np.ndarray:
-    shape = (COLUMNS[kind], 1 << BLOCK_BITS)
-    return np.frombuffer(pa.decompress(data, 4 * shape[0] * shape[1], "zstd", asbytes=True), np.float32).reshape(shape)
-
-
-#: Columns of a block's table, by kind: bigram counts (ordinary, toxic); counts, kinds of bigrams in either
-#: class and in any, by the first word; the same by the second word.
-COLUMNS = (2, 5, 5)
-
-
-def _tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted bigram rows, a block's together -> the block's bigram table, and this task's word tables."""
-    total = np.zeros((2, 5, 1 << WORD_BITS), np.float32)
-    for b in runs(batches, ["block"]):
-        key = b.column("key").to_numpy()
-        first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        counts = [np.add.reduceat(b.column(c).to_numpy().astype(np.int64), first) for c in ("ordinary", "toxic")]
-        key = key[first]
-        at = bigram_bucket(key) & (1 << BLOCK_BITS) - 1
-        yield _block_row(0, b.column("block")[0].as_py(), np.stack([np.bincount(at, c, 1 << BLOCK_BITS) for c in counts]))
-        values = [*counts, *(c > 0 for c in counts), np.ones(len(key))]
-        for side, words in enumerate((key >> WORD_BITS, key & (1 << WORD_BITS) - 1)):
-            for col, v in enumerate(values):
-                np.add.at(total[side, col], words, v.astype(np.float32))
-    for side in range(2):
-        for block, s in enumerate(range(0, 1 << WORD_BITS, 1 << BLOCK_BITS)):
-            part = total[side, :, s:s + (1 << BLOCK_BITS)]
-            if part.any():
-                yield _block_row(1 + side, block, part)
-
-
-def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted table rows -> the sum of each block's tables, added up one by one."""
-    now, key = None, None
+            [pa.array(x[order]) for x in (before[some].view(np.int64), words[some].view(np.int64), n_all - n_toxic, n_toxic)],
+            ["first", "word", "ordinary", "toxic"])
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        for kind, block, data in zip(*(b.column(c).to_pylist() for c in ("kind", "block", "data"))):
-            if (kind, block) != key:
-                if key is not None:
-                    yield _block_row(*key, now)
-                key, now = (kind, block), np.zeros((COLUMNS[kind], 1 << BLOCK_BITS), np.float64)
-            now += _table(data, kind)
-    if key is not None:
-        yield _block_row(*key, now)
+        first, word = (b.column(c).to_numpy().view(np.uint64) for c in ("first", "word"))
+        yield pa.RecordBatch.from_arrays([pa.array(bigram_key(first, word).view(np.int64)), b.column("ordinary"), b.column("toxic")],
+                                         ["key", "ordinary", "toxic"])
+
+
+def _sorted(keys: np.ndarray, values: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys in order and a row of numbers for each column; one place more, with zeros, for keys that are not there."""
+    order = np.argsort(keys)
+    out = np.zeros((len(values), len(keys) + 1), np.float32)
+    for row, v in zip(out, values):
+        row[:-1] = v[order]
+    return np.append(keys[order], np.uint64(MASK)), out
+
+
+def _places(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    """Where each wanted key is; the last place where it is not."""
+    wanted, back = np.unique(wanted, return_inverse=True)
+    at = np.searchsorted(keys[:-1], wanted)
+    at[keys[at] != wanted] = len(keys) - 1
+    return at[back]
+
+
+#: Of a word: counts and kinds of bigrams that it begins, counts, in either class (ordinary, toxic), and in how
+#: many contexts it occurs. Of a bigram: the first two, its counts.
+VALUES = ("ordinary", "toxic", "types_o", "types_t", "n_o", "n_t", "varied")
 
 
 class Model:
-    """Hashed counts: rows 0 and 1 are ordinary and toxic."""
-
-    def __init__(self, rows):
-        words = 1 << WORD_BITS
-        self.bigram = np.zeros((2, 1 << BIGRAM_BITS), np.float16)
-        self.context, self.types = np.zeros((2, words), np.float32), np.zeros((2, words), np.float32)
-        word, varied = np.zeros((2, words), np.float32), np.zeros(words, np.float32)
-        for r in rows:
-            table, s = _table(r.data, r.kind), slice(r.block << BLOCK_BITS, (r.block + 1) << BLOCK_BITS)
-            if r.kind == 0:
-                self.bigram[:, s] = np.minimum(table, 60_000)  # what a half float holds
-            elif r.kind == 1:
-                self.context[:, s], self.types[:, s] = table[:2], table[2:4]
-            else:
-                word[:, s], varied[s] = table[:2], table[4]
-        shared = (varied + 1) / (varied.sum() + words)
-        total = np.maximum(word.sum(1), 1)
-        kinds = (word > 0).sum(1)
-        self.unigram = [np.maximum(word[k] - DISCOUNT, 0) / total[k]
-                        + np.where(word[k].any(), DISCOUNT * kinds[k] / total[k], 1) * shared for k in (0, 1)]
-        self.unigram = np.array(self.unigram, np.float32)
-        self.ratio = np.clip(np.log(self.unigram[1]) - np.log(self.unigram[0]), -12, 12)
-
-    def evidence(self, words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-        """log P(word | word before, toxic) - log P(word | word before, ordinary), per word."""
+    """Counts under sorted keys, of all words and bigrams or of those that some documents have."""
+
+    def __init__(self, totals: dict, words: np.ndarray, word_values: list[np.ndarray], bigrams: np.ndarray, counts: list[np.ndarray]):
+        self.words, table = _sorted(words, word_values)
+        self.bigrams, self.bigram = _sorted(bigrams, counts)
+        self.context, self.types, n, varied = table[:2], table[2:4], table[4:6], table[6]
+        shared = (varied + 1) / (totals["varied"] + totals["words"] + 1)
+        self.unigram = np.zeros((2, len(shared)), np.float32)
+        for k, c in enumerate("ot"):
+            total = max(totals["n_" + c], 1)
+            back = DISCOUNT * totals["kinds_" + c] / total if totals["n_" + c] else 1
+            self.unigram[k] = np.maximum(n[k] - DISCOUNT, 0) / total + back * shared
+
+    def evidence(self, words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """log P(word | word before, toxic) - log P(word | word before, ordinary), per word, and the same of unigrams."""
         before = pairs(words, sizes)
-        at = bigram_bucket(before << WORD_BITS | words)
+        at = _places(self.bigrams, bigram_key(before, words))
+        word = _places(self.words, words)
+        first = np.append(0, word[:-1])[:len(word)]
+        first[before == 0] = _places(self.words, np.zeros(1, np.uint64))[0]
         logs = []
         for k in (0, 1):
-            n = self.context[k][before]
+            n = self.context[k][first]
             seen = np.maximum(n, 1)
-            back = np.where(n > 0, DISCOUNT * self.types[k][before] / seen, 1)
-            p = np.maximum(self.bigram[k][at].astype(np.float32) - DISCOUNT, 0) / seen + back * self.unigram[k][words]
+            back = np.where(n > 0, DISCOUNT * self.types[k][first] / seen, 1)
+            p = np.maximum(self.bigram[k][at] - DISCOUNT, 0) / seen + back * self.unigram[k][word]
             logs.append(np.log(np.maximum(p, 1e-12)))
-        return np.clip(logs[1] - logs[0], -12, 12)
+        alone = np.log(self.unigram[1][word]) - np.log(self.unigram[0][word])
+        return np.clip(logs[1] - logs[0], -12, 12), np.clip(alone, -12, 12)
 
     def features(self, words: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Of bigram and of unigram evidence: the mean, the highest mean of a window, and how many words exceed each level."""
@@ -195,7 +170,7 @@ class Model:
         starts = (np.cumsum(sizes) - sizes)[full]
         n = sizes[full]
         end = np.repeat(starts + n, n)
-        for j, e in enumerate((self.evidence(words, sizes), self.ratio[words])):
+        for j, e in enumerate(self.evidence(words, sizes)):
             cols = [np.add.reduceat(e, starts) / n]
             total = np.concatenate(([0], np.cumsum(e)))
             for w in WINDOWS:
@@ -238,13 +213,108 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, keep, most: int | N
     return rows.join(y, F.col("doc_id") == F.col("id")).select("doc_id", F.col("text").cast("binary").alias("text"), "y")
 
 
-def count_model(rows: DataFrame) -> Model:
-    """The models of the rows ``(text, y)``: exact distinct bigrams, then tables of fixed size, in blocks."""
-    bigrams = rows.select("text", "y").mapInArrow(_count, "block int, key long, toxic int, ordinary int")
-    tables = (bigrams.repartition("block").sortWithinPartitions("block", "key")
-              .mapInArrow(_tables, "kind int, block int, data binary"))
-    return Model(tables.repartition("kind", "block").sortWithinPartitions("kind", "block")
-                 .mapInArrow(_added, "kind int, block int, data binary").collect())
+class Counts:
+    """Written tables of the counts of the rows ``(text, y)``, and their model where it is small enough to broadcast."""
+
+    def __init__(self, rows: DataFrame):
+        counted = rows.select("text", "y").mapInArrow(_count, "first long, word long, ordinary int, toxic int")
+        bigrams = written(counted.repartition("first", "word").groupBy("first", "word").agg(
+            F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")), "bigrams")
+        zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
+        kinds = [(F.col(c) > 0).cast("long") for c in ("ordinary", "toxic")]
+        begins = bigrams.select(F.col("first").alias("key"), "ordinary", "toxic", kinds[0].alias("types_o"), kinds[1].alias("types_t"),
+                                zero.alias("n_o"), zero.alias("n_t"), zero.alias("varied"))
+        ends = bigrams.select(F.col("word").alias("key"), zero, zero, zero, zero, "ordinary", "toxic", one)
+        sums = [F.sum(c).alias(c) for c in VALUES]
+        self.words = written(begins.union(ends).groupBy("key").agg(*sums), "words")
+        self.bigrams = bigrams.mapInArrow(_keyed, "key long, ordinary long, toxic long")
+        self.totals = self.words.agg(
+            F.count(F.when(F.col("varied") > 0, 1)).alias("words"),
+            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("varied", "n_o", "n_t")],
+            *[F.count(F.when(F.col("n_" + c) > 0, 1)).alias("kinds_" + c) for c in "ot"]).first().asDict()
+        self.model = None
+        if self.words.count() + bigrams.count() <= MODEL_KEYS:
+            words, pairs_ = (t.select("key", *[F.col(c).cast("float") for c in t.columns if c != "key"]).toArrow()
+                             for t in (self.words, self.bigrams))
+            model = Model(self.totals, *(x for t in (words, pairs_) for x in (
+                t["key"].to_numpy().view(np.uint64), [t[c].to_numpy() for c in t.column_names if c != "key"])))
+            self.model = rows.sparkSession.sparkContext.broadcast(model)
+
+    def applied(self, rows: DataFrame, finish: Callable, kind: T.DataType) -> DataFrame:
+        """The rows ``(row, text)`` as ``row`` and ``out``: what ``finish`` makes of the features, of type ``kind``."""
+        schema = T.StructType([rows.schema["row"], T.StructField("out", kind)])
+
+        def rows_of(held, model, words, sizes):
+            got, k = finish(model.features(words, sizes)), 0
+            for b in held:
+                yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(got[k:k + b.num_rows])], ["row", "out"])
+                k += b.num_rows
+
+        if self.model is not None:
+            model = self.model
+
+            def run(batches):
+                for held, words, sizes in token_chunks(batches):
+                    yield from rows_of(held, model.value, words, sizes)
+            return rows.select("row", "text").mapInArrow(run, schema)
+
+        def chunked(batches):
+            for held, _, _ in token_chunks(batches, COUNT_TOKENS):
+                chunk = int.from_bytes(os.urandom(8), "little", signed=True)
+                for b in held:
+                    yield pa.RecordBatch.from_arrays([pa.array([chunk] * b.num_rows, pa.int64()), b.column("row"), b.column("text")],
+                                                     ["chunk", "row", "text"])
+
+        def wanted(batches):
+            for held, words, sizes in token_chunks(batches, COUNT_TOKENS):
+                number, chunk = np.unique(np.repeat(np.concatenate([b.column("chunk").to_numpy() for b in held]), sizes), return_inverse=True)
+                before = pairs(words, sizes)
+                for k, c in enumerate(number):
+                    mine = chunk == k
+                    for kind, keys in enumerate((np.append(words[mine], np.uint64(0)), bigram_key(before, words)[mine])):
+                        keys = np.unique(keys).view(np.int64)
+                        yield pa.RecordBatch.from_arrays([pa.array([c] * len(keys), pa.int64()), pa.array([kind] * len(keys), pa.int32()),
+                                                          pa.array(keys)], ["chunk", "kind", "key"])
+
+        texts = written(rows.select("row", "text").mapInArrow(
+            chunked, T.StructType([T.StructField("chunk", T.LongType()), rows.schema["row"], T.StructField("text", T.BinaryType())])), "chunks")
+        none = F.lit(None).cast("long")
+        table = self.words.select(F.lit(0).alias("kind"), "key", *VALUES).union(
+            self.bigrams.select(F.lit(1), "key", "ordinary", "toxic", *[none] * 5))
+        found = texts.mapInArrow(wanted, "chunk long, kind int, key long").join(table.hint("merge"), ["kind", "key"])
+        both = found.select("chunk", "kind", "key", *VALUES, F.lit(None).cast(rows.schema["row"].dataType).alias("row"), F.lit(None).cast("binary").alias("text")) \
+            .union(texts.select("chunk", F.lit(2), none, *[none] * len(VALUES), "row", "text"))
+        totals = self.totals
+
+        def run_chunks(batches):
+            last, parts, model = None, [], None
+
+            def made():
+                t = pa.Table.from_batches(parts, parts[0].schema) if parts else None
+                args = []
+                for kind, n in ((0, len(VALUES)), (1, 2)):
+                    of = t.filter(pc.equal(t["kind"], kind)) if t else None
+                    args += [of["key"].to_numpy().view(np.uint64) if t else np.zeros(0, np.uint64),
+                             [of[c].to_numpy() if t else np.zeros(0) for c in VALUES[:n]]]
+                return Model(totals, *args)
+
+            for b in batches:
+                chunks, kinds = b.column("chunk").to_numpy(), b.column("kind").to_numpy()
+                cuts = np.flatnonzero((chunks[1:] != chunks[:-1]) | ((kinds[1:] == 2) != (kinds[:-1] == 2))) + 1
+                for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), b.num_rows]):
+                    if s == e:
+                        continue
+                    if chunks[s] != last:
+                        last, parts, model = chunks[s], [], None
+                    if kinds[s] != 2:
+                        parts.append(b.slice(s, e - s).select(["kind", "key", *VALUES]))
+                        continue
+                    if model is None:
+                        model, parts = made(), []
+                    for held, words, sizes in token_chunks(iter([b.slice(s, e - s)])):
+                        yield from rows_of(held, model, words, sizes)
+
+        return both.repartition("chunk").sortWithinPartitions("chunk", "kind").mapInArrow(run_chunks, schema)
 
 
 class Curve:
@@ -274,23 +344,14 @@ class Curve:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_fit: int = MAX_FIT):
-    """``(model, curve)`` from labels of folds 1 to 4: folds 2 to 4 are counted, fold 1 fits the curve."""
-    sc = docs.sparkSession.sparkContext
-    model = sc.broadcast(count_model(labelled(docs, labels, label, lambda i: fold(i) >= 2)))
-
-    def run(batches):
-        for held, words, sizes in token_chunks(batches):
-            x = model.value.features(words, sizes)
-            yield pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([b.column(c) for b in held]) for c in ("doc_id", "y")]
-                + [pa.array(map(bytes, np.ascontiguousarray(x)), pa.binary())], ["doc_id", "y", "x"])
-
-    sample = labelled(docs, labels, label, lambda i: fold(i) == 1, max_fit)
-    got = sample.mapInArrow(run, "doc_id long, y int, x binary").toPandas()
-    x = np.frombuffer(b"".join(got["x"]), np.float64).reshape(len(got), N_FEATURES)
+    """``(counts, curve)`` from labels of folds 1 to 4: folds 2 to 4 are counted, fold 1 fits the curve."""
+    counts = Counts(labelled(docs, labels, label, lambda i: fold(i) >= 2))
+    sample = labelled(docs, labels, label, lambda i: fold(i) == 1, max_fit).select(F.struct("doc_id", "y").alias("row"), "text")
+    got = counts.applied(sample, lambda x: list(map(bytes, np.ascontiguousarray(x))), T.BinaryType()).select("row.*", "out").toPandas()
+    x = np.frombuffer(b"".join(got["out"]), np.float64).reshape(len(got), N_FEATURES)
     y = got["y"].to_numpy(np.int64)
     order = np.lexsort((y, got["doc_id"].to_numpy(np.int64)))
-    return model, Curve(x[order], y[order])
+    return counts, Curve(x[order], y[order])
 
 
 def score_documents(docs: DataFrame, fitted) -> DataFrame:
@@ -300,17 +361,10 @@ def score_documents(docs: DataFrame, fitted) -> DataFrame:
     it. Without labelled rows every score is 0.5; if all labels agree, 0.01
     or 0.99. Repeated rows score alike; an empty table gives no rows.
     """
-    model, curve = fitted
+    counts, curve = fitted
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     todo = docs.select(rest.alias("row"), F.col("text").cast("string").cast("binary").alias("text"))
-
-    def run(batches):
-        for held, words, sizes in token_chunks(batches):
-            scores, k = curve.scores(model.value.features(words, sizes)), 0
-            for b in held:
-                yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(scores[k:k + b.num_rows], pa.float64())], ["row", "score"])
-                k += b.num_rows
-    return todo.mapInArrow(run, T.StructType([todo.schema["row"], T.StructField("score", T.DoubleType())]))
+    return counts.applied(todo, curve.scores, T.DoubleType()).withColumnRenamed("out", "score")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

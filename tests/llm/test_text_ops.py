@@ -249,6 +249,40 @@ def test_classifiers_on_held_out_rows(spark, docs_table, op, label):
     assert {r.score for r in op.score_documents(docs, fitted).select("score").collect()} == {0.5}
 
 
+def evidence_of(model, text):
+    _, words, sizes = next(toxicity.token_chunks(pa.table({"text": pa.array([text.encode()])}).to_batches()))
+    return np.array(model.evidence(words, sizes))
+
+
+def test_toxicity_counts_grow_with_the_rows(spark):
+    rows = [("river stone " * 200, 0), ("river stone " * 40 + "toad " * 150, 1)]
+    once = spark.createDataFrame(rows, "text string, y int").select(F.col("text").cast("binary").alias("text"), "y")
+    one, many = (toxicity.Counts(df).model.value for df in (once, once.crossJoin(spark.range(1000))))
+    assert many.bigram.max() >= 199_000
+    text = "river stone river stone"  # a word of one class only is rightly stronger evidence if seen more often
+    assert np.abs(evidence_of(one, text) - evidence_of(many, text))[:, 1:].max() < 0.05
+
+
+def test_toxicity_words_share_no_counts(spark):
+    words = [f"w{i}" for i in range(5000)]  # about 12 pairs of them shared one of 2^20 buckets
+    rows = spark.createDataFrame([(" ".join(words).encode(), 0)], "text binary, y int")
+    counts = toxicity.Counts(rows)
+    assert (counts.totals["words"], counts.totals["varied"]) == (5000, 5000)
+    assert len(counts.model.value.words) == 5002 and len(counts.model.value.bigrams) == 5001  # also a text's beginning, and none
+
+
+def test_toxicity_scores_are_the_same_by_joins(spark, docs_table, rows_of, monkeypatch):
+    rows, labels = judged(200)
+    docs = docs_table(rows + [(None, None), (900, ""), (901, None), (901, None), (902, "unseen words only"), (903, rows[1][1])])
+    table = spark.createDataFrame([(i, t) for i, _, t in labels], "doc_id long, toxic int")
+    whole = rows_of(toxicity.score_documents(docs, toxicity.fit(docs, table)).select("row.doc_id", "score"))
+    monkeypatch.setattr(toxicity, "MODEL_KEYS", 0)
+    monkeypatch.setattr(toxicity, "COUNT_TOKENS", 3000)
+    joined = rows_of(toxicity.score_documents(docs, toxicity.fit(docs, table)).select("row.doc_id", "score"))
+    assert [r[0] for r in joined] == [r[0] for r in whole] and len(joined) == len(rows) + 6
+    assert np.allclose([r[1] for r in joined], [r[1] for r in whole], atol=1e-9)
+
+
 def test_quality_filter_keeps_columns_and_clean_rows(spark, docs_table):
     rows, labels = judged()
     docs = docs_table(rows)
