@@ -6,9 +6,11 @@ projections, each compared with its block. Rounds of neighbours-of-neighbours
 joins refine it: the lists that meet at a vector (its neighbours, and a sample
 of those that have it as neighbour) are compared with each other, where one of
 a pair is new. A list holds LIST neighbours; one that is saturated with links
-is enlarged up to LONG_LIST. A bounded sample of vectors is then compared with
-all vectors; while the links found for it fall short of the wanted recall,
-lists grow and rounds go on.
+is enlarged up to LONG_LIST. The forest has as many trees as the table's size
+asks for, that a pair at the threshold meets in one of them. A bounded sample
+of vectors is then compared with all vectors; while the links found for it
+fall short of the wanted recall, fresh trees are added and lists grow. If that
+does not do after EXTRA_ROUNDS, all vectors are compared, block by block.
 
 Links are the edges at the threshold. Inside each component of links all
 pairs are counted, block by block, without emitting them: that is exact for
@@ -17,6 +19,7 @@ groups of copies larger than any list.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +30,8 @@ from pyspark.sql import functions as F
 from logweave.llm.common import written
 from logweave.llm.graph import components
 
-TREES, BITS, BLOCK = 5, 24, 160
+#: The fewest and the most trees of the first forest, bits of a code, vectors of a block.
+TREES, MOST_TREES, BITS, BLOCK = 5, 64, 40, 160
 LIST, LONG_LIST, SAMPLE = 8, 32, 8
 #: Candidates that one meeting proposes to each vector.
 PROPOSE = 6
@@ -36,6 +40,8 @@ ROUNDS, EXTRA_ROUNDS = 3, 3
 AUDIT, RECALL = 256, 0.995
 #: Vectors of a block in which a component's links are counted.
 COUNT_BLOCK = 512
+#: Vectors of a block where all are compared, and rows of a slice of it.
+EXACT_BLOCK, EXACT_ROWS = 4096, 512
 SEED = 11
 
 
@@ -97,12 +103,22 @@ def _top(sims: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return rows[ok], cols[ok]
 
 
-def _forest(vectors: DataFrame, dims: int) -> DataFrame:
-    """First edges: each vector's best of its block in each tree."""
+def _trees(n: int, threshold: float) -> int:
+    """Trees in one of which a pair at the threshold shares a block with the probability RECALL.
+
+    A block is told apart by about log2(n / BLOCK) signs; a pair has each alike but for its angle's share of the half circle.
+    """
+    alike = 1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi
+    meet = alike ** max(0.0, math.log2(max(n, 1) / BLOCK))
+    return min(MOST_TREES, max(TREES, math.ceil(math.log(1 - RECALL) / math.log1p(-min(meet, 0.99)))))
+
+
+def _forest(vectors: DataFrame, dims: int, trees: range) -> DataFrame:
+    """Edges to each vector's best of its block in each of the trees."""
     def code(batches):
         for b in batches:
             x = _unit(b.column("raw").to_pylist())
-            for tree in range(TREES):
+            for tree in trees:
                 planes = np.random.default_rng([SEED, tree, dims]).normal(size=(dims, BITS))
                 bits = (x @ planes > 0) @ (1 << np.arange(BITS)[::-1])
                 yield pa.RecordBatch.from_arrays(
@@ -217,10 +233,51 @@ def _audit(vectors: DataFrame, counted: DataFrame, dims: int, threshold: float)
     return 1.0 if not got["t"] else got["f"] / got["t"]
 
 
+def _joined(hit: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs that join what the symmetric matrix joins: each one's first member with the others."""
+    todo, first, others = hit.any(1), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for k in np.flatnonzero(todo):
+        if not todo[k]:
+            continue
+        found = np.zeros(len(ids), bool)
+        front = np.array([k])
+        while len(front):
+            found[front] = True
+            front = np.flatnonzero(hit[front].any(0) & ~found)
+        todo &= ~found
+        found[k] = False
+        others.append(ids[found])
+        first.append(np.full(len(others[-1]), ids[k]))
+    return np.concatenate(first), np.concatenate(others)
+
+
+def _compared(vectors: DataFrame, n: int, threshold: float) -> DataFrame:
+    """Pairs ``(a, b)`` that join all components: every vector compared with every other, block by block."""
+    blocks = -(-n // EXACT_BLOCK)
+    own, other = F.pmod(F.xxhash64("cid", F.lit(SEED)), F.lit(blocks)).cast("int"), F.col("other")
+    rows = vectors.select("cid", "raw", own.alias("own"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("other"))
+    if blocks > 1:  # each block meets itself where it meets any other
+        rows = rows.where("own != other")
+    rows = rows.select("cid", "raw", F.least("own", other).alias("lo"), F.greatest("own", other).alias("hi"))
+
+    def run(batches):
+        for b in _runs(batches, ["lo", "hi"]):
+            x, ids = _unit(b.column("raw").to_pylist()), b.column("cid").to_numpy()
+            hit = np.zeros((len(ids), len(ids)), bool)
+            for k in range(0, len(ids), EXACT_ROWS):
+                hit[k:k + EXACT_ROWS] = x[k:k + EXACT_ROWS] @ x.T >= threshold
+            np.fill_diagonal(hit, False)
+            u, v = _joined(hit | hit.T, ids)
+            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["a", "b"])
+
+    return rows.repartition("lo", "hi").sortWithinPartitions("lo", "hi").mapInArrow(run, "a long, b long")
+
+
 def _search(vectors: DataFrame, dims: int, threshold: float) -> tuple[DataFrame, DataFrame]:
     """``(components, counts)`` of the vectors of one length."""
-    size, long_size = LIST, LONG_LIST
-    graph = written(_best(_forest(vectors, dims).withColumn("fresh", F.lit(1)), threshold, size, long_size), "neighbours")
+    n = vectors.count()
+    size, long_size, trees = LIST, LONG_LIST, _trees(n, threshold)
+    graph = written(_best(_forest(vectors, dims, range(trees)).withColumn("fresh", F.lit(1)), threshold, size, long_size), "neighbours")
     done, rounds = 0, ROUNDS
     while True:
         while done < rounds:
@@ -232,11 +289,15 @@ def _search(vectors: DataFrame, dims: int, threshold: float) -> tuple[DataFrame,
                 break
         comps = written(components(_links(graph, threshold)), "components")
         counted = written(_counts(vectors, comps, threshold), "link-counts")
-        if rounds >= ROUNDS + EXTRA_ROUNDS or _audit(vectors, counted, dims, threshold) >= RECALL:
+        if _audit(vectors, counted, dims, threshold) >= RECALL:
             return comps, counted
-        # longer lists: everything is new again
-        done, rounds, size, long_size = done, rounds + 1, size * 2, long_size * 2
-        graph = graph.withColumn("fresh", F.lit(1))
+        if rounds >= ROUNDS + EXTRA_ROUNDS:
+            comps = written(components(_compared(vectors, n, threshold)), "components")
+            return comps, written(_counts(vectors, comps, threshold), "link-counts")
+        # as many fresh trees again and longer lists: everything is new
+        done, rounds, size, long_size = rounds, rounds + 1, size * 2, long_size * 2
+        fresh = _forest(vectors, dims, range(trees, 2 * trees)).union(graph.select("u", "v", "sim"))
+        graph, trees = written(_best(fresh.withColumn("fresh", F.lit(1)), threshold, size, long_size), "neighbours"), 2 * trees
 
 
 def near_duplicates(embeddings: DataFrame, threshold: float = 0.95, id_col: str = "vec_id",

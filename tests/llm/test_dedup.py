@@ -173,3 +173,27 @@ def test_embedding_edge_cases(spark, rows_of):
     assert rows_of(embedding_dedup.near_duplicates(df)) == [
         (None, 0, None, True), (None, 3, 2, False), (2, 3, 2, True), (2, 3, 2, True), (3, 0, 3, True), (4, 3, 2, False), (9, 0, 9, True)]
     assert embedding_dedup.near_duplicates(spark.createDataFrame([], kind)).count() == 0
+
+
+def isolated_pairs(n, pairs, dims=32, seed=5):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, dims))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    noise = rng.normal(size=(pairs, dims))
+    near = x[:pairs] + 0.28 * noise / np.linalg.norm(noise, axis=1, keepdims=True)
+    return [(i, list(map(float, v))) for i, v in enumerate(np.vstack([x, near]))]
+
+
+def test_embedding_search_that_falls_short_ends_in_a_full_comparison(spark, rows_of, monkeypatch):
+    for name, value in (("TREES", 1), ("MOST_TREES", 1), ("BLOCK", 4), ("ROUNDS", 1), ("EXTRA_ROUNDS", 0), ("EXACT_BLOCK", 300), ("EXACT_ROWS", 100)):
+        monkeypatch.setattr(embedding_dedup, name, value, raising=False)
+    rows = isolated_pairs(600, 200)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = sorted(embedding_dedup.brute_force(rows))
+    assert sum(w[1] for w in want) > 300
+    assert rows_of(embedding_dedup.near_duplicates(df)) == want
+
+
+def test_embedding_forest_grows_with_the_table():
+    trees = [embedding_dedup._trees(n, 0.95) for n in (1, 1_000, 10_000, 200_000, 10**7, 10**12)]
+    assert trees == sorted(trees) and trees[0] == embedding_dedup.TREES and trees[3] >= 12 and trees[-1] == embedding_dedup.MOST_TREES
