@@ -7,10 +7,12 @@ joins refine it: the lists that meet at a vector (its neighbours, and a sample
 of those that have it as neighbour) are compared with each other, where one of
 a pair is new. A list holds LIST neighbours; one that is saturated with links
 is enlarged up to LONG_LIST. The forest has as many trees as the table's size
-asks for, that a pair at the threshold meets in one of them. A bounded sample
-of vectors is then compared with all vectors; while the links found for it
-fall short of the wanted recall, fresh trees are added and lists grow. If that
-does not do after EXTRA_ROUNDS, all vectors are compared, block by block.
+asks for, that a pair at the threshold meets in one of them. A sample of
+vectors, enlarged until it has enough that are linked, is then compared with
+all vectors; while the mean share found of a vector's links falls short of the
+wanted recall, of vectors with few links or of others, or is unknown as none
+was linked, fresh trees are added and lists grow. If that does not do after
+EXTRA_ROUNDS, all vectors are compared, block by block.
 
 Links are the edges at the threshold. Inside each component of links all
 pairs are counted, block by block, without emitting them: that is exact for
@@ -36,8 +38,11 @@ LIST, LONG_LIST, SAMPLE = 8, 32, 8
 #: Candidates that one meeting proposes to each vector.
 PROPOSE = 6
 ROUNDS, EXTRA_ROUNDS = 3, 3
-#: Vectors of the recall audit and the recall of links below which rounds go on.
-AUDIT, RECALL = 256, 0.995
+#: Linked vectors that the recall audit looks for, the vectors that it first compares with all, the most bytes of
+#: them, and the recall below which rounds go on.
+LINKED, AUDIT, AUDIT_BYTES, RECALL = 256, 4096, 32 << 20, 0.995
+#: Links up to which a vector's recall is averaged apart from that of members of larger groups.
+FEW = 8
 #: Vectors of a block in which a component's links are counted.
 COUNT_BLOCK = 512
 #: Vectors of a block where all are compared, and rows of a slice of it.
@@ -209,12 +214,30 @@ def _counts(vectors: DataFrame, comps: DataFrame, threshold: float) -> DataFrame
             .mapInArrow(run, "cid long, linked long").groupBy("cid").agg(F.sum("linked").alias("linked")))
 
 
-def _audit(vectors: DataFrame, counted: DataFrame, dims: int, threshold: float) -> float:
-    """Share of the true links of a bounded sample that ``counted`` has."""
-    sample = vectors.orderBy(F.xxhash64("cid", F.lit(SEED)), "cid").limit(AUDIT).select("cid", "raw").collect()
+def _audit(vectors: DataFrame, counted: DataFrame, dims: int, threshold: float) -> float | None:
+    """Mean share of a linked vector's true links that ``counted`` has, of vectors with few links or of others, the lower.
+
+    Null if none of the most vectors that may be sampled is linked, though others may be.
+    """
+    n = vectors.count()
+    most = max(1, min(n, AUDIT_BYTES // (8 * dims)))
+    size = min(AUDIT, most)
+    while True:
+        true, found = _sampled(vectors, counted, size, threshold)
+        if size == most or ((true > 0) & (true <= FEW)).sum() >= LINKED:
+            break
+        size = min(4 * size, most)
+    share = np.minimum(true, found) / np.maximum(true, 1)
+    means = [share[m].mean() for m in ((true > 0) & (true <= FEW), true > FEW) if m.any()]
+    return min(means) if means else 1.0 if size == n else None
+
+
+def _sampled(vectors: DataFrame, counted: DataFrame, size: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """True links of a sample of vectors and those that ``counted`` has."""
+    sample = vectors.orderBy(F.xxhash64("cid", F.lit(SEED)), "cid").limit(size).select("cid", "raw").collect()
     if not sample:
-        return 1.0
-    x = _unit([r.raw for r in sample])
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    x = vectors.sparkSession.sparkContext.broadcast(_unit([r.raw for r in sample]))
     ids = np.array([r.cid for r in sample])
 
     def run(batches):
@@ -222,15 +245,17 @@ def _audit(vectors: DataFrame, counted: DataFrame, dims: int, threshold: float)
         for b in batches:
             for k in range(0, b.num_rows, 4096):
                 part = b.slice(k, 4096)
-                hit = x @ _unit(part.column("raw").to_pylist()).T >= threshold
-                hit &= ids[:, None] != part.column("cid").to_numpy()[None, :]
-                total += hit @ part.column("weight").to_numpy()
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total, pa.int64())], ["cid", "true"])
+                y, cid, weight = _unit(part.column("raw").to_pylist()).T, part.column("cid").to_numpy(), part.column("weight").to_numpy()
+                for s in range(0, len(ids), EXACT_ROWS):
+                    hit = x.value[s:s + EXACT_ROWS] @ y >= threshold
+                    hit &= ids[s:s + EXACT_ROWS, None] != cid[None, :]
+                    total[s:s + EXACT_ROWS] += hit @ weight
+        some = total > 0
+        yield pa.RecordBatch.from_arrays([pa.array(ids[some], pa.int64()), pa.array(total[some], pa.int64())], ["cid", "true"])
 
     true = vectors.mapInArrow(run, "cid long, true long").groupBy("cid").agg(F.sum("true").alias("true"))
-    got = true.join(counted, "cid", "left").agg(
-        F.sum("true").alias("t"), F.sum(F.least("true", F.coalesce("linked", F.lit(0)))).alias("f")).first()
-    return 1.0 if not got["t"] else got["f"] / got["t"]
+    got = true.join(counted, "cid", "left").select("true", F.coalesce("linked", F.lit(0)).alias("found")).toPandas()
+    return got["true"].to_numpy(np.int64), got["found"].to_numpy(np.int64)
 
 
 def _joined(hit: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -289,7 +314,8 @@ def _search(vectors: DataFrame, dims: int, threshold: float) -> tuple[DataFrame,
                 break
         comps = written(components(_links(graph, threshold)), "components")
         counted = written(_counts(vectors, comps, threshold), "link-counts")
-        if _audit(vectors, counted, dims, threshold) >= RECALL:
+        recall = _audit(vectors, counted, dims, threshold)
+        if recall is not None and recall >= RECALL:
             return comps, counted
         if rounds >= ROUNDS + EXTRA_ROUNDS:
             comps = written(components(_compared(vectors, n, threshold)), "components")

@@ -197,3 +197,21 @@ def test_embedding_search_that_falls_short_ends_in_a_full_comparison(spark, rows
 def test_embedding_forest_grows_with_the_table():
     trees = [embedding_dedup._trees(n, 0.95) for n in (1, 1_000, 10_000, 200_000, 10**7, 10**12)]
     assert trees == sorted(trees) and trees[0] == embedding_dedup.TREES and trees[3] >= 12 and trees[-1] == embedding_dedup.MOST_TREES
+
+
+def test_embedding_audit_sees_missed_pairs_beside_a_large_group(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "RECALL", 0.995)
+    rng = np.random.default_rng(8)
+    base = rng.normal(size=32)
+    group = [list(map(float, base + rng.normal(size=32) * 0.05)) for _ in range(600)]
+    rows = [v for _, v in isolated_pairs(1000, 20)] + group
+    x = np.array(rows)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    hit = x @ x.T >= 0.95
+    linked = [(i, int(hit[i].sum()) - 1) for i in range(1020, len(rows))]  # the pairs are missed
+    vectors = spark.createDataFrame([(i, bytearray(np.array(v).tobytes()), 1) for i, v in enumerate(rows)], "cid long, raw binary, weight long")
+    counted = spark.createDataFrame(linked, "cid long, linked long")
+    assert embedding_dedup._audit(vectors, counted, 32, 0.95) < 0.5
+    monkeypatch.setattr(embedding_dedup, "AUDIT_BYTES", 8 * 32 * 50, raising=False)
+    alone = vectors.where("cid >= 20 and cid < 1000")
+    assert embedding_dedup._audit(alone, counted, 32, 0.95) is None
