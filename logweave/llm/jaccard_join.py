@@ -35,7 +35,7 @@ from itertools import groupby
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -323,18 +323,23 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
 def one_per_group(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that stand for their group: those with its smallest ``doc_id``.
 
-    Rows without shingles all stay; of several rows with that smallest id the
-    one with the smallest text hash stays, and of equal rows one. Columns are
-    unchanged. Rows with a null id stay.
+    Rows without shingles all stay; of several other rows with that smallest id
+    the one with the fewest shingles, then the smallest text hash, stays. Rows
+    with a null id stay. Of rows equal in id and text one stays. Columns are
+    unchanged.
     """
     got = jaccard_components(docs, width, percent)
+    alone = F.when(F.col("doc_id").isNull() | (F.col("n_shingles") == 0), F.col("text_key"))
     stay = (got.where(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id")))
-            .groupBy("doc_id").agg(F.min(F.struct("n_shingles", "text_key")).alias("s"),
-                                   F.collect_set(F.when(F.col("doc_id").isNull() | (F.col("n_shingles") == 0), F.col("text_key"))).alias("more"))
-            .select("doc_id", F.explode(F.array_distinct(F.concat("more", F.array("s.text_key")))).alias("text_key")))
-    left = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("l_id"), text_key().alias("l_key"))
-    kept = left.join(stay.alias("s"), F.col("l_id").eqNullSafe(F.col("s.doc_id"))
-                     & (F.col("l_key") == F.col("s.text_key")), "left_semi")
+            .groupBy("doc_id", alone.alias("alone")).agg(F.min(F.struct("n_shingles", "text_key")).alias("s"))
+            .select(F.coalesce("doc_id", F.lit(0)).alias("s_id"), F.col("doc_id").isNull().alias("s_null"), F.col("s.text_key").alias("s_key")))
+    rows = docs.select(F.struct("*").alias("row"), F.coalesce("doc_id", F.lit(0)).alias("l_id"),
+                       F.col("doc_id").isNull().alias("l_null"), text_key().alias("l_key"))
+    # one of equal rows in each task before the shuffle, that the join uses too
+    equal = Window.partitionBy("l_id", "l_null", "l_key").orderBy("l_key")
+    left = rows.withColumn("number", F.row_number().over(equal)).where("number <= 1")
+    kept = left.join(stay, (F.col("l_id") == F.col("s_id")) & (F.col("l_null") == F.col("s_null"))
+                     & (F.col("l_key") == F.col("s_key")), "left_semi")
     return kept.select(*[F.col(f"row.`{c}`") for c in docs.columns])
 
 

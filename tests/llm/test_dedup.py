@@ -112,6 +112,15 @@ def test_jaccard_null_ids_empty_tables_and_one_per_group(docs_table, rows_of):
     assert jaccard_join.one_per_group(none).count() == 0
 
 
+def test_jaccard_one_per_group_keeps_one_of_equal_rows(docs_table):
+    rows = [(None, "a b c d e f"), (None, "a b c d e f"), (7, "a b c d e f"), (7, "a b c d e f"), (8, ""), (8, ""), (9, None), (9, None),
+            (None, None), (3, "x"), (12, "a b c d e f"), (8, "q r s t u v")]
+    kept = jaccard_join.one_per_group(docs_table(rows, 5))
+    assert by_null((r.doc_id, r.text) for r in kept.collect()) == by_null([
+        (None, None), (None, "a b c d e f"), (3, "x"), (7, "a b c d e f"), (8, ""), (8, "q r s t u v"), (9, None)])
+    assert "collect_set" not in kept._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_components_of_a_long_chain_and_a_hub(spark, rows_of):
     edges = [(i, i + 1) for i in range(100, 140)] + [(5, i) for i in range(200, 260)] + [(1, 1), (9, 8), (8, 9)]
     got = dict(rows_of(graph.components(spark.createDataFrame(edges, "a long, b long"))))
