@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from logweave.llm import line_dedup
+from logweave.llm import hard_negatives, line_dedup
 from logweave.llm.chat import CONTROL, END, START
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -71,4 +71,5 @@ ORACLE = {
     "op6_substring_dedup": SUBSTRING_DEDUP,
     "op9_benchmark_decontamination": DECONTAMINATION,
     "op10_chat_formatting": CHAT,
+    "op12_hard_negatives": hard_negatives.SQL,
 }

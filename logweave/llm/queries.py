@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from logweave.llm import chat, decontaminate, embedding_dedup, jaccard_join, line_dedup, packing, quality, substring_dedup, token_counts, toxicity
+from logweave.llm import (
+    chat,
+    column_packing,
+    decontaminate,
+    embedding_dedup,
+    hard_negatives,
+    jaccard_join,
+    line_dedup,
+    packing,
+    quality,
+    substring_dedup,
+    token_alignment,
+    token_counts,
+    toxicity,
+)
 from logweave.llm.oracle import ORACLE
 
 __all__ = ["ORACLE", "QUERIES"]
@@ -18,4 +32,7 @@ QUERIES = {
     "op8_token_counts": token_counts.query,
     "op9_benchmark_decontamination": decontaminate.query,
     "op10_chat_formatting": chat.query,
+    "op11_cross_tokenizer_alignment": token_alignment.query,
+    "op12_hard_negatives": hard_negatives.query,
+    "op13_column_packing": column_packing.query,
 }
