@@ -17,6 +17,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -48,21 +50,17 @@ class PieceBpe:
         return self.sp.encode(texts, num_threads=1, add_bos=False, add_eos=False)
 
 
-class Aligned:
-    """One aligned window: its groups as text, and its links as codes."""
-    __slots__ = ("codes", "groups", "text")
+class Aligned(NamedTuple):
+    """One aligned window: its groups as text, their number, and its links as 64-bit codes (bytes: the
+    garbage collector need not walk what holds no references)."""
+    text: str
+    groups: int
+    codes: bytes
 
-    def __init__(self, a: tuple, b: tuple, len_a: np.ndarray, len_b: np.ndarray, width: int):
-        ends_a, ends_b = np.cumsum(len_a[list(a)]).tolist(), np.cumsum(len_b[list(b)]).tolist()
-        groups, codes, i, j, first_a, first_b = [], [], 0, 0, 0, 0
-        while i < len(a) and j < len(b):  # tokens i and j overlap: go on from the one that ends first
-            codes.append(a[i] * width + b[j])
-            end_a, end_b = ends_a[i], ends_b[j]
-            i, j = i + (end_a <= end_b), j + (end_b <= end_a)
-            if end_a == end_b:
-                groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
-                first_a, first_b = i, j
-        self.text, self.groups, self.codes = ";".join(groups), len(groups), np.array(codes, np.int64)
+
+def _gathered(start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Places ``start[k] .. start[k] + n[k] - 1`` of every ``k``, one after another."""
+    return np.repeat(start - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
 
 
 class Aligner:
@@ -71,6 +69,8 @@ class Aligner:
     def __init__(self, path_a: str, path_b: str):
         self.a, self.b = ByteBpe(path_a, plain_specials=True), PieceBpe(path_b)
         self.len_a, self.len_b = (np.array([len(t) for t in x.bytes_of]) for x in (self.a, self.b))
+        self.marked = np.array([f"{i}{mark}" for size, marks in ((len(self.len_a), ",|"), (len(self.len_b), ",;")) for mark in marks
+                                for i in range(size)], object)
         self.space_a, self.space_b = (np.array([t.startswith(b" ") for t in x.bytes_of]) for x in (self.a, self.b))
         self.width = len(self.len_b)
         self.memo: dict[tuple, Aligned] = {}
@@ -85,22 +85,47 @@ class Aligner:
                 a[k], b[k] = [], []
         return a, b
 
-    def window(self, key: tuple[bytes, bytes]) -> Aligned:
-        found = self.memo.get(key)
-        if found is None:
-            a, b = (np.frombuffer(x, "<u4").tolist() for x in key)
-            found = Aligned(tuple(a), tuple(b), self.len_a, self.len_b, self.width)
-            if len(a) <= MEMO_LENGTH:
-                if len(self.memo) >= MEMO_WINDOWS:
-                    self.memo.clear()
-                self.memo[key] = found
+    def windows(self, keys: list[tuple[bytes, bytes]]) -> list[Aligned]:
+        """Every window's alignment; those not remembered are aligned together."""
+        found = [self.memo.get(k) for k in keys]
+        new = [k for k, f in zip(keys, found) if f is None]
+        if new:
+            fresh = iter(self.aligned(new))
+            found = [next(fresh) if f is None else f for f in found]
+            if len(self.memo) + len(new) > MEMO_WINDOWS:
+                self.memo.clear()
+            self.memo.update((k, f) for k, f in zip(keys, found) if len(k[0]) <= 4 * MEMO_LENGTH)
         return found
 
+    def aligned(self, keys: list[tuple[bytes, bytes]]) -> list[Aligned]:
+        """Groups and links of windows, each two id sequences that spell the same bytes, laid end to end."""
+        n_a, n_b = (np.fromiter((len(k[x]) // 4 for k in keys), np.int64, len(keys)) for x in (0, 1))
+        ids_a, ids_b = (np.frombuffer(b"".join([k[x] for k in keys]), "<u4").astype(np.int64) for x in (0, 1))
+        end_a, end_b = np.cumsum(self.len_a[ids_a]), np.cumsum(self.len_b[ids_b])
+        # the second's tokens that overlap each of the first's
+        low = np.searchsorted(end_b, end_a - self.len_a[ids_a], "right")
+        n = np.searchsorted(end_b - self.len_b[ids_b], end_a) - low
+        codes = np.repeat(ids_a, n) * self.width + ids_b[_gathered(low, n)]
+        borders_a = np.cumsum(n_a)
+        cut = (8 * np.append(0, np.cumsum(n)[borders_a - 1])).tolist()
+        shared = np.intersect1d(end_a, end_b, assume_unique=True)
+        # ids in the order of the text: a group's of the first, then of the second, each with the mark after it
+        side = np.concatenate([2 * np.searchsorted(shared, end_a), 2 * np.searchsorted(shared, end_b) + 1])
+        order = np.argsort(side, kind="stable")
+        last = np.append(side[order][1:] != side[order][:-1], True)
+        entry = np.concatenate([ids_a, ids_b + 2 * len(self.len_a)])[order]
+        entry[last] += np.where(side[order][last] % 2 == 0, len(self.len_a), len(self.len_b))
+        marked = self.marked[entry].tolist()
+        ends = np.cumsum(n_a + n_b).tolist()
+        groups = np.diff(np.searchsorted(shared, end_a[borders_a - 1], "right"), prepend=0).tolist()
+        raw = codes.astype("<i8").tobytes()
+        return [Aligned("".join(marked[s:e])[:-1], g, raw[p:q]) for s, e, g, p, q in zip([0, *ends], ends, groups, cut, cut[1:])]
+
     def align(self, texts: list[str]) -> list[tuple]:
         """``(n_a, n_b, n_groups, n_links, groups_sha256, codes, times)`` of each text; codes are its different pairs."""
         a, b = self.tokens(texts)
         n_a, n_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (a, b))
-        ids_a, ids_b = (np.fromiter((i for ids in x for i in ids), "<u4", int(n.sum())) for x, n in ((a, n_a), (b, n_b)))
+        ids_a, ids_b = (np.fromiter(chain.from_iterable(x), "u4", int(n.sum())) for x, n in ((a, n_a), (b, n_b)))
         del a, b
         # all texts end to end: both tokenizers' bytes are the same there
         start_a, start_b = (np.cumsum(size[ids]) - size[ids] for size, ids in ((self.len_a, ids_a), (self.len_b, ids_b)))
@@ -114,11 +139,11 @@ class Aligner:
         which = np.fromiter(
             (number.setdefault((raw_a[4 * s:4 * e], raw_b[4 * p:4 * q]), len(number))
              for s, e, p, q in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])), np.int64, len(borders))
-        windows = [self.window(k) for k in number]
+        windows = self.windows(list(number))
         groups = np.array([w.groups for w in windows], np.int64)
-        links = np.array([len(w.codes) for w in windows], np.int64)
+        links = np.array([len(w.codes) for w in windows], np.int64) // 8
         text = [w.text for w in windows]
-        codes = np.concatenate([w.codes for w in windows]) if windows else np.zeros(0, np.int64)
+        codes = np.frombuffer(b"".join([w.codes for w in windows]), "<i8")
         at = np.cumsum(links) - links
         n_windows = np.zeros(len(texts), np.int64)
         if there.any():
@@ -131,8 +156,7 @@ class Aligner:
                 out.append((0, 0, 0, 0, "", b"", b""))
                 continue
             size = links[own]
-            ends = np.cumsum(size)
-            all_codes = codes[np.repeat(at[own] - ends + size, size) + np.arange(int(ends[-1]))]
+            all_codes = codes[_gathered(at[own], size)]
             distinct, times = np.unique(all_codes, return_counts=True)
             sha = hashlib.sha256(";".join([text[w] for w in own.tolist()]).encode()).hexdigest()
             out.append((int(n_a[k]), int(n_b[k]), int(groups[own].sum()), len(all_codes), sha,
