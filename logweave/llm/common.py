@@ -67,8 +67,8 @@ def bloom_bits(keys: DataFrame, hash_col: str) -> np.ndarray:
     words = (bits.groupBy(F.shiftright("at", 6).alias("word"))
              .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")))
     out = np.zeros(size // 64, np.uint64)
-    got = words.toPandas()
-    out[got["word"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64).view(np.uint64)
+    got = words.toArrow()  # two columns of numbers; rows of Python objects would take the driver's memory many times over
+    out[got["word"].to_numpy()] = got["bits"].to_numpy().view(np.uint64)
     return out
 
 

@@ -256,6 +256,7 @@ def linked(pairs: DataFrame, reps: DataFrame, own: DataFrame, search) -> DataFra
     texts = (own.select("text_key", "text").mapInArrow(_packed(bits), "text_key long, size long, packed binary")
              .groupBy("text_key").agg(F.first("size").alias("size"), F.first("packed").alias("packed")))
     texts = written(texts.join(keys, "text_key").select("cls", "size", "packed"), "packed-texts")
+    bits.destroy()
     a, b = (texts.select(F.col("cls").alias(x), F.col("size").alias(f"size_{x}"), F.col("packed").alias(f"text_{x}")) for x in "ab")
     rows = pairs.join(b, "b").join(a, "a").select("a", "size_a", "text_a", "b", "size_b", "text_b").sortWithinPartitions("a", "b")
     return written(rows.mapInArrow(search, "a long, b long"), "shingle-links")
@@ -287,6 +288,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
     bits = sc.broadcast(bloom_bits(several, "h"))
     full = texts.mapInArrow(_postings(width, percent, ranks, bits), "h long, cls long, n long, at long, central long")
     shared = written(full.join(several, "h").distinct(), "short-lists")
+    bits.destroy()
 
     fits = (F.least(F.col("p.n") - F.col("p.at"), F.col("q.n") - F.col("q.at")) * (100 + percent)
             >= percent * (F.col("p.n") + F.col("q.n")))
@@ -310,6 +312,7 @@ def jaccard_components(docs: DataFrame, width: int = 5, percent: int = 80) -> Da
                      & ((F.col("q.comp") == F.col("q.main")) | (F.col("p.cls") < F.col("q.cls"))))
               .select(F.col("p.cls").alias("a"), F.col("q.cls").alias("b")).distinct())
     more = linked(across, reps, own, search)
+    ranks.destroy()
     final = components(links.union(more))
 
     named = classes.join(final, (classes["cls"] == final["node"]) & (classes["n"] > 0), "left").select(
