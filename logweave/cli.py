@@ -21,6 +21,9 @@ import sys
 if __package__ in (None, ""):  # run as a script: make the package importable
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+from logweave.functions import jsoncols as J
+from logweave.functions import timecols as T
+from logweave.operators.sizes import MAX_REQUEST_SIZE, TOO_LARGE_FOR_SINK, within_limit
 from logweave.plans import jobs
 from logweave.session import build_session
 from logweave.sources.records import read_kafka, read_topics
@@ -85,6 +88,11 @@ def job_callable(name: str, params: dict):
 _CLEANUP: list = []
 
 
+#: Dead-letter reasons that ``--metrics`` counts one by one.
+REASONS = (J.INVALID_JSON, J.FILEBEAT_ERROR, J.FLUENTBIT_ERROR, J.TRANSFORM_ERROR, J.TOPIC_ERROR, J.TOO_LARGE, J.BEYOND_LIMITS,
+           J.NOT_UTF8, TOO_LARGE_FOR_SINK)
+
+
 def _with_metrics(spark, routed, stream: bool, error_topic: str):
     """Counts, not per-record logs: one line per micro-batch (stream) or run."""
     from pyspark.sql import Observation
@@ -100,8 +108,7 @@ def _with_metrics(spark, routed, stream: bool, error_topic: str):
             def onQueryProgress(self, event):
                 m = event.progress.observedMetrics.get("routes")
                 if m is not None:
-                    print(f"batch {event.progress.batchId}: rows={m['rows']} dead_letters={m['dead_letters']}",
-                          flush=True)
+                    print(f"batch {event.progress.batchId}: " + " ".join(f"{k}={v}" for k, v in m.asDict().items()), flush=True)
 
             def onQueryIdle(self, event):
                 pass
@@ -112,20 +119,14 @@ def _with_metrics(spark, routed, stream: bool, error_topic: str):
         printer = Printer()
         spark.streams.addListener(printer)
         _CLEANUP.append(lambda: spark.streams.removeListener(printer))
-        return observe_routes(routed, "routes", error_topic)
+        return observe_routes(routed, "routes", error_topic, reasons=REASONS)
     obs = Observation("routes")
-    routed = routed.observe(obs, *_route_metric_columns(error_topic))
+    routed = observe_routes(routed, obs, error_topic, reasons=REASONS)
     import atexit
     atexit.register(lambda: print(f"routes: {obs.get}", flush=True))
     return routed
 
 
-def _route_metric_columns(error_topic: str):
-    from pyspark.sql import functions as F
-    return [F.count(F.lit(1)).alias("rows"),
-            F.sum(F.when(F.col("topic") == error_topic, 1).otherwise(0)).alias("dead_letters")]
-
-
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__.splitlines()[0])
     ap.add_argument("job", choices=sorted(JOBS))
@@ -174,12 +175,16 @@ def main(argv=None) -> None:
     else:
         records = read_topics(spark, a.source)
     routed = job(records)
+    error_topic = params.get("error_topic", "dead-letter")
+    opts = {}
+    if a.sink.startswith("kafka://"):
+        opts = kafka_sink_options(a.sink[len("kafka://"):], extra=dict(o.split("=", 1) for o in a.sink_option))
+        limit = int(opts.get("kafka.max.request.size", MAX_REQUEST_SIZE))
+        routed = within_limit(routed, T.now_iso(params.get("zone", T.DEFAULT_ZONE)), limit, error_topic)
     if a.metrics:
-        routed = _with_metrics(spark, routed, a.stream, params.get("error_topic", "dead-letter"))
+        routed = _with_metrics(spark, routed, a.stream, error_topic)
 
-    if a.sink.startswith("kafka://"):
-        extra = dict(o.split("=", 1) for o in a.sink_option)
-        opts = kafka_sink_options(a.sink[len("kafka://"):], extra=extra)
+    if opts:
         if a.stream:
             start_routed_kafka_stream(routed, opts, a.checkpoint, a.job, a.trigger).awaitTermination()
         else:

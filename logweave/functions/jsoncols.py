@@ -19,7 +19,11 @@ consumed with:
 * a record beyond the size limits of the VARIANT reader (one string over
   20 MB) is read field by field by a second reader with the same rules; what
   that cannot hold either (over ``LARGEST`` bytes, or a repeated key in such a
-  record) is *too large*, which jobs dead-letter with its own reason.
+  record) is *too large*, which jobs dead-letter with its own reason;
+* both readers hold at most ``DEEPEST`` nested levels and numbers of
+  ``LONGEST_NUMBER`` characters. Neither recurses beyond that, so a record
+  that is well-formed but deeper, or has a longer number, costs its own
+  parse and no more; jobs dead-letter it as *beyond the reader's limits*.
 """
 
 from __future__ import annotations
@@ -37,12 +41,20 @@ FLUENTBIT_ERROR = "Fluentbit Log Deserialization Error"
 TRANSFORM_ERROR = "Record Transform Error"
 TOPIC_ERROR = "Output Topic Resolution Error"
 TOO_LARGE = "Record Too Large"
+BEYOND_LIMITS = "Record Beyond Reader Limits"
 NOT_UTF8 = "Record Is Not UTF-8"
 
 #: Bytes of a record that one VARIANT value holds with room to spare (its limit is 128 MiB).
 LARGEST = 100_000_000
-_STRICT = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false",
-           "maxStringLen": "2147483647", "maxNestingDepth": "2147483647", "maxNumLen": "2147483647"}
+#: Bytes beyond which the first reader may refuse a record for its size (one string of 20 MB).
+FIRST_READER = 20_000_000
+#: Nested levels and characters of a number that both readers hold.
+DEEPEST, LONGEST_NUMBER = 1000, 1000
+#: Open brackets beyond which a text is not even checked for its form.
+HOPELESS = 1_000_000
+_FORM = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false", "maxStringLen": "2147483647"}
+_STRICT = {**_FORM, "maxNestingDepth": str(DEEPEST), "maxNumLen": str(LONGEST_NUMBER)}
+_UNBOUNDED = {**_FORM, "maxNestingDepth": str(HOPELESS), "maxNumLen": "2147483647", "columnNameOfCorruptRecord": "_bad"}
 
 _JSON_SPACE = " \t\n\r"
 
@@ -64,7 +76,8 @@ def path_of(field: str) -> str:
 def parse(value) -> Column:
     """Lenient parse: text -> VARIANT; NULL when the text is not JSON (or too large)."""
     text = to_col(value)
-    return F.coalesce(F.try_parse_json(text), _parse_large(text))
+    large = F.when(F.octet_length(text) > FIRST_READER, _parse_large(text))
+    return F.coalesce(F.try_parse_json(text), large)
 
 
 def _parse_large(text: Column) -> Column:
@@ -80,7 +93,22 @@ def _parse_large(text: Column) -> Column:
 
 def too_large(text, var) -> Column:
     """True where a text is not parsed for its size, not for its form (never NULL)."""
-    return F.coalesce(to_col(var).isNull() & (F.octet_length(to_col(text)) > LARGEST // 5), F.lit(False))
+    return F.coalesce(to_col(var).isNull() & (F.octet_length(to_col(text)) > FIRST_READER), F.lit(False))
+
+
+def beyond_limits(text, var) -> Column:
+    """True where a text is well-formed but nested too deeply for the readers, or has too long a number (never NULL).
+
+    Only a text that was not parsed and has that many open brackets or digits
+    in a row is looked at; its form is then checked by a reader that skips
+    all values, which takes no recursion and converts no number. With more
+    than ``HOPELESS`` open brackets the form is left unchecked.
+    """
+    text = to_col(text)
+    opens = F.length(text) - F.length(F.translate(text, "[{", ""))
+    suspect = (opens > DEEPEST) | text.rlike(f"[0-9]{{{LONGEST_NUMBER}}}")
+    probe = F.from_json(F.concat(F.lit('{"v":'), text, F.lit("}")), "n int, _bad string", _UNBOUNDED)
+    return F.coalesce(to_col(var).isNull() & suspect & ((opens > HOPELESS) | probe["_bad"].isNull()), F.lit(False))
 
 
 def first_char(text) -> Column:
@@ -225,13 +253,13 @@ def unwrap(value, field: str = "message") -> tuple[Column, Column]:
 
 
 def with_unwrapped(df, field: str = "message", value: str = "value"):
-    """Add ``_inner`` (payload text), ``_ivar`` (parsed payload) and ``_inner_ok``.
+    """Add ``_inner`` (payload text), ``_ivar`` (parsed payload), ``_inner_ok`` and ``_wrapped`` (the envelope was parsed).
 
     Staged as separate projections so the envelope and the payload are each
     parsed exactly once, however many fields are read afterwards.
     """
     df = df.withColumn("_wvar", parse(value))
-    df = df.withColumn("_inner", trimmed(text_of("_wvar", field))).drop("_wvar")
+    df = df.withColumns({"_inner": trimmed(text_of("_wvar", field)), "_wrapped": F.col("_wvar").isNotNull()}).drop("_wvar")
     df = df.withColumn("_ivar", parse("_inner"))
     return df.withColumn("_inner_ok", is_container("_inner", "_ivar"))
 

@@ -65,6 +65,11 @@ class Reshaped:
     topic: Column | None = None
 
 
+def status_of(ok: Column) -> Column:
+    """``ok``, or ``map_error`` where a reshape failed."""
+    return F.when(ok, F.lit("ok")).otherwise(F.lit("map_error"))
+
+
 def flatten_chat(var, value) -> Reshaped:
     """Action log -> ``{"datetime","message","user"}`` keyed by the user id.
 
@@ -202,7 +207,7 @@ def with_db_envelope(df: DataFrame, var: str, value: str = "value",
 def with_flat_chat(df: DataFrame, var: str, value: str = "value", keep: str | None = None,
                    struct_key: bool = False) -> DataFrame:
     """Staged :func:`flatten_chat` (or :func:`flatten_chat_struct_key` when
-    ``struct_key``): adds ``_fk, _fv``. The nested ``data`` text is parsed
+    ``struct_key``): adds ``_fk, _fv`` and the status ``_fs``. The nested ``data`` text is parsed
     once, and only for rows where the boolean column ``keep`` holds."""
     v = F.col(var)
     df = _stage(df, _gate({"_f_time": J.text_of(v, "time"), "_f_data": J.parse(J.text_of(v, "data"))}, keep))
@@ -217,7 +222,7 @@ def with_flat_chat(df: DataFrame, var: str, value: str = "value", keep: str | No
     else:
         key = uid
         flat = F.to_json(F.struct(time.alias("datetime"), body.alias("message"), uid.alias("user")))
-    out = {"_fk": F.when(ok, key), "_fv": F.when(ok, flat).otherwise(J.trimmed(value))}
+    out = {"_fk": F.when(ok, key), "_fv": F.when(ok, flat).otherwise(J.trimmed(value)), "_fs": status_of(ok)}
     return _drop_temps(_stage(df, _gate(out, keep)))
 
 

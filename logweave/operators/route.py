@@ -32,14 +32,20 @@ BRANCH_COL = "_branch"
 
 @dataclass
 class Emit:
-    """One output record of a branch. ``key=None`` keeps the input key."""
+    """One output record of a branch. ``key=None`` keeps the input key.
+
+    ``status`` says what became of the record (``ok`` unless given): a record
+    whose reshape failed keeps flowing with a NULL key, and only its status
+    tells it from one that never had a key.
+    """
     topic: Column | str
     value: Column | str = "value"
     key: Column | str | None = None
+    status: Column | str = "ok"
 
     def struct(self, branch: str) -> Column:
         key = F.col("key") if self.key is None else to_col(self.key)
-        return F.struct(F.lit(branch).alias("branch"),
+        return F.struct(F.lit(branch).alias("branch"), lit_or_col(self.status).cast("string").alias("status"),
                         lit_or_col(self.topic).cast("string").alias("topic"),
                         key.cast("string").alias("key"),
                         to_col(self.value).cast("string").alias("value"))
@@ -68,7 +74,8 @@ def branch_column(branches: Sequence[Branch], default: str | None = None) -> Col
 
 
 def route(df: DataFrame, branches: Sequence[Branch], default: Branch | None = None,
-          exclusive: bool = True, keep: Sequence[str] = (), with_branch: bool = False) -> DataFrame:
+          exclusive: bool = True, keep: Sequence[str] = (), with_branch: bool = False,
+          with_status: bool = False) -> DataFrame:
     """Route records to their outputs; returns ``topic, key, value``.
 
     ``exclusive=True`` is split/branch semantics (first match wins, the
@@ -76,7 +83,7 @@ def route(df: DataFrame, branches: Sequence[Branch], default: Branch | None = No
     ``exclusive=False`` is several independent filters on one stream: a
     record is emitted once per matching branch.
     ``keep`` carries input columns along (e.g. ``offset``); ``with_branch``
-    adds the branch name.
+    adds the branch name, ``with_status`` each output's status.
     """
     names = [b.name for b in branches] + ([default.name] if default else [])
     if len(set(names)) != len(names):
@@ -102,7 +109,7 @@ def route(df: DataFrame, branches: Sequence[Branch], default: Branch | None = No
     if not outs:
         raise ValueError("no branch emits anything")
     routed = _emit(staged.select(*keep, F.explode(F.array(*outs)).alias("_o")), keep)
-    cols = list(keep) + (["branch"] if with_branch else []) + ["topic", "key", "value"]
+    cols = list(keep) + (["branch"] if with_branch else []) + ["topic", "key", "value"] + (["status"] if with_status else [])
     return routed.select(*cols)
 
 

@@ -20,6 +20,7 @@ from logweave.operators import predicates as P
 from logweave.operators import reshape as R
 from logweave.operators.grouped import latest_by_key, route_counts
 from logweave.operators.route import Branch, Emit, filter_once, route
+from logweave.operators.sizes import within_limit
 from logweave.plans import jobs
 from logweave.plans import oracle as O
 from logweave.sources import derived as D
@@ -493,6 +494,36 @@ def job_validate_pass(spark, sf):
     return jobs.validate_pass(D.filebeat_records(spark, sf))
 
 
+# ---------------------------------------------------------------- limits and statuses
+@register("reader_limits", O.LIMITS + f"""
+SELECT CASE WHEN cls < 3 THEN 'dead-letter' ELSE 'validated' END AS topic, key,
+       CASE WHEN cls < 3 THEN {O.err_json('value', O.BEYOND_LIMITS, 'ts')} ELSE value END AS value
+FROM lim WHERE cls NOT IN (3, 6)""")
+def reader_limits(spark, sf):
+    """J8 over records nested too deeply, or with too long numbers, for the readers."""
+    return jobs.validate_pass(D.limit_records(spark, sf), detected_at=REC)
+
+
+@register("message_limit", O.message_limit(4096))
+def message_limit(spark, sf):
+    """Documents as messages of a sink that takes 4,096 bytes: larger ones are dead letters in pieces that fit."""
+    df = D.document_records(spark, sf).select("topic", "key", "value", "timestamp")
+    return within_limit(df, T.iso_offset_datetime(F.col("timestamp"), T.DEFAULT_ZONE), 4096).drop("timestamp")
+
+
+@register("map_status", O.with_(O.ACTIONS) + """
+SELECT topic, status, count(*) AS n, count(key) AS n_keys FROM (
+  SELECT 's3-archive' AS topic, 'ok' AS status, key FROM act WHERE head NOT LIKE 'chat.%'
+  UNION ALL SELECT 'chat-copy', 'ok', key FROM act WHERE head = 'chat.sendmessage'
+  UNION ALL SELECT 'chat-flat', CASE WHEN flat_ok THEN 'ok' ELSE 'map_error' END, CASE WHEN flat_ok THEN uid END
+            FROM act WHERE head = 'chat.sendmessage')
+GROUP BY ALL""")
+def map_status(spark, sf):
+    """J1's records by topic and status: a failed reshape is not a record without a key."""
+    out = jobs.log_split(D.action_records(spark, sf), with_status=True)
+    return out.groupBy("topic", "status").agg(F.count(F.lit(1)).alias("n"), F.count("key").alias("n_keys"))
+
+
 # ---------------------------------------------------------------- optional items
 @register("pseudonymise_split", O.with_(O.ACTIONS) + """
 SELECT 'user-ids' AS topic, sha256(uid) AS key, uid AS value FROM act WHERE head = 'chat.sendmessage' AND flat_ok

@@ -9,9 +9,9 @@ Failure policy (decided once, used everywhere):
 * a record that cannot be *read* (bad JSON, bad envelope) goes to the
   dead-letter topic as an error record when the job has one, and is
   dropped by jobs that only keep valid records;
-* a record that cannot be read for its *size* or because its bytes are not
-  UTF-8 goes to the dead-letter topic in every job, whole, with a reason of
-  its own;
+* a record that cannot be read for its *size*, its *nesting* or the length of
+  a number, or because its bytes are not UTF-8, goes to the dead-letter topic
+  in every job, whole, with a reason of its own;
 * a record that cannot be *reshaped* keeps flowing with a NULL key and its
   original value on static sinks;
 * a record whose *output topic* cannot be computed goes to the dead-letter
@@ -22,7 +22,9 @@ Failure policy (decided once, used everywhere):
 (``"processing"``); ``"record"`` stamps the record's own timestamp instead,
 which makes reruns byte-identical. ``metadata=True`` adds the source record's
 partition, offset, timestamp, topic (``source_topic``) and headers to the
-output, dead letters included.
+output, dead letters included. ``with_status=True`` adds what became of each
+record: ``ok``, ``map_error`` (a reshape failed), ``topic_error`` (no broker
+would take its topic) or ``unreadable``.
 """
 
 from __future__ import annotations
@@ -76,11 +78,13 @@ def parsed(records: DataFrame, detected_at: str = "processing", zone: str = T.DE
     return unreadable(records.withColumn(VAR, J.parse("value")), VAR, detected_at, zone)
 
 
-def unreadable(df: DataFrame, var: str, detected_at: str, zone: str) -> DataFrame:
-    """Add ``_bad``: the error record of a record too large to parse (full
-    text) or not UTF-8 (its bytes in base64); NULL for all others."""
+def unreadable(df: DataFrame, var: str, detected_at: str, zone: str, text="value") -> DataFrame:
+    """Add ``_bad``: the error record of a record too large to parse or beyond
+    the readers' limits (full text), or not UTF-8 (its bytes in base64); NULL
+    for all others. ``text`` is what ``var`` was parsed from."""
     when = stamp(detected_at, zone)
-    bad = F.when(J.too_large("value", var), J.error_record("value", J.TOO_LARGE, when))
+    bad = (F.when(J.too_large("value", var), J.error_record("value", J.TOO_LARGE, when))
+           .when(J.beyond_limits(text, var), J.error_record("value", J.BEYOND_LIMITS, when)))
     if "raw" in df.columns:
         raw = F.col("raw")
         bad = F.when(raw.isNotNull(), J.error_record(F.base64(raw), J.NOT_UTF8, when)).otherwise(bad)
@@ -88,11 +92,11 @@ def unreadable(df: DataFrame, var: str, detected_at: str, zone: str) -> DataFram
 
 
 def routed(df: DataFrame, branches: list[Branch], error_topic: str, default: Branch | None = None,
-           keep=(), with_branch: bool = False) -> DataFrame:
+           keep=(), with_branch: bool = False, with_status: bool = False) -> DataFrame:
     """Route with the unreadable records first; with their source columns where the job hands them on."""
     if BAD in df.columns:
-        branches = [Branch("unreadable", F.col(BAD).isNotNull(), [Emit(error_topic, F.col(BAD))]), *branches]
-    out = route(df, branches, default, keep=[*keep, *[c for c in (SRC,) if c in df.columns]], with_branch=with_branch)
+        branches = [Branch("unreadable", F.col(BAD).isNotNull(), [Emit(error_topic, F.col(BAD), status="unreadable")]), *branches]
+    out = route(df, branches, default, keep=[*keep, *[c for c in (SRC,) if c in df.columns]], with_branch=with_branch, with_status=with_status)
     if SRC not in df.columns:
         return out
     names = [f.name for f in df.schema[SRC].dataType.fields]
@@ -101,7 +105,7 @@ def routed(df: DataFrame, branches: list[Branch], error_topic: str, default: Bra
 
 
 def _dynamic(df: DataFrame, r: R.Reshaped, on_error: str, error_topic: str,
-             detected_at: str, zone: str, keep: Column | None = None) -> DataFrame:
+             detected_at: str, zone: str, keep: Column | None = None, with_status: bool = False) -> DataFrame:
     """Emit kept records to a per-record topic; failures follow ``on_error``.
 
     Records outside ``keep`` are dropped silently (a filter); kept records
@@ -118,27 +122,28 @@ def _dynamic(df: DataFrame, r: R.Reshaped, on_error: str, error_topic: str,
     err = J.error_record("value", J.TOPIC_ERROR, stamp(detected_at, zone))
     return routed(staged, [
         Branch("out", F.col("_good"), [Emit(F.col("_dest"), F.col("_v"), F.col("_k"))]),
-        Branch("error", F.col("_dest").isNotNull(), [Emit(F.col("_dest"), err)]),
-    ], error_topic)
+        Branch("error", F.col("_dest").isNotNull(), [Emit(F.col("_dest"), err, status=F.when(F.col("_ok"), F.lit("topic_error")).otherwise(F.lit("map_error")))]),
+    ], error_topic, with_status=with_status)
 
 
 # J0 -------------------------------------------------------------------------
 def chat_rekey(records: DataFrame, pattern: str = "chat-raw-.*", sink: str = "chat-keyed",
                tables: list[str] = P.CHAT_TABLES, key_index: int = 8, error_topic: str = DEAD_LETTER, detected_at: str = "processing",
-               zone: str = T.DEFAULT_ZONE, metadata: bool = False) -> DataFrame:
+               zone: str = T.DEFAULT_ZONE, metadata: bool = False, with_status: bool = False) -> DataFrame:
     """Pipe-delimited chat logs: keep chat tables, key by the user field."""
     df = parsed(begun(select_topics(records, pattern=pattern), metadata), detected_at, zone)
     r = R.pipe_rekey(F.col(VAR), F.col("value"), key_index)
     staged = df.select("key", *carried(df), R.pipe_table_in(F.col(VAR), tables).alias("_keep"),
-                       r.key.alias("_k"), r.value.alias("_v"))
-    return routed(staged, [Branch("chat", F.col("_keep"), [Emit(sink, F.col("_v"), F.col("_k"))])], error_topic)
+                       r.key.alias("_k"), r.value.alias("_v"), R.status_of(r.ok).alias("_s"))
+    return routed(staged, [Branch("chat", F.col("_keep"), [Emit(sink, F.col("_v"), F.col("_k"), F.col("_s"))])], error_topic,
+                  with_status=with_status)
 
 
 # J1 -------------------------------------------------------------------------
 def log_split(records: DataFrame, topic: str = "chat-actions", s3_topic: str = "s3-archive",
               flat_topic: str = "chat-flat", copy_topic: str = "chat-copy",
               error_topic: str = DEAD_LETTER, detected_at: str = "processing",
-              zone: str = T.DEFAULT_ZONE, metadata: bool = False) -> DataFrame:
+              zone: str = T.DEFAULT_ZONE, metadata: bool = False, with_status: bool = False) -> DataFrame:
     """Exclusive split: non-chat actions to the archive; chat messages both
     flattened and as-is; other chat actions dropped."""
     df = parsed(begun(select_topics(records, topic=topic), metadata), detected_at, zone)
@@ -150,58 +155,59 @@ def log_split(records: DataFrame, topic: str = "chat-actions", s3_topic: str = "
     staged = R.with_flat_chat(df, VAR, "value", keep="_chat")   # nested data parsed for chat rows only
     return routed(staged, [
         Branch("s3", F.col("_s3"), [Emit(s3_topic)]),
-        Branch("chat", F.col("_chat"), [Emit(flat_topic, F.col("_fv"), F.col("_fk")), Emit(copy_topic)]),
-    ], error_topic)
+        Branch("chat", F.col("_chat"), [Emit(flat_topic, F.col("_fv"), F.col("_fk"), F.col("_fs")), Emit(copy_topic)]),
+    ], error_topic, with_status=with_status)
 
 
 # J2 -------------------------------------------------------------------------
 def chat_extract(records: DataFrame, topic: str = "chat-tables", sink: str = "chat-extracted",
                  table_name: str = "chat_message", error_topic: str = DEAD_LETTER, detected_at: str = "processing",
-                 zone: str = T.DEFAULT_ZONE, metadata: bool = False) -> DataFrame:
+                 zone: str = T.DEFAULT_ZONE, metadata: bool = False, with_status: bool = False) -> DataFrame:
     """Keep one table's rows and flatten them with a JSON struct key."""
     df = parsed(begun(select_topics(records, topic=topic), metadata), detected_at, zone)
     df = df.withColumn("_keep", P.field_equals(F.col(VAR), "table", table_name))
     staged = R.with_flat_chat(df, VAR, "value", keep="_keep", struct_key=True)
-    return routed(staged, [Branch("chat", F.col("_keep"), [Emit(sink, F.col("_fv"), F.col("_fk"))])], error_topic)
+    return routed(staged, [Branch("chat", F.col("_keep"), [Emit(sink, F.col("_fv"), F.col("_fk"), F.col("_fs"))])], error_topic,
+                  with_status=with_status)
 
 
 # J3 -------------------------------------------------------------------------
 def daily_feed(records: DataFrame, topic: str = "game-log", names: list[str] = P.TARGET_LOG_NAMES,
                topic_prefix: str = "my_log_", on_error: str = "dead_letter",
                error_topic: str = DEAD_LETTER, detected_at: str = "processing",
-               zone: str = T.DEFAULT_ZONE, metadata: bool = False) -> DataFrame:
+               zone: str = T.DEFAULT_ZONE, metadata: bool = False, with_status: bool = False) -> DataFrame:
     """Target game logs -> Connect envelope on a per-name, per-day topic."""
     df = parsed(begun(select_topics(records, topic=topic), metadata), detected_at, zone)
     df = R.with_daily_fields(df, VAR)            # read once, shared by filter and envelope
     df = df.withColumn("_keep", P.in_ci(F.col("_f_name"), names))
     df = R.with_daily_envelope(df, VAR, "value", topic_prefix, keep="_keep")
-    return _dynamic(df, _staged(), on_error, error_topic, detected_at, zone, F.col("_keep"))
+    return _dynamic(df, _staged(), on_error, error_topic, detected_at, zone, F.col("_keep"), with_status)
 
 
 def _unwrapped(records, pattern, field, metadata, detected_at, zone) -> DataFrame:
     """Envelopes unwrapped; an envelope or payload that is too large is unreadable."""
     df = J.with_unwrapped(begun(select_topics(records, pattern=pattern), metadata), field)
-    return unreadable(df, "_ivar", detected_at, zone)
+    return unreadable(df, "_ivar", detected_at, zone, F.when(F.col("_wrapped"), F.col("_inner")).otherwise(F.col("value")))
 
 
 # J4 -------------------------------------------------------------------------
 def filebeat_dlq(records: DataFrame, pattern: str = "test-.*", sink: str = "s3-archive",
                  error_topic: str = DEAD_LETTER, field: str = "message",
                  reason: str = J.FILEBEAT_ERROR, detected_at: str = "processing",
-                 zone: str = T.DEFAULT_ZONE, metadata: bool = False) -> DataFrame:
+                 zone: str = T.DEFAULT_ZONE, metadata: bool = False, with_status: bool = False) -> DataFrame:
     """Unwrap shipper envelopes; the payload goes on, anything unreadable
     goes to the dead-letter topic as an error record."""
     staged = _unwrapped(records, pattern, field, metadata, detected_at, zone)
     return routed(staged, [Branch("s3", F.col("_inner_ok"), [Emit(sink, F.col("_inner"))])], error_topic,
                   default=Branch("error", None, [Emit(error_topic, J.error_record(
-                      "value", reason, stamp(detected_at, zone)))]))
+                      "value", reason, stamp(detected_at, zone)), status="unreadable")]), with_status=with_status)
 
 
 # J5 -------------------------------------------------------------------------
 def two_level_dlq(records: DataFrame, pattern: str = "test-.*", sink: str = "s3-archive",
                   error_topic: str = DEAD_LETTER, field: str = "message",
                   detected_at: str = "processing", zone: str = T.DEFAULT_ZONE,
-                  keep=(), with_branch: bool = False, metadata: bool = False) -> DataFrame:
+                  keep=(), with_branch: bool = False, metadata: bool = False, with_status: bool = False) -> DataFrame:
     """Validate the record, then the text of its ``message`` field.
 
     Invalid record -> error record; no readable ``message`` -> error record;
@@ -215,16 +221,17 @@ def two_level_dlq(records: DataFrame, pattern: str = "test-.*", sink: str = "s3-
     staged = df.select(*keep, "key", "value", "timestamp", *carried(df), valid.alias("_valid"), msg.alias("_msg"))
     staged = staged.withColumn("_msg_ok", J.is_valid_json(F.col("_msg")))
     return routed(staged, [
-        Branch("invalid", ~F.col("_valid"), [Emit(error_topic, J.error_record("value", J.INVALID_JSON, when))]),
-        Branch("no_message", F.col("_msg").isNull(), [Emit(error_topic, J.error_record("value", J.TRANSFORM_ERROR, when))]),
+        Branch("invalid", ~F.col("_valid"), [Emit(error_topic, J.error_record("value", J.INVALID_JSON, when), status="unreadable")]),
+        Branch("no_message", F.col("_msg").isNull(), [Emit(error_topic, J.error_record("value", J.TRANSFORM_ERROR, when), status="map_error")]),
         Branch("s3", F.col("_msg_ok"), [Emit(sink, F.col("_msg"))]),
-    ], error_topic, default=Branch("error", None, [Emit(error_topic, F.col("_msg"))]), keep=keep, with_branch=with_branch)
+    ], error_topic, default=Branch("error", None, [Emit(error_topic, F.col("_msg"), status="unreadable")]), keep=keep,
+                  with_branch=with_branch, with_status=with_status)
 
 
 # J6 -------------------------------------------------------------------------
 def db_feed(records: DataFrame, pattern: str = "test-.*", topic_prefix: str = "tb_log_",
             field: str = "message", on_error: str = "dead_letter", error_topic: str = DEAD_LETTER,
-            detected_at: str = "processing", zone: str = T.DEFAULT_ZONE, metadata: bool = False) -> DataFrame:
+            detected_at: str = "processing", zone: str = T.DEFAULT_ZONE, metadata: bool = False, with_status: bool = False) -> DataFrame:
     """Valid envelopes -> business logs (currency or buy) -> Connect
     envelope on ``tb_log_<log_type>``."""
     df = _unwrapped(records, pattern, field, metadata, detected_at, zone)
@@ -232,14 +239,14 @@ def db_feed(records: DataFrame, pattern: str = "test-.*", topic_prefix: str = "t
     df = df.withColumn("_keep", F.col("_inner_ok") & P.business_rule(F.col("_f_cur"), F.col("_f_type")))
     df = R.with_db_envelope(df, "_ivar", "_inner", topic_prefix, keep="_keep")
     df = df.withColumn("value", F.col("_inner"))
-    return _dynamic(df, _staged(), on_error, error_topic, detected_at, zone, F.col("_keep"))
+    return _dynamic(df, _staged(), on_error, error_topic, detected_at, zone, F.col("_keep"), with_status)
 
 
 # J7 -------------------------------------------------------------------------
 def monthly_split(records: DataFrame, pattern: str = r"jdbc\..*", topic_prefix: str = "",
                   zone: str = T.DEFAULT_ZONE, coerce_zero: bool = False,
                   on_error: str = "dead_letter", error_topic: str = DEAD_LETTER,
-                  detected_at: str = "processing", metadata: bool = False) -> DataFrame:
+                  detected_at: str = "processing", metadata: bool = False, with_status: bool = False) -> DataFrame:
     """Valid records -> ``<source prefix><topic_prefix>log_<x>_yyyy_MM``.
 
     Numeric text is read as a number (``"1.7e9"``). A ``time`` that is no
@@ -252,15 +259,15 @@ def monthly_split(records: DataFrame, pattern: str = r"jdbc\..*", topic_prefix:
     t = J.long_of(F.col(VAR), "time", 0 if coerce_zero else None)
     topic = R.month_topic(F.col("topic"), t, topic_prefix, zone)
     r = R.Reshaped(F.lit(True), F.col("key"), J.trimmed("value"), topic)
-    return _dynamic(df, r, on_error, error_topic, detected_at, zone, valid)
+    return _dynamic(df, r, on_error, error_topic, detected_at, zone, valid, with_status)
 
 
 # J8 -------------------------------------------------------------------------
 def validate_pass(records: DataFrame, pattern: str = "test-.*", sink: str = "validated",
                   error_topic: str = DEAD_LETTER, detected_at: str = "processing",
-                  zone: str = T.DEFAULT_ZONE, metadata: bool = False) -> DataFrame:
+                  zone: str = T.DEFAULT_ZONE, metadata: bool = False, with_status: bool = False) -> DataFrame:
     """Keep valid, non-null JSON records and pass them on unchanged."""
     df = parsed(begun(select_topics(records, pattern=pattern), metadata), detected_at, zone)
     staged = df.select("key", *carried(df), "value", J.is_container("value", VAR).alias("_valid"))
     return routed(staged, [Branch("pass", F.col("_valid") & P.not_null("value"),
-                                  [Emit(sink, J.trimmed("value"))])], error_topic)
+                                  [Emit(sink, J.trimmed("value"))])], error_topic, with_status=with_status)

@@ -22,6 +22,7 @@ FILEBEAT_ERROR = "Filebeat Message Deserialization Error"
 FLUENTBIT_ERROR = "Fluentbit Log Deserialization Error"
 TRANSFORM_ERROR = "Record Transform Error"
 TOPIC_ERROR = "Output Topic Resolution Error"
+BEYOND_LIMITS = "Record Beyond Reader Limits"
 MASKED = [("[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}", "**MASKED_CREDIT_CARD_NUM**"),
           ("[0-9]{6}-[0-9]{7}", "**MASKED_RRN**"),
           ("0[0-9]{1,2}-[0-9]{3,4}-[0-9]{4}", "**MASKED_PHONE_NUM**")]
@@ -263,3 +264,40 @@ def mask_sql(x: str, documents: bool = False) -> str:
         for _ in range(2):
             x = f"regexp_replace({x}, {q(rx)}, {q(chr(92) + '1' + token + chr(92) + '2')}, 'g')"
     return x
+
+
+LIMITS = """
+WITH lim0 AS (
+  SELECT ts, CAST(user_id AS VARCHAR) AS key, event_id % 40 AS cls, CAST(event_id AS VARCHAR) AS i,
+         '[{"id":' || event_id || '}' || repeat(',{}', 1100) AS objects FROM events),
+lim AS (
+  SELECT ts, key, cls,
+         CASE cls WHEN 0 THEN repeat('[', 1500) || i || repeat(']', 1500)
+                  WHEN 1 THEN repeat('{"a":', 2000) || i || repeat('}', 2000)
+                  WHEN 2 THEN '{"n":1' || lpad(i, 1499, '0') || '}'
+                  WHEN 3 THEN repeat('[', 1500) || i
+                  WHEN 4 THEN '{"s":"' || repeat('[', 1500) || '"}'
+                  WHEN 5 THEN objects || ']'
+                  WHEN 6 THEN objects
+                  WHEN 7 THEN repeat('[', 1000) || repeat(']', 1000)
+                  ELSE '{"id":' || i || '}' END AS value
+  FROM lim0)"""
+
+
+def message_limit(limit: int) -> str:
+    """Documents as records; those beyond ``limit`` bytes in a produce request in numbered pieces."""
+    def varint(n: str) -> str:
+        return f"CASE WHEN {n} < 64 THEN 1 WHEN {n} < 8192 THEN 2 WHEN {n} < 1048576 THEN 3 WHEN {n} < 134217728 THEN 4 ELSE 5 END"
+
+    chunk = (limit - 1024 - 2 * (limit // 8)) // 6
+    return f"""
+WITH d AS (SELECT CAST(doc_id AS VARCHAR) AS key, text AS value, strlen(CAST(doc_id AS VARCHAR)) AS nk, strlen(text) AS nv,
+                  TIMESTAMP '2024-01-01' + doc_id * INTERVAL 1 SECOND AS ts FROM documents),
+s AS (SELECT *, 82 + nk + {varint('nk')} + CASE WHEN value IS NULL THEN 1 ELSE nv + {varint('nv')} END + 1 AS size FROM d),
+p AS (SELECT *, CAST(ceil(length(value) / {chunk}.0) AS INTEGER) AS parts FROM s WHERE size > {limit}),
+c AS (SELECT *, unnest(range(parts))::INTEGER AS part FROM p)
+SELECT 'documents' AS topic, key, value FROM s WHERE size <= {limit}
+UNION ALL
+SELECT 'dead-letter', key, CAST(to_json({{'detected_at': {iso_kst('ts')}, 'deserial_error': 'Message Too Large For Sink',
+       'data': substr(value, part * {chunk} + 1, {chunk}), 'topic': 'documents', 'size': size, 'part': part, 'parts': parts,
+       'sha256': sha256(value)}}) AS VARCHAR) FROM c"""

@@ -247,6 +247,41 @@ def monthly_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         utc_instant(F.col("o_orderdate")).alias("timestamp")))
 
 
+def limit_records(spark: SparkSession, sf_dir: str, topic: str = "test-limits") -> DataFrame:
+    """Records at and beyond the readers' limits (from ``events``).
+
+    ``event_id % 40``: 0 an array 1,500 levels deep, 1 an object 2,000 levels
+    deep, 2 a number of 1,500 digits, 3 1,500 open brackets that never close,
+    4 a text value of 1,500 brackets, 5 an array of 1,100 objects, 6 the same
+    cut short, 7 an array 1,000 levels deep; the rest are small objects.
+    """
+    e = table(spark, sf_dir, "events")
+    i = F.col("event_id")
+    cls = i % 40
+    objects = F.concat(F.lit('[{"id":'), i.cast("string"), F.lit("}"), F.repeat(F.lit(",{}"), F.lit(1100)))
+    value = (F.when(cls == 0, F.concat(F.repeat(F.lit("["), F.lit(1500)), i.cast("string"), F.repeat(F.lit("]"), F.lit(1500))))
+             .when(cls == 1, F.concat(F.repeat(F.lit('{"a":'), F.lit(2000)), i.cast("string"), F.repeat(F.lit("}"), F.lit(2000))))
+             .when(cls == 2, F.concat(F.lit('{"n":1'), F.lpad(i.cast("string"), 1499, "0"), F.lit("}")))
+             .when(cls == 3, F.concat(F.repeat(F.lit("["), F.lit(1500)), i.cast("string")))
+             .when(cls == 4, F.concat(F.lit('{"s":"'), F.repeat(F.lit("["), F.lit(1500)), F.lit('"}')))
+             .when(cls == 5, F.concat(objects, F.lit("]")))
+             .when(cls == 6, objects)
+             .when(cls == 7, F.concat(F.repeat(F.lit("["), F.lit(1000)), F.repeat(F.lit("]"), F.lit(1000))))
+             .otherwise(_json(i.alias("id"))))
+    return as_records(e.select(
+        F.lit(topic).alias("topic"), F.col("user_id").cast("string").alias("key"), value.alias("value"),
+        (F.col("user_id") % 8).cast("int").alias("partition"), i.alias("offset"), utc_instant(F.col("ts")).alias("timestamp")))
+
+
+def document_records(spark: SparkSession, sf_dir: str, topic: str = "documents") -> DataFrame:
+    """Every document as a record: small ones and ones that no default producer takes."""
+    d = table(spark, sf_dir, "documents")
+    return as_records(d.select(
+        F.lit(topic).alias("topic"), F.col("doc_id").cast("string").alias("key"), F.col("text").alias("value"),
+        (F.col("doc_id") % 8).cast("int").alias("partition"), F.col("doc_id").alias("offset"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("doc_id")).alias("timestamp")))
+
+
 def decimal_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records carrying 29-digit decimals (precision must survive parsing)."""
     o = table(spark, sf_dir, "orders")

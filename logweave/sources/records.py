@@ -36,7 +36,7 @@ ROUTED_COLUMNS = ["topic", "key", "value"]
 
 # Where a routed record came from. ``partition``, ``offset`` and ``timestamp``
 # keep their names, so routed output reads back as records and jobs chain.
-METADATA_COLUMNS = ["partition", "offset", "timestamp", "source_topic", "headers"]
+METADATA_COLUMNS = ["partition", "offset", "timestamp", "source_topic", "headers", "status"]
 
 # What a reader adds: the original bytes of a value that is not UTF-8, and
 # Kafka's headers.

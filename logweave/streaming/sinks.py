@@ -94,9 +94,15 @@ def start_routed_stream(routed: DataFrame, root: str, checkpoint: str | None = N
                         name: str = "routed", fmt: str = "parquet",
                         available_now: bool = True, processing_time: str | None = None,
                         compression: str | None = "zstd",
-                        spread: tuple[int, int] | None = None) -> StreamingQuery:
+                        spread: tuple[int, int] | None = None, rebalance: bool = False) -> StreamingQuery:
     """Start a streaming write into ``<root>/topic=<name>/``.
 
+    ``rebalance`` sizes each micro-batch's files: adaptive execution splits
+    hot topics and merges small ones by bytes
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), whatever their
+    number. Each batch then writes ``<root>/topic=<name>/batch=<id>/`` and a
+    replayed batch overwrites its own folders, so output is exactly-once.
+
     ``spread=(partitions, files_per_topic)`` bounds each micro-batch's files
     per topic (:func:`spread_by_topic`).
 
@@ -106,13 +112,19 @@ def start_routed_stream(routed: DataFrame, root: str, checkpoint: str | None = N
     """
     spark = routed.sparkSession
     ckpt = checkpoint or shared_dir(spark, f"checkpoints/{name}")
+    if spread is not None and rebalance:
+        raise ValueError("give spread or rebalance, not both")
     if spread is not None:
         routed = spread_by_topic(routed, *spread)
-    w = (routed.select(*routed_columns(routed)).writeStream.format(fmt).partitionBy("topic")
-         .option("checkpointLocation", ckpt).option("path", root).queryName(name)
-         .outputMode("append"))
-    if compression and fmt in ("parquet", "orc", "json", "csv", "text"):
-        w = w.option("compression", compression)
+    packed = compression if fmt in ("parquet", "orc", "json", "csv", "text") else None
+    out = routed.select(*routed_columns(routed))
+    if rebalance:
+        w = out.writeStream.foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, root, fmt, packed))
+    else:
+        w = out.writeStream.format(fmt).partitionBy("topic").option("path", root).outputMode("append")
+        if packed:
+            w = w.option("compression", packed)
+    w = w.option("checkpointLocation", ckpt).queryName(name)
     if processing_time:
         w = w.trigger(processingTime=processing_time)
     elif available_now:
@@ -120,6 +132,17 @@ def start_routed_stream(routed: DataFrame, root: str, checkpoint: str | None = N
     return w.start()
 
 
+def write_batch(batch: DataFrame, batch_id: int, root: str, fmt: str = "parquet", compression: str | None = None) -> None:
+    """One micro-batch into ``<root>/topic=<name>/batch=<id>/``, in files sized by bytes; again, it replaces itself.
+
+    A topic's rows are split between the tasks that read them, so a file is
+    at least what one input split holds of the topic.
+    """
+    sized = batch.hint("rebalance", F.col("topic")).withColumn("batch", F.lit(batch_id))
+    w = sized.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").format(fmt).partitionBy("topic", "batch")
+    (w.option("compression", compression) if compression else w).save(root)
+
+
 def start_routed_kafka_stream(routed: DataFrame, options: dict[str, str], checkpoint: str | None = None,
                               name: str = "routed-kafka", processing_time: str | None = None) -> StreamingQuery:
     """Streaming write to Kafka (at-least-once, as any Kafka producer)."""

@@ -52,7 +52,7 @@ def test_catalog_is_map_only_except_grouped(spark, sf_dir):
     """Every registered query runs without Python and without a shuffle,
     except the two that group (per-topic counts, latest value per key)."""
     from logweave.plans.catalog import QUERIES
-    grouped = {"error_counts", "latest_by_key"}
+    grouped = {"error_counts", "latest_by_key", "map_status"}
     for name, fn in QUERIES.items():
         s = plan_stats(fn(spark, sf_dir))
         assert s["python_nodes"] == 0, name
