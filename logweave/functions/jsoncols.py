@@ -75,9 +75,17 @@ def path_of(field: str) -> str:
 
 def parse(value) -> Column:
     """Lenient parse: text -> VARIANT; NULL when the text is not JSON (or too large)."""
-    text = to_col(value)
-    large = F.when(F.octet_length(text) > FIRST_READER, _parse_large(text))
-    return F.coalesce(F.try_parse_json(text), large)
+    return or_large(value, F.try_parse_json(to_col(value)))
+
+
+def or_large(text, first) -> Column:
+    """The first reader's result, or the second reader's for a text too large for the first.
+
+    The second reader runs outside compiled code; where ``first`` is a column
+    of an earlier projection, only large texts are touched there.
+    """
+    text = to_col(text)
+    return F.coalesce(to_col(first), F.when(F.octet_length(text) > FIRST_READER, _parse_large(text)))
 
 
 def _parse_large(text: Column) -> Column:
@@ -252,15 +260,18 @@ def unwrap(value, field: str = "message") -> tuple[Column, Column]:
     return is_container(inner), trimmed(inner)
 
 
-def with_unwrapped(df, field: str = "message", value: str = "value"):
+def with_unwrapped(df, field: str = "message", value: str = "value", more=None):
     """Add ``_inner`` (payload text), ``_ivar`` (parsed payload), ``_inner_ok`` and ``_wrapped`` (the envelope was parsed).
 
     Staged as separate projections so the envelope and the payload are each
-    parsed exactly once, however many fields are read afterwards.
+    parsed exactly once, however many fields are read afterwards. ``more``
+    gives further columns, by name, for the parsed payload's own projection.
     """
     df = df.withColumn("_wvar", parse(value))
     df = df.withColumns({"_inner": trimmed(text_of("_wvar", field)), "_wrapped": F.col("_wvar").isNotNull()}).drop("_wvar")
-    df = df.withColumn("_ivar", parse("_inner"))
+    df = df.withColumn("_first", F.try_parse_json("_inner"))
+    ivar = or_large("_inner", "_first")
+    df = df.withColumns({"_ivar": ivar, **(more(ivar) if more else {})}).drop("_first")
     return df.withColumn("_inner_ok", is_container("_inner", "_ivar"))
 
 

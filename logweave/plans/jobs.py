@@ -74,21 +74,23 @@ def begun(records: DataFrame, metadata: bool) -> DataFrame:
 
 def parsed(records: DataFrame, detected_at: str = "processing", zone: str = T.DEFAULT_ZONE) -> DataFrame:
     """Records plus their parsed value (one parse per record) and, for those
-    that cannot be read for their size or their bytes, the error record."""
-    return unreadable(records.withColumn(VAR, J.parse("value")), VAR, detected_at, zone)
+    that cannot be read for their size, their nesting or their bytes, the error record."""
+    first = records.withColumn("_first", F.try_parse_json("value"))
+    var = J.or_large("value", "_first")
+    return first.withColumns({VAR: var, BAD: unreadable(records.columns, var, detected_at, zone)}).drop("_first")
 
 
-def unreadable(df: DataFrame, var: str, detected_at: str, zone: str, text="value") -> DataFrame:
-    """Add ``_bad``: the error record of a record too large to parse or beyond
-    the readers' limits (full text), or not UTF-8 (its bytes in base64); NULL
-    for all others. ``text`` is what ``var`` was parsed from."""
+def unreadable(columns: list[str], var: Column, detected_at: str, zone: str, text="value") -> Column:
+    """The error record of a record too large to parse or beyond the readers'
+    limits (full text), or not UTF-8 (its bytes in base64); NULL for all
+    others. ``text`` is what ``var`` was parsed from."""
     when = stamp(detected_at, zone)
     bad = (F.when(J.too_large("value", var), J.error_record("value", J.TOO_LARGE, when))
            .when(J.beyond_limits(text, var), J.error_record("value", J.BEYOND_LIMITS, when)))
-    if "raw" in df.columns:
+    if "raw" in columns:
         raw = F.col("raw")
         bad = F.when(raw.isNotNull(), J.error_record(F.base64(raw), J.NOT_UTF8, when)).otherwise(bad)
-    return df.withColumn(BAD, bad)
+    return bad
 
 
 def routed(df: DataFrame, branches: list[Branch], error_topic: str, default: Branch | None = None,
@@ -186,8 +188,9 @@ def daily_feed(records: DataFrame, topic: str = "game-log", names: list[str] = P
 
 def _unwrapped(records, pattern, field, metadata, detected_at, zone) -> DataFrame:
     """Envelopes unwrapped; an envelope or payload that is too large is unreadable."""
-    df = J.with_unwrapped(begun(select_topics(records, pattern=pattern), metadata), field)
-    return unreadable(df, "_ivar", detected_at, zone, F.when(F.col("_wrapped"), F.col("_inner")).otherwise(F.col("value")))
+    text = F.when(F.col("_wrapped"), F.col("_inner")).otherwise(F.col("value"))
+    return J.with_unwrapped(begun(select_topics(records, pattern=pattern), metadata), field,
+                            more=lambda var: {BAD: unreadable(records.columns, var, detected_at, zone, text)})
 
 
 # J4 -------------------------------------------------------------------------
