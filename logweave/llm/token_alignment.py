@@ -18,7 +18,6 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 from itertools import chain
-from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +28,8 @@ from logweave.llm.byte_bpe import ByteBpe, lots
 from logweave.llm.common import removed, scratch_path, texts_of
 from logweave.llm.wordhash import worker_memo
 
-#: Windows that a Python worker remembers, and the longest that it does (tokens of the first tokenizer).
-MEMO_WINDOWS, MEMO_LENGTH = 400_000, 64
+#: Windows that a Python worker remembers, and the longest that it does (tokens of both).
+MEMO_WINDOWS, MEMO_LENGTH = 400_000, 128
 #: Different pairs that a task counts before it sends them on, and pairs of one block of the count table.
 TASK_PAIRS, BLOCK_PAIRS = 2_000_000, 4_000_000
 
@@ -50,12 +49,11 @@ class PieceBpe:
         return self.sp.encode(texts, num_threads=1, add_bos=False, add_eos=False)
 
 
-class Aligned(NamedTuple):
-    """One aligned window: its groups as text, their number, and its links as 64-bit codes (bytes: the
-    garbage collector need not walk what holds no references)."""
-    text: str
-    groups: int
-    codes: bytes
+#: One aligned window: its groups as text, their number, and its links as 64-bit codes in bytes. A plain tuple
+#: without references to containers, which the garbage collector need not walk.
+Aligned = tuple[str, int, bytes]
+#: Marks the second tokenizer's ids in a window's key, which is the first's ids, then the second's.
+SECOND = 1 << 31
 
 
 def _gathered(start: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -73,7 +71,7 @@ class Aligner:
                                 for i in range(size)], object)
         self.space_a, self.space_b = (np.array([t.startswith(b" ") for t in x.bytes_of]) for x in (self.a, self.b))
         self.width = len(self.len_b)
-        self.memo: dict[tuple, Aligned] = {}
+        self.memo: dict[bytes, Aligned] = {}
 
     def tokens(self, texts: list[str]) -> tuple[list, list]:
         """Ids of both for each text; none where the text is empty or a joined form differs from it."""
@@ -85,7 +83,7 @@ class Aligner:
                 a[k], b[k] = [], []
         return a, b
 
-    def windows(self, keys: list[tuple[bytes, bytes]]) -> list[Aligned]:
+    def windows(self, keys: list[bytes]) -> list[Aligned]:
         """Every window's alignment; those not remembered are aligned together."""
         found = [self.memo.get(k) for k in keys]
         new = [k for k, f in zip(keys, found) if f is None]
@@ -94,13 +92,17 @@ class Aligner:
             found = [next(fresh) if f is None else f for f in found]
             if len(self.memo) + len(new) > MEMO_WINDOWS:
                 self.memo.clear()
-            self.memo.update((k, f) for k, f in zip(keys, found) if len(k[0]) <= 4 * MEMO_LENGTH)
+            self.memo.update((k, f) for k, f in zip(keys, found) if len(k) <= 4 * MEMO_LENGTH)
         return found
 
-    def aligned(self, keys: list[tuple[bytes, bytes]]) -> list[Aligned]:
+    def aligned(self, keys: list[bytes]) -> list[Aligned]:
         """Groups and links of windows, each two id sequences that spell the same bytes, laid end to end."""
-        n_a, n_b = (np.fromiter((len(k[x]) // 4 for k in keys), np.int64, len(keys)) for x in (0, 1))
-        ids_a, ids_b = (np.frombuffer(b"".join([k[x] for k in keys]), "<u4").astype(np.int64) for x in (0, 1))
+        ids = np.frombuffer(b"".join(keys), "<u4").astype(np.int64)
+        n = np.fromiter(map(len, keys), np.int64, len(keys)) // 4
+        second = ids >= SECOND
+        ids_a, ids_b = ids[~second], ids[second] - SECOND
+        n_b = np.diff(np.append(0, np.cumsum(second))[np.append(0, np.cumsum(n))])
+        n_a = n - n_b
         end_a, end_b = np.cumsum(self.len_a[ids_a]), np.cumsum(self.len_b[ids_b])
         # the second's tokens that overlap each of the first's
         low = np.searchsorted(end_b, end_a - self.len_a[ids_a], "right")
@@ -119,7 +121,7 @@ class Aligner:
         ends = np.cumsum(n_a + n_b).tolist()
         groups = np.diff(np.searchsorted(shared, end_a[borders_a - 1], "right"), prepend=0).tolist()
         raw = codes.astype("<i8").tobytes()
-        return [Aligned("".join(marked[s:e])[:-1], g, raw[p:q]) for s, e, g, p, q in zip([0, *ends], ends, groups, cut, cut[1:])]
+        return [("".join(marked[s:e])[:-1], g, raw[p:q]) for s, e, g, p, q in zip([0, *ends], ends, groups, cut, cut[1:])]
 
     def align(self, texts: list[str]) -> list[tuple]:
         """``(n_a, n_b, n_groups, n_links, groups_sha256, codes, times)`` of each text; codes are its different pairs."""
@@ -133,17 +135,18 @@ class Aligner:
         first_a, first_b = (np.cumsum(n) - n for n in (n_a, n_b))
         anchors = np.intersect1d(start_a[self.space_a[ids_a]], start_b[self.space_b[ids_b]], assume_unique=True)
         borders = np.union1d(anchors, start_a[first_a[there]]) if there.any() else anchors
-        cut_a = np.append(np.searchsorted(start_a, borders), len(ids_a)).tolist()
-        cut_b = np.append(np.searchsorted(start_b, borders), len(ids_b)).tolist()
-        raw_a, raw_b, number = ids_a.tobytes(), ids_b.tobytes(), {}
-        which = np.fromiter(
-            (number.setdefault((raw_a[4 * s:4 * e], raw_b[4 * p:4 * q]), len(number))
-             for s, e, p, q in zip(cut_a, cut_a[1:], cut_b, cut_b[1:])), np.int64, len(borders))
+        cut_a = np.append(np.searchsorted(start_a, borders), len(ids_a))
+        cut_b = np.append(np.searchsorted(start_b, borders), len(ids_b))
+        both = np.empty(len(ids_a) + len(ids_b), "<u4")  # each window's ids of the first, then of the second
+        both[np.arange(len(ids_a)) + np.repeat(cut_b[:-1], np.diff(cut_a))] = ids_a
+        both[np.arange(len(ids_b)) + np.repeat(cut_a[1:], np.diff(cut_b))] = ids_b + np.uint32(SECOND)
+        raw, cuts, number = both.tobytes(), (4 * (cut_a + cut_b)).tolist(), {}
+        which = np.fromiter((number.setdefault(raw[s:e], len(number)) for s, e in zip(cuts, cuts[1:])), np.int64, len(borders))
         windows = self.windows(list(number))
-        groups = np.array([w.groups for w in windows], np.int64)
-        links = np.array([len(w.codes) for w in windows], np.int64) // 8
-        text = [w.text for w in windows]
-        codes = np.frombuffer(b"".join([w.codes for w in windows]), "<i8")
+        text, groups, own_codes = zip(*windows) if windows else ((), (), ())
+        groups = np.array(groups, np.int64)
+        links = np.fromiter(map(len, own_codes), np.int64, len(windows)) // 8
+        codes = np.frombuffer(b"".join(own_codes), "<i8")
         at = np.cumsum(links) - links
         n_windows = np.zeros(len(texts), np.int64)
         if there.any():
