@@ -104,8 +104,8 @@ def vectors():
     rows = [(i * (50 if i % 3 else 100), [float(x) for x in rng.normal(size=4)], i % 4) for i in range(120)]
     rows += [rows[3], rows[3], rows[6], (None, [1.0, 2.0, 3.0, 4.0], 1), (700, None, 1), (800, [1.0, None, 1.0, 1.0], 1),
              (900, [float("nan")] * 4, 1), (901, [float("inf")] * 4, 1), (1000, [1.0, 2.0, 3.0, 4.0], None), (1100, [], 1),
-             (1200, [1.0, 2.0], 1), (1201, [1.0, 2.5], 1), (1203, [1.0, 2.0], 2), (1300, [1e6, -3e6, 2e6], 1), (1301, [1e6, -3e6, 1e6], 1),
-             (1303, [1e6, -3e6, 1e6 - 1], 2)]
+             (1200, [1.0, 2.0], 1), (1201, [1.0, 2.5], 1), (1203, [1.0, 2.0], 2), (71300, [1e6, -3e6, 2e6], 1), (71301, [1e6, -3e6, 1e6], 1),
+             (71303, [1e6, -3e6, 1e6 - 1], 2)]
     # many ties: one vector under two labels
     return rows + [(20_000 + k, [0.5] * 4, 2 + k % 2) for k in range(60)] + [(30_000, [0.5] * 4, 2)]
 
@@ -120,8 +120,8 @@ def test_hard_negatives_equal_all_pairs_and_sql(spark, vectors, monkeypatch, tmp
     assert got == plain_negatives(vectors)
     assert len({r[1] for r in got}) > 50
     # SQL multiplies in doubles, which do not hold the products of the large vectors (they meet only each other)
-    large = (1300, 1301, 1303)
-    df.select("vec_id", "embedding", "label").where("vec_id is null or vec_id not in (1300, 1301, 1303)").write.parquet(str(tmp_path / "e"))
+    large = (71300, 71301, 71303)
+    df.select("vec_id", "embedding", "label").where("vec_id is null or vec_id not in (71300, 71301, 71303)").write.parquet(str(tmp_path / "e"))
     con = duckdb.connect()
     con.execute(f"CREATE VIEW embeddings AS SELECT * FROM '{tmp_path}/e/*.parquet'")
     assert sorted(con.execute(hard_negatives.SQL).fetchall(), key=key) == [r for r in got if r[0] not in large]
