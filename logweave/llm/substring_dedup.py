@@ -12,11 +12,13 @@ and shuffled.
    itself is known to be shared. Runs of equal hashes are then streamed in
    sorted partitions.
 2. Extension. Documents meet their shared anchors, and the windows that hold
-   one are hashed in full (84 bits). They are combined and streamed in the
+   one are hashed in full (95 bits). They are combined and streamed in the
    same way, and all but the smallest document's windows are covered.
 3. Documents meet their covered windows; the text shuffle of step 2 serves
    again.
 
+A row is named by a 64-bit hash of its id and text, so texts that share an id
+are never mixed, and a group of the joins is never larger than one text.
 Exact copies of a smaller document are settled before by a hash of the text.
 """
 
@@ -41,10 +43,13 @@ ANCHOR = WINDOW - PERIOD + 1
 CHUNK_WORDS = 2_000_000
 #: Stands for a null id, which is smaller than every other.
 NO_ID = -(1 << 63)
-#: Bits of a text's tag, which tells documents apart that share an id.
-TAG_BITS = 12
-POSTING = "h long, id long, at long, sure boolean"
-NAMES = ["h", "id", "at", "sure"]
+POSTING = "h long, row long, at long, sure boolean"
+NAMES = ["h", "row", "at", "sure"]
+#: Postings of whole windows carry the document's id too.
+WINDOWS = POSTING + ", id long"
+WINDOW_NAMES = [*NAMES, "id"]
+#: The place that says: a copy of a smaller document.
+COPY = -1
 #: Bit of a place whose hash the document holds again.
 REPEATED = 40
 #: Rows of a batch that are taken together.
@@ -54,16 +59,20 @@ _hashes = WordHashes()
 #: Stands for all places of a text, and the bit of a start whose window the text holds again.
 ALL = (1 << 31) - 1
 MARK = 31
+#: Bits of a window's start and mark; its second hash lies above them.
+PLACE_BITS = 32
 
 
-def _rows(h, ids, at, sure) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(h, pa.int64()), pa.array(ids, pa.int64()), pa.array(at, pa.int64()),
-                                       pa.array(sure, pa.bool_())], NAMES)
+def _rows(h, rows, at, sure: bool, ids=None) -> pa.RecordBatch:
+    columns = [h, rows, at] if ids is None else [h, rows, at, ids]
+    columns = [pa.array(x, pa.int64()) for x in columns]
+    columns.insert(3, pa.array(np.full(len(h), sure), pa.bool_()))
+    return pa.RecordBatch.from_arrays(columns, NAMES if ids is None else WINDOW_NAMES)
 
 
-def _scattered(ids: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _scattered(rows: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Keys that spread rows which need no partner over all partitions."""
-    return (ids * np.int64(0x5851F42D4C957F2D) + at).view(np.int64)
+    return (rows * np.int64(0x5851F42D4C957F2D) + at).view(np.int64)
 
 
 def _groups(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -85,24 +94,24 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     parts, n = [], 0
 
     def combined():
-        h, ids, at = (np.concatenate([p[k] for p in parts]) for k in range(3))
+        h, rows, at = (np.concatenate([p[k] for p in parts]) for k in range(3))
         order, starts, run = _groups(h)
         # a document's further places of a hash are found again by the first, which is marked
-        by_doc = np.append(True, (run[1:] != run[:-1]) | (ids[order][1:] != ids[order][:-1]))
+        by_doc = np.append(True, (run[1:] != run[:-1]) | (rows[order][1:] != rows[order][:-1]))
         firsts = order[by_doc]
         again = np.diff(np.append(np.flatnonzero(by_doc), len(order))) > 1
-        run, doc = run[by_doc], ids[firsts]
+        run, doc = run[by_doc], rows[firsts]
         holders = np.bincount(run)
         shared = holders[run] > 1
         place = at[firsts] | again.astype(np.int64) << REPEATED
         back = np.argsort(firsts, kind="stable")  # in the order of documents again: it compresses
         firsts, doc, place, shared = firsts[back], doc[back], place[back], shared[back]
         alone = ~shared
-        yield _rows(h[firsts][alone], doc[alone], place[alone], np.zeros(alone.sum(), bool))
+        yield _rows(h[firsts][alone], doc[alone], place[alone], False)
         # what the chunk shares within itself: places that need no partner, and one notice per hash
-        yield _rows(_scattered(doc, place)[shared], doc[shared], place[shared], np.ones(shared.sum(), bool))
+        yield _rows(_scattered(doc, place)[shared], doc[shared], place[shared], True)
         notice = order[starts[holders > 1]]
-        yield _rows(h[notice], ids[notice], at[notice], np.ones(len(notice), bool))
+        yield _rows(h[notice], rows[notice], at[notice], True)
 
     for b, words, sizes in _hashed(batches):
         ends = np.cumsum(sizes)
@@ -110,8 +119,8 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         size = np.repeat(sizes, sizes)
         good = np.flatnonzero((size >= WINDOW) & (at <= size - ANCHOR) & np.isin(at % PERIOD, COVER))
         h = window_hashes(words, ANCHOR)[good] & np.uint64((1 << 48) - 1) if len(good) else np.zeros(0, np.uint64)
-        ids = np.repeat(b.column("id").to_numpy(), sizes)[good]
-        parts.append((h.astype(np.int64), ids, at[good]))  # 48 bits: a filter only, and zero bytes compress
+        rows = np.repeat(b.column("row").to_numpy(), sizes)[good]
+        parts.append((h.astype(np.int64), rows, at[good]))  # 48 bits: a filter only, and zero bytes compress
         n += len(words)
         if n >= CHUNK_WORDS:
             yield from combined()
@@ -138,22 +147,22 @@ def _runs(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[lis
 
 
 def _shared_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of sorted postings, the places whose hash more than one document holds."""
-    for h, ids, at, sure in _runs(batches, NAMES):
+    """Of sorted postings, the places whose hash more than one row holds."""
+    for h, rows, at, sure in _runs(batches, NAMES):
         _, starts, run = _groups(h)
         good = np.zeros(len(starts), bool)
-        np.logical_or.at(good, run, sure | (ids != ids[starts][run]))
+        np.logical_or.at(good, run, sure | (rows != rows[starts][run]))
         keep = good[run]
-        yield pa.RecordBatch.from_arrays([pa.array(ids[keep], pa.int64()), pa.array(at[keep], pa.int64())], ["id", "at"])
+        yield pa.RecordBatch.from_arrays([pa.array(rows[keep], pa.int64()), pa.array(at[keep], pa.int64())], ["row", "at"])
 
 
 def _checks(words: np.ndarray) -> np.ndarray:
-    """A second hash (19 bits) of each window, independent of the first."""
+    """A second hash (31 bits) of each window, independent of the first."""
     n = max(0, len(words) - WINDOW + 1)
     total = np.zeros(n, np.uint64)
     for k in range(WINDOW):
         total += words[k:k + n] * np.uint64(0x9E3779B97F4A7C15 + 2 * k * 0x2545F4914F6CDD1D & (1 << 64) - 1)
-    return (mix(total) >> np.uint64(45)).astype(np.int64)
+    return (mix(total) >> np.uint64(33)).astype(np.int64)
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,38 +171,38 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def combined():
         if whole:
-            ids, at = (np.array(x, np.int64) for x in zip(*whole))
-            yield _rows(_scattered(ids, at), ids, at, np.ones(len(ids), bool))
+            ids, rows = (np.array(x, np.int64) for x in zip(*whole))
+            at = np.full(len(ids), ALL, np.int64)
+            yield _rows(_scattered(rows, at), rows, at, True, ids)
         if not parts:
             return
-        h, ids, at = (np.concatenate([p[k] for p in parts]) for k in range(3))
-        order = np.lexsort((ids, at >> 44, h))
-        h, ids, at = h[order], ids[order], at[order]
-        new = np.append(True, (h[1:] != h[:-1]) | (at[1:] >> 44 != at[:-1] >> 44))
+        h, ids, rows, at = (np.concatenate([p[k] for p in parts]) for k in range(4))
+        check = at >> PLACE_BITS
+        order = np.lexsort((rows, ids, check, h))
+        h, ids, rows, at, check = h[order], ids[order], rows[order], at[order], check[order]
+        new = np.append(True, (h[1:] != h[:-1]) | (check[1:] != check[:-1]))
         least = ids[np.flatnonzero(new)][np.cumsum(new) - 1]
         later = ids > least
         # a text's further places of a window are found again by the first, which is marked
-        tag = at >> 32 & (1 << TAG_BITS) - 1
-        first = new | np.append(True, (ids[1:] != ids[:-1]) | (tag[1:] != tag[:-1]))
+        first = new | np.append(True, rows[1:] != rows[:-1])
         again = np.diff(np.append(np.flatnonzero(first), len(h))) > 1
-        order, h, ids, at, later = order[first], h[first], ids[first], at[first], later[first]
+        order, h, ids, rows, at, later = (x[first] for x in (order, h, ids, rows, at, later))
         at = at | again.astype(np.int64) << MARK
         back = np.argsort(order, kind="stable")  # in the order of documents again: it compresses
-        h, ids, at, later = h[back], ids[back], at[back], later[back]
-        yield _rows(h[~later], ids[~later], at[~later], np.zeros((~later).sum(), bool))
-        yield _rows(_scattered(ids[later], at[later]), ids[later], at[later], np.ones(later.sum(), bool))
+        h, ids, rows, at, later = (x[back] for x in (h, ids, rows, at, later))
+        yield _rows(h[~later], rows[~later], at[~later], False, ids[~later])
+        yield _rows(_scattered(rows[later], at[later]), rows[later], at[later], True, ids[later])
 
     for b, hashed, sizes in _hashed(batches):
         ends = np.cumsum(sizes)
         found = []
-        for ident, tag, places, s, e in zip(*(b.column(c).to_pylist() for c in ("id", "tag", "places")), ends - sizes, ends):
+        for ident, row, places, s, e in zip(*(b.column(c).to_pylist() for c in ("id", "row", "places")), ends - sizes, ends):
             size, places = e - s, np.array(places, np.int64)
             if size < WINDOW:
                 continue
-            if (places == -1 - tag).any():
-                whole.append((ident, tag << 32 | ALL))
+            if (places == COPY).any():
+                whole.append((ident, row))
                 continue
-            places = places[places >= 0]
             marked, places = places >> REPEATED > 0, places & (1 << REPEATED) - 1
             inside = places <= size - ANCHOR
             marked, places = marked[inside], places[inside]
@@ -206,13 +215,12 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             np.add.at(flags, np.minimum(places + 1, n_windows), -1)
             starts = np.flatnonzero(np.cumsum(flags)[:n_windows] > 0)
             if len(starts):
-                found.append((ident, tag, s, starts))
+                found.append((ident, row, s, starts))
         if found:
-            at = np.concatenate([s + starts for _, _, s, starts in found])
-            reps = [len(starts) for *_, starts in found]
-            label = np.repeat(np.array([tag for _, tag, _, _ in found], np.int64) << 32, reps) | np.concatenate([x[3] for x in found])
-            parts.append((window_hashes(hashed, WINDOW)[at].view(np.int64),
-                          np.repeat(np.array([x[0] for x in found], np.int64), reps), _checks(hashed)[at] << 44 | label))
+            starts = np.concatenate([x[3] for x in found])
+            at = starts + np.repeat([s for _, _, s, _ in found], [len(x[3]) for x in found])
+            ids, rows = (np.repeat(np.array([x[k] for x in found], np.int64), [len(x[3]) for x in found]) for k in (0, 1))
+            parts.append((window_hashes(hashed, WINDOW)[at].view(np.int64), ids, rows, _checks(hashed)[at] << PLACE_BITS | starts))
         n += len(hashed)
         if n >= CHUNK_WORDS:
             yield from combined()
@@ -222,16 +230,17 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _covered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of sorted window rows, those that a smaller document has too."""
-    for h, ids, at, sure in _runs(batches, NAMES):
-        order = np.lexsort((ids, at >> 44, h))
-        h, ids, at, sure = h[order], ids[order], at[order], sure[order]
-        new = np.append(True, (h[1:] != h[:-1]) | (at[1:] >> 44 != at[:-1] >> 44))
+    for h, rows, at, sure, ids in _runs(batches, WINDOW_NAMES):
+        check = at >> PLACE_BITS
+        order = np.lexsort((ids, check, h))
+        h, ids, rows, at, sure, check = (x[order] for x in (h, ids, rows, at, sure, check))
+        new = np.append(True, (h[1:] != h[:-1]) | (check[1:] != check[:-1]))
         # rows that are sure have keys of their own; should a key clash, they take no part in the minimum
         ranked = np.where(sure, np.iinfo(np.int64).max, ids)
         least = np.minimum.reduceat(ranked, np.flatnonzero(new))[np.cumsum(new) - 1]
         keep = sure | (ids > least)
-        yield pa.RecordBatch.from_arrays([pa.array(ids[keep], pa.int64()), pa.array(at[keep] & ((1 << 44) - 1), pa.int64())],
-                                         ["id", "at"])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(rows[keep], pa.int64()), pa.array(at[keep] & ((1 << PLACE_BITS) - 1), pa.int64())], ["row", "at"])
 
 
 def repeated_words(docs: DataFrame, keep_text: bool = False) -> DataFrame:
@@ -244,33 +253,31 @@ def repeated_words(docs: DataFrame, keep_text: bool = False) -> DataFrame:
     than all others. Other columns are ignored; an empty table gives no rows.
     """
     own = texts_of(docs).select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("id"),
-        F.pmod(text_key(), F.lit(1 << TAG_BITS)).alias("tag"),
+        F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64("doc_id", text_key()).alias("row"),
         F.coalesce("text", F.lit("")).alias("text"))
     copies = (own.where(F.octet_length("text") > 2 * WINDOW - 2)
-              .select("id", "tag", F.xxhash64("text").alias("a"), F.unhex(F.md5("text")).alias("b")))
+              .select("id", "row", F.xxhash64("text").alias("a"), F.unhex(F.md5("text")).alias("b")))
     first = copies.groupBy("a", "b").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
     copies = written(copies.join(written(first, "copied-texts"), ["a", "b"]).where("id > least")
-                     .select("id", (-1 - F.col("tag")).alias("at")), "copies")
+                     .select("row", F.lit(COPY).cast("long").alias("at")), "copies")
 
-    anchors = own.select("id", "text").mapInArrow(_anchors, POSTING).repartition("h").sortWithinPartitions("h")
-    places = written(anchors.mapInArrow(_shared_anchors, "id long, at long").union(copies)
-                     .groupBy("id").agg(F.collect_list("at").alias("places")), "shared-anchors")
-    windows = own.join(places, "id").select("id", "tag", "text", "places").mapInArrow(_windows, POSTING)
-    gone = (windows.repartition("h").sortWithinPartitions("h").mapInArrow(_covered, "id long, at long")
-            .groupBy("id").agg(F.collect_list("at").alias("starts")))
+    # sets: rows repeated in the table say the same, and add nothing
+    anchors = own.select("row", "text").mapInArrow(_anchors, POSTING).repartition("h").sortWithinPartitions("h")
+    places = written(anchors.mapInArrow(_shared_anchors, "row long, at long").union(copies)
+                     .groupBy("row").agg(F.collect_set("at").alias("places")), "shared-anchors")
+    windows = own.join(places, "row").select("id", "row", "text", "places").mapInArrow(_windows, WINDOWS)
+    gone = (windows.repartition("h").sortWithinPartitions("h").mapInArrow(_covered, "row long, at long")
+            .groupBy("row").agg(F.collect_set("at").alias("starts")))
 
     kind = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * keep_text
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
-            for ident, tag, text, starts in zip(
-                    b.column("id").to_pylist(), b.column("tag").to_pylist(),
-                    b.column("text").cast(pa.binary()).to_pylist(), b.column("starts").to_pylist()):
+            for ident, text, starts in zip(b.column("id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(),
+                                           b.column("starts").to_pylist()):
                 words, removed = text.split(), 0
                 starts = np.array(starts or [], np.int64)
-                starts = starts[starts >> 32 == tag]
                 again, starts = starts >> MARK & 1 > 0, starts & ALL
                 if len(starts) and starts.max() == ALL:
                     words, removed = [], len(words)
@@ -293,7 +300,7 @@ def repeated_words(docs: DataFrame, keep_text: bool = False) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)],
                                                  [x.split()[0] for x in kind.split(", ")])
 
-    return own.join(gone, "id", "left").select("id", "tag", "text", "starts").mapInArrow(finish, kind)
+    return own.join(gone, "row", "left").select("id", "text", "starts").mapInArrow(finish, kind)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

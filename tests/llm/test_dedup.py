@@ -151,6 +151,19 @@ def test_substring_of_repeated_words(docs_table, rows_of):
     assert got == sorted(substring_dedup.brute_force(rows)) and sum(g[2] for g in got) > 100
 
 
+def test_substring_texts_that_share_an_id(docs_table, rows_of):
+    """Thousands of different texts under one id and under none, some repeated: no text answers for another."""
+    rng = np.random.default_rng(5)
+    passages = [" ".join(f"p{k}w{i}" for i in range(13)) for k in range(6)]
+    rows = [(k, f"first {p} tail") for k, p in enumerate(passages[:4])]
+    for n in range(5000):
+        own = " ".join(f"n{n}w{i}" for i in range(rng.integers(0, 20)))
+        rows.append((10 if n % 2 else None, f"{own} {passages[n % 6]} z" if n % 7 == 0 else own))
+    rows += rows[4:300] + [(11, "q " + passages[4]), (11, passages[5]), (11, passages[5]), (11, " ".join(f"u{i}" for i in range(20)))]
+    got = rows_of(substring_dedup.repeated_words(docs_table(rows)))
+    assert got == by_null(substring_dedup.brute_force(rows)) and len({g[2] for g in got}) > 1
+
+
 def test_difference_cover():
     assert all(any((a + d) % 7 in substring_dedup.COVER for a in substring_dedup.COVER) for d in range(7))
 
