@@ -23,7 +23,7 @@ START, END = "<|im_start|>", "<|im_end|>"
 CONTROL = [START, END, "<|startoftext|>", "<|endoftext|>", "<s>", "</s>", "<unk>", "<pad>",
            "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
 _ANY = re.compile("|".join(rf"{re.escape(c[0])}\\*{re.escape(c[1:])}" for c in CONTROL))
-#: Code points of one streamed delta in the registered query.
+#: Code points of one streamed delta, and of a superseded draft, in the registered query.
 DELTA_CHARS = 400
 
 
@@ -137,8 +137,12 @@ DIGESTS_NAMES = [x.split()[0] for x in DIGESTS.split(", ")]
 
 
 def conversation_events(rows: DataFrame) -> DataFrame:
-    """An event log from finished turns: assistant texts as streamed deltas, other texts whole.
+    """An event log, from finished turns, that folds to them again.
 
+    An assistant's message is a streamed draft, then a regeneration whose
+    deltas are its text. Any other message is sent as a draft and answered;
+    then an edit replaces it by its text, and the answer falls away. Drafts
+    are the text's first words turned around, so none may outlive its cut.
     Rows of one conversation are messages in the order of turn, role and
     text; repeated rows are messages each.
     """
@@ -148,11 +152,20 @@ def conversation_events(rows: DataFrame) -> DataFrame:
     pieces = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.length("text") - 1) / DELTA_CHARS).cast("int"))),
                          lambda i: F.substring(F.col("text"), i * DELTA_CHARS + 1, F.lit(DELTA_CHARS)))
     pieces = F.when(F.col("role") == "assistant", pieces).otherwise(F.array("text"))
-    parts = msgs.select("conv_id", "msg", "role", F.posexplode(pieces).alias("k", "text"))
-    return parts.select(
-        "conv_id", (F.col("msg") * (1 << 32) + F.col("k")).alias("seq"), "msg",
-        F.when(F.col("k") == 0, "start").otherwise("delta").alias("kind"),
-        F.when(F.col("k") == 0, F.col("role")).alias("role"), "text")
+    streamed = F.coalesce(F.col("role") == "assistant", F.lit(False))
+    draft = F.concat(F.lit("draft "), F.reverse(F.substring("text", 1, DELTA_CHARS)))
+
+    def event(msg, kind, role, said):
+        return F.struct(msg.alias("msg"), kind.alias("kind"), role.cast("string").alias("role"), said.alias("text"))
+
+    msg, role, none = F.col("msg"), F.col("role"), F.lit(None)
+    before = F.array(event(msg, F.lit("start"), role, draft),
+                     # the draft goes on, or is answered by a message that the edit drops
+                     event(F.when(streamed, msg).otherwise(msg + 1), F.when(streamed, "delta").otherwise("start"), none, draft))
+    final = F.transform(pieces, lambda p, k: event(
+        msg, F.when(k > 0, "delta").when(streamed, "regenerate").otherwise("edit"), F.when(k == 0, role), p))
+    events = msgs.select("conv_id", msg.alias("turn"), F.posexplode(F.concat(before, final)).alias("k", "event"))
+    return events.select("conv_id", (F.col("turn") * (1 << 32) + F.col("k")).alias("seq"), "event.*")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
