@@ -18,9 +18,19 @@ BLOOM_BITS = 1 << 26
 BLANKS = " \t\n\x0b\x0c\r"
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A path below ``spark.checkpoint.dir``.
+
+    Where that is unset, as in tests, a local master gets a folder in ``/tmp``;
+    on a cluster, whose machines would each write to their own, it is an error.
+    """
+    local = spark.conf.get("spark.master", "").startswith("local")
+    return shared_dir(spark, name, "/tmp/logweave-checkpoints" if local else None)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below ``spark.checkpoint.dir`` (``/tmp`` only where it is unset, as in tests)."""
-    return shared_dir(spark, f"{name}-{uuid.uuid4().hex}", "/tmp/logweave-checkpoints")
+    """A new path below ``spark.checkpoint.dir``."""
+    return shared_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -3,20 +3,22 @@
 The cache is a Parquet table of (content digest, tokenizer digest, count).
 Documents meet it by the digest of their normalised content; of the texts
 that it does not hold each distinct one is encoded once, and the new counts
-are appended. Copies of a text are combined before the shuffle, so a text
-that a third of all rows hold is one row per task.
+are appended, each run's in a folder of its own. Copies of a text are
+combined before the shuffle, so a text that a third of all rows hold is one
+row per task.
 """
 
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm.common import scratch_path, texts_of
+from logweave.llm.common import shared_path, texts_of
 
 #: Texts are encoded in lots of about so many characters.
 LOT_CHARS = 1_000_000
@@ -65,8 +67,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def cached(spark: SparkSession, cache: str, version: bytes) -> DataFrame:
     """``(content, n_tokens)`` that the cache holds for a tokenizer version, one row per content."""
-    rows = spark.read.schema(CACHE).parquet(cache) if _exists(spark, cache) else spark.createDataFrame([], CACHE)
-    return (rows.where(F.col("tokenizer") == F.lit(version)).groupBy("content").agg(F.max("n_tokens").alias("n_tokens")))
+    rows = (spark.read.schema(CACHE).option("recursiveFileLookup", "true").parquet(cache) if _exists(spark, cache)
+            else spark.createDataFrame([], CACHE))
+    return (rows.where((F.col("tokenizer") == F.lit(version)) & F.col("n_tokens").isNotNull()).groupBy("content").agg(F.max("n_tokens").alias("n_tokens")))
 
 
 def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str) -> DataFrame:
@@ -74,7 +77,10 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str) -> DataFrame:
 
     Null is the empty text with no bytes and no tokens. Repeated rows repeat,
     a null id stays null, other columns are ignored, an empty table gives no
-    rows. Runs that append the same text at the same time do no harm.
+    rows. Counts of other tokenizer versions, and rows of the cache without a
+    count, are passed over. Runs may append at the same time: each writes a
+    folder of its own (``run=<id>``), which counts once it is committed, and
+    a text that two of them add has one count.
     """
     spark = docs.sparkSession
     version = tokenizer_digest(tokenizer_path)
@@ -99,15 +105,15 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache: str) -> DataFrame:
                 [b.column("content"), pa.array([version] * len(counts), pa.binary()), pa.array(counts, pa.int64())],
                 ["content", "tokenizer", "n_tokens"])
 
-    texts.mapInArrow(encode, CACHE).write.mode("append").parquet(cache)
+    texts.mapInArrow(encode, CACHE).write.parquet(f"{cache}/run={uuid.uuid4().hex}")
     sizes = own.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "content")
     return sizes.join(cached(spark, cache, version), "content").select("doc_id", "n_bytes", "n_tokens")
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    """op8: bytes and tokens of every document, starting from an empty cache."""
+    """op8: bytes and tokens of every document, by the cache in the shared folder, which keeps what earlier runs counted."""
     import public_tokenizers
 
     counts = count_tokens(spark.read.parquet(f"{sf_dir}/documents.parquet"),
-                          public_tokenizers.path("piece_bpe_32k.model"), scratch_path(spark, "token-cache"))
+                          public_tokenizers.path("piece_bpe_32k.model"), shared_path(spark, "token-cache"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
