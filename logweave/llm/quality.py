@@ -193,15 +193,16 @@ def fold(id_col, folds: int):
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, keep, most: int) -> DataFrame:
-    """``(text, y)`` of at most ``most`` labelled documents that ``keep`` admits, chosen by a hash of the id.
+    """``(doc_id, text, y, h)`` of at most ``most`` label rows that ``keep`` admits, chosen by a hash of the id.
 
-    The sample's ids are bounded by ``most``, so they are broadcast.
+    The labels are bounded by ``most``, so they are broadcast. Many rows may
+    have one id; who collects them takes the first ``most`` by ``h``.
     """
     ids = (labels.select(F.col("doc_id").cast("long").alias("id"), F.col(label).cast("int").alias("y"))
            .where(F.col("id").isNotNull() & F.col("y").isin(0, 1)).where(keep(F.col("id")))
            .orderBy(F.xxhash64("id"), "id", "y").limit(most))
     return (texts_of(docs).join(F.broadcast(ids), F.col("doc_id") == F.col("id"))
-            .select("doc_id", "text", "y"))
+            .select("doc_id", "text", "y", F.xxhash64("doc_id", "text", "y").alias("h")))
 
 
 def fit(docs: DataFrame, labels: DataFrame, keep, label: str = "quality", max_train: int = MAX_TRAIN):
@@ -214,9 +215,11 @@ def fit(docs: DataFrame, labels: DataFrame, keep, label: str = "quality", max_tr
             x = pooled(codes, sizes, sent.value)
             ids = pa.concat_arrays([b.column("doc_id") for b in held])
             y = pa.concat_arrays([b.column("y") for b in held])
-            yield pa.RecordBatch.from_arrays([ids, y, pa.array(map(bytes, x), pa.binary())], ["doc_id", "y", "x"])
+            h = pa.concat_arrays([b.column("h") for b in held])
+            yield pa.RecordBatch.from_arrays([ids, y, h, pa.array(map(bytes, x), pa.binary())], ["doc_id", "y", "h", "x"])
 
-    rows = labelled_sample(docs, labels, label, keep, max_train).mapInArrow(pool, "doc_id long, y int, x binary").toPandas()
+    rows = (labelled_sample(docs, labels, label, keep, max_train).mapInArrow(pool, "doc_id long, y int, h long, x binary")
+            .orderBy("h", "doc_id", "y").limit(max_train).toArrow().to_pandas())
     x = np.frombuffer(b"".join(rows["x"]), np.float32).reshape(len(rows), 4 * DIMS + 1)
     y = rows["y"].to_numpy(np.int64)
     order = np.lexsort((y, rows["doc_id"].to_numpy(np.int64)))

@@ -346,8 +346,11 @@ class Curve:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_fit: int = MAX_FIT):
     """``(counts, curve)`` from labels of folds 1 to 4: folds 2 to 4 are counted, fold 1 fits the curve."""
     counts = Counts(labelled(docs, labels, label, lambda i: fold(i) >= 2))
-    sample = labelled(docs, labels, label, lambda i: fold(i) == 1, max_fit).select(F.struct("doc_id", "y").alias("row"), "text")
-    got = counts.applied(sample, lambda x: list(map(bytes, np.ascontiguousarray(x))), T.BinaryType()).select("row.*", "out").toPandas()
+    sample = labelled(docs, labels, label, lambda i: fold(i) == 1, max_fit).select(
+        F.struct("doc_id", "y", F.xxhash64("doc_id", "text", "y").alias("h")).alias("row"), "text")
+    got = counts.applied(sample, lambda x: list(map(bytes, np.ascontiguousarray(x))), T.BinaryType()).select("row.*", "out")
+    # many rows may have one id: as many as labels at the most
+    got = got.orderBy("h", "doc_id", "y").limit(max_fit).toArrow().to_pandas()
     x = np.frombuffer(b"".join(got["out"]), np.float64).reshape(len(got), N_FEATURES)
     y = got["y"].to_numpy(np.int64)
     order = np.lexsort((y, got["doc_id"].to_numpy(np.int64)))

@@ -164,6 +164,36 @@ def test_token_counts_and_their_cache(spark, docs_table, rows_of, name):
     assert rows_of(token_counts.count_tokens(docs_table([(1, "never seen")]), path, cache)) == [(1, 10, 12345)]
 
 
+def test_registered_token_counts_meet_the_stored_ones(spark, rows_of, tmp_path, monkeypatch):
+    docs = [(1, "some text"), (2, None), (3, "some text"), (4, "more")]
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    cache, path = f"{tmp_path}/cache", P.path("piece_bpe_32k.model")
+    monkeypatch.setattr(token_counts, "shared_path", lambda spark, name: cache)
+    first = rows_of(token_counts.query(spark, str(tmp_path)))
+    stored = lambda: spark.read.option("recursiveFileLookup", "true").schema(token_counts.CACHE).parquet(cache)
+    assert stored().count() == 3
+    # rows of another version and rows without a count change nothing, and nothing is counted twice
+    key = lambda t: bytearray(hashlib.sha256(t.encode()).digest())
+    now = bytearray(token_counts.tokenizer_digest(path))
+    spark.createDataFrame([(key("more"), bytearray(b"old"), 99), (key("some text"), now, None)], token_counts.CACHE) \
+        .write.parquet(f"{cache}/run=x")
+    assert rows_of(token_counts.query(spark, str(tmp_path))) == first and stored().count() == 5
+
+
+def test_no_machine_local_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from logweave.llm import common
+
+    conf = {"spark.master": "spark://host:7077"}
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d)),
+                              sparkContext=SimpleNamespace(getCheckpointDir=lambda: None))
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        common.scratch_path(session, "x")
+    conf["spark.checkpoint.dir"] = "hdfs://shared/dir"
+    assert common.scratch_path(session, "x").startswith("hdfs://shared/dir/x-")
+
+
 # -- chat formatting ----------------------------------------------------------
 
 @given(st.text(st.sampled_from("<>|[]/\\sINSTim_startendSY \n")) | st.lists(st.sampled_from([*chat.CONTROL, "\\", "<", "["])).map("".join))
@@ -207,6 +237,9 @@ def test_conversations_read_back(spark, rows_of):
         want.append((c, len(ms), hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in ms).encode()).hexdigest(), len(loss),
                      hashlib.sha256(loss.encode()).hexdigest()))
     assert [g[:5] for g in got] == want
+    kinds = {r[0]: r[1] for r in chat.conversation_events(df).groupBy("kind").count().collect()}
+    turns = {a: sum((r == "assistant") == a for ms in convs.values() for _, r, _ in ms) for a in (True, False)}
+    assert kinds["regenerate"] == turns[True] and kinds["edit"] == turns[False] and kinds["start"] == turns[True] + 2 * turns[False]
 
 
 # -- classifiers --------------------------------------------------------------
