@@ -339,7 +339,7 @@ def test_labels_of_held_out_rows_change_nothing(spark, docs_table):
 def test_registered_queries_are_whole(spark, sf_dir):
     from logweave.llm.queries import ORACLE, QUERIES
 
-    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 11)) and set(ORACLE) <= set(QUERIES)
+    assert sorted(int(q[2:].split("_")[0]) for q in QUERIES) == list(range(1, 14)) and set(ORACLE) <= set(QUERIES)
     n = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     assert QUERIES["op9_benchmark_decontamination"](spark, sf_dir).select(F.countDistinct("doc_id")).first()[0] == n
     assert json.dumps(sorted(QUERIES))
