@@ -38,32 +38,85 @@ def wall_clock(ts, zone: str = DEFAULT_ZONE) -> Column:
 
 
 _PARTS = {"yyyy": (1, 4), "MM": (6, 2), "dd": (9, 2), "HH": (12, 2), "mm": (15, 2), "ss": (18, 2)}
+# Names in the order of the calendar, weeks from Sunday.
+_MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October",
+           "November", "December"]
+_DAYS = ["Sunday", "Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday"]
+_QUARTERS = ["1st quarter", "2nd quarter", "3rd quarter", "4th quarter"]
+
+
+def _named(number: Column, names: list[str]) -> Column:
+    return F.element_at(F.array(*map(F.lit, names)), number)
+
+
+def _clock_field(token: str, text: Column) -> Column:
+    """One run of a pattern letter, rendered from a clock's text ``yyyy-MM-dd HH:mm:ss[.S]``; weeks begin on Sunday."""
+    letter, width = token[0], len(token)
+    date = F.substring(text, 1, 10).cast("date")
+    hour = F.substring(text, 12, 2).cast("int")
+    month, weekday = F.month(date), F.dayofweek(date)
+    week_end = F.date_add(date, 7 - weekday)  # the year that holds a week's Saturday holds the week
+    first_weekday = F.dayofweek(F.trunc(date, "year"))
+
+    if letter in "ML" and width in (3, 4):
+        return _named(month, [m[:3] if width == 3 else m for m in _MONTHS])
+    if letter == "E" and width <= 4:
+        return _named(weekday, [d[:3] if width < 4 else d for d in _DAYS])
+    if letter in "Qq" and width in (3, 4):
+        return _named(F.quarter(date), ["Q" + q[0] if width == 3 else q for q in _QUARTERS])
+    if letter == "a" and width == 1:
+        return F.when(hour < 12, "AM").otherwise("PM")
+    if letter == "G" and width <= 4:
+        return F.lit("AD" if width < 4 else "Anno Domini")
+    if letter == "S" and width <= 9:
+        return F.rpad(F.substring(text, 21, width), width, "0")
+
+    # letter: number, the most letters it takes
+    numbers = {
+        "y": (F.year(date), 6), "u": (F.year(date), 6), "Y": (F.year(week_end), 6),
+        "M": (month, 2), "L": (month, 2), "d": (F.dayofmonth(date), 2), "D": (F.dayofyear(date), 3),
+        "Q": (F.quarter(date), 2), "q": (F.quarter(date), 2), "F": ((F.dayofmonth(date) - 1) % 7 + 1, 1),
+        "e": (weekday, 2), "c": (weekday, 1),
+        "w": (F.when(F.year(week_end) > F.year(date), 1).otherwise(
+            F.ceil((F.dayofyear(date) + first_weekday - 1) / 7)), 2),
+        "W": (F.ceil((F.dayofmonth(date) + F.dayofweek(F.trunc(date, "month")) - 1) / 7), 1),
+        "H": (hour, 2), "k": (F.when(hour == 0, 24).otherwise(hour), 2), "K": (hour % 12, 2),
+        "h": ((hour + 11) % 12 + 1, 2), "m": (F.substring(text, 15, 2).cast("int"), 2),
+        "s": (F.substring(text, 18, 2).cast("int"), 2)}
+    number, most = numbers.get(letter, (None, 0))
+    if width > most:
+        raise ValueError(f"a clock without a zone has no field {token!r}")
+    if letter in "yuY" and width == 2:
+        number = number % 100
+    number = number.cast("string")
+    return F.lpad(number, F.greatest(F.length(number), F.lit(width)), F.lit("0")) if width > 1 else number
 
 
 def clock_format(local, pattern: str) -> Column:
     """A wall-clock TIMESTAMP_NTZ (years 1 to 9999) as text, by a date-time pattern.
 
     ``date_format`` would read the clock in the session zone, which has no
-    02:30 on the day its clocks go forward; the usual letters (``yyyy MM dd
-    HH mm ss S``) are cut from the clock's own text instead. Other letters
-    go through ``date_format``.
+    02:30 on the day its clocks go forward; here all letters are rendered from
+    the clock's own text, in English, with weeks that begin on Sunday. Letters
+    of a zone or an offset, and letters that no clock has, are a ``ValueError``.
+    ``[`` and ``]`` are passed over, as all fields of a clock are there.
     """
     text = to_col(local).cast("string")
     out = []
-    for i, piece in enumerate(pattern.split("'")):
-        if i % 2:
-            out.append(F.lit(piece or "'"))
-            continue
-        for token in re.finditer(r"([a-zA-Z])\1*|[^a-zA-Z]+", piece):
-            t = token.group()
-            if t in _PARTS:
-                out.append(F.substring(text, *_PARTS[t]))
-            elif set(t) == {"S"} and len(t) <= 6:
-                out.append(F.rpad(F.substring(text, 21, len(t)), len(t), "0"))
-            elif t[0].isalpha():
-                return F.date_format(local, pattern)
-            else:
-                out.append(F.lit(t))
+    for token in re.finditer(r"'((?:[^']|'')*)'|([a-zA-Z])\2*|[^a-zA-Z'\[\]]+", pattern):
+        t = token.group()
+        if t[0] == "'":  # quoted text; two quotes are one
+            out.append(F.lit(token.group(1).replace("''", "'") or "'"))
+        elif t in _PARTS:
+            out.append(F.substring(text, *_PARTS[t]))
+        elif t[0].isalpha():
+            out.append(_clock_field(t, text))
+        elif set(t) & set("#{}"):
+            raise ValueError(f"reserved characters in the pattern {pattern!r}")
+        else:
+            out.append(F.lit(t))
+    if not any(p in pattern for p in _PARTS):
+        out.append(F.when(text.isNotNull(), ""))  # constants alone would give a text for no clock
     return F.concat(*out)
 
 

@@ -173,3 +173,52 @@ def test_split_fields_drops_trailing_empties(spark):
     for r in df.select("m", "n", F.size(X.split_fields("m")).alias("g")).collect():
         assert r.g == r.n, r.m
     assert df.select(X.field_at("m", 8).alias("f")).where("f is not null").count() == 0
+
+
+CLOCK_PATTERNS = ["yyyy-MM-dd HH:mm:ss.SSS", "EEE, d MMM yyyy h:mm a", "EEEE dd MMMM yy", "D DDD", "Q QQ QQQ QQQQ", "K KK k kk h hh H",
+                  "M/d/y m:s", "LLL LLLL L LL", "F", "G GGGG", "yyyyy", "'day' D 'o''clock' h a", "yyyyMMdd[ HH]", "S SSSSSSSSS"]
+
+
+def test_clock_format_reads_no_session_zone(spark):
+    from logweave.functions import timecols
+
+    clocks = ["2024-03-10 02:30:15.123456", "2024-01-01 00:00:00", "2023-12-31 23:59:59.5", "2024-12-31 12:00:00", "2000-02-29 13:05:09.000001",
+              "0001-01-01 00:00:00", "9999-12-31 11:59:59.999999", "2021-10-31 01:30:00", None]
+    df = spark.createDataFrame([(c,) for c in clocks], "c string").select(F.col("c").cast("timestamp_ntz").alias("c"))
+    before, got = spark.conf.get("spark.sql.session.timeZone"), {}
+    try:
+        for zone in ("UTC", "America/New_York", "Asia/Seoul"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            got[zone] = [tuple(r) for r in df.select(*[timecols.clock_format("c", p).alias(f"p{i}") for i, p in enumerate(CLOCK_PATTERNS)]).collect()]
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        want = [tuple(r) for r in df.select(*[F.date_format("c", p).alias(f"p{i}") for i, p in enumerate(CLOCK_PATTERNS)]).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert got["UTC"] == got["America/New_York"] == got["Asia/Seoul"] == want
+    for pattern in ("HH:mm X", "VV", "z", "{yyyy}", "aaaaaa", "EEEEEE"):
+        with pytest.raises(ValueError):
+            timecols.clock_format("c", pattern)
+
+
+def test_clock_format_weeks(spark):
+    """Weeks from Sunday to Saturday; a week belongs to the year of its Saturday. Worked out by hand."""
+    from logweave.functions import timecols
+
+    weeks = {"2024-01-01": "2024 1 01 1 2", "2023-12-31": "2024 1 01 6 1", "2022-12-31": "2022 53 53 5 7", "2023-01-01": "2023 1 01 1 1",
+             "2024-12-29": "2025 1 01 5 1", "2024-12-28": "2024 52 52 4 7", "2024-02-29": "2024 9 09 5 5"}
+    df = spark.createDataFrame([(d + " 05:00:00",) for d in weeks], "c string").select(F.col("c").cast("timestamp_ntz").alias("c"))
+    assert [r[0] for r in df.select(timecols.clock_format("c", "YYYY w ww W e")).collect()] == list(weeks.values())
+
+
+def test_reformat_with_day_names_in_a_skipped_hour(spark):
+    from logweave.functions import timecols
+
+    before = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "Europe/Berlin"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame([("2024-03-10T02:30:00-05:00",), ("2024-03-31T02:30:00+01:00",), ("no time",)], "t string")
+            out = timecols.reformat_datetime("t", "yyyy-MM-dd'T'HH:mm:ssXXX", "EEE d MMM yyyy h:mm a")
+            assert [r[0] for r in df.select(out).collect()] == ["Sun 10 Mar 2024 2:30 AM", "Sun 31 Mar 2024 2:30 AM", None]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
