@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from logweave.functions import jsoncols as J
 from logweave.functions import textcols as X
 from logweave.functions import timecols as T
+from logweave.functions.numtext import number_text
 from logweave.operators import predicates as P
 from logweave.operators import reshape as R
 from logweave.operators.grouped import latest_by_key, route_counts
@@ -172,6 +173,13 @@ def json_decimal_exact(spark, sf):
     return df.select("offset", J.decimal_of(F.col("var"), "amount", 38, 9).cast("string").alias("amount"))
 
 
+@register("json_number_text", O.with_(O.LEDGER) + "SELECT \"offset\", amount, rate, tax FROM lg")
+def json_number_text(spark, sf):
+    df = _parsed(D.ledger_records(spark, sf))
+    return df.select("offset", *[number_text("value", "var", f).alias(n) for n, f in (
+        ("amount", "amount"), ("rate", "rate"), ("tax", "$.detail.tax"))])
+
+
 # ---------------------------------------------------------------- projections
 @register("flatten_chat", O.with_(O.ACTIONS) + f"""
 SELECT "offset", CASE WHEN flat_ok THEN uid END AS key,

@@ -210,6 +210,16 @@ dc AS (
   FROM orders)"""
 
 
+LEDGER = """
+lg AS (
+  SELECT o_orderkey AS "offset",
+         '1' || lpad(CAST(o_orderkey AS VARCHAR), 39, '0') || '.' || lpad(CAST(o_custkey AS VARCHAR), 20, '0') AS amount,
+         CASE o_orderkey % 4 WHEN 0 THEN CAST(o_custkey AS VARCHAR) || '.500'
+                             WHEN 1 THEN CAST(o_custkey AS VARCHAR) || 'E+02' END AS rate,
+         CAST(o_custkey AS VARCHAR) || '.10' AS tax
+  FROM orders)"""
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(ctes) + "\n"
 

@@ -39,6 +39,9 @@ monthly (from ``orders``)
     text (``"1.5"``, ``"1e0"``); ``o_custkey % 97 = 0`` is on a topic without ``log_``.
 decimals (from ``orders``)
     ``{"orderkey","amount"}`` with a 29-digit decimal ``amount``.
+ledger (from ``orders``)
+    ``amount`` of sixty digits, ``rate`` and ``detail.tax`` with ending
+    zeros or exponents; ``o_orderkey % 4``: see :func:`ledger_records`.
 tickets (from ``customer``)
     ``{"message"}`` texts with phone, card and resident numbers;
     ``c_custkey % 4``: 0 all three, 1 two phones one character apart,
@@ -295,6 +298,28 @@ def decimal_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         utc_instant(F.col("o_orderdate")).alias("timestamp")))
 
 
+def ledger_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose numbers have a form that their value does not tell: sixty digits, ending zeros, exponents.
+
+    ``rate`` is by ``o_orderkey % 4``: 0 a decimal that ends in zeros, 1 an
+    exponent, 2 a text, 3 missing. A string, an array and the object after
+    ``detail`` hold members of the same names.
+    """
+    o = table(spark, sf_dir, "orders")
+    key, cust = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    amount = F.concat(F.lit("1"), F.lpad(key, 39, "0"), F.lit("."), F.lpad(cust, 20, "0"))
+    cls = F.col("o_orderkey") % 4
+    rate = (F.when(cls == 0, F.concat(F.lit(',"rate":'), cust, F.lit(".500")))
+            .when(cls == 1, F.concat(F.lit(',"rate" : '), cust, F.lit("E+02 ")))
+            .when(cls == 2, F.concat(F.lit(',"rate":"'), cust, F.lit('.500"'))).otherwise(F.lit("")))
+    value = F.concat(F.lit('{"note":"\\"amount\\":0.10,{","lines":[{"amount":0.10}],"detail":{"tax":'), cust, F.lit('.10},"amount":'),
+                     amount, rate, F.lit(',"other":{"tax":0.20,"rate":0.20}}'))
+    return as_records(o.select(
+        F.lit("ledger").alias("topic"), key.alias("key"), value.alias("value"),
+        (F.col("o_custkey") % 8).cast("int").alias("partition"), F.col("o_orderkey").alias("offset"),
+        utc_instant(F.col("o_orderdate")).alias("timestamp")))
+
+
 def ticket_records(spark: SparkSession, sf_dir: str, topic: str = "support-tickets") -> DataFrame:
     """Support-ticket texts (from ``customer``) carrying phone, card and
     resident numbers in the formats the PII masker targets.
