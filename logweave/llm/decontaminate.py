@@ -7,30 +7,37 @@ The index's alphabet is the benchmark's words; every other word is a
 separator, which no window can cross, and stretches shorter than the
 shortest window are left out, as no window fits into them.
 
-The benchmark comes in blocks of bounded size; each block is broadcast and
-searched in one map-only step, and each step adds to the spans and items
-that the rows carry. Nothing is shuffled.
+A Spark job cuts the benchmark into its distinct windows with their items,
+numbers them by a running count and writes them; the driver only ever holds
+one block of bounded size. A block is broadcast and searched in one map-only
+step, and each step adds to the spans and items that the rows carry. No
+document is shuffled. After every ``CHAIN`` blocks the rows are written and
+those blocks' broadcasts end, so what is broadcast at once does not grow with
+the benchmark.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logweave.llm.common import texts_of
+from logweave.llm.common import removed, texts_of, written
 from logweave.llm.fm_index import FMIndex
 
 #: Words of a shard that one index covers.
 SHARD_WORDS = 4_000_000
-#: Words of benchmark texts in one broadcast block (a longer single item makes a block of its own).
-BLOCK_WORDS = 500_000
+#: Windows of one broadcast block (an item has about as many as words), and blocks that are broadcast at once.
+BLOCK_WORDS, CHAIN = 500_000, 4
+#: Windows that are sent on together.
+WINDOW_ROWS = 10_000
 
 #: Bytes of a text -> itself where it belongs to a word, A-Z lower-cased, else a space.
 WORD_BYTES = bytes(
@@ -44,13 +51,12 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 class Block:
-    """Distinct windows of some items, as right-aligned rows of symbols, with the items of each."""
+    """Distinct windows, as right-aligned rows of symbols, with the items of each, from pairs of window and item."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], width: int):
+    def __init__(self, pairs: Iterable[tuple[bytes, str]], width: int):
         windows: dict[tuple[bytes, ...], set[str]] = {}
-        for item, words in items:
-            for i in range(max(1, len(words) - width + 1) if words else 0):
-                windows.setdefault(tuple(words[i:i + width]), set()).add(item)
+        for window, item in pairs:
+            windows.setdefault(tuple(window.split(b" ")), set()).add(item)
         self.symbols = {w: k for k, w in enumerate(sorted({w for x in windows for w in x}), 1)}
         self.lengths = np.array([len(x) for x in windows], np.int64)
         self.patterns = np.zeros((len(windows), width), np.int64)
@@ -82,20 +88,55 @@ class Block:
         yield from zip(doc.tolist(), start.tolist(), (start + self.lengths[window]).tolist(), window.tolist())
 
 
-def blocks(benchmark: DataFrame, width: int) -> Iterator[Block]:
-    """The benchmark in bounded blocks; the driver holds one at a time."""
-    held, n = [], 0
+def windows_of(benchmark: DataFrame, width: int) -> DataFrame:
+    """Distinct ``(item, window)``: the item's id as a string (null: empty) and its words joined by a space, as binary.
+
+    An item of fewer than ``width`` words, but not none, is one window.
+    """
+    kinds = [("item", pa.string()), ("window", pa.binary())]
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for item, text in zip(b.column("item").to_pylist(), b.column("text").to_pylist()):
+                words = words_of(text)
+                n = max(1, len(words) - width + 1) if words else 0
+                for s in range(0, n, WINDOW_ROWS):
+                    rows = [b" ".join(words[i:i + width]) for i in range(s, min(n, s + WINDOW_ROWS))]
+                    yield pa.RecordBatch.from_arrays([pa.array([item] * len(rows), pa.string()), pa.array(rows, pa.binary())],
+                                                     [c for c, _ in kinds])
+
     rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
                             F.col("text").cast("string").cast("binary").alias("text"))
-    for r in rows.toLocalIterator():
-        words = words_of(r.text)
-        held.append((r.item, words))
-        n += len(words)
-        if n >= BLOCK_WORDS:
-            yield Block(held, width)
-            held, n = [], 0
-    if held:
-        yield Block(held, width)
+    return rows.mapInArrow(cut, "item string, window binary").distinct()
+
+
+def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with their task and their place in it."""
+    task, n = TaskContext.get().partitionId(), 0
+    for b in batches:
+        yield pa.RecordBatch.from_arrays(
+            [*b.columns, pa.array([task] * b.num_rows, pa.int32()), pa.array(range(n, n + b.num_rows), pa.int64())], [*b.schema.names, "task", "n"])
+        n += b.num_rows
+
+
+def blocks(benchmark: DataFrame, width: int) -> Iterator[Block]:
+    """The benchmark's windows in blocks of at most ``BLOCK_WORDS``; the driver holds one at a time.
+
+    Windows of an item stay together where they can, so a block has few
+    different words. A window that many items hold may be in several blocks,
+    each with other items.
+    """
+    rows = windows_of(benchmark, width).repartitionByRange("item", "window").sortWithinPartitions("item", "window")
+    table = written(rows.mapInArrow(_numbered, "item string, window binary, task int, n long"), "benchmark-windows")
+    sizes = sorted(tuple(r) for r in table.groupBy("task").count().collect())  # a row for each task
+    for k in range(-(-sum(n for _, n in sizes) // BLOCK_WORDS)):
+        low, high, before, wanted = k * BLOCK_WORDS, (k + 1) * BLOCK_WORDS, 0, F.lit(False)
+        for task, n in sizes:
+            if before < high and low < before + n:
+                wanted |= (F.col("task") == task) & F.col("n").between(low - before, high - before - 1)
+            before += n
+        got = table.where(wanted).select("window", "item").toArrow()
+        yield Block(zip(got["window"].to_pylist(), got["item"].to_pylist()), width)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -165,21 +206,30 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, c
     empty tables give no rows or no spans, other columns are kept inside
     ``row`` under any names. ``carry_text`` adds the text as binary ``text``.
     """
-    out, todo = _prepared(docs, benchmark, width)
-    for k, sent in enumerate(todo):
-        carry = carry_text or k < len(todo) - 1
-        kind = T.StructType([f for f in out.schema if carry or f.name != "text"])
-        out = out.mapInArrow(_step(sent, carry), kind)
-    return out
+    out, last = _searched(docs, benchmark, width)
+    kind = T.StructType([f for f in out.schema if carry_text or f.name != "text"])
+    return out.mapInArrow(_step(last, carry_text), kind)
 
 
-def _prepared(docs: DataFrame, benchmark: DataFrame, width: int):
-    """The rows as the search takes them, and the broadcast blocks (at least one, which may be empty)."""
+def _searched(docs: DataFrame, benchmark: DataFrame, width: int):
+    """The rows as the search takes them after all blocks but the last, and the last one's broadcast (an empty block, if there is none)."""
     sc = docs.sparkSession.sparkContext
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     out = docs.select(rest.alias("row"), F.col("text").cast("string").cast("binary").alias("text"),
                       F.lit(None).cast(FOUND).alias("found"))
-    return out, [sc.broadcast(x) for x in blocks(benchmark, width) if len(x.lengths)] or [sc.broadcast(Block([], width))]
+    sent, held = [], None
+    for block in blocks(benchmark, width):
+        if sent:
+            out = out.mapInArrow(_step(sent[-1], True), out.schema)
+        if len(sent) == CHAIN:
+            out = written(out, "searched")
+            for x in sent:
+                x.destroy()
+            if held is not None:
+                removed(held)
+            sent, held = [], out
+        sent.append(sc.broadcast(block))
+    return out, sent[-1] if sent else sc.broadcast(Block([], width))
 
 
 def cut_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
@@ -208,10 +258,8 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10)
     Texts without a hit stay as they are, null stays null. ``n_chars``,
     where present, follows the new text.
     """
-    out, todo = _prepared(docs, benchmark, width)
-    for sent in todo[:-1]:
-        out = out.mapInArrow(_step(sent, True), out.schema)
-    out = out.mapInArrow(_step(todo[-1], False, True), T.StructType([out.schema["row"], T.StructField("text", T.StringType())]))
+    out, last = _searched(docs, benchmark, width)
+    out = out.mapInArrow(_step(last, False, True), T.StructType([out.schema["row"], T.StructField("text", T.StringType())]))
     return out.select(*[
         F.col("text") if c == "text" else
         F.length("text").cast(docs.schema["n_chars"].dataType).alias("n_chars") if c == "n_chars" else

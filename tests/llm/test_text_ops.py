@@ -82,6 +82,28 @@ def test_decontamination_removes_the_spans_and_nothing_else(spark, docs_table):
     assert decontaminate.find_contamination(docs.where("doc_id > 9"), bench).count() == 0
 
 
+def test_benchmark_windows_in_blocks_of_bounded_size(spark, monkeypatch):
+    rng = random.Random(8)
+    items = [(k, "a shared benchmark passage of more than ten words in every item " + sentence(rng, rng.randint(0, 30))) for k in range(20)]
+    items += [(77, sentence(rng, 400)), items[3], (5, items[4][1]), (None, None), (78, "")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = set()
+    for item, text in items:
+        words = decontaminate.words_of(text.encode() if text else None)
+        want |= {(b" ".join(words[i:i + 10]), str(item)) for i in range(max(1, len(words) - 9) if words else 0)}
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 30)
+    monkeypatch.setattr(decontaminate, "WINDOW_ROWS", 7)
+    found, sizes = [], []
+    for block in decontaminate.blocks(bench, 10):
+        name = {k: w for w, k in block.symbols.items()}
+        pairs = [(b" ".join(name[x] for x in p[10 - n:]), item)
+                 for p, n, held in zip(block.patterns.tolist(), block.lengths.tolist(), block.items) for item in held]
+        sizes.append(len(pairs))
+        found += pairs
+    assert len(found) == len(want) and set(found) == want
+    assert sizes[:-1] == [30] * (len(sizes) - 1) and len(sizes) > decontaminate.CHAIN and 0 < sizes[-1] <= 30
+
+
 # -- packing ------------------------------------------------------------------
 
 BPE = P.path("word_bpe_49k.json") if hasattr(P, "path") else ""
