@@ -11,6 +11,7 @@ round's items are too many for one node, which then stays split.
 from __future__ import annotations
 
 import bisect
+import itertools
 import os
 import re
 import zlib
@@ -32,10 +33,11 @@ GROUP_ITEMS = 20_000
 SLACK = 0.005
 #: Groups that come together in the next round.
 FAN_IN = 8
-#: Texts that are encoded together.
-LOT = 5000
-#: Words, and bare words, whose ids a Python worker remembers.
-MEMO_WORDS = 700_000
+#: Texts that are encoded together, at most, and their bytes (a longer text is alone); words whose ids are put together.
+LOT, LOT_BYTES = 5000, 8 << 20
+RUN_WORDS = 1 << 18
+#: Words, and bare words, whose ids a Python worker remembers before it lets those go that do not recur.
+MEMO_WORDS = 100_000
 
 #: Letters that stay single and composed under NFC and have a plain lower case, then
 #: ASCII marks without an apostrophe: such a word is the letters' ids and the marks' ids.
@@ -78,14 +80,14 @@ class WordEncoder:
             self.parts.update(zip(words, self._encode(words)))
 
     def _learn(self, words: list[str]) -> None:
-        if len(self.parts) > MEMO_WORDS:
-            self.parts = {"": b""}
         plain, other = {}, []
         for w in words:
             if m := _PLAIN.fullmatch(w):
                 plain[w] = m[1].lower(), m[2]
             else:
                 other.append(w)
+        if len(self.parts) > MEMO_WORDS:
+            self.parts = {"": b""} | {w: self.parts[w] for w in itertools.chain(*plain.values()) if w in self.parts}
         letters = list({a for a, _ in plain.values()} - self.parts.keys())
         for k in range(0, len(letters), 5000):
             self._learn_letters(letters[k:k + 5000])
@@ -100,19 +102,36 @@ class WordEncoder:
             texts = pc.replace_substring(texts, blank, " ")
         split = pc.split_pattern(pc.fill_null(texts, ""), " ")
         coded = pc.dictionary_encode(split.flatten())
-        words = coded.dictionary.to_pylist()
+        borders = split.offsets.to_numpy() - split.offsets[0].as_py()
+        words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        del texts, split, coded  # only the numbers are needed from here on
         if len(self.words) > MEMO_WORDS:
-            self.words = {"": b""}
+            self.words = {"": b""} | {w: self.words[w] for w in words if w in self.words}
         if new := [w for w in words if w not in self.words]:
             self._learn(new)
         known = [self.words[w] for w in words]
-        size = np.fromiter(map(len, known), np.int64, len(known)) // 4
-        at = coded.indices.to_numpy()
-        n, start = size[at], (np.cumsum(size) - size)[at]
-        ends = np.cumsum(n)
-        ids = np.frombuffer(b"".join(known), "<u4")[np.repeat(start - ends + n, n) + np.arange(n.sum())]
-        borders = np.append(0, ends)[split.offsets.to_numpy() - split.offsets[0].as_py()]
-        return ids, np.diff(borders)
+        del words
+        size = np.fromiter(map(len, known), np.int32, len(known)) // 4
+        start = np.cumsum(size) - size
+        pool = np.frombuffer(b"".join(known), "<u4")
+        del known
+        ends = np.append(0, np.cumsum(size[at], dtype=np.int64))
+        ids = np.empty(ends[-1], "<u4")
+        for k in range(0, len(at), RUN_WORDS):
+            some = at[k:k + RUN_WORDS]
+            n, first = size[some], ends[k:k + len(some)]
+            ids[first[0]:first[-1] + n[-1]] = pool[np.repeat(start[some] - first, n) + np.arange(first[0], first[-1] + n[-1])]
+        return ids, np.diff(ends[borders])
+
+
+def lots(texts: pa.StringArray) -> Iterator[tuple[int, int]]:
+    """Where runs of texts begin and end that are encoded together."""
+    borders = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64))
+    k = 0
+    while k < len(texts):
+        end = max(k + 1, min(k + LOT, int(np.searchsorted(borders, borders[k] + LOT_BYTES, "right")) - 1))
+        yield k, end
+        k = end
 
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -126,10 +145,10 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int, end_id: int
         encoder, end = worker_memo(tokenizer_path, lambda: WordEncoder(tokenizer_path)), np.array([end_id], "<u4").tobytes()
         for b in batches:
             rows, docs = [], b.column("doc_id").to_pylist()
-            for k in range(0, len(docs), LOT):
-                ids, sizes = encoder.encode(b.column("text")[k:k + LOT])
-                raw, at = memoryview(ids.tobytes()), 0
-                for doc, n in zip(docs[k:k + LOT], sizes.tolist()):
+            for k, end_of_lot in lots(b.column("text")):
+                ids, sizes = encoder.encode(b.column("text")[k:end_of_lot])
+                raw, at = memoryview(ids.view(np.uint8)), 0
+                for doc, n in zip(docs[k:end_of_lot], sizes.tolist()):
                     own = bytes(raw[4 * at:4 * (at + n)]) + end
                     at += n
                     for piece, s in enumerate(range(0, n + 1, capacity)):

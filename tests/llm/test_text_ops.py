@@ -127,6 +127,26 @@ def test_word_encoder_equals_whole_texts():
     assert [ids[s:e].tolist() for s, e in zip(ends, ends[1:])] == [w.ids for w in want]
 
 
+def test_word_encoder_memory_is_bounded(monkeypatch):
+    """Words that do not recur leave the memory, runs are cut by bytes, and the ids stay those of whole texts."""
+    assert packing.MEMO_WORDS <= 100_000
+    monkeypatch.setattr(packing, "MEMO_WORDS", 300)
+    monkeypatch.setattr(packing, "RUN_WORDS", 7)
+    monkeypatch.setattr(packing, "LOT_BYTES", 2000)
+    texts = [f"the Cat{k}, " + " ".join(f"w{k}x{j}" for j in range(40)) for k in range(200)] + ["", None, "z" * 5000, ""]
+    encoder, got = packing.WordEncoder(BPE), []
+    column = pa.array(texts)
+    cuts = list(packing.lots(column))
+    assert [s for s, _ in cuts] == [0, *[e for _, e in cuts[:-1]]] and cuts[-1][1] == len(texts) and len(cuts) > 20
+    for s, e in cuts:
+        assert e == s + 1 or sum(len(t or "") for t in texts[s:e]) <= 2000
+        ids, sizes = encoder.encode(column[s:e])
+        ends = np.append(0, np.cumsum(sizes))
+        got += [ids[a:b].tolist() for a, b in zip(ends, ends[1:])]
+        assert len(encoder.words) < 800 and len(encoder.parts) < 800
+    assert got == [whole(t) for t in texts]
+
+
 def check_packing(rows, out, capacity):
     want = []
     for i, t in rows:
