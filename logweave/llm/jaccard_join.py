@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 
 from logweave.llm.common import bloom_bits, in_bloom, text_key, texts_of, written
 from logweave.llm.graph import components
-from logweave.llm.wordhash import WordHashes, coded_words, mix, window_hashes, worker_memo
+from logweave.llm.wordhash import forget, hashed_words, mix, window_hashes
 
 #: Buckets of the count table, whose size never depends on the data, and of one block of it.
 BUCKET_BITS, BLOCK_BITS = 21, 15
@@ -59,11 +59,11 @@ class Shingles:
 
     def __init__(self, width: int, percent: int, ranks: np.ndarray | None = None):
         self.width, self.percent, self.ranks = width, percent, ranks
-        self.hashes = worker_memo("words", WordHashes)
+        forget()
 
     def of(self, texts: pa.Array) -> list[np.ndarray]:
-        """Sorted shingles of each text; words are hashed once for all texts."""
-        word, sizes = coded_words(pc.ascii_lower(texts), self.hashes, np.uint64)
+        """Sorted shingles of each text; distinct words are hashed once for all texts, together."""
+        word, sizes = hashed_words(pc.ascii_lower(texts))
         borders = np.append(0, np.cumsum(sizes))
         all_windows = self._id(window_hashes(word, self.width))
         out = []

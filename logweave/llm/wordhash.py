@@ -27,6 +27,11 @@ def worker_memo(name: str, make):
     return _memos[name]
 
 
+def forget() -> None:
+    """Let go what earlier stages remembered; for stages that remember nothing themselves."""
+    _memos.clear()
+
+
 class WordHashes(dict):
     """``hashes[word]`` is the 64-bit xxh3 of a word (``bytes``), remembered."""
 
@@ -60,6 +65,50 @@ def window_hashes(words: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
     return mix(out)
 
 
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 256
+
+
+def hashes_of(words: pa.Array) -> np.ndarray:
+    """64-bit hash of each word (no nulls), eight bytes of all words at a time; nothing is remembered."""
+    words = words.cast(pa.large_binary())
+    borders = np.frombuffer(words.buffers()[1], np.int64)[words.offset:words.offset + len(words) + 1]
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    data = np.append(np.frombuffer(words.buffers()[2] or b"", np.uint8)[borders[0]:borders[-1]], np.zeros(8, np.uint8))
+    lanes = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    start, size = borders[:-1] - borders[0], np.diff(borders)
+    out = mix(size.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15))
+    at = np.flatnonzero((size > 0) & (size <= LONG_WORD))
+    start, left = start[at], size[at]
+    while len(at):
+        lane = lanes[start]
+        lane &= np.uint64(MASK) >> (64 - 8 * np.minimum(left, 8)).astype(np.uint64)
+        out[at] = mix(out[at] ^ lane) + np.uint64(0x9E3779B97F4A7C15)
+        more = left > 8
+        at, start, left = at[more], start[more] + 8, left[more] - 8
+    for k in np.flatnonzero(size > LONG_WORD).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(words[k].as_py())
+    return out
+
+
+def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words between ASCII blanks of all texts, one after another, and how many each text has.
+
+    A null has no words.
+    """
+    split = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    coded = pc.dictionary_encode(split.flatten())
+    at = coded.indices.to_numpy()
+    borders = split.offsets.to_numpy() - split.offsets[0].as_py()
+    codes = hashes_of(coded.dictionary)[at] if len(at) else np.zeros(0, np.uint64)
+    blank = pc.index(coded.dictionary, pa.scalar("", coded.dictionary.type)).as_py()
+    if blank >= 0:  # blanks at an end
+        real = at != blank
+        codes, borders = codes[real], np.append(0, np.cumsum(real))[borders]
+    return codes, np.diff(borders)
+
+
 def coded_words(texts: pa.Array, code_of: dict, dtype=np.int64) -> tuple[np.ndarray, np.ndarray]:
     """Codes of the words between ASCII blanks of all texts, one after another, and how many each text has.
 

@@ -6,10 +6,11 @@ from collections import defaultdict
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus import documents, sentence
 
-from logweave.llm import embedding_dedup, graph, jaccard_join, line_dedup, substring_dedup
+from logweave.llm import embedding_dedup, graph, jaccard_join, line_dedup, substring_dedup, wordhash
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -237,3 +238,25 @@ def test_embedding_audit_sees_missed_pairs_beside_a_large_group(spark, monkeypat
     monkeypatch.setattr(embedding_dedup, "AUDIT_BYTES", 8 * 32 * 50, raising=False)
     alone = vectors.where("cid >= 20 and cid < 1000")
     assert embedding_dedup._audit(alone, counted, 32, 0.95) is None
+
+
+def test_words_are_hashed_together_without_a_memory():
+    """A word's hash depends on its bytes alone; texts, blanks and nulls give the words that one text after another gives."""
+    rng = random.Random(4)
+    words = ["", "a", "\x00", "\x00\x00", "12345678", "123456789", "é" * 130, "x" * 256, "x" * 257, "y" * 5000]
+    words += ["".join(rng.choice("abé\x00") for _ in range(rng.randint(1, 40))) for _ in range(3000)]
+    words = sorted(set(words))
+    for kind in (pa.string(), pa.binary(), pa.large_string()):
+        own = wordhash.hashes_of(pa.array([w.encode() for w in words]).cast(kind))
+        assert len(set(own.tolist())) == len(words)
+        back = wordhash.hashes_of(pa.array(["skip", *[w for w in reversed(words)]]).cast(kind).slice(1))
+        assert (back[::-1] == own).all()
+    hash_of = dict(zip(words, own.tolist()))
+    assert wordhash.hashes_of(pa.array([], pa.string())).tolist() == []
+    texts = [None, "", "  ", " a  x\n", "\ta\x0ba", "x" * 257 + "\r1234567 12345678", "é" * 130]
+    more = {w: int(wordhash.hashes_of(pa.array([w]))[0]) for w in ("x", "1234567")}
+    codes, sizes = wordhash.hashed_words(pa.array(texts).slice(0))
+    assert sizes.tolist() == [0, 0, 0, 2, 2, 3, 1]
+    assert codes.tolist() == [(hash_of | more)[w] for t in texts for w in (t or "").split()]
+    assert wordhash.hashed_words(pa.array([None, ""], pa.string()))[1].tolist() == [0, 0]
+    assert wordhash.hashed_words(pa.array([], pa.string()))[1].tolist() == []
