@@ -25,7 +25,7 @@ _ISO_OFFSET_RE = (r"^(\d{4}-\d{2}-\d{2})[Tt](\d{2}:\d{2})(?::(\d{2})(?:\.(\d{0,9
 _COMPACT_RE = r"^(\d{4}-\d{2}-\d{2})T(\d{2}:\d{2}:\d{2})\.(\d{7})([+-](?:(?:0\d|1[0-7])[0-5]\d|1800))\z"
 _LOCAL_RE = r"^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})\z"
 # An offset at the end of a text, and the pattern letters that stand for one.
-_OFFSET_RE = r"(?:[Zz]|([+-])(\d{2})(?::?(\d{2}))?(?::?(\d{2}))?)\z"
+_OFFSET_RE = r"(?:[Zz]|[+-]\d{2}(?::?\d{2})?(?::?\d{2})?)\z"
 _OFFSET_LETTERS = "XxZOVz"
 # Seconds of 0001-01-01 and of 9999-12-31T23:59:59 UTC.
 _FIRST_SECOND, _LAST_SECOND = -62135596800, 253402300799
@@ -201,14 +201,17 @@ def reformat_datetime(text, in_pattern: str, out_pattern: str) -> Column:
     t = to_col(text)
     if any(c in _OFFSET_LETTERS for c in _unquoted(in_pattern)):
         instant = F.try_to_timestamp(t, F.lit(in_pattern))
-        part = [F.regexp_extract(t, _OFFSET_RE, k) for k in (1, 2, 3, 4)]
-        number = [F.when(x == "", F.lit(0)).otherwise(x.try_cast("int")) for x in part[1:]]
-        secs = F.when(part[0] == "-", F.lit(-1)).otherwise(F.lit(1)) * (
+        # one search; without its colons an offset's sign and numbers sit at fixed positions
+        offset = F.translate(F.regexp_extract(t, _OFFSET_RE, 0), ":", "")
+        number = [F.coalesce(F.substring(offset, at, 2).try_cast("int"), F.lit(0)) for at in (2, 4, 6)]
+        secs = F.when(F.substring(offset, 1, 1) == "-", F.lit(-1)).otherwise(F.lit(1)) * (
             number[0] * 3600 + number[1] * 60 + number[2])
     else:  # no offset in the pattern: the written clock is read as UTC and stays as it is
         instant, secs = F.try_to_timestamp(F.concat(t, F.lit("Z")), F.lit(in_pattern + "X")), F.lit(0)
     local = F.timestamp_add("SECOND", secs, wall_clock(instant, "UTC"))
-    return F.when(instant.isNotNull(), clock_format(local, out_pattern))
+    # no condition around the fields: a clock that is null gives null, and what all fields share (the
+    # parse, the clock's text) is computed once for a row, which Spark does not do inside a condition
+    return clock_format(local, out_pattern)
 
 
 def _unquoted(pattern: str) -> str:

@@ -222,3 +222,21 @@ def test_reformat_with_day_names_in_a_skipped_hour(spark):
             assert [r[0] for r in df.select(out).collect()] == ["Sun 10 Mar 2024 2:30 AM", "Sun 31 Mar 2024 2:30 AM", None]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
+
+
+def test_reformat_reads_each_record_once(spark):
+    """All fields of the output share one parse of the text; inside a condition each would repeat it."""
+    rows = [("2024-02-03T04:05:06.1234567+09:00",), ("2024-02-03T04:05:06.1234567-0930",), ("2024-02-30T04:05:06.1234567+09:00",),
+            ("2024-02-03T04:05:06.1234567Z",), ("2024-02-03T04:05:06.1234567+09:30:15",), ("",), ("+09:00",), (None,)]
+    df = spark.createDataFrame(rows, "t string")
+    pattern = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSS"
+    from logweave.functions import timecols
+
+    for offset, want in (("XXX", [1, 0, 0, 1, 0, 0, 0, 0]), ("XX", [0, 1, 0, 1, 0, 0, 0, 0]), ("XXXXX", [1, 0, 0, 1, 1, 0, 0, 0])):
+        out = timecols.reformat_datetime("t", pattern + offset, "yyyy/MM/dd HH:mm:ss")
+        assert [r.g for r in df.select(out.alias("g")).collect()] == ["2024/02/03 04:05:06" if w else None for w in want]
+        constant = timecols.reformat_datetime("t", pattern + offset, "'x'")
+        assert [r.g for r in df.select(constant.alias("g")).collect()] == ["x" if w else None for w in want]
+        plan = df.select(out.alias("g"))._jdf.queryExecution().optimizedPlan().toString().lower()
+        assert "gettimestamp" in plan
+        assert not [c for c in plan.split("case when ")[1:] if "gettimestamp" in c.split(" then ")[0]]
