@@ -47,7 +47,7 @@ def _original(token: Column) -> Column:
 def _is_name(token: Column, name: str) -> Column:
     """Whether a string token spells a member name, by escapes or without."""
     plain = F.lit(f'"{name}"') == token if not set(name) & set('"\\') else F.lit(False)
-    spelled = F.try_variant_get(F.try_parse_json(_original(token)), "$", "string") == name
+    spelled = F.get_json_object(F.concat(F.lit("["), _original(token), F.lit("]")), "$[0]") == name
     return F.when(token.contains("\\") | token.contains("\x01"), F.coalesce(spelled, F.lit(False))).otherwise(plain)
 
 
