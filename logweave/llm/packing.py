@@ -34,7 +34,7 @@ SLACK = 0.005
 #: Groups that come together in the next round.
 FAN_IN = 8
 #: Texts that are encoded together, at most, and their bytes (a longer text is alone); words whose ids are put together.
-LOT, LOT_BYTES = 5000, 8 << 20
+LOT, LOT_BYTES = 5000, 15 << 20
 RUN_WORDS = 1 << 18
 #: Words, and bare words, whose ids a Python worker remembers before it lets those go that do not recur.
 MEMO_WORDS = 100_000
@@ -80,20 +80,24 @@ class WordEncoder:
             self.parts.update(zip(words, self._encode(words)))
 
     def _learn(self, words: list[str]) -> None:
-        plain, other = {}, []
+        plain, letters, marks, other = [], [], [], []
         for w in words:
             if m := _PLAIN.fullmatch(w):
-                plain[w] = m[1].lower(), m[2]
+                a = m[1].lower()
+                plain.append(w)
+                letters.append(w if a == w else a)  # one string in both memories
+                marks.append(m[2])
             else:
                 other.append(w)
         if len(self.parts) > MEMO_WORDS:
-            self.parts = {"": b""} | {w: self.parts[w] for w in itertools.chain(*plain.values()) if w in self.parts}
-        letters = list({a for a, _ in plain.values()} - self.parts.keys())
-        for k in range(0, len(letters), 5000):
-            self._learn_letters(letters[k:k + 5000])
-        marks = list({b for _, b in plain.values()} - self.parts.keys())
-        self.parts.update(zip(marks, self._encode(marks)))
-        self.words.update((w, self.parts[a] + self.parts[b]) for w, (a, b) in plain.items())
+            self.parts = {"": b""} | {w: self.parts[w] for w in itertools.chain(letters, marks) if w in self.parts}
+        new = list(dict.fromkeys(a for a in letters if a not in self.parts))
+        for k in range(0, len(new), 5000):
+            self._learn_letters(new[k:k + 5000])
+        new = list(set(marks) - self.parts.keys())
+        self.parts.update(zip(new, self._encode(new)))
+        parts = self.parts
+        self.words.update((w, parts[a] + parts[b] if b else parts[a]) for w, a, b in zip(plain, letters, marks))
         self.words.update(zip(other, self._encode(other)))
 
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
@@ -101,10 +105,11 @@ class WordEncoder:
         for blank in "\n\t\r":
             texts = pc.replace_substring(texts, blank, " ")
         split = pc.split_pattern(pc.fill_null(texts, ""), " ")
+        del texts
         coded = pc.dictionary_encode(split.flatten())
         borders = split.offsets.to_numpy() - split.offsets[0].as_py()
         words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        del texts, split, coded  # only the numbers are needed from here on
+        del split, coded  # only the numbers are needed from here on
         if len(self.words) > MEMO_WORDS:
             self.words = {"": b""} | {w: self.words[w] for w in words if w in self.words}
         if new := [w for w in words if w not in self.words]:
