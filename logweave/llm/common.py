@@ -45,6 +45,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_alone(df: DataFrame, name: str) -> DataFrame:
+    """As :func:`written`; the files that were shuffled for it go as soon as the table is there.
+
+    Else they stay until the driver happens to collect its garbage. Where
+    another query uses ``df`` its stages run again.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return written(df, name)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+
+
 def removed(df: DataFrame) -> None:
     """Delete a table made by :func:`written` that nothing needs any more."""
     spark = df.sparkSession

@@ -11,28 +11,29 @@ documents that were not counted, gives the score.
 
 Words and distinct bigrams are counted exactly, under 64-bit keys, in written
 tables that grow with the input. Up to ``MODEL_KEYS`` keys the tables are
-broadcast as sorted arrays. Beyond that the distinct keys of each chunk of
-documents are joined to them, and a chunk is scored with its own part of the
-tables: the same numbers by another way.
+broadcast as sorted arrays. Beyond that only the most frequent keys are. Texts
+are dealt into chunks by a hash; a chunk asks the tables for its other distinct
+keys, range by range of the keys, gets the counts back in the order asked, and
+is scored with its own part of the tables: the same numbers by another way.
 """
 
 from __future__ import annotations
 
-import os
+import math
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logweave.llm.common import bloom_bits, in_bloom, texts_of, written
-from logweave.llm.wordhash import MASK, WordHashes, coded_words, mix
+from logweave.llm.common import bloom_bits, in_bloom, removed, texts_of, written, written_alone
+from logweave.llm.wordhash import MASK, hashed_words, mix
 
-#: The most words and bigrams whose counts are broadcast (16 bytes a bigram, 32 a word); more are joined.
-MODEL_KEYS = 8_000_000
+#: The most words and bigrams whose counts are broadcast (16 bytes a bigram, 36 a word); the others are joined.
+MODEL_KEYS = 1_000_000
 DISCOUNT = 0.75
 #: Words of the windows whose evidence counts beside the whole text's.
 WINDOWS = (4, 24)
@@ -42,6 +43,14 @@ N_FEATURES = 2 * (1 + len(WINDOWS) + 2 * len(LEVELS))
 #: The most labelled documents that the logistic curve is fitted on.
 MAX_FIT = 20_000
 CHUNK_TOKENS, COUNT_TOKENS = 200_000, 1_500_000
+#: Bytes of text that count as a word where chunks are sized.
+WORD_SIZE = 6
+#: Keys that are as frequent or more are broadcast together or not at all.
+MAX_LEVEL = 100_000
+#: Keys of a range that one group of the join holds, about.
+RANGE_KEYS = 250_000
+#: Joined documents are scored in so many parts, one after another: what one has shuffled goes before the next.
+PASSES = 4
 #: Rows of a batch that are taken together.
 SLICE_ROWS = 500
 
@@ -50,10 +59,6 @@ WORD_BYTES = bytes(
     for b in range(256))
 
 
-#: Kept from task to task by a Python worker.
-_hashes = WordHashes()
-
-
 def token_chunks(batches: Iterator[pa.RecordBatch], most: int = CHUNK_TOKENS) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
     """``(batches, word hashes, words of each row)``."""
     held, parts, sizes = [], [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
@@ -63,7 +68,7 @@ def token_chunks(batches: Iterator[pa.RecordBatch], most: int = CHUNK_TOKENS) ->
 
     for b in (x.slice(k, SLICE_ROWS) for x in batches for k in range(0, x.num_rows, SLICE_ROWS)):
         texts = pa.array([(t or b"").translate(WORD_BYTES) for t in b.column("text").to_pylist()], pa.binary())
-        codes, lengths = coded_words(texts.cast(pa.string()), _hashes, np.uint64)
+        codes, lengths = hashed_words(texts.cast(pa.string()))
         held.append(b)
         parts.append(codes)
         sizes.append(lengths)
@@ -124,6 +129,71 @@ def _places(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
     return at[back]
 
 
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """The distinct keys in order; sorting takes a tenth of the time of ``np.unique``, which hashes."""
+    keys = np.sort(keys)
+    return keys[np.append(True, keys[1:] != keys[:-1])[:len(keys)]]
+
+
+def _flat(lists: pa.ChunkedArray, dtype) -> np.ndarray:
+    return np.concatenate([np.zeros(0, dtype), *(c.flatten().to_numpy() for c in lists.chunks)])
+
+
+def _ranges(keys: np.ndarray, kind: int, shift: int) -> tuple[list[int], list[np.ndarray], list[slice]]:
+    """Sorted keys by range: its number (of words, kind 0, below 0), its keys and where they are."""
+    of = keys >> np.uint64(shift) if shift < 64 else np.zeros(len(keys), np.uint64)
+    number, start = np.unique(of, return_index=True)
+    at = [slice(s, e) for s, e in zip(start, np.append(start[1:], len(keys)))]
+    return [n if kind else -1 - n for n in number.tolist()], [keys[x] for x in at], at
+
+
+def _in_ranges(kind: int, shift: int) -> Callable:
+    """Rows of the words (kind 0) or bigrams as rows of their ranges, with many keys each."""
+    def run(batches):
+        for b in _large(batches):
+            names = ("first", "word") if kind else ("key",)
+            keys = [b[c].to_numpy().view(np.uint64) for c in names]
+            keys = bigram_key(*keys) if kind else keys[0]
+            order = np.argsort(keys)
+            values = np.column_stack([b[c].to_numpy().astype(np.float32) for c in b.column_names if c not in names])[order]
+            number, parts, at = _ranges(keys[order], kind, shift)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(number, pa.int32()), pa.array([k.view(np.int64) for k in parts], pa.list_(pa.int64())),
+                 pa.array([values[x].ravel() for x in at], pa.list_(pa.float32()))], ["range", "keys", "values"])
+    return run
+
+
+def _large(batches: Iterator[pa.RecordBatch], rows: int = 500_000) -> Iterator[pa.Table]:
+    held, n = [], 0
+    for b in batches:
+        held.append(b)
+        n += b.num_rows
+        if n >= rows:
+            yield pa.Table.from_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held)
+
+
+def _arrays(table: DataFrame) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Keys and values of the words or bigrams."""
+    if "first" in table.columns:
+        table = table.mapInArrow(_keyed, "key long, ordinary long, toxic long")
+    t = table.select("key", *[F.col(c).cast("float") for c in table.columns if c != "key"]).toArrow()
+    return t["key"].to_numpy().view(np.uint64), [t[c].to_numpy() for c in t.column_names if c != "key"]
+
+
+def _level(table: DataFrame, weight: Column, most: int) -> int:
+    """The lowest weight from which there are at most so many rows."""
+    level, n = MAX_LEVEL + 1, 0
+    for r in table.groupBy(F.least(weight, F.lit(MAX_LEVEL)).alias("w")).count().orderBy(F.desc("w")).collect():
+        n += r["count"]
+        if n > most:
+            break
+        level = r["w"]
+    return level if level <= MAX_LEVEL else (1 << 62)
+
+
 #: Of a word: counts and kinds of bigrams that it begins, counts, in either class (ordinary, toxic), and in how
 #: many contexts it occurs. Of a bigram: the first two, its counts.
 VALUES = ("ordinary", "toxic", "types_o", "types_t", "n_o", "n_t", "varied")
@@ -171,6 +241,7 @@ class Model:
         n = sizes[full]
         end = np.repeat(starts + n, n)
         for j, e in enumerate(self.evidence(words, sizes)):
+            e = e.astype(np.float64)  # else sums would depend on the texts before
             cols = [np.add.reduceat(e, starts) / n]
             total = np.concatenate(([0], np.cumsum(e)))
             for w in WINDOWS:
@@ -218,103 +289,109 @@ class Counts:
 
     def __init__(self, rows: DataFrame):
         counted = rows.select("text", "y").mapInArrow(_count, "first long, word long, ordinary int, toxic int")
-        bigrams = written(counted.repartition("first", "word").groupBy("first", "word").agg(
-            F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")), "bigrams")
+        bigrams = written_alone(counted.repartition("first", "word").groupBy("first", "word").agg(
+            F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")).sortWithinPartitions("first"), "bigrams")
         zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
         kinds = [(F.col(c) > 0).cast("long") for c in ("ordinary", "toxic")]
         begins = bigrams.select(F.col("first").alias("key"), "ordinary", "toxic", kinds[0].alias("types_o"), kinds[1].alias("types_t"),
                                 zero.alias("n_o"), zero.alias("n_t"), zero.alias("varied"))
         ends = bigrams.select(F.col("word").alias("key"), zero, zero, zero, zero, "ordinary", "toxic", one)
         sums = [F.sum(c).alias(c) for c in VALUES]
-        self.words = written(begins.union(ends).groupBy("key").agg(*sums), "words")
-        self.bigrams = bigrams.mapInArrow(_keyed, "key long, ordinary long, toxic long")
+        self.words = written_alone(begins.union(ends).groupBy("key").agg(*sums), "words")
         self.totals = self.words.agg(
             F.count(F.when(F.col("varied") > 0, 1)).alias("words"),
             *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("varied", "n_o", "n_t")],
             *[F.count(F.when(F.col("n_" + c) > 0, 1)).alias("kinds_" + c) for c in "ot"]).first().asDict()
-        self.model = None
-        if self.words.count() + bigrams.count() <= MODEL_KEYS:
-            words, pairs_ = (t.select("key", *[F.col(c).cast("float") for c in t.columns if c != "key"]).toArrow()
-                             for t in (self.words, self.bigrams))
-            model = Model(self.totals, *(x for t in (words, pairs_) for x in (
-                t["key"].to_numpy().view(np.uint64), [t[c].to_numpy() for c in t.column_names if c != "key"])))
-            self.model = rows.sparkSession.sparkContext.broadcast(model)
-
-    def applied(self, rows: DataFrame, finish: Callable, kind: T.DataType) -> DataFrame:
+        self.model, n_words, n_bigrams = None, self.words.count(), bigrams.count()
+        broadcast = rows.sparkSession.sparkContext.broadcast
+        if n_words + n_bigrams <= MODEL_KEYS:
+            (words, word_values), (keys, counts) = map(_arrays, (self.words, bigrams))
+            self.model = broadcast(Model(self.totals, words, word_values, keys, counts))
+            return
+        tables = self.words, bigrams
+        weights = [reduce(Column.__add__, map(F.col, c)) for c in (("ordinary", "toxic", "n_o", "n_t"), ("ordinary", "toxic"))]
+        levels = [_level(t, w, most) for t, w, most in zip(tables, weights, (MODEL_KEYS // 4, MODEL_KEYS - MODEL_KEYS // 4))]
+        self.hot = broadcast([_sorted(*_arrays(t.where(w >= level))) for t, w, level in zip(tables, weights, levels)])
+        #: a key's range is what is left of it after this shift
+        self.shifts = [64 - max(0, math.ceil(math.log2(max(n, 1) / RANGE_KEYS))) for n in (n_words, n_bigrams)]
+        self.ranges = written_alone(reduce(DataFrame.union, (
+            t.where(w < level).mapInArrow(_in_ranges(kind, self.shifts[kind]), "range int, keys array<long>, values array<float>")
+            for kind, (t, w, level) in enumerate(zip(tables, weights, levels)))), "ranges")
+        for t in tables:
+            removed(t)
+
+    def applied(self, rows: DataFrame, finish: Callable, kind: T.DataType, passes: int = PASSES) -> DataFrame:
         """The rows ``(row, text)`` as ``row`` and ``out``: what ``finish`` makes of the features, of type ``kind``."""
         schema = T.StructType([rows.schema["row"], T.StructField("out", kind)])
 
-        def rows_of(held, model, words, sizes):
-            got, k = finish(model.features(words, sizes)), 0
-            for b in held:
-                yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(got[k:k + b.num_rows])], ["row", "out"])
-                k += b.num_rows
+        def rows_of(model, batches):
+            for held, words, sizes in token_chunks(batches):
+                got, k = finish(model.features(words, sizes)), 0
+                for b in held:
+                    yield pa.RecordBatch.from_arrays([b.column("row"), pa.array(got[k:k + b.num_rows])], ["row", "out"])
+                    k += b.num_rows
 
         if self.model is not None:
             model = self.model
+            return rows.select("row", "text").mapInArrow(lambda batches: rows_of(model.value, batches), schema)
+
+        parts = [written_alone(self._joined(texts, rows_of, schema), "scores") for texts in self._dealt(rows, passes)]
+        return reduce(DataFrame.union, parts)
+
+    def _dealt(self, rows: DataFrame, passes: int) -> Iterator[DataFrame]:
+        """The rows in so many parts, each dealt to tasks by ``chunk``, which only depends on the row."""
+        size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        each = math.ceil(size / (COUNT_TOKENS * WORD_SIZE * passes)) or 1
+        plain = [F.col("row")[f.name] for f in rows.schema["row"].dataType if "map<" not in f.dataType.simpleString()]
+        chunk = F.pmod(F.xxhash64("text", *plain), F.lit(each * passes))
+        for k in range(passes):
+            yield rows.select(chunk.alias("chunk"), "row", "text").where(F.col("chunk") % passes == k).repartition(2 * each, "chunk")
+
+    def _joined(self, texts: DataFrame, rows_of: Callable, schema: T.StructType) -> DataFrame:
+        hot, totals, shifts = self.hot, self.totals, self.shifts
+
+        def asked(text: pa.ChunkedArray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+            """Of words and of bigrams: the distinct keys of a chunk, their place among the frequent ones, whether they are not there."""
+            found = ([np.zeros(1, np.uint64)], [])
+            for _, words, sizes in token_chunks(iter(pa.table({"text": text}).to_batches())):
+                for held, keys in zip(found, (words, bigram_key(pairs(words, sizes), words))):
+                    held.append(_distinct(keys))
+            out = []
+            for held, (keys, _) in zip(found, hot.value):
+                mine = _distinct(np.concatenate([np.zeros(0, np.uint64), *held]))
+                at = np.searchsorted(keys[:-1], mine)
+                at[keys[at] != mine] = len(keys) - 1
+                out.append((mine, at, at == len(keys) - 1))
+            return out
 
-            def run(batches):
-                for held, words, sizes in token_chunks(batches):
-                    yield from rows_of(held, model.value, words, sizes)
-            return rows.select("row", "text").mapInArrow(run, schema)
-
-        def chunked(batches):
-            for held, _, _ in token_chunks(batches, COUNT_TOKENS):
-                chunk = int.from_bytes(os.urandom(8), "little", signed=True)
-                for b in held:
-                    yield pa.RecordBatch.from_arrays([pa.array([chunk] * b.num_rows, pa.int64()), b.column("row"), b.column("text")],
-                                                     ["chunk", "row", "text"])
-
-        def wanted(batches):
-            for held, words, sizes in token_chunks(batches, COUNT_TOKENS):
-                number, chunk = np.unique(np.repeat(np.concatenate([b.column("chunk").to_numpy() for b in held]), sizes), return_inverse=True)
-                before = pairs(words, sizes)
-                for k, c in enumerate(number):
-                    mine = chunk == k
-                    for kind, keys in enumerate((np.append(words[mine], np.uint64(0)), bigram_key(before, words)[mine])):
-                        keys = np.unique(keys).view(np.int64)
-                        yield pa.RecordBatch.from_arrays([pa.array([c] * len(keys), pa.int64()), pa.array([kind] * len(keys), pa.int32()),
-                                                          pa.array(keys)], ["chunk", "kind", "key"])
-
-        texts = written(rows.select("row", "text").mapInArrow(
-            chunked, T.StructType([T.StructField("chunk", T.LongType()), rows.schema["row"], T.StructField("text", T.BinaryType())])), "chunks")
-        none = F.lit(None).cast("long")
-        table = self.words.select(F.lit(0).alias("kind"), "key", *VALUES).union(
-            self.bigrams.select(F.lit(1), "key", "ordinary", "toxic", *[none] * 5))
-        found = texts.mapInArrow(wanted, "chunk long, kind int, key long").join(table.hint("merge"), ["kind", "key"])
-        both = found.select("chunk", "kind", "key", *VALUES, F.lit(None).cast(rows.schema["row"].dataType).alias("row"), F.lit(None).cast("binary").alias("text")) \
-            .union(texts.select("chunk", F.lit(2), none, *[none] * len(VALUES), "row", "text"))
-        totals = self.totals
-
-        def run_chunks(batches):
-            last, parts, model = None, [], None
-
-            def made():
-                t = pa.Table.from_batches(parts, parts[0].schema) if parts else None
-                args = []
-                for kind, n in ((0, len(VALUES)), (1, 2)):
-                    of = t.filter(pc.equal(t["kind"], kind)) if t else None
-                    args += [of["key"].to_numpy().view(np.uint64) if t else np.zeros(0, np.uint64),
-                             [of[c].to_numpy() if t else np.zeros(0) for c in VALUES[:n]]]
-                return Model(totals, *args)
-
-            for b in batches:
-                chunks, kinds = b.column("chunk").to_numpy(), b.column("kind").to_numpy()
-                cuts = np.flatnonzero((chunks[1:] != chunks[:-1]) | ((kinds[1:] == 2) != (kinds[:-1] == 2))) + 1
-                for s, e in zip([0, *cuts.tolist()], [*cuts.tolist(), b.num_rows]):
-                    if s == e:
-                        continue
-                    if chunks[s] != last:
-                        last, parts, model = chunks[s], [], None
-                    if kinds[s] != 2:
-                        parts.append(b.slice(s, e - s).select(["kind", "key", *VALUES]))
-                        continue
-                    if model is None:
-                        model, parts = made(), []
-                    for held, words, sizes in token_chunks(iter([b.slice(s, e - s)])):
-                        yield from rows_of(held, model, words, sizes)
-
-        return both.repartition("chunk").sortWithinPartitions("chunk", "kind").mapInArrow(run_chunks, schema)
+        def ask(chunk: pa.Table) -> pa.Table:
+            ranges = [_ranges(keys[rare], kind, shifts[kind]) for kind, (keys, _, rare) in enumerate(asked(chunk["text"]))]
+            number = [r for of, _, _ in ranges for r in of]
+            return pa.table({"chunk": pa.array([chunk["chunk"][0].as_py()] * len(number), pa.int64()), "range": pa.array(number, pa.int32()),
+                             "keys": pa.array([k.view(np.int64) for _, keys, _ in ranges for k in keys], pa.list_(pa.int64()))})
+
+        def answer(questions: pa.Table, table: pa.Table) -> pa.Table:
+            width = len(VALUES) if questions.num_rows and questions["range"][0].as_py() < 0 else 2
+            keys = _flat(table["keys"], np.int64).view(np.uint64)
+            keys, values = _sorted(keys, _flat(table["values"], np.float32).reshape(-1, width).T) if questions.num_rows else (keys, None)
+            got = [values[:, _places(keys, q.values.to_numpy().view(np.uint64))].T.ravel() for q in questions["keys"]]
+            return pa.table({"chunk": questions["chunk"], "range": questions["range"], "values": pa.array(got, pa.list_(pa.float32()))})
+
+        def score(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+            args, numbers = [], answers["range"].to_numpy()
+            order = np.argsort(np.where(numbers < 0, -1 - numbers, numbers), kind="stable")
+            for kind, (keys, at, rare) in enumerate(asked(chunk["text"])):
+                values = hot.value[kind][1][:, at]
+                got = answers["values"].take(pa.array(order[(numbers[order] < 0) == (kind == 0)]))
+                values[:, rare] = _flat(got, np.float32).reshape(-1, len(values)).T
+                args += [keys, list(values)]
+            model = Model(totals, *args)
+            return pa.Table.from_batches(rows_of(model, iter(chunk.select(["row", "text"]).to_batches())))
+
+        questions = texts.groupBy("chunk").applyInArrow(ask, "chunk long, range int, keys array<long>")
+        answers = questions.groupBy("range").cogroup(self.ranges.groupBy("range")).applyInArrow(
+            answer, "chunk long, range int, values array<float>")
+        return texts.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(score, schema)
 
 
 class Curve:
@@ -348,7 +425,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_fit: int =
     counts = Counts(labelled(docs, labels, label, lambda i: fold(i) >= 2))
     sample = labelled(docs, labels, label, lambda i: fold(i) == 1, max_fit).select(
         F.struct("doc_id", "y", F.xxhash64("doc_id", "text", "y").alias("h")).alias("row"), "text")
-    got = counts.applied(sample, lambda x: list(map(bytes, np.ascontiguousarray(x))), T.BinaryType()).select("row.*", "out")
+    got = counts.applied(sample, lambda x: list(map(bytes, np.ascontiguousarray(x))), T.BinaryType(), 1).select("row.*", "out")
     # many rows may have one id: as many as labels at the most
     got = got.orderBy("h", "doc_id", "y").limit(max_fit).toArrow().to_pandas()
     x = np.frombuffer(b"".join(got["out"]), np.float64).reshape(len(got), N_FEATURES)
